@@ -141,3 +141,189 @@ SELECT {r2("avg(CASE WHEN quantity = 1 THEN 1.0 ELSE 0.0 END) * 100")} AS single
          AS skewness_net
 FROM sales_raw, m""")
     return q
+
+
+# ------------------------------------------------------------------ C (Silver)
+def _clean(c: str) -> str:
+    return f"trim(regexp_replace({c}, '\\s+', ' ', 'g'))"
+
+
+SALES_COLS = ("sale_id", "order_id", "sale_ts", "customer_id", "city", "channel", "store_id", "category",
+              "product", "pay_method", "quantity", "unit_price", "discount_rate", "gross", "discount", "net",
+              "rating")
+EV_RAW_COLS = ("event_id", "order_id", "event_ts_txt", "state", "center", "dest_city", "carrier", "tracking_no",
+               "promised_ts_txt", "stage_hours", "ship_cost", "incident", "note")
+EV_COLS = ("event_id", "order_id", "event_ts", "state", "center", "dest_city", "carrier", "tracking_no",
+           "promised_ts", "stage_hours", "ship_cost", "incident", "note")
+TRANSPORT = "('A', 'R')"
+DELIVERED = "'R'"
+
+
+def _all_nulls_first(cols) -> str:
+    return ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
+
+
+SALES_TEXT = ("city", "channel", "category", "product", "pay_method", "store_id")
+SILVER_SALES_CTES = [
+    "s_dedup AS (SELECT DISTINCT * FROM sales_raw)",
+    "s_typed AS (SELECT " + ", ".join(
+        _clean(c) + f" AS {c}" if c in SALES_TEXT else ("CAST(rating AS INTEGER) AS rating" if c == "rating" else c)
+        for c in SALES_COLS) + " FROM s_dedup)",
+    f"""s_flag AS (
+  SELECT *,
+    concat_ws('; ',
+      CASE WHEN sale_ts IS NULL THEN 'fecha_venta nula o inválida' END,
+      CASE WHEN NOT coalesce(city IN (SELECT city FROM coverage), false) THEN 'ciudad fuera de cobertura' END,
+      CASE WHEN coalesce(unit_price < 0, false) OR coalesce(gross < 0, false) OR coalesce(discount < 0, false)
+                OR coalesce(net < 0, false) THEN 'montos negativos' END,
+      CASE WHEN coalesce(abs(unit_price * quantity - gross) > 1, false)
+                OR coalesce(abs(gross - discount - net) > 1, false) THEN 'montos inconsistentes' END,
+      CASE WHEN rating IS NOT NULL AND NOT coalesce(rating BETWEEN 1 AND 5, false) THEN 'calificacion fuera de 1-5' END,
+      CASE WHEN row_number() OVER (PARTITION BY sale_id ORDER BY {_all_nulls_first(SALES_COLS)}) > 1
+           THEN 'id_venta repetido' END,
+      CASE WHEN row_number() OVER (PARTITION BY order_id ORDER BY {_all_nulls_first(SALES_COLS)}) > 1
+           THEN 'pedido_id repetido' END) AS reject_reason
+  FROM s_typed)""",
+    f"s_clean AS (SELECT {', '.join(SALES_COLS)} FROM s_flag WHERE reject_reason = '')",
+    "s_rej AS (SELECT * FROM s_flag WHERE reject_reason <> '')",
+]
+
+EV_TEXT = ("state", "center", "dest_city", "carrier", "tracking_no", "incident", "note")
+_NULLS = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in EV_RAW_COLS)
+_W = "(PARTITION BY order_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+SILVER_EVENT_CTES = [
+    "e_dedup AS (SELECT DISTINCT * FROM events_raw)",
+    f"e_nores AS (SELECT {', '.join(EV_RAW_COLS)} FROM e_dedup)",
+    f"""e_rank AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {_NULLS}, {_all_nulls_first(EV_RAW_COLS)}) AS rn
+  FROM e_nores)""",
+    f"e_keep AS (SELECT {', '.join(EV_RAW_COLS)} FROM e_rank WHERE rn = 1)",
+    "e_typed AS (SELECT " + ", ".join(
+        (_clean(c) + f" AS {c}") if c in EV_TEXT else
+        ("try_cast(event_ts_txt AS TIMESTAMP) AS event_ts" if c == "event_ts_txt" else
+         ("try_cast(promised_ts_txt AS TIMESTAMP) AS promised_ts" if c == "promised_ts_txt" else c))
+        for c in EV_RAW_COLS) + " FROM e_keep)",
+    f"""e_rec AS (
+  SELECT event_id, order_id, event_ts, state,
+    center IS NULL AS nul_center, dest_city IS NULL AS nul_dest, promised_ts IS NULL AS nul_promised,
+    coalesce(state IN {TRANSPORT}, false) AND carrier IS NULL AS nul_carrier,
+    coalesce(state IN {TRANSPORT}, false) AND tracking_no IS NULL AS nul_tracking,
+    CASE WHEN order_id IS NULL THEN NULL ELSE first_value(center IGNORE NULLS) OVER {_W} END AS center,
+    CASE WHEN order_id IS NULL THEN NULL ELSE first_value(dest_city IGNORE NULLS) OVER {_W} END AS dest_city,
+    CASE WHEN coalesce(state IN {TRANSPORT}, false) AND carrier IS NULL AND order_id IS NOT NULL
+         THEN first_value(carrier IGNORE NULLS) OVER {_W} ELSE carrier END AS carrier,
+    CASE WHEN coalesce(state IN {TRANSPORT}, false) AND tracking_no IS NULL AND order_id IS NOT NULL
+         THEN first_value(tracking_no IGNORE NULLS) OVER {_W} ELSE tracking_no END AS tracking_no,
+    CASE WHEN order_id IS NULL THEN NULL ELSE first_value(promised_ts IGNORE NULLS) OVER {_W} END AS promised_ts,
+    stage_hours, ship_cost,
+    coalesce(incident, 'Sin incidencia') AS incident,
+    coalesce(note, 'Sin observación') AS note
+  FROM e_typed)""",
+    """e_flag AS (
+  SELECT *, concat_ws('; ',
+      CASE WHEN order_id NOT IN (SELECT order_id FROM s_clean WHERE order_id IS NOT NULL) OR order_id IS NULL
+           THEN 'pedido sin venta válida' END,
+      CASE WHEN NOT coalesce(dest_city IN (SELECT city FROM coverage), false)
+           THEN 'ciudad_destino fuera de cobertura' END) AS reject_reason
+  FROM e_rec)""",
+    f"e_clean AS (SELECT {', '.join(EV_COLS)} FROM e_flag WHERE reject_reason = '')",
+    f"e_rej AS (SELECT {', '.join(EV_COLS)}, reject_reason FROM e_flag WHERE reject_reason <> '')",
+]
+SILVER_CTES = SILVER_SALES_CTES + SILVER_EVENT_CTES
+
+
+def _inc(source, level, key, order, kind, action, detail="''", frm="", where="") -> str:
+    return (f"SELECT '{source}' AS source, '{level}' AS level, CAST({key} AS VARCHAR) AS key, "
+            f"CAST({order} AS VARCHAR) AS order_id, {kind} AS kind, '{action}' AS action, "
+            f"CAST({detail} AS VARCHAR) AS detail FROM {frm}" + (f" WHERE {where}" if where else ""))
+
+
+INCIDENT_CTES = [
+    "e_dupcount AS (SELECT event_id, order_id, count(*) AS n FROM events_raw GROUP BY "
+    + ", ".join(EV_RAW_COLS + ("unnamed_13",)) + " HAVING count(*) > 1)",
+    "inc_dup AS (" + _inc("logistica", "evento", "event_id", "order_id", "'Fila duplicada'", "Eliminada",
+                          frm="e_dupcount, range(2, n + 1)") + ")",
+    "inc_res AS (SELECT 'logistica' AS source, 'columna' AS level, 'unnamed_13' AS key, '' AS order_id, "
+    "'Columna residual del Excel' AS kind, 'Eliminada' AS action, "
+    "CAST(count(unnamed_13) AS VARCHAR) || ' celda(s) con datos' AS detail FROM e_dedup)",
+    "inc_conf AS (" + _inc("logistica", "evento", "event_id", "order_id",
+                           "'evento_id repetido con contenido distinto'", "Se conservó la versión más completa",
+                           frm="e_rank", where="rn > 1") + ")",
+    "inc_ev AS (" + " UNION ALL ".join([
+        _inc("logistica", "evento", "event_id", "order_id", "'center nulo'", "Recuperado del mismo pedido",
+             frm="e_rec", where="nul_center"),
+        _inc("logistica", "evento", "event_id", "order_id", "'dest_city nulo'", "Recuperado del mismo pedido",
+             frm="e_rec", where="nul_dest"),
+        _inc("logistica", "evento", "event_id", "order_id", "'promised_ts nulo'", "Recuperado del mismo pedido",
+             frm="e_rec", where="nul_promised"),
+        _inc("logistica", "evento", "event_id", "order_id", "'carrier nulo en estado de transporte'",
+             "Completado con el valor del pedido", frm="e_rec", where="nul_carrier"),
+        _inc("logistica", "evento", "event_id", "order_id", "'tracking_no nulo en estado de transporte'",
+             "Completado con el valor del pedido", frm="e_rec", where="nul_tracking"),
+        _inc("logistica", "evento", "event_id", "order_id", "'fecha_evento nula'",
+             "Se mantiene nulo (no recuperable)", detail="state", frm="e_rec", where="event_ts IS NULL"),
+    ]) + ")",
+    "inc_rej AS (" + _inc("logistica", "evento", "event_id", "order_id", "'Registro rechazado'",
+                          "Enviado a cuarentena", detail="reject_reason", frm="e_rej") + ")",
+    "inc_sales AS (" + _inc("ventas", "venta", "sale_id", "order_id", "'Registro rechazado'",
+                            "Enviado a cuarentena", detail="reject_reason", frm="s_rej") + ")",
+    "all_states AS (SELECT DISTINCT state FROM e_clean)",
+    """e_missing AS (
+  SELECT o.order_id, string_agg(a.state, ', ' ORDER BY a.state) AS missing
+  FROM (SELECT DISTINCT order_id FROM e_clean WHERE order_id IS NOT NULL) o CROSS JOIN all_states a
+  WHERE NOT EXISTS (SELECT 1 FROM e_clean e WHERE e.order_id = o.order_id AND e.state = a.state)
+  GROUP BY o.order_id)""",
+    "inc_missing AS (" + _inc("logistica", "pedido", "order_id", "order_id", "'Trazabilidad incompleta'",
+                              "Marcado en Gold", detail="'Faltan: ' || missing", frm="e_missing") + ")",
+    f"""e_undated AS (
+  SELECT order_id FROM e_clean WHERE state = {DELIVERED} AND order_id IS NOT NULL
+  GROUP BY order_id HAVING count(event_ts) = 0)""",
+    "inc_undated AS (" + _inc("logistica", "pedido", "order_id", "order_id", "'Evento Entregado sin fecha'",
+                              "Sin fecha de entrega en Gold", frm="e_undated") + ")",
+    """shared_trk AS (
+  SELECT tracking_no FROM e_clean WHERE tracking_no IS NOT NULL
+  GROUP BY tracking_no HAVING count(DISTINCT order_id) > 1)""",
+    """shared_pairs AS (
+  SELECT DISTINCT e.tracking_no, e.order_id FROM e_clean e JOIN shared_trk t ON t.tracking_no = e.tracking_no)""",
+    "inc_shared AS (" + _inc("logistica", "pedido", "order_id", "order_id",
+                             "'numero_guia compartido entre pedidos'", "Marcado en Gold", detail="tracking_no",
+                             frm="shared_pairs") + ")",
+    """incidents AS (
+  SELECT * FROM inc_sales UNION ALL SELECT * FROM inc_dup UNION ALL SELECT * FROM inc_res
+  UNION ALL SELECT * FROM inc_conf UNION ALL SELECT * FROM inc_ev UNION ALL SELECT * FROM inc_rej
+  UNION ALL SELECT * FROM inc_missing UNION ALL SELECT * FROM inc_undated UNION ALL SELECT * FROM inc_shared)""",
+]
+
+
+def silver(*ctes: str, select: str) -> str:
+    return with_fixtures(*SILVER_CTES, *INCIDENT_CTES, *ctes, select=select)
+
+
+def c_queries() -> dict[str, str]:
+    q = {}
+    q["dedup_exact"] = with_fixtures(select="SELECT DISTINCT * FROM events_raw")
+    q["incidents_duplicates"] = silver(select="SELECT * FROM inc_dup")
+    q["drop_residual"] = silver(select="SELECT * FROM inc_res")
+    q["resolve_key_conflicts"] = silver(select="SELECT * FROM e_keep")
+    q["coerce_dates"] = silver(select="SELECT event_id, event_ts, promised_ts FROM e_typed")
+    q["coerce_rating"] = silver(select="SELECT sale_id, order_id, pay_method, rating FROM s_typed")
+    q["normalize_text"] = silver(select="SELECT sale_id, pay_method, city, channel, category, product, store_id "
+                                        "FROM s_typed")
+    q["recover_group_constant"] = silver(select="SELECT event_id, order_id, center, dest_city, promised_ts FROM e_rec")
+    q["fill_in_transport_states"] = silver(select="SELECT event_id, state, carrier, tracking_no FROM e_rec")
+    q["explicit_null_category"] = silver(select="SELECT event_id, incident, note FROM e_rec")
+    q["silver_sales"] = silver(select="SELECT * FROM s_clean")
+    q["quarantine_sales"] = silver(select="SELECT * EXCLUDE (reject_reason), reject_reason FROM s_rej")
+    q["quarantine_reason_counts"] = silver(select="""
+SELECT 'ventas' AS source, reject_reason, count(*) AS rows FROM s_rej GROUP BY reject_reason
+UNION ALL
+SELECT 'logistica' AS source, reject_reason, count(*) AS rows FROM e_rej GROUP BY reject_reason""")
+    q["silver_events"] = silver(select="SELECT * FROM e_clean")
+    q["quarantine_events"] = silver(select="SELECT * FROM e_rej")
+    q["incident_log"] = silver(select="SELECT * FROM incidents")
+    q["missing_states"] = silver(select="SELECT * FROM inc_missing")
+    q["delivered_without_date"] = silver(select="SELECT * FROM inc_undated")
+    q["shared_tracking_orders"] = silver(select="SELECT tracking_no, order_id FROM shared_pairs")
+    q["incident_summary"] = silver(select="SELECT level, kind, action, count(*) AS incidents FROM incidents "
+                                          "GROUP BY level, kind, action")
+    return q

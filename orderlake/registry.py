@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlake import oracle
+from orderlake.contract import FIXTURE_CONTRACT as CONTRACT
 from orderlake.operators import questions as Q
+from orderlake.operators import silver as S
 from orderlake.sources import fixtures as FX
 
 FLAGSHIP = "q01_net_by_channel"
@@ -52,13 +55,78 @@ def f_queries() -> dict[str, QueryFn]:
     }
 
 
+def silver_parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The Silver artefacts of the fixture binding, as lazy DataFrames."""
+    sales, events, cov = FX.sales_raw(spark, d), FX.events_raw(spark, d), FX.coverage(spark, d)
+    flagged = S.flag_sales(sales, CONTRACT, cov)
+    s_clean, s_rej = S.split_quarantine(flagged)
+    s_inc = S.rejected_incidents(s_rej, S.SRC_SALES, S.LVL_SALE, "sale_id")
+    ev = S.silver_events(events, s_clean, CONTRACT, cov)
+    return {"sales_raw": sales, "events_raw": events, "coverage": cov, "s_flagged": flagged,
+            "s_clean": s_clean, "s_rej": s_rej, "s_inc": s_inc, "e_clean": ev["clean"], "e_rej": ev["rejected"],
+            "e_inc": ev["incidents"], "e_typed": ev["typed"], "e_rec": ev["recovered"],
+            "incidents": s_inc.unionByName(ev["incidents"])}
+
+
+def _sv(fn):
+    return lambda spark, d: fn(silver_parts(spark, d))
+
+
+def _sales_typed(spark, d):
+    df = S.dedup_exact(FX.sales_raw(spark, d))
+    df = S.coerce_rating(df).drop("_rating_fractional")
+    return S.normalize_text(df, S.SALES_TEXT_COLS)
+
+
+def c_queries() -> dict[str, QueryFn]:
+    def reason_counts(p):
+        s = p["s_rej"].groupBy(F.lit("ventas").alias("source"), "reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+        e = p["e_rej"].groupBy(F.lit("logistica").alias("source"), "reject_reason").agg(
+            F.count(F.lit(1)).alias("rows"))
+        return s.unionByName(e)
+
+    def prep(spark, d):
+        return S.prepare_events(FX.events_raw(spark, d), CONTRACT)
+
+    return {
+        "dedup_exact": _events(S.dedup_exact),
+        "incidents_duplicates": _events(S.duplicate_row_incidents),
+        "drop_residual": lambda spark, d: S.drop_residual(S.dedup_exact(FX.events_raw(spark, d)))[1],
+        "resolve_key_conflicts": lambda spark, d: S.resolve_key_conflicts(
+            S.drop_residual(S.dedup_exact(FX.events_raw(spark, d)))[0])[0],
+        "coerce_dates": lambda spark, d: prep(spark, d)["typed"].select("event_id", "event_ts", "promised_ts"),
+        "coerce_rating": lambda spark, d: _sales_typed(spark, d).select("sale_id", "order_id", "pay_method",
+                                                                         "rating"),
+        "normalize_text": lambda spark, d: _sales_typed(spark, d).select(
+            "sale_id", "pay_method", "city", "channel", "category", "product", "store_id"),
+        "recover_group_constant": _sv(lambda p: p["e_rec"].select("event_id", "order_id", "center", "dest_city",
+                                                                  "promised_ts")),
+        "fill_in_transport_states": _sv(lambda p: p["e_rec"].select("event_id", "state", "carrier", "tracking_no")),
+        "explicit_null_category": _sv(lambda p: p["e_rec"].select("event_id", "incident", "note")),
+        "silver_sales": _sv(lambda p: p["s_clean"]),
+        "quarantine_sales": _sv(lambda p: p["s_rej"]),
+        "quarantine_reason_counts": _sv(reason_counts),
+        "silver_events": _sv(lambda p: p["e_clean"]),
+        "quarantine_events": _sv(lambda p: p["e_rej"]),
+        "incident_log": _sv(lambda p: p["incidents"]),
+        "missing_states": _sv(lambda p: S.order_level_incidents(p["e_clean"], CONTRACT)
+                              .where(F.col("kind") == "Trazabilidad incompleta")),
+        "delivered_without_date": _sv(lambda p: S.order_level_incidents(p["e_clean"], CONTRACT)
+                                      .where(F.col("kind") == "Evento Entregado sin fecha")),
+        "shared_tracking_orders": _sv(lambda p: S.shared_tracking_pairs(p["e_clean"])),
+        "incident_summary": _sv(lambda p: S.incident_summary(p["incidents"])),
+    }
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
+    out.update(c_queries())
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.f_queries())
+    out.update(oracle.c_queries())
     return out

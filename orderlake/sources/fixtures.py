@@ -23,6 +23,11 @@ _DIALECT = {
 }
 
 
+def _tables(dialect: str, *names: str) -> dict[str, str]:
+    """Spark binds tables as DataFrame arguments of ``spark.sql`` (no global views)."""
+    return {n: ("{" + n + "}" if dialect == "spark" else n) for n in names}
+
+
 def _add_hours(dialect: str, ts: str, h: str) -> str:
     return _DIALECT[dialect]["add_hours"].format(ts=ts, h=h)
 
@@ -30,6 +35,7 @@ def _add_hours(dialect: str, ts: str, h: str) -> str:
 def sales_raw_sql(dialect: str = "spark") -> str:
     """One sale per order: orders ⋈ customer ⋈ nation ⋈ first line ⋈ part."""
     t = _DIALECT[dialect]["text"]
+    T = _tables(dialect, "lineitem", "orders", "customer", "nation", "part")
     return f"""
 WITH first_line AS (
   SELECT l_orderkey, l_partkey, l_quantity, l_discount FROM (
@@ -37,7 +43,7 @@ WITH first_line AS (
            row_number() OVER (PARTITION BY l_orderkey
                               ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
                                        l_quantity, l_extendedprice) AS rn
-    FROM lineitem) fl
+    FROM {T['lineitem']}) fl
   WHERE rn = 1
 ),
 base AS (
@@ -47,11 +53,11 @@ base AS (
          CAST(p.p_retailprice AS DECIMAL(18,2)) AS unit_price,
          CAST(fl.l_quantity AS INT) AS quantity,
          CAST(fl.l_discount AS DECIMAL(5,2)) AS discount_rate
-  FROM orders o
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
+  FROM {T['orders']} o
+  JOIN {T['customer']} c ON c.c_custkey = o.o_custkey
+  JOIN {T['nation']} n ON n.n_nationkey = c.c_nationkey
   JOIN first_line fl ON fl.l_orderkey = o.o_orderkey
-  JOIN part p ON p.p_partkey = fl.l_partkey
+  JOIN {T['part']} p ON p.p_partkey = fl.l_partkey
 ),
 priced AS (
   SELECT *,
@@ -103,6 +109,7 @@ def events_raw_sql(dialect: str = "spark") -> str:
     t = _DIALECT[dialect]["text"]
     ev_ts = _add_hours(dialect, "o.o_orderdate", "(l.l_linenumber * 20 + l.l_partkey % 30)")
     pr_ts = _add_hours(dialect, "o.o_orderdate", "(72 + l.l_orderkey % 48)")
+    T = _tables(dialect, "lineitem", "orders", "customer", "nation")
     return f"""
 WITH ev AS (
   SELECT l.l_orderkey * 10 + l.l_linenumber AS event_id,
@@ -124,10 +131,10 @@ WITH ev AS (
          CASE WHEN l.l_partkey % 100 = 1 THEN 'INC-' || CAST(l.l_partkey % 6 AS {t}) END AS incident,
          CASE WHEN l.l_partkey % 30 = 2 THEN ' OBS  ' || CAST(l.l_partkey % 9 AS {t}) END AS note,
          CASE WHEN l.l_orderkey % 5000 = 3 AND l.l_linenumber = 1 THEN 'x' END AS unnamed_13
-  FROM lineitem l
-  JOIN orders o ON o.o_orderkey = l.l_orderkey
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
+  FROM {T['lineitem']} l
+  JOIN {T['orders']} o ON o.o_orderkey = l.l_orderkey
+  JOIN {T['customer']} c ON c.c_custkey = o.o_custkey
+  JOIN {T['nation']} n ON n.n_nationkey = c.c_nationkey
 )
 SELECT * FROM ev
 UNION ALL
@@ -135,33 +142,33 @@ SELECT * FROM ev WHERE event_id % 503 = 0
 """
 
 
-def coverage_sql() -> str:
+def coverage_sql(dialect: str = "duckdb") -> str:
     """Coverage list of the fixture = the 25 cleaned nation names."""
-    return "SELECT DISTINCT replace(n_name, '_', ' ') AS city FROM nation"
+    return f"SELECT DISTINCT replace(n_name, '_', ' ') AS city FROM {_tables(dialect, 'nation')['nation']}"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register_base_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
-    for name in tables:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+def _bind(spark: SparkSession, sf_dir: str, sql: str, names) -> DataFrame:
+    return spark.sql(sql, **{n: read_table(spark, sf_dir, n) for n in names})
 
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_base_tables(spark, sf_dir, ("orders", "customer", "nation", "lineitem", "part"))
-    return spark.sql(sales_raw_sql("spark"))
+    return _bind(spark, sf_dir, sales_raw_sql("spark"), ("orders", "customer", "nation", "lineitem", "part"))
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_base_tables(spark, sf_dir, ("orders", "customer", "nation", "lineitem"))
-    return spark.sql(events_raw_sql("spark"))
+    return _bind(spark, sf_dir, events_raw_sql("spark"), ("orders", "customer", "nation", "lineitem"))
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_base_tables(spark, sf_dir, ("nation",))
-    return spark.sql(coverage_sql())
+    return _bind(spark, sf_dir, coverage_sql("spark"), ("nation",))
 
 
 def duckdb_ctes() -> str:
     """``sales_raw``, ``events_raw`` and ``coverage`` as DuckDB CTE text (no leading WITH)."""
     return (f"sales_raw AS ({sales_raw_sql('duckdb')}),\n"
             f"events_raw AS ({events_raw_sql('duckdb')}),\n"
-            f"coverage AS ({coverage_sql()})")
+            f"coverage AS ({coverage_sql('duckdb')})")
