@@ -327,3 +327,112 @@ SELECT 'logistica' AS source, reject_reason, count(*) AS rows FROM e_rej GROUP B
     q["incident_summary"] = silver(select="SELECT level, kind, action, count(*) AS incidents FROM incidents "
                                           "GROUP BY level, kind, action")
     return q
+
+
+# ------------------------------------------------------------------ D (Gold)
+def _days(a: str, b: str) -> str:
+    return r2(f"date_diff('microsecond', {a}, {b}) / 86400000000.0")
+
+
+GOLD_CTES = [
+    """summary AS (
+  SELECT order_id, count(event_id) AS n_events, count(DISTINCT state) AS n_states,
+    arg_max(state, event_id) FILTER (WHERE state IS NOT NULL) AS final_state,
+    max(event_ts) AS last_event_ts,
+    arg_min(promised_ts, event_id) FILTER (WHERE promised_ts IS NOT NULL) AS promised_ts,
+    arg_min(center, event_id) FILTER (WHERE center IS NOT NULL) AS center,
+    arg_min(dest_city, event_id) FILTER (WHERE dest_city IS NOT NULL) AS dest_city,
+    arg_min(carrier, event_id) FILTER (WHERE carrier IS NOT NULL) AS carrier,
+    arg_min(tracking_no, event_id) FILTER (WHERE tracking_no IS NOT NULL) AS tracking_no,
+    arg_min(ship_cost, event_id) FILTER (WHERE ship_cost IS NOT NULL) AS ship_cost,
+    CAST(coalesce(sum(stage_hours), 0) AS DOUBLE) AS total_hours,
+    count(*) FILTER (WHERE incident <> 'Sin incidencia') AS n_incidents,
+    max(event_ts) FILTER (WHERE state = 'R') AS delivery_ts,
+    bool_or(state = 'R') AS has_delivered
+  FROM e_clean WHERE order_id IS NOT NULL GROUP BY order_id)""",
+    """summary_flags AS (
+  SELECT s.*, s.n_states = (SELECT count(DISTINCT state) FROM e_clean) AS trace_complete,
+         coalesce(s.tracking_no IN (SELECT tracking_no FROM shared_trk), false) AS tracking_shared
+  FROM summary s)""",
+    f"""g_orders AS (
+  SELECT v.*, f.n_events, f.n_states, f.final_state, f.last_event_ts, f.promised_ts, f.center, f.dest_city,
+    f.carrier, f.tracking_no, f.ship_cost, f.total_hours, f.n_incidents, f.delivery_ts,
+    f.trace_complete, f.tracking_shared,
+    {_days('f.promised_ts', 'f.delivery_ts')} AS delay_days,
+    {_days('f.promised_ts', 'f.delivery_ts')} > 0 AS late,
+    coalesce(f.has_delivered, false) AS delivered,
+    {_days('v.sale_ts', 'f.delivery_ts')} AS cycle_days,
+    {_days('v.sale_ts', 'f.promised_ts')} AS promised_days,
+    strftime(v.sale_ts, '%Y-%m') AS month
+  FROM s_clean v LEFT JOIN summary_flags f ON f.order_id = v.order_id)""",
+    "g_inc AS (SELECT *, coalesce(n_incidents > 0, false) AS with_incident FROM g_orders)",
+]
+
+
+def gold(*ctes: str, select: str) -> str:
+    return with_fixtures(*SILVER_CTES, *INCIDENT_CTES, *GOLD_CTES, *ctes, select=select)
+
+
+def _pct(flag: str) -> str:
+    return r2(f"avg(CAST({flag} AS DOUBLE)) * 100")
+
+
+def d_queries() -> dict[str, str]:
+    q = {}
+    sales_no_amounts = [c for c in SALES_COLS if c not in ("unit_price", "gross", "discount", "net")]
+    q["gold_events"] = gold(select=f"""
+SELECT {', '.join('v.' + c for c in sales_no_amounts)},
+       {', '.join('e.' + c for c in EV_COLS if c != 'order_id')}
+FROM s_clean v LEFT JOIN e_clean e ON e.order_id = v.order_id""")
+    q["order_summary"] = gold(select="SELECT * EXCLUDE (has_delivered) FROM summary")
+    q["order_flags"] = gold(select="SELECT order_id, tracking_no, n_states, trace_complete, tracking_shared "
+                                   "FROM summary_flags")
+    q["gold_orders"] = gold(select="SELECT * FROM g_orders")
+    q["delivery_delay"] = gold(select="SELECT order_id, promised_ts, delivery_ts, delay_days, late FROM g_orders")
+    q["delivery_indicators"] = gold(select="SELECT order_id, delivered, delivery_ts FROM g_orders")
+    q["cycle_days"] = gold(select="SELECT order_id, cycle_days, promised_days, month FROM g_orders")
+    q["kpi_monthly"] = gold(select=f"""
+SELECT month, count(order_id) AS orders, count(DISTINCT customer_id) AS customers,
+  CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(gross) AS DECIMAL(38,2)) AS gross,
+  CAST(sum(discount) AS DECIMAL(38,2)) AS discount, CAST(sum(net) AS DECIMAL(38,2)) AS net,
+  {r2('avg(net)')} AS avg_ticket, CAST(coalesce(sum(ship_cost), 0) AS BIGINT) AS ship_cost_total,
+  {_pct('late')} AS pct_late, {r2('avg(delay_days)')} AS avg_delay_days,
+  {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
+  {_pct('with_incident')} AS pct_orders_with_incident, {r2('avg(rating)')} AS avg_rating
+FROM g_inc WHERE month IS NOT NULL GROUP BY month""")
+    q["carrier_performance"] = gold(select=f"""
+SELECT carrier, count(order_id) AS orders, {_pct('late')} AS pct_late,
+  {r2('avg(delay_days) FILTER (WHERE late)')} AS avg_delay_late,
+  {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
+  {r2('quantile_cont(total_hours, 0.5)')} AS median_total_hours,
+  {r2('avg(ship_cost)')} AS avg_ship_cost, {_pct('with_incident')} AS pct_orders_with_incident,
+  {r2('avg(rating)')} AS avg_rating
+FROM g_inc WHERE carrier IS NOT NULL GROUP BY carrier""")
+    q["city_channel_sales"] = gold(select=f"""
+SELECT city, channel, count(order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+  CAST(sum(net) AS DECIMAL(38,2)) AS net, {r2('avg(net)')} AS avg_ticket, {_pct('late')} AS pct_late,
+  {r2('CAST(sum(net) AS DOUBLE) / (SELECT CAST(sum(net) AS DOUBLE) FROM g_orders) * 100')} AS pct_of_total_net
+FROM g_orders WHERE city IS NOT NULL AND channel IS NOT NULL GROUP BY city, channel""")
+    q["delivery_kpis"] = gold(select=f"""
+SELECT count(*) AS orders, count(late) AS dated_deliveries, count(*) FILTER (WHERE late) AS late_deliveries,
+  count(*) FILTER (WHERE delivery_ts IS NULL) AS undated,
+  count(*) FILTER (WHERE delivery_ts IS NULL AND NOT delivered) AS undated_no_delivered_event,
+  count(*) FILTER (WHERE delivery_ts IS NULL AND delivered) AS undated_delivered_event,
+  count(*) FILTER (WHERE delivered) AS delivered_orders,
+  {r2('avg(delay_days) FILTER (WHERE late)')} AS avg_delay_late,
+  max(delay_days) AS max_delay_days,
+  {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
+  {r2('quantile_cont(promised_days, 0.5)')} AS median_promised_days,
+  count(*) FILTER (WHERE NOT coalesce(trace_complete, false)) AS incomplete_traces,
+  count(*) FILTER (WHERE n_events IS NULL) AS orders_without_events
+FROM g_orders""")
+    q["late_rate_by_month"] = gold(select=f"""
+SELECT month, count(late) AS dated_deliveries, {_pct('late')} AS pct_late
+FROM g_orders WHERE month IS NOT NULL GROUP BY month""")
+    q["delay_distribution"] = gold(select=f"""
+SELECT count(delay_days) AS count, {r2('avg(delay_days)')} AS mean, {r2('stddev_samp(delay_days)')} AS std,
+  min(delay_days) AS min, {r2('quantile_cont(delay_days, 0.25)')} AS p25,
+  {r2('quantile_cont(delay_days, 0.5)')} AS median, {r2('quantile_cont(delay_days, 0.75)')} AS p75,
+  max(delay_days) AS max
+FROM g_orders""")
+    return q

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlake import oracle
 from orderlake.contract import FIXTURE_CONTRACT as CONTRACT
+from orderlake.operators import gold as G
 from orderlake.operators import questions as Q
 from orderlake.operators import silver as S
 from orderlake.sources import fixtures as FX
@@ -156,10 +157,43 @@ def c_queries() -> dict[str, QueryFn]:
     }
 
 
+def gold_parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Silver parts plus the order table, written once (every mart reads it)."""
+    p = silver_parts(spark, d)
+    p["g_orders"] = materialized(spark, "gold_orders", _inputs(d),
+                                 lambda: G.gold_orders(p["s_clean"], p["e_clean"], CONTRACT))
+    return p
+
+
+def _gd(fn):
+    return lambda spark, d: fn(gold_parts(spark, d))
+
+
+def d_queries() -> dict[str, QueryFn]:
+    return {
+        "gold_events": _sv(lambda p: G.gold_events(p["s_clean"], p["e_clean"])),
+        "order_summary": _sv(lambda p: G.order_summary(p["e_clean"], CONTRACT).drop("has_delivered")),
+        "order_flags": _sv(lambda p: G.order_flags(G.order_summary(p["e_clean"], CONTRACT), p["e_clean"])
+                           .select("order_id", "tracking_no", "n_states", "trace_complete", "tracking_shared")),
+        "gold_orders": _gd(lambda p: p["g_orders"]),
+        "delivery_delay": _gd(lambda p: p["g_orders"].select("order_id", "promised_ts", "delivery_ts",
+                                                              "delay_days", "late")),
+        "delivery_indicators": _gd(lambda p: p["g_orders"].select("order_id", "delivered", "delivery_ts")),
+        "cycle_days": _gd(lambda p: p["g_orders"].select("order_id", "cycle_days", "promised_days", "month")),
+        "kpi_monthly": _gd(lambda p: G.kpi_monthly(p["g_orders"])),
+        "carrier_performance": _gd(lambda p: G.carrier_performance(p["g_orders"])),
+        "city_channel_sales": _gd(lambda p: G.city_channel_sales(p["g_orders"])),
+        "delivery_kpis": _gd(lambda p: G.delivery_kpis(p["g_orders"])),
+        "late_rate_by_month": _gd(lambda p: G.late_rate_by_month(p["g_orders"])),
+        "delay_distribution": _gd(lambda p: G.delay_distribution(p["g_orders"])),
+    }
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
     out.update(c_queries())
+    out.update(d_queries())
     return out
 
 
@@ -167,4 +201,5 @@ def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.f_queries())
     out.update(oracle.c_queries())
+    out.update(oracle.d_queries())
     return out
