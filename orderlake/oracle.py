@@ -436,3 +436,111 @@ SELECT count(delay_days) AS count, {r2('avg(delay_days)')} AS mean, {r2('stddev_
   max(delay_days) AS max
 FROM g_orders""")
     return q
+
+
+# ------------------------------------------------------------------ E (rules)
+def _dups(c: str) -> str:
+    return f"(count(*) - count(DISTINCT {c}) - CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END)"
+
+
+MART_CTES = [
+    "m_month AS (SELECT month, count(order_id) AS orders, sum(net) AS net FROM g_orders "
+    "WHERE month IS NOT NULL GROUP BY month)",
+    "m_carrier AS (SELECT carrier, count(order_id) AS orders FROM g_orders WHERE carrier IS NOT NULL GROUP BY carrier)",
+    "m_cc AS (SELECT city, channel, count(order_id) AS orders, sum(net) AS net FROM g_orders "
+    "WHERE city IS NOT NULL AND channel IS NOT NULL GROUP BY city, channel)",
+    "g_events AS (SELECT v.order_id, e.event_id FROM s_clean v LEFT JOIN e_clean e ON e.order_id = v.order_id)",
+]
+
+
+def _rule(layer, rid, text, viol, ok=None) -> str:
+    ok = ok or f"({viol}) = 0"
+    return (f"SELECT '{layer}' AS layer, '{rid}' AS rule_id, '{text}' AS rule, "
+            f"CAST({viol} AS BIGINT) AS violations, {ok} AS passed")
+
+
+def e_queries() -> dict[str, str]:
+    q = {}
+    share_s = "((SELECT count(*) FROM s_rej) * 100.0 / (SELECT count(*) FROM sales_raw))"
+    share_e = "((SELECT count(*) FROM e_rej) * 100.0 / (SELECT count(*) FROM events_raw))"
+    oc_s = ("(SELECT count(*) FROM (SELECT DISTINCT city FROM s_clean WHERE city IS NOT NULL) x "
+            "WHERE city NOT IN (SELECT city FROM coverage))")
+    oc_e = ("(SELECT count(*) FROM (SELECT DISTINCT dest_city FROM e_clean WHERE dest_city IS NOT NULL) x "
+            "WHERE dest_city NOT IN (SELECT city FROM coverage))")
+    ident = f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM e_clean GROUP BY {', '.join(EV_COLS)}))"
+    orphans = ("(SELECT count(*) FROM e_clean e WHERE NOT EXISTS "
+               "(SELECT 1 FROM s_clean s WHERE s.order_id = e.order_id))")
+    tr = f"coalesce(state IN {TRANSPORT}, false)"
+    sil = [
+        _rule("silver_sales", "R1", "sale_id unique", f"(SELECT {_dups('sale_id')} FROM s_clean)"),
+        _rule("silver_sales", "R2", "order_id unique", f"(SELECT {_dups('order_id')} FROM s_clean)"),
+        _rule("silver_sales", "R3", "sale_ts is a timestamp without nulls",
+              "(SELECT count(*) FILTER (WHERE sale_ts IS NULL) FROM s_clean)"),
+        _rule("silver_sales", "R4", "rating between 1 and 5 (or null)",
+              "(SELECT count(*) FILTER (WHERE rating IS NOT NULL AND NOT coalesce(rating BETWEEN 1 AND 5, false)) "
+              "FROM s_clean)"),
+        _rule("silver_sales", "R5", "amounts not negative",
+              "(SELECT count(*) FILTER (WHERE unit_price < 0) + count(*) FILTER (WHERE gross < 0) + "
+              "count(*) FILTER (WHERE discount < 0) + count(*) FILTER (WHERE net < 0) FROM s_clean)"),
+        _rule("silver_sales", "R6", "cities inside coverage", oc_s),
+        _rule("silver_events", "R7", "event_id unique", f"(SELECT {_dups('event_id')} FROM e_clean)"),
+        _rule("silver_events", "R8", "no identical rows", ident),
+        _rule("silver_events", "R9", "no residual columns", "0"),
+        _rule("silver_events", "R10", "date columns are timestamps", "0"),
+        _rule("silver_events", "R11", "center without nulls",
+              "(SELECT count(*) FILTER (WHERE center IS NULL) FROM e_clean)"),
+        _rule("silver_events", "R12", "dest_city without nulls",
+              "(SELECT count(*) FILTER (WHERE dest_city IS NULL) FROM e_clean)"),
+        _rule("silver_events", "R13", "promised_ts without nulls",
+              "(SELECT count(*) FILTER (WHERE promised_ts IS NULL) FROM e_clean)"),
+        _rule("silver_events", "R14", "carrier present in transport states",
+              f"(SELECT count(*) FILTER (WHERE {tr} AND carrier IS NULL) FROM e_clean)"),
+        _rule("silver_events", "R15", "carrier absent before dispatch",
+              f"(SELECT count(*) FILTER (WHERE NOT {tr} AND carrier IS NOT NULL) FROM e_clean)"),
+        _rule("silver_events", "R16", "tracking_no present in transport states",
+              f"(SELECT count(*) FILTER (WHERE {tr} AND tracking_no IS NULL) FROM e_clean)"),
+        _rule("silver_events", "R17", "tracking_no absent before dispatch",
+              f"(SELECT count(*) FILTER (WHERE NOT {tr} AND tracking_no IS NOT NULL) FROM e_clean)"),
+        _rule("silver_events", "R18", "destination cities inside coverage", oc_e),
+        _rule("silver_events", "R19", "every event order exists in sales", orphans),
+        _rule("silver_events", "R20", "sales quarantine share within limit", "(SELECT count(*) FROM s_rej)",
+              f"{share_s} <= 5.0"),
+        _rule("silver_events", "R21", "events quarantine share within limit", "(SELECT count(*) FROM e_rej)",
+              f"{share_e} <= 5.0"),
+    ]
+    sil = [x.replace("'silver_events' AS layer, 'R20'", "'silver_events' AS layer, 'R20'") for x in sil]
+    q["silver_rules"] = gold(select="\nUNION ALL\n".join(sil))
+    n_g = "(SELECT count(*) FROM g_orders)"
+    net_g = "(SELECT coalesce(sum(net), 0) FROM g_orders)"
+    gl = [
+        _rule("gold", "R22", "one row per Silver sale", f"abs({n_g} - (SELECT count(*) FROM s_clean))"),
+        _rule("gold", "R23", "order_id unique", f"(SELECT {_dups('order_id')} FROM g_orders)"),
+        _rule("gold", "R24", "net equals Silver net",
+              f"CASE WHEN abs({net_g} - (SELECT coalesce(sum(net), 0) FROM s_clean)) >= 1 THEN 1 ELSE 0 END"),
+        _rule("gold", "R25", "every order has an event summary",
+              "(SELECT count(*) FILTER (WHERE n_events IS NULL) FROM g_orders)"),
+        _rule("gold", "R26", "ship_cost without nulls",
+              "(SELECT count(*) FILTER (WHERE ship_cost IS NULL) FROM g_orders)"),
+        _rule("gold", "R27", "one row per Silver event",
+              "abs((SELECT count(*) FROM g_events) - (SELECT count(*) FROM e_clean))"),
+        _rule("gold", "R28", "no sale amounts in the event table", "0"),
+    ]
+    marts = [
+        _rule("gold", "R29", "kpi_monthly: orders reconcile", f"abs((SELECT coalesce(sum(orders), 0) FROM m_month) - {n_g})"),
+        _rule("gold", "R30", "kpi_monthly: net reconciles",
+              f"CASE WHEN abs((SELECT coalesce(sum(net), 0) FROM m_month) - {net_g}) >= 1 THEN 1 ELSE 0 END"),
+        _rule("gold", "R31", "carrier_performance: orders reconcile",
+              f"abs((SELECT coalesce(sum(orders), 0) FROM m_carrier) - {n_g})"),
+        _rule("gold", "R32", "city_channel_sales: orders reconcile",
+              f"abs((SELECT coalesce(sum(orders), 0) FROM m_cc) - {n_g})"),
+        _rule("gold", "R33", "city_channel_sales: net reconciles",
+              f"CASE WHEN abs((SELECT coalesce(sum(net), 0) FROM m_cc) - {net_g}) >= 1 THEN 1 ELSE 0 END"),
+    ]
+    q["gold_rules"] = gold(*MART_CTES, select="\nUNION ALL\n".join(gl + marts))
+    q["reconcile_marts"] = gold(*MART_CTES, select="\nUNION ALL\n".join(marts))
+    q["quarantine_share"] = gold(select=f"""
+SELECT 'ventas' AS source, (SELECT count(*) FROM s_rej) AS rejected, (SELECT count(*) FROM sales_raw) AS raw_rows,
+       {r2(share_s)} AS pct, {share_s} <= 5.0 AS passed
+UNION ALL
+SELECT 'logistica', (SELECT count(*) FROM e_rej), (SELECT count(*) FROM events_raw), {r2(share_e)}, {share_e} <= 5.0""")
+    return q

@@ -11,6 +11,7 @@ from orderlake import oracle
 from orderlake.contract import FIXTURE_CONTRACT as CONTRACT
 from orderlake.operators import gold as G
 from orderlake.operators import questions as Q
+from orderlake.operators import rules as E
 from orderlake.operators import silver as S
 from orderlake.sources import fixtures as FX
 from orderlake.sources.landing import materialized
@@ -73,38 +74,58 @@ def f_queries() -> dict[str, QueryFn]:
     }
 
 
-def silver_parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+class _Lazy(dict):
+    """Dict of named DataFrames built on first access (a query builds only what it reads)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._b = builders
+
+    def __missing__(self, k):
+        v = self._b[k](self)
+        self[k] = v
+        return v
+
+
+def silver_parts(spark: SparkSession, d: str) -> _Lazy:
     """The Silver artefacts of the fixture binding.
 
     The row-rule frames (sales and recovered events with their reasons) are
     written once and re-read, so every Silver/Gold query scans them instead of
     recomputing Bronze -> Silver.
     """
-    sales, events, cov = bronze_sales(spark, d), bronze_events(spark, d), FX.coverage(spark, d)
     inputs = _inputs(d)
-    s_flagged = materialized(spark, "silver_sales_flagged", inputs, lambda: S.flag_sales(sales, CONTRACT, cov))
-    s_clean, s_rej = S.split_quarantine(s_flagged)
-    s_inc = S.rejected_incidents(s_rej, S.SRC_SALES, S.LVL_SALE, "sale_id")
+    cols = list(S.SILVER_EVENT_COLS)
 
-    def build_events():
-        prep = S.prepare_events(events, CONTRACT)
-        return S.flag_events(S.recover_and_fill(prep["typed"], CONTRACT), s_clean, CONTRACT, cov)
+    def build_events(p):
+        prep = S.prepare_events(p["events_raw"], CONTRACT)
+        return S.flag_events(S.recover_and_fill(prep["typed"], CONTRACT), p["s_clean"], CONTRACT, p["coverage"])
 
-    def build_prep_incidents():
-        prep = S.prepare_events(events, CONTRACT)
+    def build_prep_incidents(p):
+        prep = S.prepare_events(p["events_raw"], CONTRACT)
         return prep["dup_inc"].unionByName(prep["res_inc"]).unionByName(prep["conf_inc"])
 
-    e_flagged = materialized(spark, "silver_events_flagged", inputs, build_events)
-    prep_inc = materialized(spark, "silver_incidents_prep", inputs, build_prep_incidents)
-    cols = list(S.SILVER_EVENT_COLS)
-    e_clean = e_flagged.where(F.col("reject_reason") == "").select(*cols)
-    e_rej = e_flagged.where(F.col("reject_reason") != "").select(*cols, "reject_reason")
-    e_inc = (prep_inc.unionByName(S.event_level_incidents(e_flagged))
-             .unionByName(S.rejected_incidents(e_rej, S.SRC_EVENTS, S.LVL_EVENT, "event_id"))
-             .unionByName(S.order_level_incidents(e_clean, CONTRACT)))
-    return {"sales_raw": sales, "events_raw": events, "coverage": cov, "s_flagged": s_flagged,
-            "s_clean": s_clean, "s_rej": s_rej, "s_inc": s_inc, "e_clean": e_clean, "e_rej": e_rej,
-            "e_inc": e_inc, "e_rec": e_flagged, "incidents": s_inc.unionByName(e_inc)}
+    b = {
+        "sales_raw": lambda p: bronze_sales(spark, d),
+        "events_raw": lambda p: bronze_events(spark, d),
+        "coverage": lambda p: FX.coverage(spark, d),
+        "s_flagged": lambda p: materialized(spark, "silver_sales_flagged", inputs,
+                                            lambda: S.flag_sales(p["sales_raw"], CONTRACT, p["coverage"])),
+        "s_clean": lambda p: S.split_quarantine(p["s_flagged"])[0],
+        "s_rej": lambda p: S.split_quarantine(p["s_flagged"])[1],
+        "s_inc": lambda p: S.rejected_incidents(p["s_rej"], S.SRC_SALES, S.LVL_SALE, "sale_id"),
+        "e_rec": lambda p: materialized(spark, "silver_events_flagged", inputs, lambda: build_events(p)),
+        "prep_inc": lambda p: materialized(spark, "silver_incidents_prep", inputs, lambda: build_prep_incidents(p)),
+        "e_clean": lambda p: p["e_rec"].where(F.col("reject_reason") == "").select(*cols),
+        "e_rej": lambda p: p["e_rec"].where(F.col("reject_reason") != "").select(*cols, "reject_reason"),
+        "e_inc": lambda p: (p["prep_inc"].unionByName(S.event_level_incidents(p["e_rec"]))
+                            .unionByName(S.rejected_incidents(p["e_rej"], S.SRC_EVENTS, S.LVL_EVENT, "event_id"))
+                            .unionByName(S.order_level_incidents(p["e_clean"], CONTRACT))),
+        "incidents": lambda p: p["s_inc"].unionByName(p["e_inc"]),
+        "g_orders": lambda p: materialized(spark, "gold_orders", inputs,
+                                           lambda: G.gold_orders(p["s_clean"], p["e_clean"], CONTRACT)),
+    }
+    return _Lazy(b)
 
 
 def _sv(fn):
@@ -157,12 +178,7 @@ def c_queries() -> dict[str, QueryFn]:
     }
 
 
-def gold_parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Silver parts plus the order table, written once (every mart reads it)."""
-    p = silver_parts(spark, d)
-    p["g_orders"] = materialized(spark, "gold_orders", _inputs(d),
-                                 lambda: G.gold_orders(p["s_clean"], p["e_clean"], CONTRACT))
-    return p
+gold_parts = silver_parts
 
 
 def _gd(fn):
@@ -189,11 +205,42 @@ def d_queries() -> dict[str, QueryFn]:
     }
 
 
+def _count(df: DataFrame):
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
+def _marts(p) -> dict[str, DataFrame]:
+    return {"kpi_monthly": G.kpi_monthly(p["g_orders"]),
+            "carrier_performance": G.carrier_performance(p["g_orders"]),
+            "city_channel_sales": G.city_channel_sales(p["g_orders"])}
+
+
+def e_queries() -> dict[str, QueryFn]:
+    def silver_rules(p):
+        return E.silver_rules(p["s_clean"], p["e_clean"], CONTRACT, _count(p["sales_raw"]), _count(p["s_rej"]),
+                              _count(p["events_raw"]), _count(p["e_rej"]), p["coverage"])
+
+    def gold_rules(p):
+        return E.gold_rules(p["s_clean"], p["e_clean"], G.gold_events(p["s_clean"], p["e_clean"]),
+                            p["g_orders"], _marts(p))
+
+    def share(p):
+        return E.quarantine_share(_count(p["sales_raw"]), _count(p["s_rej"]), _count(p["events_raw"]),
+                                  _count(p["e_rej"]), p["sales_raw"].agg(F.count(F.lit(1))), CONTRACT)
+    return {
+        "silver_rules": _sv(silver_rules),
+        "gold_rules": _gd(gold_rules),
+        "reconcile_marts": _gd(lambda p: gold_rules(p).where(F.col("rule").contains("reconcile"))),
+        "quarantine_share": _sv(share),
+    }
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
     out.update(c_queries())
     out.update(d_queries())
+    out.update(e_queries())
     return out
 
 
@@ -202,4 +249,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.f_queries())
     out.update(oracle.c_queries())
     out.update(oracle.d_queries())
+    out.update(oracle.e_queries())
     return out
