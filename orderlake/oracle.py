@@ -544,3 +544,259 @@ SELECT 'ventas' AS source, (SELECT count(*) FROM s_rej) AS rejected, (SELECT cou
 UNION ALL
 SELECT 'logistica', (SELECT count(*) FROM e_rej), (SELECT count(*) FROM events_raw), {r2(share_e)}, {share_e} <= 5.0""")
     return q
+
+
+# ------------------------------------------------------------------ B (profiling / checks)
+RAW_TYPES = {
+    "sales": [("sale_id", "bigint"), ("order_id", "bigint"), ("sale_ts", "timestamp_ntz"),
+              ("customer_id", "bigint"), ("city", "string"), ("channel", "string"), ("store_id", "string"),
+              ("category", "string"), ("product", "string"), ("pay_method", "string"), ("quantity", "int"),
+              ("unit_price", "decimal(18,2)"), ("discount_rate", "decimal(5,2)"), ("gross", "decimal(18,2)"),
+              ("discount", "decimal(18,2)"), ("net", "decimal(18,2)"), ("rating", "int")],
+    "events": [("event_id", "bigint"), ("order_id", "bigint"), ("event_ts_txt", "string"), ("state", "string"),
+               ("center", "string"), ("dest_city", "string"), ("carrier", "string"), ("tracking_no", "string"),
+               ("promised_ts_txt", "string"), ("stage_hours", "double"), ("ship_cost", "int"),
+               ("incident", "string"), ("note", "string"), ("unnamed_13", "string")],
+}
+RAW_VIEW = {"sales": "sales_raw", "events": "events_raw"}
+
+
+def _role(name: str, dtype: str) -> str:
+    from orderlake.operators.profile import classify
+    return classify(name, dtype)
+
+
+def _cols_role(tbl: str, *wanted: str) -> list[str]:
+    return [c for c, t in RAW_TYPES[tbl] if _role(c, t) in wanted]
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def b_queries() -> dict[str, str]:
+    q = {}
+    parts = []
+    for tbl, view in RAW_VIEW.items():
+        for c in _cols_role(tbl, "date"):
+            x = c if dict(RAW_TYPES[tbl])[c].startswith("timestamp") else f"try_cast({c} AS TIMESTAMP)"
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, min({x}) AS min_ts, max({x}) AS max_ts FROM {view}")
+    q["profile_date_range"] = with_fixtures(select=_union(parts))
+    parts = []
+    for tbl, view in RAW_VIEW.items():
+        for c, t in RAW_TYPES[tbl]:
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, '{t}' AS type, count({c}) AS non_null, "
+                         f"count(*) - count({c}) AS nulls, {r2(f'(count(*) - count({c})) * 100.0 / count(*)')} "
+                         f"AS pct_null, '{_role(c, t)}' AS role FROM {view}")
+    q["profile_structure"] = with_fixtures(select=_union(parts))
+    q["profile_nulls"] = with_fixtures(select=f'SELECT tbl, "column", nulls, pct_null FROM ({_union(parts)}) x')
+    parts = []
+    for tbl, view in RAW_VIEW.items():
+        for c, t in RAW_TYPES[tbl]:
+            role = _role(c, t)
+            d, nn = f"count(DISTINCT CAST({c} AS VARCHAR))", f"count({c})"
+            if role == "identifier":
+                verdict = (f"CASE WHEN {d} = {nn} THEN 'unique identifier' WHEN {d} >= {nn} * 0.4 THEN "
+                           "'identifier with repeats (high cardinality)' ELSE 'repeating key' END")
+            elif role in ("categorical", "ordinal"):
+                verdict = (f"CASE WHEN {d} <= 10 THEN 'low cardinality' WHEN {d} <= 50 THEN 'medium cardinality' "
+                           "ELSE 'high cardinality' END")
+            elif role == "residual":
+                verdict = "'no useful information'"
+            elif role == "date":
+                verdict = f"CASE WHEN {d} > {nn} * 0.5 THEN 'date (almost unique per row)' ELSE 'repeating date' END"
+            else:
+                verdict = f"CASE WHEN {d} <= 12 THEN 'discrete numeric' ELSE 'continuous numeric' END"
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, '{role}' AS role, {d} AS distinct, "
+                         f"{nn} AS non_null, {r2(f'{d} * 100.0 / count(*)')} AS pct_of_rows, "
+                         f"{r2(f'CAST({nn} AS DOUBLE) / nullif({d}, 0)', 1)} AS rows_per_value, "
+                         f"{verdict} AS verdict FROM {view}")
+    q["profile_cardinality"] = with_fixtures(select=_union(parts))
+
+    def num(tbl, view, cols):
+        out = []
+        for c in cols:
+            x = f"CAST({c} AS DOUBLE)"
+            out.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, count({x}) AS count, {r2(f'avg({x})')} AS mean, "
+                       f"{r2(f'stddev_samp({x})')} AS std, min({x}) AS min, "
+                       f"{r2(f'quantile_cont({x}, 0.25)')} AS p25, {r2(f'quantile_cont({x}, 0.5)')} AS median, "
+                       f"{r2(f'quantile_cont({x}, 0.75)')} AS p75, max({x}) AS max FROM {view}")
+        return out
+    q["profile_numeric_summary"] = with_fixtures(select=_union(
+        num("sales", "sales_raw", _cols_role("sales", "numeric", "duration"))
+        + num("events", "events_raw", _cols_role("events", "numeric", "duration"))))
+    q["profile_once_per_order"] = with_fixtures(ORDER_FIRST, select=_union(num("orders", "order_first",
+                                                                               ["ship_cost"])))
+    parts = []
+    for tbl, view in RAW_VIEW.items():
+        for c in _cols_role(tbl, "categorical", "ordinal"):
+            f = f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {view} WHERE {c} IS NOT NULL GROUP BY 1)"
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, count(*) AS distinct, "
+                         f"arg_min(v, {{'a': -n, 'b': v}}) AS top_value, max(n) AS top_freq, "
+                         f"{r2('max(n) * 100.0 / sum(n)')} AS top_pct, "
+                         f"array_to_string(list(v ORDER BY n DESC, v)[1:20], ', ') AS values_by_freq FROM {f} x")
+    q["profile_categorical_summary"] = with_fixtures(select=_union(parts))
+    for name, col, view in (("freq_channel", "channel", "sales_raw"), ("freq_state", "state", "events_raw"),
+                            ("freq_quantity", "quantity", "sales_raw")):
+        q[name] = with_fixtures(select=f"""
+SELECT {col} AS value, count(*) AS count, {r2(f'count(*) * 100.0 / (SELECT count(*) FROM {view})')} AS share_pct
+FROM {view} WHERE {col} IS NOT NULL GROUP BY {col}""")
+    q["profile_conditional_nulls"] = with_fixtures(select=f"""
+SELECT 'store_id null by physical channel' AS "check",
+  count(*) FILTER (WHERE channel = 'BUILDING' AND store_id IS NULL) AS nulls_inside,
+  count(*) FILTER (WHERE channel = 'BUILDING') AS rows_inside,
+  count(*) FILTER (WHERE NOT coalesce(channel = 'BUILDING', false) AND store_id IS NULL) AS nulls_outside,
+  count(*) FILTER (WHERE NOT coalesce(channel = 'BUILDING', false)) AS rows_outside,
+  CASE WHEN count(*) FILTER (WHERE channel = 'BUILDING' AND store_id IS NULL) = 0 THEN 'normal' ELSE 'problem' END
+    AS verdict
+FROM sales_raw
+UNION ALL
+SELECT 'carrier null before dispatch / in transport',
+  count(*) FILTER (WHERE NOT coalesce(state IN {TRANSPORT}, false) AND carrier IS NULL),
+  count(*) FILTER (WHERE NOT coalesce(state IN {TRANSPORT}, false)),
+  count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false) AND carrier IS NULL),
+  count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false)),
+  CASE WHEN count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false) AND carrier IS NULL) = 0
+       THEN 'normal' ELSE 'problem' END
+FROM events_raw
+UNION ALL
+SELECT 'tracking_no null before dispatch / in transport',
+  count(*) FILTER (WHERE NOT coalesce(state IN {TRANSPORT}, false) AND tracking_no IS NULL),
+  count(*) FILTER (WHERE NOT coalesce(state IN {TRANSPORT}, false)),
+  count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false) AND tracking_no IS NULL),
+  count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false)),
+  CASE WHEN count(*) FILTER (WHERE coalesce(state IN {TRANSPORT}, false) AND tracking_no IS NULL) = 0
+       THEN 'normal' ELSE 'problem' END
+FROM events_raw
+UNION ALL
+SELECT 'note present without incident', count(*) FILTER (WHERE note IS NOT NULL AND incident IS NULL),
+  count(note), 0, 0, 'normal'
+FROM events_raw""")
+    q["profile_nulls_by_state"] = with_fixtures(select="""
+SELECT state, count(*) AS nulls FROM events_raw WHERE stage_hours IS NULL GROUP BY state""")
+    q["check_amount_identities"] = with_fixtures(select=f"""
+SELECT count(*) AS rows,
+  count(*) FILTER (WHERE coalesce(abs(unit_price * quantity - gross) > 1, false)) AS gross_broken,
+  count(*) FILTER (WHERE coalesce(abs(gross * discount_rate - discount) > 1, false)) AS discount_broken,
+  count(*) FILTER (WHERE coalesce(abs(gross - discount - net) > 1, false)) AS net_broken,
+  {r2('''avg(CASE WHEN coalesce(abs(unit_price * quantity - gross) > 1, false)
+              OR coalesce(abs(gross * discount_rate - discount) > 1, false)
+              OR coalesce(abs(gross - discount - net) > 1, false) THEN 0.0 ELSE 1.0 END) * 100''')} AS pct_all_hold
+FROM sales_raw""")
+
+    def negs(tbl, view):
+        cols = [c for c, t in RAW_TYPES[tbl] if _role("x", t) == "numeric"]
+        return "(SELECT " + " + ".join(f"count(*) FILTER (WHERE {c} < 0)" for c in cols) + f" FROM {view})"
+    q["check_negatives"] = with_fixtures(select=f"""
+SELECT {negs('sales', 'sales_raw')} AS sales_negative_cells, {negs('events', 'events_raw')} AS events_negative_cells,
+       {negs('sales', 'sales_raw')} + {negs('events', 'events_raw')} AS negative_cells""")
+    q["check_referential"] = with_fixtures(select="""
+SELECT (SELECT count(*) FROM sales_raw s WHERE NOT EXISTS (SELECT 1 FROM events_raw e WHERE e.order_id = s.order_id))
+         AS sales_without_events,
+       (SELECT count(*) FROM (SELECT DISTINCT order_id FROM events_raw) e
+        WHERE NOT EXISTS (SELECT 1 FROM sales_raw s WHERE s.order_id = e.order_id)) AS event_orders_without_sale""")
+    q["check_city_mismatch"] = with_fixtures(ORDER_FIRST, select="""
+SELECT count(*) FILTER (WHERE c.city IS DISTINCT FROM f.dest_city) AS orders_with_other_city
+FROM order_first f LEFT JOIN (SELECT order_id, min(city) AS city FROM sales_raw GROUP BY order_id) c
+  ON c.order_id = f.order_id
+WHERE f.dest_city IS NOT NULL""")
+    q["check_events_per_order"] = with_fixtures(select="""
+SELECT min(n) AS min_events, max(n) AS max_events,
+       (SELECT n FROM (SELECT n, count(*) AS k FROM per GROUP BY n) ORDER BY k DESC, n LIMIT 1) AS mode_events
+FROM per""").replace("WITH ", "WITH per AS (SELECT order_id, count(*) AS n FROM events_raw GROUP BY order_id),\n", 1) \
+        if False else with_fixtures("per AS (SELECT order_id, count(*) AS n FROM events_raw GROUP BY order_id)",
+                                    select="""
+SELECT min(n) AS min_events, max(n) AS max_events,
+       (SELECT n FROM (SELECT n, count(*) AS k FROM per GROUP BY n) ORDER BY k DESC, n LIMIT 1) AS mode_events
+FROM per""")
+    q["check_incomplete_trace"] = with_fixtures("""per AS (
+  SELECT order_id, count(DISTINCT state) AS n FROM events_raw GROUP BY order_id)""", select="""
+SELECT count(*) FILTER (WHERE n < (SELECT count(DISTINCT state) FROM events_raw)) AS incomplete_orders,
+       count(*) AS orders FROM per""")
+    q["check_constant_in_group"] = with_fixtures("""per AS (
+  SELECT order_id, min(ship_cost) AS lo, max(ship_cost) AS hi FROM events_raw GROUP BY order_id)""", select="""
+SELECT count(*) FILTER (WHERE lo = hi) AS constant_orders, count(*) AS orders FROM per""")
+    q["check_shared_tracking"] = with_fixtures(select="""
+SELECT tracking_no, count(DISTINCT order_id) AS orders FROM events_raw WHERE tracking_no IS NOT NULL
+GROUP BY tracking_no HAVING count(DISTINCT order_id) > 1""")
+    q["check_unparseable_dates"] = with_fixtures(select="""
+SELECT count(*) FILTER (WHERE event_ts_txt IS NOT NULL AND try_cast(event_ts_txt AS TIMESTAMP) IS NULL)
+         AS event_ts_txt_unparseable,
+       count(*) FILTER (WHERE promised_ts_txt IS NOT NULL AND try_cast(promised_ts_txt AS TIMESTAMP) IS NULL)
+         AS promised_ts_txt_unparseable
+FROM events_raw""")
+    q["check_residual_columns"] = with_fixtures(select="""
+SELECT 'unnamed_13' AS column, count(DISTINCT unnamed_13) AS distinct_values,
+       array_to_string(list(DISTINCT unnamed_13 ORDER BY unnamed_13)[1:20], ', ') AS values
+FROM events_raw WHERE unnamed_13 IS NOT NULL""")
+    timeline = """timeline AS (
+  SELECT e.order_id, e.event_id, e.state, e.event_ts_txt, try_cast(e.event_ts_txt AS TIMESTAMP) AS event_ts,
+         try_cast(e.promised_ts_txt AS TIMESTAMP) AS promised_ts, s.sale_ts
+  FROM events_raw e LEFT JOIN sales_raw s ON s.order_id = e.order_id)"""
+    q["check_event_before_sale"] = with_fixtures(timeline, select="""
+SELECT count(*) FILTER (WHERE event_ts < sale_ts) AS events_before_sale FROM timeline""")
+    q["check_promise_before_sale"] = with_fixtures(timeline, select="""
+SELECT count(*) FILTER (WHERE promised_ts <= sale_ts) AS orders_promise_before_sale FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY event_id NULLS FIRST, state NULLS FIRST,
+    event_ts_txt NULLS FIRST, promised_ts NULLS FIRST, sale_ts NULLS FIRST) AS rn FROM timeline) WHERE rn = 1""")
+    q["check_out_of_order"] = with_fixtures(select="""
+SELECT count(DISTINCT order_id) AS orders_out_of_order FROM (
+  SELECT order_id, ts, lag(ts) OVER (PARTITION BY order_id ORDER BY event_id, ts) AS prev
+  FROM (SELECT order_id, event_id, try_cast(event_ts_txt AS TIMESTAMP) AS ts FROM events_raw) x
+  WHERE ts IS NOT NULL) y WHERE ts < prev""")
+    q["first_state_distribution"] = with_fixtures("""fs AS (
+  SELECT order_id, arg_min(state, {'e': event_id, 'v': state}) FILTER (WHERE state IS NOT NULL) AS first_state
+  FROM events_raw GROUP BY order_id)""", select="""
+SELECT first_state, count(*) AS orders FROM fs WHERE first_state IS NOT NULL GROUP BY first_state""")
+    parts = []
+    for tbl, view, cols in (("sales", "sales_raw", ("city", "channel", "category", "product", "pay_method")),
+                            ("events", "events_raw", ("state", "center", "dest_city", "carrier", "incident", "note"))):
+        for c in cols:
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, "
+                         f"count(*) FILTER (WHERE {_clean(c)} <> {c}) AS changed_cells, "
+                         f"count(DISTINCT {c}) AS distinct_raw, count(DISTINCT lower({_clean(c)})) AS distinct_clean_lower, "
+                         f"count(DISTINCT lower({_clean(c)})) < count(DISTINCT {c}) AS has_variants "
+                         f"FROM {view} WHERE {c} IS NOT NULL")
+    q["standardize_impact"] = with_fixtures(select=_union(parts))
+    diff_cols = [c for c, _ in RAW_TYPES["events"] if c != "event_id"]
+    q["conflict_diff_columns"] = with_fixtures(
+        "d AS (SELECT DISTINCT * FROM events_raw)",
+        "c AS (SELECT * FROM d WHERE event_id IN (SELECT event_id FROM d GROUP BY event_id HAVING count(*) > 1))",
+        "long AS (" + _union([f"SELECT event_id, '{c}' AS column, count(DISTINCT coalesce(CAST({c} AS VARCHAR), "
+                              f"chr(0))) AS nd FROM c GROUP BY event_id" for c in diff_cols]) + ")",
+        select="SELECT event_id, string_agg(\"column\", ', ' ORDER BY \"column\") AS columns FROM long WHERE nd > 1 "
+               "GROUP BY event_id")
+    q["histogram_net"] = with_fixtures(
+        "b AS (SELECT min(CAST(net AS DOUBLE)) AS lo, max(CAST(net AS DOUBLE)) AS hi FROM sales_raw)",
+        select=f"""
+SELECT CAST(least(floor((CAST(net AS DOUBLE) - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin, count(*) AS count,
+  {r2('lo + least(floor((CAST(net AS DOUBLE) - lo) / (hi - lo) * 20), 19) * (hi - lo) / 20')} AS lower,
+  {r2('lo + (least(floor((CAST(net AS DOUBLE) - lo) / (hi - lo) * 20), 19) + 1) * (hi - lo) / 20')} AS upper
+FROM sales_raw, b WHERE net IS NOT NULL GROUP BY ALL""")
+    q["boxplot_stage_hours"] = with_fixtures(
+        "qq AS (SELECT quantile_cont(stage_hours, 0.25) AS q1, quantile_cont(stage_hours, 0.75) AS q3 FROM events_raw)",
+        select=f"""
+SELECT {r2('quantile_cont(stage_hours, 0.25)')} AS q1, {r2('quantile_cont(stage_hours, 0.5)')} AS median,
+  {r2('quantile_cont(stage_hours, 0.75)')} AS q3, {r2('any_value(q1 - (q3 - q1) * 1.5)')} AS lower_fence,
+  {r2('any_value(q3 + (q3 - q1) * 1.5)')} AS upper_fence,
+  count(*) FILTER (WHERE stage_hours < q1 - (q3 - q1) * 1.5 OR stage_hours > q3 + (q3 - q1) * 1.5) AS outliers,
+  count(stage_hours) AS count
+FROM events_raw, qq""")
+    bronze_nulls = _union([f"SELECT '{EV_COLS[EV_RAW_COLS.index(c)] if c in EV_RAW_COLS else c}' AS column, "
+                           f"count(*) - count({c}) AS nulls_bronze FROM events_raw"
+                           for c, _ in RAW_TYPES["events"]])
+    silver_nulls = _union([f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls_silver FROM e_clean"
+                           for c in EV_COLS])
+    q["null_before_after"] = silver(f"nb AS ({bronze_nulls})", f"ns AS ({silver_nulls})", select="""
+SELECT coalesce(nb.column, ns.column) AS column, nb.nulls_bronze, ns.nulls_silver
+FROM nb FULL OUTER JOIN ns ON ns.column = nb.column""")
+    q["check_conditional_presence"] = with_fixtures(select="""
+SELECT coalesce(bool_and(store_id IS NULL) FILTER (WHERE NOT coalesce(channel = 'BUILDING', false)), true)
+         AS null_outside,
+       coalesce(bool_and(store_id IS NOT NULL) FILTER (WHERE coalesce(channel = 'BUILDING', false)), true)
+         AS present_inside,
+       coalesce(bool_and(store_id IS NULL) FILTER (WHERE NOT coalesce(channel = 'BUILDING', false)), true)
+       AND coalesce(bool_and(store_id IS NOT NULL) FILTER (WHERE coalesce(channel = 'BUILDING', false)), true)
+         AS exact
+FROM sales_raw""")
+    return q

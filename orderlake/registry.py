@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from orderlake import oracle
 from orderlake.contract import FIXTURE_CONTRACT as CONTRACT
+from orderlake.operators import checks as B
 from orderlake.operators import gold as G
+from orderlake.operators import profile as P
 from orderlake.operators import questions as Q
 from orderlake.operators import rules as E
 from orderlake.operators import silver as S
@@ -235,12 +237,63 @@ def e_queries() -> dict[str, QueryFn]:
     }
 
 
+def b_queries() -> dict[str, QueryFn]:
+    def both(fn):
+        return lambda spark, d: fn(bronze_sales(spark, d), "sales").unionByName(fn(bronze_events(spark, d), "events"))
+
+    def first_ship_cost(e):
+        return P.once_per_order(e, "ship_cost")
+
+    std_cols = {"sales": ("city", "channel", "category", "product", "pay_method"),
+                "events": ("state", "center", "dest_city", "carrier", "incident", "note")}
+    return {
+        "profile_date_range": both(P.date_range),
+        "profile_structure": both(P.structure),
+        "profile_nulls": lambda spark, d: both(P.structure)(spark, d).select("tbl", "column", "nulls", "pct_null"),
+        "profile_cardinality": both(P.cardinality),
+        "profile_numeric_summary": both(P.numeric_summary),
+        "profile_once_per_order": _events(first_ship_cost),
+        "profile_categorical_summary": both(P.categorical_summary),
+        "freq_channel": _sales(lambda s: P.frequency(s, "channel")),
+        "freq_state": _events(lambda e: P.frequency(e, "state")),
+        "freq_quantity": _sales(lambda s: P.frequency(s, "quantity")),
+        "profile_conditional_nulls": _both(lambda s, e: P.conditional_nulls(s, e, CONTRACT.physical_channel,
+                                                                            CONTRACT.transport_states)),
+        "profile_nulls_by_state": _events(P.nulls_by_state),
+        "check_amount_identities": _sales(B.amount_identities),
+        "check_negatives": _both(B.negatives),
+        "check_referential": _both(B.referential),
+        "check_city_mismatch": _both(B.city_mismatch),
+        "check_events_per_order": _events(B.events_per_order),
+        "check_incomplete_trace": _events(B.incomplete_trace),
+        "check_constant_in_group": _events(B.constant_in_group),
+        "check_shared_tracking": _events(B.shared_tracking),
+        "check_unparseable_dates": _events(B.unparseable_dates),
+        "check_residual_columns": _events(lambda e: B.residual_columns(e).select(
+            "column", "distinct_values", F.array_join("values", ", ").alias("values"))),
+        "check_event_before_sale": _both(B.event_before_sale),
+        "check_promise_before_sale": _both(B.promise_before_sale),
+        "check_out_of_order": _events(B.out_of_order),
+        "first_state_distribution": _events(B.first_state_distribution),
+        "standardize_impact": lambda spark, d: P.standardize_impact(bronze_sales(spark, d), "sales",
+                                                                    std_cols["sales"]).unionByName(
+            P.standardize_impact(bronze_events(spark, d), "events", std_cols["events"])),
+        "conflict_diff_columns": _events(P.conflict_diff_columns),
+        "histogram_net": _sales(lambda s: P.histogram(s, "net", 20)),
+        "boxplot_stage_hours": _events(lambda e: P.boxplot(e, "stage_hours")),
+        "null_before_after": _sv(lambda p: P.null_before_after(
+            p["events_raw"], p["e_clean"], {"event_ts_txt": "event_ts", "promised_ts_txt": "promised_ts"})),
+        "check_conditional_presence": _sales(lambda s: P.conditional_presence(s, CONTRACT.physical_channel)),
+    }
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
     out.update(c_queries())
     out.update(d_queries())
     out.update(e_queries())
+    out.update(b_queries())
     return out
 
 
@@ -250,4 +303,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.c_queries())
     out.update(oracle.d_queries())
     out.update(oracle.e_queries())
+    out.update(oracle.b_queries())
     return out
