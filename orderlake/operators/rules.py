@@ -180,10 +180,14 @@ def quarantine_share(raw_sales_rows, rejected_sales_rows, raw_event_rows, reject
                           ).select("r.*")
 
 
-def gate(rules: DataFrame) -> list[tuple]:
-    """Collect the (small, bounded) rule table; raise listing failures."""
-    rows = [tuple(r) for r in rules.select(*RULE_COLS).collect()]
+def gate_rows(rows: list[tuple]) -> list[tuple]:
+    """E3 on already collected rule rows (layer, rule_id, rule, violations, passed)."""
     failed = [(r[0], r[1], r[2]) for r in rows if not r[4]]
     if failed:
         raise GateError(failed)
     return rows
+
+
+def gate(rules: DataFrame) -> list[tuple]:
+    """Collect the (small, bounded) rule table; raise listing failures."""
+    return gate_rows([tuple(r) for r in rules.select(*RULE_COLS).collect()])

@@ -800,3 +800,64 @@ SELECT coalesce(bool_and(store_id IS NULL) FILTER (WHERE NOT coalesce(channel =
          AS exact
 FROM sales_raw""")
     return q
+
+
+# ------------------------------------------------------------------ A, G (landing, pipeline, ledger)
+from orderlake.sources.fixtures import duckdb_happy_ctes  # noqa: E402
+
+LOAD_HAPPY, LOAD_FULL = "20240101_000000", "20240102_000000"
+
+
+def happy(*ctes: str, select: str) -> str:
+    chain = [c.replace("sales_raw", "sales_hp").replace("events_raw", "events_hp")
+             for c in (*SILVER_CTES, *INCIDENT_CTES, *GOLD_CTES, *MART_CTES, *ctes)]
+    return "WITH " + ",\n".join([duckdb_ctes(), duckdb_happy_ctes()] + chain) + "\n" + select
+
+
+def _sha_row(cols) -> str:
+    return "sha256(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols) + "))"
+
+
+def ag_queries() -> dict[str, str]:
+    q = {}
+    gold_cols = "*"
+    q["pipeline_run"] = happy(select=f"SELECT {gold_cols}, '{LOAD_HAPPY}' AS load_id FROM g_orders")
+    q["lineage_stamp"] = happy(select=f"SELECT event_id, order_id, '{LOAD_HAPPY}' AS load_id FROM e_clean")
+    tables = [("silver", "sales", "s_clean", 17), ("silver", "events", "e_clean", 13),
+              ("silver", "sales_rejected", "s_rej", 18), ("silver", "events_rejected", "e_rej", 14),
+              ("silver", "incidents", "incidents", 7), ("gold", "orders", "g_orders", 38),
+              ("gold", "events", "g_events", 25), ("gold", "kpi_monthly", "m_month", 14),
+              ("gold", "carrier_performance", "m_carrier", 9), ("gold", "city_channel_sales", "m_cc", 8)]
+    q["run_ledger"] = happy(select=_union([
+        f"SELECT '{layer}' AS layer, '{name}' AS table, count(*) AS rows, {ncols} AS columns FROM {cte}"
+        for layer, name, cte, ncols in tables]))
+    q["reprocess_load"] = happy(select=_union([
+        f"SELECT '{layer}' AS layer, '{name}' AS table, count(*) AS rows, true AS same_content FROM {cte}"
+        for layer, name, cte, _ in tables if layer == "gold" or name in ("sales", "events")]))
+    full_silver_passed = ("(SELECT count(*) FILTER (WHERE passed) FROM (" + e_queries()["silver_rules"] + "))")
+    q["run_history"] = happy(select=f"""
+SELECT 1 AS seq, '{LOAD_HAPPY}' AS load_id, 'etl' AS origin, 'PUBLISHED' AS status, 33 AS rules_passed,
+       33 AS rules_total, false AS on_newest_load
+UNION ALL SELECT 2, '{LOAD_HAPPY}', 'reprocess', 'PUBLISHED', 33, 33, false
+UNION ALL SELECT 3, '{LOAD_FULL}', 'etl', 'FAILED', {full_silver_passed}, 21, true""")
+    q["bronze_land"] = with_fixtures(select=f"SELECT *, '{LOAD_FULL}' AS load_id FROM sales_raw")
+    q["bronze_read_load"] = with_fixtures(duckdb_happy_ctes(), select="SELECT * FROM events_hp")
+    q["bronze_list_loads"] = with_fixtures(duckdb_happy_ctes(), select=f"""
+SELECT '{LOAD_HAPPY}' AS load_id, (SELECT count(*) FROM sales_hp) AS sales_rows,
+       (SELECT count(*) FROM events_hp) AS events_rows
+UNION ALL SELECT '{LOAD_FULL}', (SELECT count(*) FROM sales_raw), (SELECT count(*) FROM events_raw)""")
+    q["bronze_retention"] = with_fixtures(duckdb_happy_ctes(), select=f"""
+SELECT '{LOAD_HAPPY}' AS load_id, (SELECT count(*) FROM sales_hp) AS sales_rows, 2 AS rank, true AS drop
+UNION ALL SELECT '{LOAD_FULL}', (SELECT count(*) FROM sales_raw), 1, false""")
+    q["write_layer_counts"] = with_fixtures(duckdb_happy_ctes(), select="""
+SELECT 'sales' AS source, (SELECT count(*) FROM sales_hp) AS rows, 17 AS columns
+UNION ALL SELECT 'events', (SELECT count(*) FROM events_hp), 14""")
+    q["source_fingerprint"] = with_fixtures(select=f"SELECT *, {_sha_row(SALES_COLS)} AS row_sha256 FROM sales_raw")
+    q["extraction_probe"] = with_fixtures(select="""
+SELECT 'sales' AS source, count(*) AS rows, 17 AS columns FROM sales_raw
+UNION ALL SELECT 'events', count(*), 14 FROM events_raw""")
+    q["land_events_text"] = with_fixtures(select="SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM events_raw")
+    q["export_tables"] = happy(select=_union([
+        f"SELECT '{name}' AS table, count(*) AS rows FROM {cte}"
+        for _, name, cte, _ in tables if name in ("kpi_monthly", "carrier_performance", "city_channel_sales")]))
+    return q

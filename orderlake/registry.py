@@ -287,6 +287,158 @@ def b_queries() -> dict[str, QueryFn]:
     }
 
 
+LOAD_HAPPY, LOAD_FULL = oracle.LOAD_HAPPY, oracle.LOAD_FULL
+
+
+def scenario_lake(spark: SparkSession, d: str):
+    """A lake holding a fixed, deterministic history (built once per input fingerprint):
+    1) the happy-path load landed and published, 2) the same load reprocessed,
+    3) the full (dirty) fixture landed as a second load, failing the Silver gate."""
+    from orderlake.plans import pipeline as PL
+    from orderlake.sources.landing import fingerprint_paths, path_exists
+    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-lake-{fingerprint_paths(spark, _inputs(d))}")
+    done = f"{lake.root}/_SCENARIO_DONE"
+    if lake.root in _DONE_LAKES or path_exists(spark, done):
+        _DONE_LAKES.add(lake.root)
+        return lake
+    sales, events = bronze_sales(spark, d), bronze_events(spark, d)
+    cov = FX.coverage(spark, d)
+    hs, he = FX.happy_path(sales, events)
+    PL.run_pipeline(spark, lake, {"sales": hs, "events": he}, CONTRACT, cov, load_id=LOAD_HAPPY, overwrite=True)
+    PL.reprocess(spark, lake, CONTRACT, cov, load_id=LOAD_HAPPY)
+    try:
+        PL.run_pipeline(spark, lake, {"sales": sales, "events": events}, CONTRACT, cov, load_id=LOAD_FULL,
+                        overwrite=True)
+    except E.GateError:
+        pass
+    spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(done)
+    _DONE_LAKES.add(lake.root)
+    return lake
+
+
+_DONE_LAKES: set[str] = set()
+
+
+def _runs(spark, lake):
+    from orderlake.plans import ledger as L
+    return L.read(spark, lake.ledger, "run").orderBy("started_at", "run_id").collect()
+
+
+def ag_queries() -> dict[str, QueryFn]:
+    from orderlake.plans import ledger as L
+    from orderlake.plans import pipeline as PL
+    from orderlake.sources import bronze as A
+    from orderlake.sources.landing import materialized as mat
+
+    def pipeline_run(spark, d):
+        lake = scenario_lake(spark, d)
+        return PL.published(spark, lake, "gold", "orders").drop("run_id")
+
+    def lineage(spark, d):
+        lake = scenario_lake(spark, d)
+        return PL.published(spark, lake, "silver", "events").select("event_id", "order_id", "load_id")
+
+    def run_ledger(spark, d):
+        lake = scenario_lake(spark, d)
+        first = _runs(spark, lake)[0]["run_id"]
+        return (L.read(spark, lake.ledger, "run_table").where(F.col("run_id") == first)
+                .select("layer", "table", "rows", "columns"))
+
+    def reprocess_load(spark, d):
+        """Same load reprocessed -> same content: order-insensitive fingerprints per table."""
+        lake = scenario_lake(spark, d)
+        r1, r2 = [r["run_id"] for r in _runs(spark, lake)[:2]]
+        out = None
+        for layer, table in (("silver", "sales"), ("silver", "events"), ("gold", "orders"), ("gold", "events"),
+                             ("gold", "kpi_monthly"), ("gold", "carrier_performance"),
+                             ("gold", "city_channel_sales")):
+            fps = []
+            for rid in (r1, r2):
+                df = spark.read.parquet(f"{lake.run_dir(rid)}/{layer}/{table}").drop("run_id", "load_id")
+                fps.append(df.agg(*A.content_fingerprint_expr(df.columns)))
+            a, b = fps
+            one = a.select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), F.col("rows"),
+                           (F.col("hash_sum") == b.select("hash_sum").scalar()).alias("same_content"))
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def run_history(spark, d):
+        lake = scenario_lake(spark, d)
+        return L.run_history(spark, lake.ledger).select("seq", "load_id", "origin", "status", "rules_passed",
+                                                         "rules_total", "on_newest_load")
+
+    def bronze_land(spark, d):
+        lake = scenario_lake(spark, d)
+        return spark.read.parquet(f"{lake.bronze}/sales").where(F.col("load_id") == LOAD_FULL)
+
+    def bronze_read_load(spark, d):
+        return A.read_load(spark, scenario_lake(spark, d).bronze, "events", LOAD_HAPPY)
+
+    def _per_load(spark, lake):
+        s = spark.read.parquet(f"{lake.bronze}/sales").groupBy("load_id").agg(F.count(F.lit(1)).alias("sales_rows"))
+        e = spark.read.parquet(f"{lake.bronze}/events").groupBy("load_id").agg(
+            F.count(F.lit(1)).alias("events_rows"))
+        return s.join(e, "load_id", "full")
+
+    def bronze_list_loads(spark, d):
+        lake = scenario_lake(spark, d)
+        return _per_load(spark, lake).join(A.list_loads(spark, lake.bronze, "sales"), "load_id")
+
+    def bronze_retention(spark, d):
+        lake = scenario_lake(spark, d)
+        plan = A.retention_plan(A.list_loads(spark, lake.bronze, "sales"), 1)
+        return (plan.join(_per_load(spark, lake).select("load_id", "sales_rows"), "load_id")
+                .select("load_id", "sales_rows", "rank", "drop"))
+
+    def write_layer_counts(spark, d):
+        lake = scenario_lake(spark, d)
+        first = _runs(spark, lake)[0]["run_id"]
+        return (L.read(spark, lake.ledger, "run_source").where(F.col("run_id") == first)
+                .select("source", "rows", "columns"))
+
+    def land_events_text(spark, d):
+        ev = bronze_events(spark, d)
+        csv_path = mat(spark, "bronze_events_csv_marker", _inputs(d), lambda: _write_csv_once(spark, ev, d))
+        del csv_path
+        return A.read_text_table(spark, _csv_dir(spark, d), ev.schema)
+
+    def export_tables(spark, d):
+        lake = scenario_lake(spark, d)
+        out = f"{lake.root}/export"
+        facts = A.export_csv({t: PL.published(spark, lake, "gold", t).drop("run_id", "load_id")
+                              for t in ("kpi_monthly", "carrier_performance", "city_channel_sales")}, out)
+        parts = [spark.read.option("header", True).csv(f"{out}/{f['table']}")
+                 .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f["table"]).alias("table"), "rows")
+                 for f in facts]
+        res = parts[0]
+        for p in parts[1:]:
+            res = res.unionByName(p)
+        return res
+
+    return {
+        "pipeline_run": pipeline_run, "lineage_stamp": lineage, "run_ledger": run_ledger,
+        "reprocess_load": reprocess_load, "run_history": run_history, "bronze_land": bronze_land,
+        "bronze_read_load": bronze_read_load, "bronze_list_loads": bronze_list_loads,
+        "bronze_retention": bronze_retention, "write_layer_counts": write_layer_counts,
+        "source_fingerprint": _sales(lambda s: A.row_sha256(s)),
+        "extraction_probe": _both(lambda s, e: A.extraction_probe(s, "sales").unionByName(
+            A.extraction_probe(e, "events"))),
+        "land_events_text": land_events_text, "export_tables": export_tables,
+    }
+
+
+def _csv_dir(spark, d):
+    from orderlake.session import ensure_checkpoint_dir
+    from orderlake.sources.landing import fingerprint_paths
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake-csv-{fingerprint_paths(spark, _inputs(d))}"
+
+
+def _write_csv_once(spark, ev, d):
+    from orderlake.sources import bronze as A
+    A.write_text_table(ev, _csv_dir(spark, d))
+    return spark.createDataFrame([(1,)], "done int")
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
@@ -294,6 +446,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(d_queries())
     out.update(e_queries())
     out.update(b_queries())
+    out.update(ag_queries())
     return out
 
 
@@ -304,4 +457,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.d_queries())
     out.update(oracle.e_queries())
     out.update(oracle.b_queries())
+    out.update(oracle.ag_queries())
     return out

@@ -172,3 +172,30 @@ def duckdb_ctes() -> str:
     return (f"sales_raw AS ({sales_raw_sql('duckdb')}),\n"
             f"events_raw AS ({events_raw_sql('duckdb')}),\n"
             f"coverage AS ({coverage_sql('duckdb')})")
+
+
+def happy_orders_sql(dialect: str = "duckdb", events: str = "events_raw") -> str:
+    """Orders whose every event row carries a centre, destination and parseable
+    promised date, whose transport rows carry carrier and tracking number, and
+    that have a transport line: the binding on which every gate rule can pass
+    (FIXTURES §3, "happy path"). Judged on every raw row, so no later step
+    (conflict resolution, recovery) can bring a missing value back."""
+    ts = "try_cast(promised_ts_txt AS TIMESTAMP)" if dialect == "duckdb" else \
+        "try_cast(promised_ts_txt AS TIMESTAMP_NTZ)"
+    return f"""SELECT order_id FROM {events} WHERE order_id IS NOT NULL GROUP BY order_id
+HAVING count(*) = count(center) AND count(*) = count(dest_city) AND count(*) = count({ts})
+   AND count(CASE WHEN state IN ('A', 'R') AND (carrier IS NULL OR tracking_no IS NULL) THEN 1 END) = 0
+   AND count(CASE WHEN state IN ('A', 'R') THEN 1 END) > 0"""
+
+
+def happy_path(sales: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Restrict both views to the happy-path orders (a semi-join on the order key)."""
+    spark = events.sparkSession
+    good = spark.sql(happy_orders_sql("spark", "{events}"), events=events)
+    return sales.join(good, "order_id", "left_semi"), events.join(good, "order_id", "left_semi")
+
+
+def duckdb_happy_ctes() -> str:
+    return (f"hp_orders AS ({happy_orders_sql('duckdb')}),\n"
+            "sales_hp AS (SELECT * FROM sales_raw WHERE order_id IN (SELECT order_id FROM hp_orders)),\n"
+            "events_hp AS (SELECT * FROM events_raw WHERE order_id IN (SELECT order_id FROM hp_orders))")
