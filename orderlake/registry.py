@@ -18,7 +18,7 @@ from orderlake.operators import silver as S
 from orderlake.sources import fixtures as FX
 from orderlake.sources.landing import materialized
 
-FLAGSHIP = "q01_net_by_channel"
+FLAGSHIP = "carrier_performance"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -439,6 +439,24 @@ def _write_csv_once(spark, ev, d):
     return spark.createDataFrame([(1,)], "done int")
 
 
+def g6_queries() -> dict[str, QueryFn]:
+    def stream_landing(spark, d):
+        """The driver's ``events`` table split by ``event_id`` range into 4 files,
+        replayed with availableNow (one file per micro-batch): the landed Bronze
+        must equal the table (stream = batch parity)."""
+        import uuid
+
+        from orderlake.session import ensure_checkpoint_dir
+        from orderlake.streaming.incremental import land_new_files
+        src_tbl = FX.read_table(spark, d, "events")
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake-stream-{uuid.uuid4().hex[:8]}"
+        (src_tbl.repartitionByRange(4, "event_id").write.mode("overwrite").parquet(f"{root}/incoming"))
+        land_new_files(spark, f"{root}/incoming", src_tbl.schema, f"{root}/bronze", f"{root}/_checkpoint",
+                       max_files_per_batch=1)
+        return spark.read.parquet(f"{root}/bronze").drop("load_id")
+    return {"stream_landing": stream_landing}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(f_queries())
@@ -447,6 +465,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(e_queries())
     out.update(b_queries())
     out.update(ag_queries())
+    out.update(g6_queries())
     return out
 
 
@@ -458,4 +477,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.e_queries())
     out.update(oracle.b_queries())
     out.update(oracle.ag_queries())
+    out["stream_landing"] = "SELECT * FROM events"
     return out
