@@ -92,14 +92,19 @@ def unparseable_dates(events: DataFrame) -> DataFrame:
 
 
 def residual_columns(events: DataFrame, max_values: int = 20) -> DataFrame:
-    """Residual columns and (up to ``max_values``) of their distinct values."""
+    """Every residual column (also when it holds no value), its number of
+    distinct values and the smallest ``max_values`` of them."""
     res = columns_by_role(events)["residual"]
+    counts = events.agg(*[F.count_distinct(F.col(c)).alias(c) for c in res]).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in res])).alias("r")
+    ).select("r.*")
     long = events.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in res])).alias("r")
     ).select("r.*").where(F.col("value").isNotNull())
-    per = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"),
-                                     F.slice(F.sort_array(F.collect_list("value")), 1, max_values).alias("values"))
+    vals = (long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("column").agg(F.slice(F.sort_array(F.collect_list("value")), 1, max_values).alias("values")))
+    return (counts.join(vals, "column", "left")
+            .withColumn("values", F.coalesce(F.col("values"), F.array().cast("array<string>"))))
 
 
 def _timeline(sales: DataFrame, events: DataFrame) -> DataFrame:

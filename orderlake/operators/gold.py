@@ -19,6 +19,15 @@ from orderlake.functions.semantics import (days_between, false_if_null, first_by
 from orderlake.operators.silver import shared_tracking_numbers
 
 SALES_AMOUNTS = ("unit_price", "gross", "discount", "net")
+
+
+def avg_exact(c) -> "F.Column":
+    """Mean of a 2-decimal measure summed exactly (decimal): independent of the
+    order in which partitions are combined, so reruns round identically."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.avg(col.cast("decimal(18,2)")).cast("double")
+
+
 FIRST_COLS = ("promised_ts", "center", "dest_city", "carrier", "tracking_no", "ship_cost")
 
 
@@ -87,7 +96,7 @@ def kpi_monthly(orders: DataFrame, exact: bool = True) -> DataFrame:
         round_half_even(F.avg("net")).alias("avg_ticket"),
         sum_or_zero("ship_cost").cast("bigint").alias("ship_cost_total"),
         round_half_even(mean_pct("late")).alias("pct_late"),
-        round_half_even(F.avg("delay_days")).alias("avg_delay_days"),
+        round_half_even(avg_exact("delay_days")).alias("avg_delay_days"),
         round_half_even(med).alias("median_cycle_days"),
         round_half_even(mean_pct("_with_incident")).alias("pct_orders_with_incident"),
         round_half_even(F.avg("rating")).alias("avg_rating")))
@@ -102,7 +111,7 @@ def carrier_performance(orders: DataFrame, exact: bool = True) -> DataFrame:
     return (g.where(F.col("carrier").isNotNull()).groupBy("carrier").agg(
         F.count("order_id").alias("orders"),
         round_half_even(mean_pct("late")).alias("pct_late"),
-        round_half_even(F.avg(F.when(false_if_null(F.col("late")), F.col("delay_days")))).alias("avg_delay_late"),
+        round_half_even(avg_exact(F.when(false_if_null(F.col("late")), F.col("delay_days")))).alias("avg_delay_late"),
         round_half_even(med("cycle_days")).alias("median_cycle_days"),
         round_half_even(med("total_hours")).alias("median_total_hours"),
         round_half_even(F.avg("ship_cost")).alias("avg_ship_cost"),
@@ -136,7 +145,7 @@ def delivery_kpis(orders: DataFrame) -> DataFrame:
         F.count_if(F.col("delivery_ts").isNull() & ~F.col("delivered")).alias("undated_no_delivered_event"),
         F.count_if(F.col("delivery_ts").isNull() & F.col("delivered")).alias("undated_delivered_event"),
         F.count_if(F.col("delivered")).alias("delivered_orders"),
-        round_half_even(F.avg(F.when(late, F.col("delay_days")))).alias("avg_delay_late"),
+        round_half_even(avg_exact(F.when(late, F.col("delay_days")))).alias("avg_delay_late"),
         F.max("delay_days").alias("max_delay_days"),
         round_half_even(F.percentile("cycle_days", 0.5)).alias("median_cycle_days"),
         round_half_even(F.percentile("promised_days", 0.5)).alias("median_promised_days"),
@@ -156,7 +165,7 @@ def delay_distribution(orders: DataFrame) -> DataFrame:
     x = F.col("delay_days")
     return orders.agg(
         F.count(x).alias("count"),
-        round_half_even(F.avg(x)).alias("mean"),
+        round_half_even(avg_exact(x)).alias("mean"),
         round_half_even(F.stddev_samp(x)).alias("std"),
         F.min(x).alias("min"),
         round_half_even(F.percentile(x, 0.25)).alias("p25"),

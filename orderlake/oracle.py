@@ -396,13 +396,13 @@ SELECT month, count(order_id) AS orders, count(DISTINCT customer_id) AS customer
   CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(gross) AS DECIMAL(38,2)) AS gross,
   CAST(sum(discount) AS DECIMAL(38,2)) AS discount, CAST(sum(net) AS DECIMAL(38,2)) AS net,
   {r2('avg(net)')} AS avg_ticket, CAST(coalesce(sum(ship_cost), 0) AS BIGINT) AS ship_cost_total,
-  {_pct('late')} AS pct_late, {r2('avg(delay_days)')} AS avg_delay_days,
+  {_pct('late')} AS pct_late, {r2('avg(CAST(delay_days AS DECIMAL(18,2)))')} AS avg_delay_days,
   {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
   {_pct('with_incident')} AS pct_orders_with_incident, {r2('avg(rating)')} AS avg_rating
 FROM g_inc WHERE month IS NOT NULL GROUP BY month""")
     q["carrier_performance"] = gold(select=f"""
 SELECT carrier, count(order_id) AS orders, {_pct('late')} AS pct_late,
-  {r2('avg(delay_days) FILTER (WHERE late)')} AS avg_delay_late,
+  {r2('avg(CAST(delay_days AS DECIMAL(18,2))) FILTER (WHERE late)')} AS avg_delay_late,
   {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
   {r2('quantile_cont(total_hours, 0.5)')} AS median_total_hours,
   {r2('avg(ship_cost)')} AS avg_ship_cost, {_pct('with_incident')} AS pct_orders_with_incident,
@@ -419,7 +419,7 @@ SELECT count(*) AS orders, count(late) AS dated_deliveries, count(*) FILTER (WHE
   count(*) FILTER (WHERE delivery_ts IS NULL AND NOT delivered) AS undated_no_delivered_event,
   count(*) FILTER (WHERE delivery_ts IS NULL AND delivered) AS undated_delivered_event,
   count(*) FILTER (WHERE delivered) AS delivered_orders,
-  {r2('avg(delay_days) FILTER (WHERE late)')} AS avg_delay_late,
+  {r2('avg(CAST(delay_days AS DECIMAL(18,2))) FILTER (WHERE late)')} AS avg_delay_late,
   max(delay_days) AS max_delay_days,
   {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
   {r2('quantile_cont(promised_days, 0.5)')} AS median_promised_days,
@@ -430,7 +430,7 @@ FROM g_orders""")
 SELECT month, count(late) AS dated_deliveries, {_pct('late')} AS pct_late
 FROM g_orders WHERE month IS NOT NULL GROUP BY month""")
     q["delay_distribution"] = gold(select=f"""
-SELECT count(delay_days) AS count, {r2('avg(delay_days)')} AS mean, {r2('stddev_samp(delay_days)')} AS std,
+SELECT count(delay_days) AS count, {r2('avg(CAST(delay_days AS DECIMAL(18,2)))')} AS mean, {r2('stddev_samp(delay_days)')} AS std,
   min(delay_days) AS min, {r2('quantile_cont(delay_days, 0.25)')} AS p25,
   {r2('quantile_cont(delay_days, 0.5)')} AS median, {r2('quantile_cont(delay_days, 0.75)')} AS p75,
   max(delay_days) AS max
@@ -727,7 +727,7 @@ SELECT count(*) FILTER (WHERE event_ts_txt IS NOT NULL AND try_cast(event_ts_txt
 FROM events_raw""")
     q["check_residual_columns"] = with_fixtures(select="""
 SELECT 'unnamed_13' AS column, count(DISTINCT unnamed_13) AS distinct_values,
-       array_to_string(list(DISTINCT unnamed_13 ORDER BY unnamed_13)[1:20], ', ') AS values
+       coalesce(array_to_string(list(DISTINCT unnamed_13 ORDER BY unnamed_13)[1:20], ', '), '') AS values
 FROM events_raw WHERE unnamed_13 IS NOT NULL""")
     timeline = """timeline AS (
   SELECT e.order_id, e.event_id, e.state, e.event_ts_txt, try_cast(e.event_ts_txt AS TIMESTAMP) AS event_ts,

@@ -124,6 +124,7 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
         path = f"{bronze_root}/{name}"
         if not overwrite and path_exists(spark, f"{path}/load_id={load_id}"):
             raise LoadExistsError(f"load {load_id} already exists for {name}")
+        df = conform_to_existing(spark, df, path)
         obs = Observation()
         observed = df.observe(obs, *content_fingerprint_expr(df.columns))
         (observed.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
@@ -133,6 +134,18 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     return facts
 
 
+def conform_to_existing(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Cast a new load to the schema already landed at ``path`` (one dataset,
+    one physical type per column); a missing or extra column is an error."""
+    if not path_exists(spark, path):
+        return df
+    target = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields if f.name != "load_id"}
+    if set(target) != set(df.columns):
+        raise ValueError(f"schema drift at {path}: expected {sorted(target)}, got {sorted(df.columns)}")
+    return df.select(*[F.col(c).cast(target[c]).alias(c) if df.schema[c].dataType != target[c] else F.col(c)
+                       for c in df.columns])
+
+
 def list_loads(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
     """Loads oldest -> newest (``load_id`` sorts as time: YYYYMMDD_HHMMSS)."""
     return (spark.read.parquet(f"{bronze_root}/{source}").select(F.col("load_id").cast("string"))
