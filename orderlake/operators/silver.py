@@ -244,19 +244,55 @@ def silver_sales(sales_raw: DataFrame, contract: Contract, coverage: DataFrame |
 
 
 # ------------------------------------------------------------------ events
+def prepared_events(events_raw: DataFrame, order_cols: Sequence[str] | None = None) -> DataFrame:
+    """C1-C4 as ONE table: every distinct raw row with its multiplicity ``_n``
+    (C1, C2) and ``_win`` = the version kept for its ``event_id`` (C4: fewest
+    NULLs outside residual columns, ties by arrival). Residual columns are kept
+    here (C3 counts their cells and they break ties) and dropped downstream.
+
+    One shuffle on all columns (map-side combined) plus a partially aggregated
+    winner per key joined back: written once, it feeds the typed events and
+    the duplicate / conflict incidents without recomputing the raw input.
+    """
+    counted = events_raw.groupBy(*events_raw.columns).agg(F.count(F.lit(1)).alias("_n"))
+    res = residual_columns(events_raw)
+    keep = [c for c in events_raw.columns if c not in res]
+    order = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in keep else keep)
+    ranked = counted.withColumn("_nulls", null_count(keep))
+    rank = F.struct(F.col("_nulls"), F.struct(*[F.col(c) for c in order + [c for c in res if c not in order]]))
+    winners = ranked.groupBy(F.col("event_id").alias("_k")).agg(F.min(rank).alias("_w"))
+    return (ranked.join(winners, ranked["event_id"].eqNullSafe(winners["_k"]), "left")
+            .withColumn("_win", rank.eqNullSafe(F.col("_w")))
+            .drop("_k", "_w", "_nulls"))
+
+
+def prepared_parts(prepared: DataFrame, contract: Contract) -> dict[str, DataFrame]:
+    """Typed events and the C2/C3/C4 incidents, all read from the prepared table."""
+    res = residual_columns(prepared)
+    dup = prepared.where(F.col("_n") > 1).select(
+        "event_id", "order_id", F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_copy"))
+    dup_inc = dup.select(incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"),
+                                  K.KIND_DUPLICATE_ROW, K.ACTION_REMOVED).alias("i")).select("i.*")
+    conf_inc = prepared.where(~F.col("_win")).select(
+        incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"), K.KIND_KEY_CONFLICT,
+                 K.ACTION_KEPT_MOST_COMPLETE).alias("i")).select("i.*")
+    if res:
+        res_inc = drop_residual(prepared.select(*res))[1]
+    else:
+        res_inc = empty_incidents(prepared.sparkSession)
+    typed = prepared.where(F.col("_win")).drop(*res, "_n", "_win")
+    typed = normalize_text(coerce_dates(typed, EVENT_TS_TEXT, contract.ts_formats), EVENT_TEXT_COLS)
+    return {"typed": typed, "dup_inc": dup_inc, "res_inc": res_inc, "conf_inc": conf_inc}
+
+
 def prepare_events(events_raw: DataFrame, contract: Contract,
                    order_cols: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """C1-C7 on events: dedup, residual drop, key conflicts, typing, text cleaning.
 
-    Returns the typed frame and the incidents of those steps.
+    Returns the typed frame and the incidents of those steps (lazily, from one
+    prepared frame; pipelines write that frame once, see ``prepared_events``).
     """
-    dup_inc = duplicate_row_incidents(events_raw)
-    df = dedup_exact(events_raw)
-    df, res_inc = drop_residual(df)
-    df, conf_inc = resolve_key_conflicts(df, "event_id", order_cols)
-    df = coerce_dates(df, EVENT_TS_TEXT, contract.ts_formats)
-    df = normalize_text(df, EVENT_TEXT_COLS)
-    return {"typed": df, "dup_inc": dup_inc, "res_inc": res_inc, "conf_inc": conf_inc}
+    return prepared_parts(prepared_events(events_raw, order_cols), contract)
 
 
 def order_firsts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

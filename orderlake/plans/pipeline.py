@@ -11,6 +11,7 @@ ever reaches the driver.
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -58,6 +59,7 @@ class RunResult:
     status: str
     rules: list[tuple]
     tables: dict[str, dict]
+    timings: dict[str, float] | None = None
 
 
 def new_load_id() -> str:
@@ -70,9 +72,20 @@ def _stamp(df: DataFrame, run_id: str, load_id: str) -> DataFrame:
     return df.withColumns({"run_id": F.lit(run_id), "load_id": F.lit(load_id)})
 
 
+_T: dict[str, float] = {}
+
+
+def _tick(name: str, t0: float) -> float:
+    now = time.time()
+    _T[name] = round(_T.get(name, 0.0) + now - t0, 3)
+    return now
+
+
 def _write(spark, df: DataFrame, path: str, run_id: str, load_id: str, facts: dict, key: str,
            layer: str) -> DataFrame:
+    t0 = time.time()
     info = A.write_counted(_stamp(df, run_id, load_id), path)
+    _tick("write:" + path.rsplit("/", 2)[-2] + "/" + path.rsplit("/", 1)[-1], t0)
     facts[key] = {"layer": layer, "rows": info["rows"], "columns": len(df.columns)}
     return spark.read.parquet(path).drop("run_id", "load_id")
 
@@ -90,7 +103,9 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
     s_flag = _write(spark, S.flag_sales(sales_raw, contract, coverage), f"{run}/work/sales_flagged", run_id,
                     load_id, {}, "", "work")
     s_clean, s_rej = S.split_quarantine(s_flag)
-    prep = S.prepare_events(events_raw, contract)
+    prepared = _write(spark, S.prepared_events(events_raw), f"{run}/work/events_prepared", run_id, load_id,
+                      {}, "", "work")
+    prep = S.prepared_parts(prepared, contract)
     e_flag = _write(spark, S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage),
                     f"{run}/work/events_flagged", run_id, load_id, {}, "", "work")
     cols = list(S.SILVER_EVENT_COLS)
@@ -112,10 +127,16 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
     silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]),
                                   F.lit(facts["silver.sales_rejected"]["rows"]), F.lit(raw_rows["events"]),
                                   F.lit(facts["silver.events_rejected"]["rows"]), coverage)
+    t0 = time.time()
     rows = [tuple(r) for r in silver_rules.select(*E.RULE_COLS).collect()]
+    t0 = _tick("silver_rules", t0)
     rules_all += rows
-    _record(spark, lake, run_id, rows, facts)
-    E.gate_rows(rows)
+    try:
+        E.gate_rows(rows)
+    except E.GateError:
+        _record(spark, lake, run_id, rows, facts)
+        _tick("ledger", t0)
+        raise
 
     # Gold
     orders = _write(spark, G.gold_orders(s_clean, e_clean, contract), f"{run}/gold/orders", run_id, load_id,
@@ -127,12 +148,15 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
                      ("city_channel_sales", G.city_channel_sales)):
         marts[name] = _write(spark, fn(orders).coalesce(1), f"{run}/gold/{name}", run_id, load_id, facts,
                              f"gold.{name}", "gold")
+    t0 = time.time()
     grows = [tuple(r) for r in E.gold_rules(s_clean, e_clean, gevents, orders, marts)
              .select(*E.RULE_COLS).collect()]
+    t0 = _tick("gold_rules", t0)
     rules_all += grows
-    _record(spark, lake, run_id, grows, {k: v for k, v in facts.items() if k.startswith("gold.")})
+    _record(spark, lake, run_id, rules_all, facts)
+    _tick("ledger", t0)
     E.gate_rows(grows)
-    return RunResult(run_id, load_id, "PUBLISHED", rules_all, facts)
+    return RunResult(run_id, load_id, "PUBLISHED", rules_all, facts, dict(_T))
 
 
 def _record(spark, lake: Lake, run_id: str, rules: list[tuple], facts: dict) -> None:
@@ -148,8 +172,11 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame],
     load_id = load_id or new_load_id()
     run_id = f"{load_id}-{uuid.uuid4().hex[:8]}"
     started = L.now()
+    _T.clear()
     try:
+        t0 = time.time()
         facts = A.land_load(spark, lake.bronze, sources, load_id, overwrite)
+        _tick("land", t0)
         L.append(spark, lake.ledger, "run_source",
                  [(run_id, f["source"], load_id, f["rows"], f["columns"], f["fingerprint"]) for f in facts])
         result = transform(spark, lake, load_id, contract, coverage, run_id,

@@ -100,11 +100,11 @@ def silver_parts(spark: SparkSession, d: str) -> _Lazy:
     cols = list(S.SILVER_EVENT_COLS)
 
     def build_events(p):
-        prep = S.prepare_events(p["events_raw"], CONTRACT)
-        return S.flag_events(S.recover_and_fill(prep["typed"], CONTRACT), p["s_clean"], CONTRACT, p["coverage"])
+        typed = S.prepared_parts(p["e_prep"], CONTRACT)["typed"]
+        return S.flag_events(S.recover_and_fill(typed, CONTRACT), p["s_clean"], CONTRACT, p["coverage"])
 
-    def build_prep_incidents(p):
-        prep = S.prepare_events(p["events_raw"], CONTRACT)
+    def prep_incidents(p):
+        prep = S.prepared_parts(p["e_prep"], CONTRACT)
         return prep["dup_inc"].unionByName(prep["res_inc"]).unionByName(prep["conf_inc"])
 
     b = {
@@ -117,7 +117,9 @@ def silver_parts(spark: SparkSession, d: str) -> _Lazy:
         "s_rej": lambda p: S.split_quarantine(p["s_flagged"])[1],
         "s_inc": lambda p: S.rejected_incidents(p["s_rej"], S.SRC_SALES, S.LVL_SALE, "sale_id"),
         "e_rec": lambda p: materialized(spark, "silver_events_flagged", inputs, lambda: build_events(p)),
-        "prep_inc": lambda p: materialized(spark, "silver_incidents_prep", inputs, lambda: build_prep_incidents(p)),
+        "e_prep": lambda p: materialized(spark, "silver_events_prepared", inputs,
+                                         lambda: S.prepared_events(p["events_raw"])),
+        "prep_inc": prep_incidents,
         "e_clean": lambda p: p["e_rec"].where(F.col("reject_reason") == "").select(*cols),
         "e_rej": lambda p: p["e_rec"].where(F.col("reject_reason") != "").select(*cols, "reject_reason"),
         "e_inc": lambda p: (p["prep_inc"].unionByName(S.event_level_incidents(p["e_rec"]))
