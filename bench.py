@@ -32,7 +32,9 @@ def main() -> None:
     from orderlake.session import get_spark
     spark = get_spark(f"local[{cpus}]", cpus, extra_conf={
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": f"{scratch}/checkpoint"})
+        "spark.checkpoint.dir": f"{scratch}/checkpoint",
+        **({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"]}
+           if os.environ.get("BENCH_EVENTLOG") else {})})
     from orderlake import registry as R
     from orderlake.contract import FIXTURE_CONTRACT
     from orderlake.plans.pipeline import Lake, run_pipeline

@@ -81,17 +81,30 @@ def coverage_flag(df: DataFrame, city_col: str, flag: str, contract: Contract,
             .drop("_cov_city", "_cov_hit"))
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once (NULL is one key). A partially aggregated
+    count: a hot key is reduced map-side to one row per partition."""
+    return (df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+            .where(F.col("_c") > 1).select("_k"))
+
+
 def first_arrival_flags(df: DataFrame, key: str, flag: str, order_cols: Sequence[str] | None = None) -> DataFrame:
     """``flag`` = this row is NOT the first of its key in arrival order (pandas
-    ``duplicated()``; null keys are one group). Skew-safe: the first row per key
-    is found by a partially aggregated ``min(struct)`` and joined back."""
+    ``duplicated()``; null keys are one group).
+
+    Only keys that repeat need an order: they are found by a partially
+    aggregated count, their first row by a partially aggregated
+    ``min(struct)``; rows of unique keys are never compared. Both small sides
+    are joined back (AQE broadcasts them when their measured size allows)."""
     cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
     arrival = F.struct(*[F.col(c) for c in cols])
-    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(arrival).alias("_first"))
-    out = (df.join(firsts, df[key].eqNullSafe(firsts["_k"]), "left")
-           .withColumn(flag, ~arrival.eqNullSafe(F.col("_first")))
-           .drop("_k", "_first"))
-    return out
+    multi = repeated_keys(df, key)
+    dup_rows = df.join(multi, df[key].eqNullSafe(multi["_k"]), "left_semi")
+    firsts = dup_rows.groupBy(F.col(key).alias("_k")).agg(F.min(arrival).alias("_first"))
+    return (df.join(firsts, df[key].eqNullSafe(firsts["_k"]), "left")
+            .withColumn(flag, F.when(F.col("_first").isNull(), F.lit(False))
+                        .otherwise(~arrival.eqNullSafe(F.col("_first"))))
+            .drop("_k", "_first"))
 
 
 # ------------------------------------------------------------------ C1
@@ -260,9 +273,12 @@ def prepared_events(events_raw: DataFrame, order_cols: Sequence[str] | None = No
     order = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in keep else keep)
     ranked = counted.withColumn("_nulls", null_count(keep))
     rank = F.struct(F.col("_nulls"), F.struct(*[F.col(c) for c in order + [c for c in res if c not in order]]))
-    winners = ranked.groupBy(F.col("event_id").alias("_k")).agg(F.min(rank).alias("_w"))
+    # Only event ids with several versions need a winner; the others win alone.
+    multi = repeated_keys(ranked, "event_id")
+    contested = ranked.join(multi, ranked["event_id"].eqNullSafe(multi["_k"]), "left_semi")
+    winners = contested.groupBy(F.col("event_id").alias("_k")).agg(F.min(rank).alias("_w"))
     return (ranked.join(winners, ranked["event_id"].eqNullSafe(winners["_k"]), "left")
-            .withColumn("_win", rank.eqNullSafe(F.col("_w")))
+            .withColumn("_win", F.col("_w").isNull() | rank.eqNullSafe(F.col("_w")))
             .drop("_k", "_w", "_nulls"))
 
 

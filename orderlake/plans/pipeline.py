@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ from orderlake.sources.landing import path_exists
 from orderlake.session import ensure_checkpoint_dir
 
 SOURCES = ("sales", "events")
+# Concurrent jobs submitted by one run (independent writes share the executors).
+MAX_CONCURRENT_JOBS = 4
 
 
 @dataclass(frozen=True)
@@ -90,24 +93,40 @@ def _write(spark, df: DataFrame, path: str, run_id: str, load_id: str, facts: di
     return spark.read.parquet(path).drop("run_id", "load_id")
 
 
+def _parallel(*thunks):
+    """Run independent Spark actions as concurrent jobs (driver threads share the
+    executors; short stages of one job no longer leave the cluster idle)."""
+    if len(thunks) == 1:
+        return [thunks[0]()]
+    with ThreadPoolExecutor(max_workers=min(len(thunks), MAX_CONCURRENT_JOBS)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]
+
+
 def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract, coverage: DataFrame | None,
               run_id: str, raw_rows: dict[str, int] | None = None) -> RunResult:
-    """Silver and Gold for one landed load, gated; raises ``GateError`` on failure."""
+    """Silver and Gold for one landed load, gated; raises ``GateError`` on failure.
+
+    Independent writes run as concurrent jobs. The Silver rules are evaluated
+    while Gold is being built; nothing is published unless both gates pass.
+    """
     run = lake.run_dir(run_id)
     facts: dict[str, dict] = {}
     rules_all: list[tuple] = []
     sales_raw = A.read_load(spark, lake.bronze, "sales", load_id)
     events_raw = A.read_load(spark, lake.bronze, "events", load_id)
 
+    def w(df, sub, key="", layer="work", into=None):
+        return lambda: _write(spark, df, f"{run}/{sub}", run_id, load_id, facts if into is None else into, key,
+                              layer)
+
     # Silver: the row-rule frames are written once; every output is a filter of them.
-    s_flag = _write(spark, S.flag_sales(sales_raw, contract, coverage), f"{run}/work/sales_flagged", run_id,
-                    load_id, {}, "", "work")
+    s_flag, prepared = _parallel(w(S.flag_sales(sales_raw, contract, coverage), "work/sales_flagged", into={}),
+                                 w(S.prepared_events(events_raw), "work/events_prepared", into={}))
     s_clean, s_rej = S.split_quarantine(s_flag)
-    prepared = _write(spark, S.prepared_events(events_raw), f"{run}/work/events_prepared", run_id, load_id,
-                      {}, "", "work")
     prep = S.prepared_parts(prepared, contract)
-    e_flag = _write(spark, S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage),
-                    f"{run}/work/events_flagged", run_id, load_id, {}, "", "work")
+    e_flag = w(S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage),
+               "work/events_flagged", into={})()
     cols = list(S.SILVER_EVENT_COLS)
     e_clean = e_flag.where(F.col("reject_reason") == "").select(*cols)
     e_rej = e_flag.where(F.col("reject_reason") != "").select(*cols, "reject_reason")
@@ -116,38 +135,41 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
                  .unionByName(S.event_level_incidents(e_flag))
                  .unionByName(S.rejected_incidents(e_rej, S.SRC_EVENTS, S.LVL_EVENT, "event_id"))
                  .unionByName(S.order_level_incidents(e_clean, contract)))
-    s_clean = _write(spark, s_clean, f"{run}/silver/sales", run_id, load_id, facts, "silver.sales", "silver")
-    e_clean = _write(spark, e_clean, f"{run}/silver/events", run_id, load_id, facts, "silver.events", "silver")
-    s_rej = _write(spark, s_rej, f"{run}/silver/sales_rejected", run_id, load_id, facts,
-                   "silver.sales_rejected", "silver")
-    e_rej = _write(spark, e_rej, f"{run}/silver/events_rejected", run_id, load_id, facts,
-                   "silver.events_rejected", "silver")
-    _write(spark, incidents, f"{run}/silver/incidents", run_id, load_id, facts, "silver.incidents", "silver")
     raw_rows = raw_rows or {s: A.read_load(spark, lake.bronze, s, load_id).count() for s in SOURCES}
-    silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]),
-                                  F.lit(facts["silver.sales_rejected"]["rows"]), F.lit(raw_rows["events"]),
-                                  F.lit(facts["silver.events_rejected"]["rows"]), coverage)
-    t0 = time.time()
-    rows = [tuple(r) for r in silver_rules.select(*E.RULE_COLS).collect()]
-    t0 = _tick("silver_rules", t0)
+    n_rej = {k: v.agg(F.count(F.lit(1))).scalar() for k, v in (("sales", s_rej), ("events", e_rej))}
+    silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
+                                  F.lit(raw_rows["events"]), n_rej["events"], coverage)
+
+    def eval_silver_rules():
+        t0 = time.time()
+        out = [tuple(r) for r in silver_rules.select(*E.RULE_COLS).collect()]
+        _tick("silver_rules", t0)
+        return out
+
+    # Everything below depends only on the two flagged work tables, so the Silver
+    # tables, the Silver rules and the Gold tables are built as concurrent jobs.
+    # Publication still waits for both gates (nothing is published on failure).
+    rows, _, _, _, _, _, orders, gevents = _parallel(
+        eval_silver_rules,
+        w(s_clean, "silver/sales", "silver.sales", "silver"),
+        w(e_clean, "silver/events", "silver.events", "silver"),
+        w(s_rej, "silver/sales_rejected", "silver.sales_rejected", "silver"),
+        w(e_rej, "silver/events_rejected", "silver.events_rejected", "silver"),
+        w(incidents, "silver/incidents", "silver.incidents", "silver"),
+        w(G.gold_orders(s_clean, e_clean, contract), "gold/orders", "gold.orders", "gold"),
+        w(G.gold_events(s_clean, e_clean), "gold/events", "gold.events", "gold"))
     rules_all += rows
     try:
         E.gate_rows(rows)
     except E.GateError:
-        _record(spark, lake, run_id, rows, facts)
+        t0 = time.time()
+        _record(spark, lake, run_id, rows, {k: v for k, v in facts.items() if k.startswith("silver.")})
         _tick("ledger", t0)
         raise
-
-    # Gold
-    orders = _write(spark, G.gold_orders(s_clean, e_clean, contract), f"{run}/gold/orders", run_id, load_id,
-                    facts, "gold.orders", "gold")
-    gevents = _write(spark, G.gold_events(s_clean, e_clean), f"{run}/gold/events", run_id, load_id, facts,
-                     "gold.events", "gold")
-    marts = {}
-    for name, fn in (("kpi_monthly", G.kpi_monthly), ("carrier_performance", G.carrier_performance),
-                     ("city_channel_sales", G.city_channel_sales)):
-        marts[name] = _write(spark, fn(orders).coalesce(1), f"{run}/gold/{name}", run_id, load_id, facts,
-                             f"gold.{name}", "gold")
+    names = ("kpi_monthly", "carrier_performance", "city_channel_sales")
+    fns = (G.kpi_monthly, G.carrier_performance, G.city_channel_sales)
+    marts = dict(zip(names, _parallel(*[w(fn(orders).coalesce(1), f"gold/{n}", f"gold.{n}", "gold")
+                                        for n, fn in zip(names, fns)])))
     t0 = time.time()
     grows = [tuple(r) for r in E.gold_rules(s_clean, e_clean, gevents, orders, marts)
              .select(*E.RULE_COLS).collect()]
@@ -160,9 +182,11 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
 
 
 def _record(spark, lake: Lake, run_id: str, rules: list[tuple], facts: dict) -> None:
-    L.append(spark, lake.ledger, "run_rule", [(run_id, r[0], r[1], r[2], r[3], r[4]) for r in rules])
-    L.append(spark, lake.ledger, "run_table",
-             [(run_id, v["layer"], k.split(".", 1)[1], v["rows"], v["columns"]) for k, v in facts.items()])
+    _parallel(
+        lambda: L.append(spark, lake.ledger, "run_rule", [(run_id, r[0], r[1], r[2], r[3], r[4]) for r in rules]),
+        lambda: L.append(spark, lake.ledger, "run_table",
+                         [(run_id, v["layer"], k.split(".", 1)[1], v["rows"], v["columns"])
+                          for k, v in facts.items()]))
 
 
 def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame], contract: Contract,

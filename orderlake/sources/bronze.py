@@ -10,6 +10,7 @@ the write, so landing never scans a table twice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -119,8 +120,7 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     Dynamic partition overwrite rewrites only this load's partition. Row
     count and content fingerprint are observed during the write.
     """
-    facts = []
-    for name, df in sources.items():
+    def land_one(name: str, df: DataFrame) -> dict:
         path = f"{bronze_root}/{name}"
         if not overwrite and path_exists(spark, f"{path}/load_id={load_id}"):
             raise LoadExistsError(f"load {load_id} already exists for {name}")
@@ -129,9 +129,13 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
         observed = df.observe(obs, *content_fingerprint_expr(df.columns))
         (observed.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path))
-        facts.append({"source": name, "load_id": load_id, "rows": int(obs.get["rows"]),
-                      "columns": len(df.columns), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"})
-    return facts
+        return {"source": name, "load_id": load_id, "rows": int(obs.get["rows"]),
+                "columns": len(df.columns), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"}
+
+    # the sources are independent: land them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        futures = [pool.submit(land_one, name, df) for name, df in sources.items()]
+        return [f.result() for f in futures]
 
 
 def conform_to_existing(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
