@@ -288,3 +288,75 @@ def conditional_presence(sales: DataFrame, physical_channel: str) -> DataFrame:
         F.coalesce(F.bool_and(F.when(~phys, F.col("store_id").isNull())), F.lit(True)).alias("null_outside"),
         F.coalesce(F.bool_and(F.when(phys, F.col("store_id").isNotNull())), F.lit(True)).alias("present_inside")
     ).withColumn("exact", F.col("null_outside") & F.col("present_inside"))
+
+
+def _extra_rows(df: DataFrame) -> "F.Column":
+    """rows minus distinct rows (identical extra copies), as a scalar subquery."""
+    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar())
+
+
+def _repeats(df: DataFrame, key: str) -> "F.Column":
+    """pandas ``duplicated().sum()`` on one key (NULL is one value)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar())
+
+
+def duplicates(sales: DataFrame, events: DataFrame) -> DataFrame:
+    """Identical rows, repeated keys, and repeated event ids split into
+    "identical row" vs "different content" (an id with any identical pair
+    counts as identical), plus shared tracking numbers."""
+    full = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("_n"))
+    per_id = full.groupBy("event_id").agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_max_copies"))
+    rep = per_id.where(F.col("_rows") > 1)
+    from orderlake.operators.silver import shared_tracking_numbers
+    return sales.agg(F.count(F.lit(1)).alias("_x")).select(
+        _extra_rows(sales).alias("sales_duplicate_rows"),
+        _repeats(sales, "sale_id").alias("sales_sale_id_repeated"),
+        _repeats(sales, "order_id").alias("sales_order_id_repeated"),
+        _extra_rows(events).alias("events_duplicate_rows"),
+        _repeats(events, "event_id").alias("events_event_id_repeated"),
+        rep.agg(F.count_if(F.col("_max_copies") > 1)).scalar().alias("events_event_id_repeated_identical"),
+        rep.agg(F.count_if(F.col("_max_copies") == 1)).scalar().alias("events_event_id_repeated_different"),
+        _repeats(events, "order_id").alias("events_order_id_repeated"),
+        shared_tracking_numbers(events).agg(F.count(F.lit(1))).scalar().alias("shared_tracking_numbers"))
+
+
+MONETARY = ("unit_price", "gross", "discount", "net", "ship_cost")
+
+
+def type_verdict(name: str, dtype: str) -> str:
+    """Is the stored type coherent with the column's role? (metadata only)."""
+    role = classify(name, dtype)
+    num = is_numeric(dtype)
+    if role == "date":
+        return "OK (timestamp)" if dtype.startswith("timestamp") else \
+            f"REVIEW: date stored as {dtype}, convert to timestamp"
+    if role == "identifier":
+        return "OK: integer technical key" if num else "OK (text)"
+    if name in MONETARY:
+        return "OK (numeric amount)" if num else "REVIEW: amount not numeric"
+    if role == "ordinal":
+        return "OK (integer scale)" if dtype in ("tinyint", "smallint", "int", "bigint") else \
+            f"REVIEW: integer scale stored as {dtype}"
+    if role == "residual":
+        return "REVIEW: drop (not part of the data model)"
+    if role == "duration":
+        return "OK: duration in hours (numeric)"
+    if role == "numeric":
+        return "OK (numeric)" if num else "REVIEW: should be numeric"
+    return "OK (text)" if not num else "REVIEW: category stored as a number"
+
+
+def type_check(df: DataFrame, table: str) -> DataFrame:
+    """Verdict per column plus evidence: the share of non-null text values
+    of date columns that parse as timestamps (one aggregate)."""
+    txt_dates = [c for c, t in df.dtypes if classify(c, t) == "date" and t == "string"]
+    one = df.agg(F.lit(1).alias("_one"), *[
+        round_half_even(F.try_divide(F.count(parse_ts(c)) * 100.0, F.count(F.col(c)))).alias(f"{c}__pct")
+        for c in txt_dates])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(table).alias("tbl"), F.lit(c).alias("column"), F.lit(t).alias("type"),
+                 F.lit(classify(c, t)).alias("role"), F.lit(type_verdict(c, t)).alias("verdict"),
+                 (F.col(f"{c}__pct") if c in txt_dates else F.lit(None).cast("double")).alias("parseable_pct"))
+        for c, t in df.dtypes])).alias("r")).select("r.*")

@@ -861,3 +861,39 @@ UNION ALL SELECT 'events', count(*), 14 FROM events_raw""")
         f"SELECT '{name}' AS table, count(*) AS rows FROM {cte}"
         for _, name, cte, _ in tables if name in ("kpi_monthly", "carrier_performance", "city_channel_sales")]))
     return q
+
+
+def b_extra_queries() -> dict[str, str]:
+    from orderlake.operators.profile import type_verdict
+    q = {}
+    ev_all = ", ".join(c for c, _ in RAW_TYPES["events"])
+    sa_all = ", ".join(SALES_COLS)
+
+    def extra(view, cols):
+        return f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {view} GROUP BY {cols}) x)"
+    q["profile_duplicates"] = with_fixtures(
+        f"full_ev AS (SELECT event_id, count(*) AS n FROM events_raw GROUP BY {ev_all})",
+        "per_id AS (SELECT event_id, sum(n) AS r, max(n) AS mx FROM full_ev GROUP BY event_id HAVING sum(n) > 1)",
+        select=f"""
+SELECT {extra('sales_raw', sa_all)} AS sales_duplicate_rows,
+       {extra('sales_raw', 'sale_id')} AS sales_sale_id_repeated,
+       {extra('sales_raw', 'order_id')} AS sales_order_id_repeated,
+       {extra('events_raw', ev_all)} AS events_duplicate_rows,
+       {extra('events_raw', 'event_id')} AS events_event_id_repeated,
+       (SELECT count(*) FILTER (WHERE mx > 1) FROM per_id) AS events_event_id_repeated_identical,
+       (SELECT count(*) FILTER (WHERE mx = 1) FROM per_id) AS events_event_id_repeated_different,
+       {extra('events_raw', 'order_id')} AS events_order_id_repeated,
+       (SELECT count(*) FROM (SELECT tracking_no FROM events_raw WHERE tracking_no IS NOT NULL
+        GROUP BY tracking_no HAVING count(DISTINCT order_id) > 1) t) AS shared_tracking_numbers""")
+    parts = []
+    for tbl, view in RAW_VIEW.items():
+        for c, t in RAW_TYPES[tbl]:
+            role = _role(c, t)
+            pct = (r2(f"count(try_cast({c} AS TIMESTAMP)) * 100.0 / nullif(count({c}), 0)")
+                   if role == "date" and t == "string" else "CAST(NULL AS DOUBLE)")
+            verdict = type_verdict(c, t).replace("'", "''")
+            src = view if pct != "CAST(NULL AS DOUBLE)" else f"(SELECT count(*) AS n FROM {view}) x"
+            parts.append(f"SELECT '{tbl}' AS tbl, '{c}' AS column, '{t}' AS type, '{role}' AS role, "
+                         f"'{verdict}' AS verdict, {pct} AS parseable_pct FROM {src}")
+    q["profile_type_check"] = with_fixtures(select=_union(parts))
+    return q

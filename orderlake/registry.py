@@ -286,6 +286,8 @@ def b_queries() -> dict[str, QueryFn]:
         "null_before_after": _sv(lambda p: P.null_before_after(
             p["events_raw"], p["e_clean"], {"event_ts_txt": "event_ts", "promised_ts_txt": "promised_ts"})),
         "check_conditional_presence": _sales(lambda s: P.conditional_presence(s, CONTRACT.physical_channel)),
+        "profile_duplicates": _both(P.duplicates),
+        "profile_type_check": both(P.type_check),
     }
 
 
@@ -478,6 +480,7 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.d_queries())
     out.update(oracle.e_queries())
     out.update(oracle.b_queries())
+    out.update(oracle.b_extra_queries())
     out.update(oracle.ag_queries())
     out["stream_landing"] = "SELECT * FROM events"
     return out
