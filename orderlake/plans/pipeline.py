@@ -121,12 +121,18 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
                               layer)
 
     # Silver: the row-rule frames are written once; every output is a filter of them.
-    s_flag, prepared = _parallel(w(S.flag_sales(sales_raw, contract, coverage), "work/sales_flagged", into={}),
-                                 w(S.prepared_events(events_raw), "work/events_prepared", into={}))
+    t0 = time.time()
+    s_flag_df, prepared_df = S.flag_sales(sales_raw, contract, coverage), S.prepared_events(events_raw)
+    _tick("build:silver_work", t0)
+    s_flag, prepared = _parallel(w(s_flag_df, "work/sales_flagged", into={}),
+                                 w(prepared_df, "work/events_prepared", into={}))
     s_clean, s_rej = S.split_quarantine(s_flag)
+    t0 = time.time()
     prep = S.prepared_parts(prepared, contract)
-    e_flag = w(S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage),
-               "work/events_flagged", into={})()
+    e_flag_df = S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage)
+    _tick("build:events_flagged", t0)
+    e_flag = w(e_flag_df, "work/events_flagged", into={})()
+    t0 = time.time()
     cols = list(S.SILVER_EVENT_COLS)
     e_clean = e_flag.where(F.col("reject_reason") == "").select(*cols)
     e_rej = e_flag.where(F.col("reject_reason") != "").select(*cols, "reject_reason")
@@ -135,17 +141,22 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
                  .unionByName(S.event_level_incidents(e_flag))
                  .unionByName(S.rejected_incidents(e_rej, S.SRC_EVENTS, S.LVL_EVENT, "event_id"))
                  .unionByName(S.order_level_incidents(e_clean, contract)))
+    _tick("build:incidents", t0)
     raw_rows = raw_rows or {s: A.read_load(spark, lake.bronze, s, load_id).count() for s in SOURCES}
     n_rej = {k: v.agg(F.count(F.lit(1))).scalar() for k, v in (("sales", s_rej), ("events", e_rej))}
-    silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
-                                  F.lit(raw_rows["events"]), n_rej["events"], coverage)
 
     def eval_silver_rules():
         t0 = time.time()
+        silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
+                                      F.lit(raw_rows["events"]), n_rej["events"], coverage)
         out = [tuple(r) for r in silver_rules.select(*E.RULE_COLS).collect()]
         _tick("silver_rules", t0)
         return out
 
+    t0 = time.time()
+    g_orders_df, g_events_df = G.gold_orders(s_clean, e_clean, contract), G.gold_events(s_clean, e_clean)
+    _tick("build:gold", t0)
+
     # Everything below depends only on the two flagged work tables, so the Silver
     # tables, the Silver rules and the Gold tables are built as concurrent jobs.
     # Publication still waits for both gates (nothing is published on failure).
@@ -156,8 +167,8 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
         w(s_rej, "silver/sales_rejected", "silver.sales_rejected", "silver"),
         w(e_rej, "silver/events_rejected", "silver.events_rejected", "silver"),
         w(incidents, "silver/incidents", "silver.incidents", "silver"),
-        w(G.gold_orders(s_clean, e_clean, contract), "gold/orders", "gold.orders", "gold"),
-        w(G.gold_events(s_clean, e_clean), "gold/events", "gold.events", "gold"))
+        w(g_orders_df, "gold/orders", "gold.orders", "gold"),
+        w(g_events_df, "gold/events", "gold.events", "gold"))
     rules_all += rows
     try:
         E.gate_rows(rows)
