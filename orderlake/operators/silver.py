@@ -92,15 +92,15 @@ def first_arrival_flags(df: DataFrame, key: str, flag: str, order_cols: Sequence
     """``flag`` = this row is NOT the first of its key in arrival order (pandas
     ``duplicated()``; null keys are one group).
 
-    Only keys that repeat need an order: they are found by a partially
-    aggregated count, their first row by a partially aggregated
-    ``min(struct)``; rows of unique keys are never compared. Both small sides
-    are joined back (AQE broadcasts them when their measured size allows)."""
+    One partially aggregated pass per key gives its row count and its first
+    row (``min(struct)``): a hot key collapses map-side to one row per task.
+    Only keys that repeat are joined back (AQE broadcasts them by measured
+    size, or splits a skewed partition); rows of unique keys compare nothing."""
     cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
     arrival = F.struct(*[F.col(c) for c in cols])
-    multi = repeated_keys(df, key)
-    dup_rows = df.join(multi, df[key].eqNullSafe(multi["_k"]), "left_semi")
-    firsts = dup_rows.groupBy(F.col(key).alias("_k")).agg(F.min(arrival).alias("_first"))
+    firsts = (df.groupBy(F.col(key).alias("_k"))
+              .agg(F.count(F.lit(1)).alias("_c"), F.min(arrival).alias("_first"))
+              .where(F.col("_c") > 1).drop("_c"))
     return (df.join(firsts, df[key].eqNullSafe(firsts["_k"]), "left")
             .withColumn(flag, F.when(F.col("_first").isNull(), F.lit(False))
                         .otherwise(~arrival.eqNullSafe(F.col("_first"))))
@@ -263,9 +263,13 @@ def prepared_events(events_raw: DataFrame, order_cols: Sequence[str] | None = No
     NULLs outside residual columns, ties by arrival). Residual columns are kept
     here (C3 counts their cells and they break ties) and dropped downstream.
 
-    One shuffle on all columns (map-side combined) plus a partially aggregated
-    winner per key joined back: written once, it feeds the typed events and
-    the duplicate / conflict incidents without recomputing the raw input.
+    Two aggregates and one join: the distinct rows (all columns, map-side
+    combined), then per ``event_id`` the number of versions and the smallest
+    rank (partially aggregated, so a hot key collapses to one row per map
+    task). Only keys with several versions are joined back (AQE broadcasts
+    them by measured size or splits a skewed partition). Written once, it
+    feeds the typed events and the duplicate / conflict incidents without
+    recomputing the raw input.
     """
     counted = events_raw.groupBy(*events_raw.columns).agg(F.count(F.lit(1)).alias("_n"))
     res = residual_columns(events_raw)
@@ -273,10 +277,9 @@ def prepared_events(events_raw: DataFrame, order_cols: Sequence[str] | None = No
     order = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in keep else keep)
     ranked = counted.withColumn("_nulls", null_count(keep))
     rank = F.struct(F.col("_nulls"), F.struct(*[F.col(c) for c in order + [c for c in res if c not in order]]))
-    # Only event ids with several versions need a winner; the others win alone.
-    multi = repeated_keys(ranked, "event_id")
-    contested = ranked.join(multi, ranked["event_id"].eqNullSafe(multi["_k"]), "left_semi")
-    winners = contested.groupBy(F.col("event_id").alias("_k")).agg(F.min(rank).alias("_w"))
+    winners = (ranked.groupBy(F.col("event_id").alias("_k"))
+               .agg(F.count(F.lit(1)).alias("_versions"), F.min(rank).alias("_w"))
+               .where(F.col("_versions") > 1).drop("_versions"))
     return (ranked.join(winners, ranked["event_id"].eqNullSafe(winners["_k"]), "left")
             .withColumn("_win", F.col("_w").isNull() | rank.eqNullSafe(F.col("_w")))
             .drop("_k", "_w", "_nulls"))
