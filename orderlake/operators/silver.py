@@ -88,23 +88,41 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
             .where(F.col("_c") > 1).select("_k"))
 
 
+def first_rows(df: DataFrame, key: str, order_cols: Sequence[str] | None = None) -> DataFrame:
+    """``(_k, _first)`` for the keys that occur more than once: the key's first
+    row in arrival order as a struct. One partially aggregated pass gives the
+    count and the ``min(struct)`` together, so a hot key collapses map-side to
+    one row per task."""
+    cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
+    arrival = F.struct(*[F.col(c) for c in cols])
+    return (df.groupBy(F.col(key).alias("_k"))
+            .agg(F.count(F.lit(1)).alias("_c"), F.min(arrival).alias("_first"))
+            .where(F.col("_c") > 1).drop("_c"))
+
+
 def first_arrival_flags(df: DataFrame, key: str, flag: str, order_cols: Sequence[str] | None = None) -> DataFrame:
     """``flag`` = this row is NOT the first of its key in arrival order (pandas
     ``duplicated()``; null keys are one group).
 
-    One partially aggregated pass per key gives its row count and its first
-    row (``min(struct)``): a hot key collapses map-side to one row per task.
     Only keys that repeat are joined back (AQE broadcasts them by measured
     size, or splits a skewed partition); rows of unique keys compare nothing."""
+    return flag_non_first(df, [(key, flag, first_rows(df, key, order_cols))], order_cols)
+
+
+def flag_non_first(df: DataFrame, specs: Sequence[tuple[str, str, DataFrame]],
+                   order_cols: Sequence[str] | None = None) -> DataFrame:
+    """Join several ``first_rows`` results (all computed from ``df`` itself, so
+    the input is not re-derived once per key) and set one flag per key."""
     cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
     arrival = F.struct(*[F.col(c) for c in cols])
-    firsts = (df.groupBy(F.col(key).alias("_k"))
-              .agg(F.count(F.lit(1)).alias("_c"), F.min(arrival).alias("_first"))
-              .where(F.col("_c") > 1).drop("_c"))
-    return (df.join(firsts, df[key].eqNullSafe(firsts["_k"]), "left")
-            .withColumn(flag, F.when(F.col("_first").isNull(), F.lit(False))
-                        .otherwise(~arrival.eqNullSafe(F.col("_first"))))
-            .drop("_k", "_first"))
+    out = df
+    for i, (key, flag, firsts) in enumerate(specs):
+        f = firsts.select(F.col("_k").alias(f"_k{i}"), F.col("_first").alias(f"_first{i}"))
+        out = (out.join(f, out[key].eqNullSafe(f[f"_k{i}"]), "left")
+               .withColumn(flag, F.when(F.col(f"_first{i}").isNull(), F.lit(False))
+                           .otherwise(~arrival.eqNullSafe(F.col(f"_first{i}"))))
+               .drop(f"_k{i}", f"_first{i}"))
+    return out
 
 
 # ------------------------------------------------------------------ C1
@@ -211,8 +229,9 @@ def flag_sales(sales_raw: DataFrame, contract: Contract, coverage: DataFrame | N
     df = coerce_rating(df)
     df = normalize_text(df, SALES_TEXT_COLS)
     base_cols = [c for c in df.columns if c != "_rating_fractional"]
-    df = first_arrival_flags(df, "sale_id", "_dup_sale", order_cols or base_cols)
-    df = first_arrival_flags(df, "order_id", "_dup_order", order_cols or base_cols)
+    order = order_cols or base_cols
+    df = flag_non_first(df, [("sale_id", "_dup_sale", first_rows(df, "sale_id", order)),
+                             ("order_id", "_dup_order", first_rows(df, "order_id", order))], order)
     df = coverage_flag(df, "city", "_city_ok", contract, coverage)
     tol = F.lit(contract.amount_tolerance)
     neg = None

@@ -14,6 +14,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges small shuffle partitions up to this floor; 1 MB (the default)
+    # turns the few-MB shuffles of a small load into 1-3 tasks of heavy
+    # per-row work. Large shuffles are far above either value.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
