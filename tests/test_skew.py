@@ -54,3 +54,59 @@ def test_hot_tracking_number_is_counted_once_per_order(spark):
     ev = _events(spark).withColumn("tracking_no", F.lit("SAME"))
     shared = S.shared_tracking_numbers(ev).collect()
     assert [(r["tracking_no"], r["orders"]) for r in shared] == [("SAME", 1 + (3000 - 1000) // 2)]
+
+
+def _spark_order_key(row):
+    """Ascending, nulls first, field by field: Spark's struct ordering."""
+    return tuple((0,) if v is None else (1, v) for v in row)
+
+
+def test_hot_event_id_with_many_versions_keeps_exactly_one_winner(spark):
+    # event 7 holds a third of all rows as ~330 distinct versions (some repeated
+    # exactly); the version kept has the fewest NULLs, ties by arrival (= all
+    # columns ascending, nulls first). Checked against a brute force.
+    n = 3000
+    rows = []
+    for i in range(n):
+        if i < n // 3:
+            v = i % 330
+            rows.append((7, 100 + v % 3, None, "N", None if v % 4 == 0 else f"DC-{v % 9}", "X", None, None, None,
+                         float(v % 11), 9900, None, None))
+        else:
+            rows.append((1000 + i, i, None, "N", "DC-1", "X", None, None, None, 1.0, 9900, None, None))
+    schema = ("event_id long, order_id long, event_ts_txt string, state string, center string, dest_city string, "
+              "carrier string, tracking_no string, promised_ts_txt string, stage_hours double, ship_cost int, "
+              "incident string, note string")
+    ev = spark.createDataFrame(rows, schema).repartition(8)
+    prepared = S.prepared_events(ev)
+    got = prepared.where("event_id = 7").collect()
+    distinct = sorted(set(r for r in rows if r[0] == 7), key=_spark_order_key)
+    assert len(got) == len(distinct)
+    assert sum(r["_n"] for r in got) == n // 3
+    winner = min(distinct, key=lambda r: (sum(v is None for v in r), _spark_order_key(r)))
+    kept = [tuple(r)[:13] for r in got if r["_win"]]
+    assert kept == [winner]
+    # every other key has one version and wins alone
+    assert prepared.where("event_id <> 7 AND NOT _win").count() == 0
+    assert not re.search(r"\bWindow\b", _plan(prepared))
+
+
+def test_hot_order_in_sales_flags_every_later_copy(spark):
+    # one order_id carries a third of the sales; only its first sale (arrival =
+    # all columns ascending) is not a repeated order.
+    from decimal import Decimal as D
+
+    from orderlake.contract import Contract
+    n = 900
+    rows = [(i, 0 if i < n // 3 else i, "2024-01-02", 1, "Lima", "BUILDING", None, "c", "p", "m", 1,
+             D("10.00"), D("0.00"), D("10.00"), D("0.00"), D("10.00"), 3) for i in range(n)]
+    schema = ("sale_id long, order_id long, sale_ts string, customer_id long, city string, channel string, "
+              "store_id string, category string, product string, pay_method string, quantity int, "
+              "unit_price decimal(18,2), discount_rate decimal(5,2), gross decimal(18,2), discount decimal(18,2), "
+              "net decimal(18,2), rating int")
+    sales = spark.createDataFrame(rows, schema).repartition(8)
+    flagged = S.flag_sales(sales, Contract(coverage=("Lima",)))
+    bad = {r["sale_id"]: r["reject_reason"] for r in flagged.where("reject_reason <> ''").collect()}
+    assert sorted(bad) == list(range(1, n // 3))
+    assert set(bad.values()) == {"pedido_id repetido"}
+    assert not re.search(r"\bWindow\b", _plan(flagged))
