@@ -39,6 +39,11 @@ def land(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, most_rows: int) -> DataFrame:
+    """A landed frame, to be broadcast if it has no more than most_rows rows; else Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import shingles
-from orderlake.llm.common import arrow, land, runs
+from orderlake.llm.common import arrow, land, runs, sized
 from orderlake.llm.components import connected_components
 
 BANDS, ROWS = 40, 5
@@ -49,6 +49,8 @@ LIKELY = 0.80
 PERCENT = 75
 #: Members, and shingles of members, that a block of a group holds.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 2_000_000
+#: Tables of ids of up to so many rows (some tens of MB) are broadcast, so that texts and registers stay where they are.
+BROADCAST_ROWS = 1_000_000
 #: Sets whose registers are computed together.
 TOGETHER = 64
 
@@ -170,14 +172,15 @@ def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.Re
                 rest = rest[likely_similar(own[k], n[k], own[rest], n[rest], CUT)] if len(rest) else rest
                 if not len(rest):
                     continue
+                shared = (own[k] == own[rest]).reshape(len(rest), BANDS, ROWS).all(axis=2)
+                rest = rest[shared.argmax(axis=1) == band_no]
                 if across:
-                    shared = (own[k] == own[rest]).reshape(len(rest), BANDS, ROWS).all(axis=2)
-                    pairs += [(k, int(m)) for m in rest[shared.argmax(axis=1) == band_no]]
-                else:
-                    for at, edges in near.items():
-                        for m in rest[likely_similar(own[k], n[k], own[rest], n[rest], at)].tolist():
-                            edges[k].append(m)
-                            edges[m].append(k)
+                    pairs += [(k, int(m)) for m in rest]
+                    continue
+                for at, edges in near.items():
+                    for m in rest[likely_similar(own[k], n[k], own[rest], n[rest], at)].tolist():
+                        edges[k].append(m)
+                        edges[m].append(k)
             if not across:
                 pairs = sorted({(min(e), max(e)) for edges in near.values() for e in _forest(len(rows), [np.array(x, dtype=np.int64) for x in edges])})
             partners: dict[int, list[int]] = {}
@@ -231,7 +234,8 @@ def _round(docs: DataFrame, members: DataFrame, across: bool, name: str) -> Data
     """Confirmed links (a, b) from the members of groups."""
     schema = "band long, i int, j int, doc_id long, partners array<long>"
     kept = land(arrow(partial(_estimate, across=across), _grouped(members), schema), f"kept_{name}")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ids = land(kept.select("doc_id").distinct(), f"ids_{name}")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sized(ids, BROADCAST_ROWS), "doc_id", "left_semi")
     return land(arrow(_verify, _grouped(kept.join(texts, "doc_id")), "a long, b long"), f"links_{name}")
 
 
@@ -239,7 +243,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of docs(doc_id, text, ...)."""
     sig = land(signatures(docs), "signatures")
     classes = land(sig.filter("doc_id is not null and n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")).filter("n_rows > 1").drop("n_rows"), "classes")
-    stood = sig.join(classes, "set_hash", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    stood = sig.join(sized(classes, BROADCAST_ROWS), "set_hash", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     reps = land(stood.filter("doc_id = rep and n_shingles > 0").select("doc_id", "n_shingles", "registers"), "representatives")
     rows = land(stood.select("doc_id", "n_shingles", "rep"), "rows")
 
