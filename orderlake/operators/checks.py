@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderlake.functions.semantics import false_if_null, first_by, parse_ts, round_half_even
-from orderlake.operators.profile import columns_by_role, is_numeric
+from orderlake.operators.profile import is_numeric
+from orderlake.operators.silver import residual_columns as residual_columns_of
 from orderlake.operators.silver import shared_tracking_numbers
 
 
@@ -31,8 +32,7 @@ def negatives(sales: DataFrame, events: DataFrame) -> DataFrame:
     """Negative numeric cells across both tables."""
     def cnt(df):
         cols = [c for c, t in df.dtypes if is_numeric(t)]
-        return sum((F.count_if(false_if_null(F.col(c) < 0)) for c in cols[1:]),
-                   F.count_if(false_if_null(F.col(cols[0]) < 0)))
+        return sum((F.count_if(false_if_null(F.col(c) < 0)) for c in cols), F.coalesce(F.sum(F.lit(0)), F.lit(0)))
     return sales.agg(cnt(sales).alias("sales_negative_cells")).withColumn(
         "events_negative_cells", events.agg(cnt(events)).scalar()).withColumn(
         "negative_cells", F.col("sales_negative_cells") + F.col("events_negative_cells"))
@@ -91,20 +91,27 @@ def unparseable_dates(events: DataFrame) -> DataFrame:
                         for c in cols])
 
 
-def residual_columns(events: DataFrame, max_values: int = 20) -> DataFrame:
-    """Every residual column (also when it holds no value), its number of
-    distinct values and the smallest ``max_values`` of them."""
-    res = columns_by_role(events)["residual"]
-    counts = events.agg(*[F.count_distinct(F.col(c)).alias(c) for c in res]).select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in res])).alias("r")
-    ).select("r.*")
+def residual_values(events: DataFrame) -> DataFrame:
+    """Every value of every residual column with its frequency, one row each
+    (no rows where the source has no residual column, or nothing in it)."""
+    res = residual_columns_of(events)
+    if not res:
+        return events.sparkSession.createDataFrame([], "column string, value string, n bigint")
     long = events.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in res])).alias("r")
-    ).select("r.*").where(F.col("value").isNotNull())
-    vals = (long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("column").agg(F.slice(F.sort_array(F.collect_list("value")), 1, max_values).alias("values")))
-    return (counts.join(vals, "column", "left")
-            .withColumn("values", F.coalesce(F.col("values"), F.array().cast("array<string>"))))
+    ).select("r.*")
+    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def residual_columns(events: DataFrame) -> DataFrame:
+    """Every residual column (also when it holds no value) with its number of distinct values."""
+    res = residual_columns_of(events)
+    if not res:
+        return events.sparkSession.createDataFrame([], "column string, distinct_values bigint")
+    one = events.agg(*[F.count_distinct(F.col(c)).alias(c) for c in res])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("distinct_values")) for c in res])).alias("r")
+    ).select("r.*")
 
 
 def _timeline(sales: DataFrame, events: DataFrame) -> DataFrame:

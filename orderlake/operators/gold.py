@@ -133,7 +133,7 @@ def city_channel_sales(orders: DataFrame) -> DataFrame:
                 money_sum("net").alias("net"),
                 round_half_even(F.avg("net")).alias("avg_ticket"),
                 round_half_even(mean_pct("late")).alias("pct_late"))
-            .withColumn("pct_of_total_net", round_half_even(F.col("net").cast("double") / total * 100.0))
+            .withColumn("pct_of_total_net", round_half_even(F.try_divide(F.col("net").cast("double"), total) * 100.0))
             .orderBy(F.desc("net"), "city", "channel"))
 
 

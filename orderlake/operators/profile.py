@@ -10,51 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.quantiles import group_quantiles, quantiles
 from orderlake.functions.semantics import clean_text, false_if_null, in_list, parse_ts, round_half_even
+from orderlake.schemas import (AMOUNT, CATEGORICAL, CATEGORY, DATE, DURATION, IDENTIFIER, MEASURE, NUMERIC, RESIDUAL,
+                               SCALE, TABLES)
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-ORDINALS = ("rating",)
+INTEGER_TYPES = NUMERIC_TYPES[:4]
 
 
 def is_numeric(dtype: str) -> bool:
     return dtype in NUMERIC_TYPES or dtype.startswith("decimal")
 
 
-def classify(name: str, dtype: str) -> str:
-    """B1: role of a column by name first, then by type (first match wins)."""
-    n = name.lower()
-    if n.startswith("unnamed"):
-        return "residual"
-    if n.startswith("id_") or n.endswith("_id") or n == "tracking_no":
-        return "identifier"
-    if n.endswith("_ts") or n.endswith("_ts_txt"):
-        return "date"
-    if "hours" in n:
-        return "duration"
-    if n in ORDINALS:
-        return "ordinal"
-    if is_numeric(dtype):
-        return "numeric"
-    return "categorical"
-
-
-def roles(df: DataFrame) -> dict[str, str]:
-    return {c: classify(c, t) for c, t in df.dtypes}
-
-
-def columns_by_role(df: DataFrame) -> dict[str, list[str]]:
-    """B2: ordinals count as categorical; durations are numeric and temporal."""
-    r = roles(df)
-    return {
-        "identifiers": [c for c, k in r.items() if k == "identifier"],
-        "categorical": [c for c, k in r.items() if k in ("categorical", "ordinal")],
-        "numeric": [c for c, k in r.items() if k in ("numeric", "duration")],
-        "temporal": [c for c, k in r.items() if k in ("date", "duration")],
-        "residual": [c for c, k in r.items() if k == "residual"],
-    }
+def _explode_structs(one: DataFrame, structs: list, schema: str) -> DataFrame:
+    """One row per struct computed from a one-row frame; an empty typed frame without structs."""
+    if not structs:
+        return one.sparkSession.createDataFrame([], schema)
+    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
 def _as_ts(df: DataFrame, c: str):
@@ -63,7 +39,7 @@ def _as_ts(df: DataFrame, c: str):
 
 def date_range(df: DataFrame, table: str) -> DataFrame:
     """min/max of every date column (text coerced) in one aggregate."""
-    cols = [c for c, k in roles(df).items() if k == "date"]
+    cols = TABLES[table].having(df.columns, DATE)
     aggs = []
     for c in cols:
         aggs += [F.min(_as_ts(df, c)).alias(f"{c}__min"), F.max(_as_ts(df, c)).alias(f"{c}__max")]
@@ -76,13 +52,13 @@ def date_range(df: DataFrame, table: str) -> DataFrame:
 
 def structure(df: DataFrame, table: str) -> DataFrame:
     """B4 + B5: type, non-null count, nulls, % null and role of every column, one pass."""
-    r = roles(df)
+    role = TABLES[table].role if table in TABLES else (lambda c: "")
     one = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in df.columns])
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(table).alias("tbl"), F.lit(c).alias("column"), F.lit(t).alias("type"),
                  F.col(c).alias("non_null"), (F.col("__rows") - F.col(c)).alias("nulls"),
                  round_half_even(F.try_divide((F.col("__rows") - F.col(c)) * 100.0, F.col("__rows")))
-                 .alias("pct_null"), F.lit(r[c]).alias("role"))
+                 .alias("pct_null"), F.lit(role(c)).alias("role"))
         for c, t in df.dtypes])).alias("r")).select("r.*")
 
 
@@ -99,67 +75,88 @@ def cardinality(df: DataFrame, table: str) -> DataFrame:
     Two-level aggregate over the unpivoted values: (column, value) partial
     counts, then per column — no ``Expand``.
     """
-    r = roles(df)
+    declared = TABLES[table]
     total = df.agg(F.count(F.lit(1))).scalar()
     per_value = _long_strings(df, df.columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     per_col = per_value.groupBy("column").agg(
         F.count("value").alias("distinct"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"))
-    role = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(r[c]))])[F.col("column")]
+    role = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(declared.role(c)))])[F.col("column")]
     d, nn = F.col("distinct"), F.col("non_null")
-    verdict = (F.when(F.col("role") == "identifier",
-                      F.when(d == nn, "unique identifier")
-                      .when(d >= nn * 0.4, "identifier with repeats (high cardinality)")
-                      .otherwise("repeating key"))
-               .when(F.col("role").isin("categorical", "ordinal"),
-                     F.when(d <= 10, "low cardinality").when(d <= 50, "medium cardinality")
-                     .otherwise("high cardinality"))
-               .when(F.col("role") == "residual", "no useful information")
-               .when(F.col("role") == "date",
-                     F.when(d > nn * 0.5, "date (almost unique per row)").otherwise("repeating date"))
-               .otherwise(F.when(d <= 12, "discrete numeric").otherwise("continuous numeric")))
     return (per_col.withColumn("role", role)
-            .withColumn("pct_of_rows", round_half_even(F.col("distinct") * 100.0 / total))
-            .withColumn("verdict", verdict)
+            .withColumn("pct_of_rows", round_half_even(F.try_divide(F.col("distinct") * 100.0, total)))
+            .withColumn("verdict", _banded(F.col("role"), {"values": d, "share": F.try_divide(d.cast("double"), nn)}))
             .withColumn("rows_per_value", round_half_even(F.try_divide(nn.cast("double"), d), 1))
             .select(F.lit(table).alias("tbl"), "column", "role", "distinct", "non_null", "pct_of_rows",
                     "rows_per_value", "verdict"))
 
 
-def numeric_summary(df: DataFrame, table: str, cols: Sequence[str] | None = None,
-                    exact: bool = True) -> DataFrame:
-    """Count, mean, std (n-1), min, quartiles (linear interpolation), max."""
-    cols = list(cols) if cols is not None else columns_by_role(df)["numeric"]
-    long = df.select(F.explode(F.array(*[
+# Thresholds of the cardinality verdicts. Per role: the measure that is
+# banded, the bands (smallest value of the measure, verdict), highest first; the last one is open.
+CARDINALITY_BANDS = {
+    IDENTIFIER: ("share", ((1.0, "unique identifier"), (0.4, "identifier with repeats (high cardinality)"),
+                           (None, "repeating key"))),
+    CATEGORY: ("values", ((51, "high cardinality"), (11, "medium cardinality"), (None, "low cardinality"))),
+    SCALE: ("values", ((51, "high cardinality"), (11, "medium cardinality"), (None, "low cardinality"))),
+    DATE: ("share", ((0.5 + 1e-12, "date (almost unique per row)"), (None, "repeating date"))),
+    RESIDUAL: ("values", ((None, "no useful information"),)),
+    AMOUNT: ("values", ((13, "continuous numeric"), (None, "discrete numeric"))),
+    MEASURE: ("values", ((13, "continuous numeric"), (None, "discrete numeric"))),
+    DURATION: ("values", ((13, "continuous numeric"), (None, "discrete numeric"))),
+}
+
+
+def _banded(role: Column, measures: dict[str, Column]) -> Column:
+    """The label of the first band, from above, that the role's measure reaches."""
+    verdict = F.lit(None).cast("string")
+    for name, (measure, bands) in CARDINALITY_BANDS.items():
+        label = F.lit(bands[-1][1])
+        for least, text in reversed(bands[:-1]):
+            label = F.when(measures[measure] >= F.lit(least), F.lit(text)).otherwise(label)
+        verdict = F.when(role == F.lit(name), label).otherwise(verdict)
+    return verdict
+
+
+def _long_numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("r")
     ).select("r.*")
-    q = (F.percentile("x", [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx("x", [0.25, 0.5, 0.75], 10000))
-    return (long.groupBy("column").agg(
+
+
+def numeric_summary(df: DataFrame, table: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, std (n-1), min, exact quartiles (linear interpolation), max."""
+    cols = list(cols) if cols is not None else TABLES[table].having(df.columns, *NUMERIC)
+    long = _long_numbers(df, cols)
+    stats = long.groupBy("column").agg(
         F.count("x").alias("count"), round_half_even(F.avg("x")).alias("mean"),
-        round_half_even(F.stddev_samp("x")).alias("std"), F.min("x").alias("min"),
-        q.alias("_q"), F.max("x").alias("max"))
-        .select(F.lit(table).alias("tbl"), "column", "count", "mean", "std", "min",
-                round_half_even(F.col("_q")[0]).alias("p25"), round_half_even(F.col("_q")[1]).alias("median"),
-                round_half_even(F.col("_q")[2]).alias("p75"), "max"))
-
-
-def categorical_summary(df: DataFrame, table: str, top_values: int = 20) -> DataFrame:
-    """Distinct, most frequent value (ties: smallest), its frequency and
-    share of non-nulls, and the ``top_values`` most frequent values in order."""
-    cols = columns_by_role(df)["categorical"]
-    freq = (_long_strings(df, cols).where(F.col("value").isNotNull())
+        round_half_even(F.stddev_samp("x")).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    quart = group_quantiles(long, ["column"], F.col("x"), [0.25, 0.5, 0.75])
+    return stats.join(quart, "column", "left").select(
+        F.lit(table).alias("tbl"), "column", "count", "mean", "std", "min", round_half_even("q0").alias("p25"),
+        round_half_even("q1").alias("median"), round_half_even("q2").alias("p75"), "max")
+
+
+def _frequencies(df: DataFrame, table: str) -> DataFrame:
+    cols = TABLES[table].having(df.columns, *CATEGORICAL)
+    return (_long_strings(df, cols).where(F.col("value").isNotNull())
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def categorical_summary(df: DataFrame, table: str) -> DataFrame:
+    """Distinct, most frequent value (ties: smallest), its frequency and share of non-nulls."""
     rank_key = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))
-    return (freq.groupBy("column").agg(
+    return (_frequencies(df, table).groupBy("column").agg(
         F.count(F.lit(1)).alias("distinct"),
         F.min_by("value", rank_key).alias("top_value"),
         F.max("n").alias("top_freq"),
-        F.sum("n").alias("non_null"),
-        F.slice(F.sort_array(F.collect_list(rank_key)), 1, top_values).alias("_top"))
+        F.sum("n").alias("non_null"))
         .select(F.lit(table).alias("tbl"), "column", "distinct", "top_value", "top_freq",
-                round_half_even(F.col("top_freq") * 100.0 / F.col("non_null")).alias("top_pct"),
-                F.array_join(F.transform("_top", lambda s: s["v"]), ", ").alias("values_by_freq")))
+                round_half_even(F.try_divide(F.col("top_freq") * 100.0, F.col("non_null"))).alias("top_pct")))
+
+
+def categorical_values(df: DataFrame, table: str) -> DataFrame:
+    """Every value of every categorical column with its frequency, one row each."""
+    return _frequencies(df, table).select(F.lit(table).alias("tbl"), "column", "value", "n")
 
 
 def frequency(df: DataFrame, col: str) -> DataFrame:
@@ -167,7 +164,7 @@ def frequency(df: DataFrame, col: str) -> DataFrame:
     total = df.agg(F.count(F.lit(1))).scalar()
     return (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
             .agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("share_pct", round_half_even(F.col("count") * 100.0 / total)))
+            .withColumn("share_pct", round_half_even(F.try_divide(F.col("count") * 100.0, total))))
 
 
 def once_per_order(events: DataFrame, col: str) -> DataFrame:
@@ -200,10 +197,10 @@ def conditional_nulls(sales: DataFrame, events: DataFrame, physical_channel: str
         return F.struct(F.lit(check).alias("check"), a.cast("bigint").alias("nulls_inside"),
                         b.cast("bigint").alias("rows_inside"), c.cast("bigint").alias("nulls_outside"),
                         d.cast("bigint").alias("rows_outside"), verdict.alias("verdict"))
-    sc = {k: s.select(k).scalar() for k in s.columns}
-    ec = {k: e.select(k).scalar() for k in e.columns}
-    one = sales.agg(F.count(F.lit(1)).alias("_one"))
-    return one.select(F.explode(F.array(
+    sc = {k: F.col(k) for k in s.columns}
+    both = e.select(F.struct(*e.columns).alias("_e")).scalar()
+    ec = {k: F.col("_e")[k] for k in e.columns}
+    return s.withColumn("_e", both).select(F.explode(F.array(
         row("store_id null by physical channel", sc["store_in"], sc["rows_in"], sc["store_out"], sc["rows_out"],
             F.when(sc["store_in"] == 0, "normal").otherwise("problem")),
         row("carrier null before dispatch / in transport", ec["car_pre"], ec["pre"], ec["car_tr"], ec["tr"],
@@ -246,28 +243,26 @@ def conflict_diff_columns(events: DataFrame, key: str = "event_id") -> DataFrame
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
-    """Equal-width histogram between min and max (max falls in the last bin)."""
-    lo = df.agg(F.min(F.col(col).cast("double"))).scalar()
-    hi = df.agg(F.max(F.col(col).cast("double"))).scalar()
+    """Equal-width histogram between min and max (max falls in the last bin; a constant column has one bin)."""
     x = F.col(col).cast("double")
-    b = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
+    lo, width = ends["lo"], (ends["hi"] - ends["lo"])
+    b = F.coalesce(F.least(F.floor(F.try_divide(x - lo, width) * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
     return (df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("lower", round_half_even(F.lit(lo) + F.col("bin") * (F.lit(hi) - F.lit(lo)) / bins))
-            .withColumn("upper", round_half_even(F.lit(lo) + (F.col("bin") + 1) * (F.lit(hi) - F.lit(lo)) / bins)))
+            .withColumn("lower", round_half_even(lo + F.col("bin") * width / bins))
+            .withColumn("upper", round_half_even(lo + (F.col("bin") + 1) * width / bins)))
 
 
 def boxplot(df: DataFrame, col: str) -> DataFrame:
-    """Quartiles, 1.5 x IQR fences and the outlier count."""
+    """Exact quartiles, 1.5 x IQR fences and the outlier count."""
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, [0.25, 0.5, 0.75]).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[2]).scalar()
-    iqr = q3 - q1
-    lo, hi = q1 - iqr * 1.5, q3 + iqr * 1.5
-    return df.agg(
-        round_half_even(F.percentile(x, 0.25)).alias("q1"), round_half_even(F.percentile(x, 0.5)).alias("median"),
-        round_half_even(F.percentile(x, 0.75)).alias("q3"),
-        round_half_even(lo).alias("lower_fence"), round_half_even(hi).alias("upper_fence"),
-        F.count_if((x < lo) | (x > hi)).alias("outliers"), F.count(x).alias("count"))
+    q = quantiles(df, x, [0.25, 0.5, 0.75]).select(F.struct("q0", "q1", "q2").alias("q")).scalar()
+    iqr = q["q2"] - q["q0"]
+    lo, hi = q["q0"] - iqr * 1.5, q["q2"] + iqr * 1.5
+    stats = df.agg(F.count_if((x < lo) | (x > hi)).alias("outliers"), F.count(x).alias("count"))
+    return stats.select(
+        round_half_even(q["q0"]).alias("q1"), round_half_even(q["q1"]).alias("median"), round_half_even(q["q2"]).alias("q3"),
+        round_half_even(lo).alias("lower_fence"), round_half_even(hi).alias("upper_fence"), "outliers", "count")
 
 
 def null_before_after(bronze: DataFrame, silver: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
@@ -290,73 +285,74 @@ def conditional_presence(sales: DataFrame, physical_channel: str) -> DataFrame:
     ).withColumn("exact", F.col("null_outside") & F.col("present_inside"))
 
 
-def _extra_rows(df: DataFrame) -> "F.Column":
-    """rows minus distinct rows (identical extra copies), as a scalar subquery."""
-    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar())
-
-
-def _repeats(df: DataFrame, key: str) -> "F.Column":
-    """pandas ``duplicated().sum()`` on one key (NULL is one value)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar())
+def _extra(counts: DataFrame, name: str) -> DataFrame:
+    """Rows beyond the first of each group, from a frame of group sizes ``_n``."""
+    return counts.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(name))
 
 
 def duplicates(sales: DataFrame, events: DataFrame) -> DataFrame:
-    """Identical rows, repeated keys, and repeated event ids split into
-    "identical row" vs "different content" (an id with any identical pair
-    counts as identical), plus shared tracking numbers."""
-    full = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("_n"))
-    per_id = full.groupBy("event_id").agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_max_copies"))
-    rep = per_id.where(F.col("_rows") > 1)
+    """Identical rows, repeated keys (NULL is one value), and repeated event ids
+    split into "identical row" vs "different content" (an id with any identical
+    pair counts as identical), plus shared tracking numbers.
+
+    Each fact is one partially aggregated count by its key; what identical rows
+    and event ids need comes from one count of whole rows."""
     from orderlake.operators.silver import shared_tracking_numbers
-    return sales.agg(F.count(F.lit(1)).alias("_x")).select(
-        _extra_rows(sales).alias("sales_duplicate_rows"),
-        _repeats(sales, "sale_id").alias("sales_sale_id_repeated"),
-        _repeats(sales, "order_id").alias("sales_order_id_repeated"),
-        _extra_rows(events).alias("events_duplicate_rows"),
-        _repeats(events, "event_id").alias("events_event_id_repeated"),
-        rep.agg(F.count_if(F.col("_max_copies") > 1)).scalar().alias("events_event_id_repeated_identical"),
-        rep.agg(F.count_if(F.col("_max_copies") == 1)).scalar().alias("events_event_id_repeated_different"),
-        _repeats(events, "order_id").alias("events_order_id_repeated"),
-        shared_tracking_numbers(events).agg(F.count(F.lit(1))).scalar().alias("shared_tracking_numbers"))
-
-
-MONETARY = ("unit_price", "gross", "discount", "net", "ship_cost")
-
-
-def type_verdict(name: str, dtype: str) -> str:
-    """Is the stored type coherent with the column's role? (metadata only)."""
-    role = classify(name, dtype)
-    num = is_numeric(dtype)
-    if role == "date":
-        return "OK (timestamp)" if dtype.startswith("timestamp") else \
-            f"REVIEW: date stored as {dtype}, convert to timestamp"
-    if role == "identifier":
-        return "OK: integer technical key" if num else "OK (text)"
-    if name in MONETARY:
-        return "OK (numeric amount)" if num else "REVIEW: amount not numeric"
-    if role == "ordinal":
-        return "OK (integer scale)" if dtype in ("tinyint", "smallint", "int", "bigint") else \
-            f"REVIEW: integer scale stored as {dtype}"
-    if role == "residual":
-        return "REVIEW: drop (not part of the data model)"
-    if role == "duration":
-        return "OK: duration in hours (numeric)"
-    if role == "numeric":
-        return "OK (numeric)" if num else "REVIEW: should be numeric"
-    return "OK (text)" if not num else "REVIEW: category stored as a number"
+
+    def sizes(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+    per_id = sizes(events, *events.columns).groupBy("event_id").agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_most"), F.sum(F.col("_n") - 1).alias("_same"))
+    ids = per_id.agg(
+        F.coalesce(F.sum("_same"), F.lit(0)).alias("events_duplicate_rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("events_event_id_repeated"),
+        F.count_if((F.col("_n") > 1) & (F.col("_most") > 1)).alias("events_event_id_repeated_identical"),
+        F.count_if((F.col("_n") > 1) & (F.col("_most") == 1)).alias("events_event_id_repeated_different"))
+    names = ["sales_duplicate_rows", "sales_sale_id_repeated", "sales_order_id_repeated", "events_duplicate_rows",
+             "events_event_id_repeated", "events_event_id_repeated_identical", "events_event_id_repeated_different",
+             "events_order_id_repeated", "shared_tracking_numbers"]
+    others = {"sales_duplicate_rows": _extra(sizes(sales, *sales.columns), "v"),
+              "sales_sale_id_repeated": _extra(sizes(sales, "sale_id"), "v"),
+              "sales_order_id_repeated": _extra(sizes(sales, "order_id"), "v"),
+              "events_order_id_repeated": _extra(sizes(events, "order_id"), "v"),
+              "shared_tracking_numbers": shared_tracking_numbers(events).agg(F.count(F.lit(1)).alias("v"))}
+    return ids.withColumns({k: v.scalar() for k, v in others.items()}).select(*names)
+
+
+# Per role, the kinds of type that fit it, and the words for a fit and a misfit.
+TYPE_FITS = {
+    IDENTIFIER: (("number", "integer", "text"), "OK: {kind} key", ""),
+    DATE: (("timestamp",), "OK (timestamp)", "REVIEW: date stored as {type}, convert to timestamp"),
+    AMOUNT: (("number", "integer"), "OK (numeric amount)", "REVIEW: amount not numeric"),
+    MEASURE: (("number", "integer"), "OK (numeric)", "REVIEW: should be numeric"),
+    DURATION: (("number", "integer"), "OK: duration in hours", "REVIEW: duration not numeric"),
+    SCALE: (("integer",), "OK (integer scale)", "REVIEW: integer scale stored as {type}"),
+    CATEGORY: (("text",), "OK (text)", "REVIEW: category stored as {type}"),
+    RESIDUAL: ((), "", "REVIEW: drop (not part of the data model)"),
+}
+
+
+def type_kind(dtype: str) -> str:
+    kinds = {"integer": dtype in INTEGER_TYPES, "number": is_numeric(dtype), "timestamp": dtype.startswith("timestamp")}
+    return next((k for k, holds in kinds.items() if holds), "text")
 
 
 def type_check(df: DataFrame, table: str) -> DataFrame:
-    """Verdict per column plus evidence: the share of non-null text values
-    of date columns that parse as timestamps (one aggregate)."""
-    txt_dates = [c for c, t in df.dtypes if classify(c, t) == "date" and t == "string"]
+    """Does each column's type fit its declared role, plus evidence: the share of
+    non-null text values of date columns that parse as timestamps (one aggregate)."""
+    declared = TABLES[table]
+    txt_dates = [c for c, t in df.dtypes if declared.role(c) == DATE and t == "string"]
     one = df.agg(F.lit(1).alias("_one"), *[
         round_half_even(F.try_divide(F.count(parse_ts(c)) * 100.0, F.count(F.col(c)))).alias(f"{c}__pct")
         for c in txt_dates])
+
+    def verdict(c: str, t: str) -> str:
+        fits, good, bad = TYPE_FITS[declared.role(c)]
+        return (good if type_kind(t) in fits else bad).format(kind=type_kind(t), type=t)
+
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(table).alias("tbl"), F.lit(c).alias("column"), F.lit(t).alias("type"),
-                 F.lit(classify(c, t)).alias("role"), F.lit(type_verdict(c, t)).alias("verdict"),
+                 F.lit(declared.role(c)).alias("role"), F.lit(verdict(c, t)).alias("verdict"),
                  (F.col(f"{c}__pct") if c in txt_dates else F.lit(None).cast("double")).alias("parseable_pct"))
         for c, t in df.dtypes])).alias("r")).select("r.*")

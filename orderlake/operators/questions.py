@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlake.functions.quantiles import quantiles
 from orderlake.functions.semantics import (first_by, money_sum, round_half_even)
 
 
@@ -32,7 +33,7 @@ def net_by_channel(sales: DataFrame) -> DataFrame:
     total = sales.agg(F.sum("net").cast("double")).scalar()
     return (sales.groupBy("channel")
             .agg(money_sum("net").alias("net"))
-            .withColumn("share_pct", round_half_even(F.col("net").cast("double") / total * 100.0))
+            .withColumn("share_pct", round_half_even(F.try_divide(F.col("net").cast("double"), total) * 100.0))
             .orderBy(F.desc("net"), "channel"))
 
 
@@ -71,14 +72,14 @@ def recurrence_kpis(sales: DataFrame) -> DataFrame:
         F.sum("purchases").alias("sales"),
         F.sum(F.when(F.col("purchases") > 1, F.col("purchases")).otherwise(0)).alias("sales_by_repeat"))
         .select("customers", "repeat_customers", "max_purchases",
-                round_half_even(F.col("repeat_customers") / F.col("customers") * 100.0).alias("repeat_pct"),
-                round_half_even(F.col("sales_by_repeat") / F.col("sales") * 100.0).alias("sales_by_repeat_pct")))
+                round_half_even(F.try_divide("repeat_customers", "customers") * 100.0).alias("repeat_pct"),
+                round_half_even(F.try_divide("sales_by_repeat", "sales") * 100.0).alias("sales_by_repeat_pct")))
 
 
 def discount_share(sales: DataFrame) -> DataFrame:
     """discount as % of gross; % of sales with a discount."""
     return sales.agg(
-        round_half_even(F.sum("discount").cast("double") / F.sum("gross").cast("double") * 100.0)
+        round_half_even(F.try_divide(F.sum("discount").cast("double"), F.sum("gross").cast("double")) * 100.0)
         .alias("discount_pct_of_gross"),
         round_half_even(F.avg((F.col("discount_rate") > 0).cast("double")) * 100.0)
         .alias("pct_sales_with_discount"))
@@ -96,13 +97,15 @@ def stage_hours_by_carrier(events: DataFrame) -> DataFrame:
 
 def top_products(sales: DataFrame, k: int = 5) -> DataFrame:
     """top-k products by net and their weight inside their category."""
-    per = (sales.groupBy("product", "category").agg(money_sum("net").alias("net"))
-           .withColumn("category_net", F.sum("net").over(Window.partitionBy("category"))))
-    return (per.withColumn("category_share_pct",
-                           round_half_even(F.col("net").cast("double") / F.col("category_net").cast("double") * 100.0))
-            .drop("category_net")
-            .orderBy(F.desc("net"), "product", "category")
-            .limit(k))
+    per = sales.groupBy("product", "category").agg(money_sum("net").alias("net"))
+    # the k products are chosen first; their categories' totals then come from one pre-aggregated join
+    top = per.orderBy(F.desc("net"), "product", "category").limit(k)
+    totals = sales.groupBy(F.col("category").alias("_c")).agg(money_sum("net").alias("_category_net"))
+    return (top.join(totals, F.col("category").eqNullSafe(F.col("_c")))
+            .withColumn("category_share_pct", round_half_even(
+                F.try_divide(F.col("net").cast("double"), F.col("_category_net").cast("double")) * 100.0))
+            .drop("_c", "_category_net")
+            .orderBy(F.desc("net"), "product", "category"))
 
 
 def _order_costs(sales: DataFrame, events: DataFrame) -> DataFrame:
@@ -146,13 +149,13 @@ def incident_rate(events: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.col("incident").isNotNull(), F.col("order_id"))).alias("orders_with_incident"),
         F.count_distinct("order_id").alias("orders")
     ).withColumn("pct_orders_with_incident",
-                 round_half_even(F.col("orders_with_incident") / F.col("orders") * 100.0))
+                 round_half_even(F.try_divide("orders_with_incident", "orders") * 100.0))
 
 
-def payment_channel(sales: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """payment method x channel contingency table (channel values fixed so the schema is)."""
-    return (sales.groupBy("pay_method").pivot("channel", list(channels)).count()
-            .na.fill(0, subset=list(channels)))
+def payment_channel(sales: DataFrame) -> DataFrame:
+    """payment method x channel contingency table in long form (method, channel, n):
+    whatever channels the data has, one row per combination that occurs."""
+    return sales.groupBy("pay_method", "channel").agg(F.count(F.lit(1)).alias("n"))
 
 
 def exclusive_methods(sales: DataFrame, physical_channel: str) -> DataFrame:
@@ -184,7 +187,7 @@ def concentration_top3(sales: DataFrame) -> DataFrame:
     top = per.orderBy(F.desc("net"), "city").limit(3)
     return top.agg(money_sum("net").alias("top3_net"),
                    F.count(F.lit(1)).alias("cities")).withColumn(
-        "top3_share_pct", round_half_even(F.col("top3_net").cast("double") / total * 100.0))
+        "top3_share_pct", round_half_even(F.try_divide(F.col("top3_net").cast("double"), total) * 100.0))
 
 
 def rating_high_share(sales: DataFrame, high: Sequence[int] = (4, 5)) -> DataFrame:
@@ -207,7 +210,7 @@ def channel_transaction_share(sales: DataFrame) -> DataFrame:
     """share of transactions per channel (``value_counts(normalize=True)``)."""
     total = sales.agg(F.count(F.lit(1))).scalar()
     return (sales.groupBy("channel").agg(F.count(F.lit(1)).alias("transactions"))
-            .withColumn("share_pct", round_half_even(F.col("transactions") / total * 100.0)))
+            .withColumn("share_pct", round_half_even(F.try_divide(F.col("transactions"), total) * 100.0)))
 
 
 def category_value_vs_transactions(sales: DataFrame) -> DataFrame:
@@ -221,8 +224,10 @@ def category_value_vs_transactions(sales: DataFrame) -> DataFrame:
 
 def net_skew(sales: DataFrame) -> DataFrame:
     """single-unit share; mean vs median of net; sample skewness."""
+    net = F.col("net").cast("double")
+    median = quantiles(sales, net, [0.5]).scalar()
     return sales.agg(
         round_half_even(F.avg((F.col("quantity") == 1).cast("double")) * 100.0).alias("single_unit_pct"),
         round_half_even(F.avg("net")).alias("mean_net"),
-        round_half_even(F.percentile(F.col("net").cast("double"), 0.5)).alias("median_net"),
-        round_half_even(F.skewness(F.col("net").cast("double")), 4).alias("skewness_net"))
+        round_half_even(F.skewness(net), 4).alias("skewness_net")).select(
+        "single_unit_pct", "mean_net", round_half_even(median).alias("median_net"), "skewness_net")

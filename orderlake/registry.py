@@ -64,7 +64,7 @@ def f_queries() -> dict[str, QueryFn]:
         "q07_cost_by_category": _both(Q.cost_by_category),
         "q07_cost_corr": _both(Q.cost_correlations),
         "q08_incident_rate": _events(Q.incident_rate),
-        "q09_payment_channel": _sales(lambda s: Q.payment_channel(s, oracle.CHANNELS)),
+        "q09_payment_channel": _sales(Q.payment_channel),
         "q09_exclusive_methods": _sales(lambda s: Q.exclusive_methods(s, "BUILDING")),
         "q10_avg_net_by_city": _sales(Q.avg_net_by_city),
         "concentration_top3": _sales(Q.concentration_top3),
@@ -256,6 +256,7 @@ def b_queries() -> dict[str, QueryFn]:
         "profile_numeric_summary": both(P.numeric_summary),
         "profile_once_per_order": _events(first_ship_cost),
         "profile_categorical_summary": both(P.categorical_summary),
+        "profile_categorical_values": both(P.categorical_values),
         "freq_channel": _sales(lambda s: P.frequency(s, "channel")),
         "freq_state": _events(lambda e: P.frequency(e, "state")),
         "freq_quantity": _sales(lambda s: P.frequency(s, "quantity")),
@@ -271,8 +272,8 @@ def b_queries() -> dict[str, QueryFn]:
         "check_constant_in_group": _events(B.constant_in_group),
         "check_shared_tracking": _events(B.shared_tracking),
         "check_unparseable_dates": _events(B.unparseable_dates),
-        "check_residual_columns": _events(lambda e: B.residual_columns(e).select(
-            "column", "distinct_values", F.array_join("values", ", ").alias("values"))),
+        "check_residual_columns": _events(B.residual_columns),
+        "check_residual_values": _events(B.residual_values),
         "check_event_before_sale": _both(B.event_before_sale),
         "check_promise_before_sale": _both(B.promise_before_sale),
         "check_out_of_order": _events(B.out_of_order),
@@ -282,6 +283,8 @@ def b_queries() -> dict[str, QueryFn]:
             P.standardize_impact(bronze_events(spark, d), "events", std_cols["events"])),
         "conflict_diff_columns": _events(P.conflict_diff_columns),
         "histogram_net": _sales(lambda s: P.histogram(s, "net", 20)),
+        "histogram_unit_price": _sales(lambda s: P.histogram(s, "unit_price", 20)),
+        "freq_rating": _sales(lambda s: P.frequency(s, "rating")),
         "boxplot_stage_hours": _events(lambda e: P.boxplot(e, "stage_hours")),
         "null_before_after": _sv(lambda p: P.null_before_after(
             p["events_raw"], p["e_clean"], {"event_ts_txt": "event_ts", "promised_ts_txt": "promised_ts"})),
