@@ -7,6 +7,7 @@ here, so functions stay pure ``DataFrame -> DataFrame`` transformations.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -72,8 +73,8 @@ class Contract:
     # Accepted text formats for timestamps (None = the ISO cast).
     ts_formats: tuple[str | None, ...] = (None,)
     max_loads: int = 48
-    # Columns whose null count decides which conflicting version wins.
-    event_sort_tiebreak: tuple[str, ...] = field(default=())
+    # Share (%) of rows that may break a rule, by rule id; a rule that is not named admits none.
+    tolerated_pct: Mapping[str, float] = field(default_factory=dict)
 
 
 FIXTURE_CONTRACT = Contract()

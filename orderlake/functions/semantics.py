@@ -107,14 +107,3 @@ def money(c) -> Column:
 def money_sum(c) -> Column:
     """Exact decimal sum, widened to decimal(38,2) in both engines."""
     return F.sum(col_(c)).cast("decimal(38,2)")
-
-
-def arrival_order(df: DataFrame, cols: Sequence[str] | None = None) -> list[Column]:
-    """Total order that stands in for arrival order when none was landed.
-
-    Real landings carry ``_arrival`` (file + row index); test views order by
-    all their columns, ascending, nulls first, in both engines.
-    """
-    if cols is None:
-        cols = ["_arrival"] if "_arrival" in df.columns else df.columns
-    return [F.col(c).asc_nulls_first() for c in cols]

@@ -33,8 +33,16 @@ FIRST_COLS = ("promised_ts", "center", "dest_city", "carrier", "tracking_no", "s
 
 def gold_events(sales: DataFrame, events: DataFrame) -> DataFrame:
     """Every Silver sale (without its amounts, so they cannot be summed once
-    per event) left-joined to its events. 1:N; key uniqueness is a gate rule."""
-    return sales.drop(*SALES_AMOUNTS).join(events, "order_id", "left")
+    per event) left-joined to its events. 1:N; key uniqueness is a gate rule.
+
+    Written as the inner join plus the sales without events: an outer join's
+    right side can't be split, and that is where a hot order's events are."""
+    parts = sales.drop(*SALES_AMOUNTS)
+    columns = [*parts.columns, *[c for c in events.columns if c != "order_id"]]
+    joined = events.join(parts, "order_id").select(*columns)
+    alone = parts.join(events.select("order_id").distinct(), "order_id", "left_anti")
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in events.dtypes if c != "order_id"]
+    return joined.unionByName(alone.select("*", *nulls).select(*columns))
 
 
 def order_summary(events: DataFrame, contract: Contract) -> DataFrame:
@@ -61,10 +69,13 @@ def order_flags(summary: DataFrame, events: DataFrame) -> DataFrame:
     n_all = events.agg(F.count_distinct("state")).scalar()
     shared = shared_tracking_numbers(events).select(F.col("tracking_no").alias("_shared_trk"),
                                                     F.lit(True).alias("_is_shared"))
-    return (summary.join(shared, summary["tracking_no"] == shared["_shared_trk"], "left")
+    with_number = summary.where(F.col("tracking_no").isNotNull())  # orders without one would meet in one task
+    without = summary.where(F.col("tracking_no").isNull()).withColumn("_is_shared", F.lit(None).cast("boolean"))
+    return (with_number.join(shared, with_number["tracking_no"] == shared["_shared_trk"], "left").drop("_shared_trk")
+            .unionByName(without)
             .withColumn("trace_complete", F.col("n_states") == n_all)
             .withColumn("tracking_shared", F.coalesce(F.col("_is_shared"), F.lit(False)))
-            .drop("_shared_trk", "_is_shared"))
+            .drop("_is_shared"))
 
 
 def gold_orders(sales: DataFrame, events: DataFrame, contract: Contract) -> DataFrame:

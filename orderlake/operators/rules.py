@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
 from orderlake.functions.semantics import false_if_null, in_list
+from orderlake.operators.silver import rows_of_repeated
 
 RULE_COLS = ("layer", "rule_id", "rule", "violations", "passed")
 
@@ -27,10 +28,11 @@ class GateError(Exception):
                          + "; ".join(f"{r[0]}: {r[1]} {r[2]}" for r in failed))
 
 
-def _dups_incl_null(c: str) -> Column:
-    """pandas ``duplicated().sum()``: rows minus distinct values, NULL counted as one value."""
-    return (F.count(F.lit(1)) - F.count_distinct(F.col(c))
-            - F.when(F.count_if(F.col(c).isNull()) > 0, 1).otherwise(0))
+def _repeats(df: DataFrame, *keys: str) -> Column:
+    """pandas ``duplicated().sum()``: rows beyond the first of each key (NULL is one value),
+    as one partially aggregated count by the key."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar())
 
 
 def _out_of_coverage(df: DataFrame, col: str, contract: Contract, coverage: DataFrame | None) -> Column:
@@ -61,12 +63,12 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
     neg = sum((F.count_if(false_if_null(F.col(a) < 0)) for a in amounts[1:]),
               F.count_if(false_if_null(F.col(amounts[0]) < 0)))
     s = sales.agg(
-        _dups_incl_null("sale_id").alias("r1"), _dups_incl_null("order_id").alias("r2"),
         F.count_if(F.col("sale_ts").isNull()).alias("r3"),
         F.count_if(F.col("rating").isNotNull() & ~false_if_null(
             F.col("rating").between(contract.rating_min, contract.rating_max))).alias("r4"),
         neg.alias("r5"))
-    s = s.withColumn("r6", _out_of_coverage(sales, "city", contract, coverage))
+    s = s.withColumns({"r1": _repeats(sales, "sale_id"), "r2": _repeats(sales, "order_id"),
+                       "r6": _out_of_coverage(sales, "city", contract, coverage)})
     ts_ok = _is_ts(sales, "sale_ts")
     sales_specs = [
         ("R1", "sale_id unique", "r1", F.col("r1") == 0),
@@ -78,17 +80,13 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
     ]
     transport = in_list("state", contract.transport_states)
     cols = events.columns
-    # Identical rows imply a repeated event_id: when the key is unique (R7 = 0,
-    # checked first, one cheap aggregate) R8 needs no full-row shuffle.
-    key_dups = events.agg(_dups_incl_null("event_id")).first()[0]
-    ident = F.lit(0) if key_dups == 0 else events.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()
+    # identical rows have the same event_id, so only rows of repeated ids are compared as a whole
+    ident = _repeats(rows_of_repeated(events, "event_id"), *cols)
     orphans = (events.join(sales.select("order_id").distinct(), "order_id", "left_anti")
                .agg(F.count(F.lit(1))).scalar())
     residual = sum(1 for c in cols if c.lower().startswith("unnamed"))
     dates_ok = _is_ts(events, "event_ts") and _is_ts(events, "promised_ts")
     e = events.agg(
-        F.lit(key_dups).cast("bigint").alias("r7"),  # already counted above, not recounted
         F.count_if(F.col("center").isNull()).alias("r11"),
         F.count_if(F.col("dest_city").isNull()).alias("r12"),
         F.count_if(F.col("promised_ts").isNull()).alias("r13"),
@@ -96,7 +94,7 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
         F.count_if(~transport & F.col("carrier").isNotNull()).alias("r15"),
         F.count_if(transport & F.col("tracking_no").isNull()).alias("r16"),
         F.count_if(~transport & F.col("tracking_no").isNotNull()).alias("r17"))
-    e = e.withColumns({"r8": ident, "r9": F.lit(residual), "r10": F.lit(0 if dates_ok else 1),
+    e = e.withColumns({"r7": _repeats(events, "event_id"), "r8": ident, "r9": F.lit(residual), "r10": F.lit(0 if dates_ok else 1),
                        "r18": _out_of_coverage(events, "dest_city", contract, coverage), "r19": orphans,
                        "r20": rejected_sales_rows, "r20_den": raw_sales_rows,
                        "r21": rejected_event_rows, "r21_den": raw_event_rows})
@@ -135,12 +133,12 @@ def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: D
     amounts_in_events = sum(1 for c in ("unit_price", "gross", "discount", "net") if c in gold_events.columns)
     g = gold_orders.agg(
         F.count(F.lit(1)).alias("_rows"),
-        _dups_incl_null("order_id").alias("r23"),
         F.sum("net").alias("_net"),
         F.count_if(F.col("n_events").isNull()).alias("r25"),
         F.count_if(F.col("ship_cost").isNull()).alias("r26"))
     g = g.withColumns({
         "r22": F.abs(F.col("_rows") - n_sales),
+        "r23": _repeats(gold_orders, "order_id"),
         "r24": F.when(F.abs(F.coalesce(F.col("_net"), F.lit(0)) - F.coalesce(net_silver, F.lit(0))) >= 1, 1)
                 .otherwise(0),
         "r27": F.abs(n_gold_events - n_events),

@@ -37,6 +37,11 @@ TRANSPORT_COLS = ("carrier", "tracking_no")
 SRC_SALES, SRC_EVENTS = "ventas", "logistica"
 LVL_SALE, LVL_EVENT, LVL_COLUMN, LVL_ORDER = "venta", "evento", "columna", "pedido"
 
+#: Column that holds a row's place of arrival, where a landing has recorded it.
+ARRIVAL = "_arrival"
+#: Copies of one row that a task lists at once.
+COPIES_AT_ONCE = 10_000
+
 INCIDENT_COLS = ("source", "level", "key", "order_id", "kind", "action", "detail")
 
 
@@ -90,14 +95,32 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 def first_rows(df: DataFrame, key: str, order_cols: Sequence[str] | None = None) -> DataFrame:
     """``(_k, _first)`` for the keys that occur more than once: the key's first
-    row in arrival order as a struct. One partially aggregated pass gives the
-    count and the ``min(struct)`` together, so a hot key collapses map-side to
-    one row per task."""
-    cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
-    arrival = F.struct(*[F.col(c) for c in cols])
-    return (df.groupBy(F.col(key).alias("_k"))
-            .agg(F.count(F.lit(1)).alias("_c"), F.min(arrival).alias("_first"))
-            .where(F.col("_c") > 1).drop("_c"))
+    row in arrival order as a struct.
+
+    The count that finds the repeated keys shuffles the key alone; only rows of
+    repeated keys are ranked, by a ``min(struct)`` that collapses a hot key
+    map-side to one row per task."""
+    few = rows_of_repeated(df, key)
+    return few.groupBy(F.col(key).alias("_k")).agg(F.min(_arrival_struct(df, order_cols)).alias("_first"))
+
+
+def rows_of_repeated(df: DataFrame, key: str) -> DataFrame:
+    """The rows whose key occurs more than once (NULL is one key)."""
+    return df.join(repeated_keys(df, key), F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+
+
+def content_columns(df: DataFrame) -> list[str]:
+    """The columns that make up a row's content: all but its place of arrival."""
+    return [c for c in df.columns if c != ARRIVAL]
+
+
+def _arrival_cols(df: DataFrame, order_cols: Sequence[str] | None) -> list[str]:
+    """What orders rows by arrival: the landed place, or all columns where none was landed."""
+    return list(order_cols) if order_cols else ([ARRIVAL] if ARRIVAL in df.columns else df.columns)
+
+
+def _arrival_struct(df: DataFrame, order_cols: Sequence[str] | None) -> Column:
+    return F.struct(*[F.col(c) for c in _arrival_cols(df, order_cols)])
 
 
 def first_arrival_flags(df: DataFrame, key: str, flag: str, order_cols: Sequence[str] | None = None) -> DataFrame:
@@ -113,8 +136,7 @@ def flag_non_first(df: DataFrame, specs: Sequence[tuple[str, str, DataFrame]],
                    order_cols: Sequence[str] | None = None) -> DataFrame:
     """Join several ``first_rows`` results (all computed from ``df`` itself, so
     the input is not re-derived once per key) and set one flag per key."""
-    cols = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in df.columns else df.columns)
-    arrival = F.struct(*[F.col(c) for c in cols])
+    arrival = _arrival_struct(df, order_cols)
     out = df
     for i, (key, flag, firsts) in enumerate(specs):
         f = firsts.select(F.col("_k").alias(f"_k{i}"), F.col("_first").alias(f"_first{i}"))
@@ -127,16 +149,28 @@ def flag_non_first(df: DataFrame, specs: Sequence[tuple[str, str, DataFrame]],
 
 # ------------------------------------------------------------------ C1
 def dedup_exact(df: DataFrame) -> DataFrame:
-    """Drop identical rows (every survivor is the same row)."""
-    return df.dropDuplicates()
+    """Drop identical rows; of each, the first to arrive stays."""
+    if ARRIVAL not in df.columns:
+        return df.dropDuplicates()
+    return df.groupBy(*content_columns(df)).agg(F.min(ARRIVAL).alias(ARRIVAL)).select(*df.columns)
+
+
+def copies(df: DataFrame, n: str) -> DataFrame:
+    """Each row ``n`` - 1 times. A row with very many copies is expanded in pieces of
+    ``COPIES_AT_ONCE`` that are dealt to all tasks."""
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(n) - 2) / COPIES_AT_ONCE))
+    dealt = df.where(F.col(n) > 1).withColumn("_piece", F.explode(pieces))
+    if_many = dealt.withColumn("_size", F.least(F.lit(COPIES_AT_ONCE), F.col(n) - 1 - F.col("_piece") * COPIES_AT_ONCE))
+    spread = if_many.repartition("_piece", *[c for c in ("event_id",) if c in df.columns])
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))).drop("_piece", "_size", "_copy")
 
 
 def duplicate_row_incidents(raw_events: DataFrame) -> DataFrame:
     """One incident per removed identical copy (count - 1 per distinct row)."""
-    counted = raw_events.groupBy(*raw_events.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    extra = counted.select("event_id", "order_id", F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_copy"))
-    return extra.select(incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"),
-                                 K.KIND_DUPLICATE_ROW, K.ACTION_REMOVED).alias("i")).select("i.*")
+    counted = raw_events.groupBy(*content_columns(raw_events)).agg(F.count(F.lit(1)).alias("_n"))
+    return copies(counted.select("event_id", "order_id", "_n"), "_n").select(
+        incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"),
+                 K.KIND_DUPLICATE_ROW, K.ACTION_REMOVED).alias("i")).select("i.*")
 
 
 # ------------------------------------------------------------------ C3
@@ -171,8 +205,8 @@ def resolve_key_conflicts(df: DataFrame, key: str = "event_id",
     partial aggregation keeps a hot key from gathering in one task.
     """
     cols = df.columns
-    order = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in cols else cols)
-    ranked = df.withColumn("_nulls", null_count(cols))
+    order = _arrival_cols(df, order_cols)
+    ranked = df.withColumn("_nulls", null_count(content_columns(df)))
     if order == cols:  # the row itself is the tie-break: do not carry it twice
         rank_struct = F.struct(F.col("_nulls"), F.struct(*cols).alias("_row"))
     else:
@@ -202,9 +236,9 @@ def coerce_dates(df: DataFrame, mapping: dict[str, str], formats=(None,)) -> Dat
 
 def coerce_rating(df: DataFrame, col: str = "rating") -> DataFrame:
     """Ordinal -> nullable int; keeps ``_rating_fractional`` for the S20 rule."""
-    return (df.withColumn("_rating_fractional",
-                          false_if_null(F.col(col).cast("double") != F.floor(F.col(col).cast("double"))))
-            .withColumn(col, F.col(col).cast("int")))
+    number = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))  # NaN says no rating (S33)
+    return (df.withColumn("_rating_fractional", false_if_null(number != F.floor(number)))
+            .withColumn(col, number.cast("int")))
 
 
 def normalize_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -224,11 +258,12 @@ def flag_sales(sales_raw: DataFrame, contract: Contract, coverage: DataFrame | N
     """Deduplicate, type, clean, evaluate every row rule on the
     frame *before* any removal (S8). Adds ``reject_reason`` ('' = valid)."""
     df = dedup_exact(sales_raw)
+    order_cols = order_cols or ([ARRIVAL] if ARRIVAL in df.columns else None)
     if dict(df.dtypes).get("sale_ts") == "string":
         df = df.withColumn("sale_ts", parse_ts("sale_ts", contract.ts_formats))
     df = coerce_rating(df)
     df = normalize_text(df, SALES_TEXT_COLS)
-    base_cols = [c for c in df.columns if c != "_rating_fractional"]
+    base_cols = [c for c in content_columns(df) if c != "_rating_fractional"]
     order = order_cols or base_cols
     df = flag_non_first(df, [("sale_id", "_dup_sale", first_rows(df, "sale_id", order)),
                              ("order_id", "_dup_order", first_rows(df, "order_id", order))], order)
@@ -282,34 +317,31 @@ def prepared_events(events_raw: DataFrame, order_cols: Sequence[str] | None = No
     NULLs outside residual columns, ties by arrival). Residual columns are kept
     here (C3 counts their cells and they break ties) and dropped downstream.
 
-    Two aggregates and one join: the distinct rows (all columns, map-side
-    combined), then per ``event_id`` the number of versions and the smallest
-    rank (partially aggregated, so a hot key collapses to one row per map
-    task). Only keys with several versions are joined back (AQE broadcasts
-    them by measured size or splits a skewed partition). Written once, it
-    feeds the typed events and the duplicate / conflict incidents without
-    recomputing the raw input.
+    The distinct rows (all columns, map-side combined), then a count by
+    ``event_id`` alone; only ids with several versions are ranked (a partially
+    aggregated minimum: a hot id collapses to one row per map task) and joined
+    back (AQE broadcasts them by measured size or splits a skewed partition).
+    Written once, it feeds the typed events and the duplicate / conflict
+    incidents without recomputing the raw input.
     """
-    counted = events_raw.groupBy(*events_raw.columns).agg(F.count(F.lit(1)).alias("_n"))
+    content = content_columns(events_raw)
+    landed = ARRIVAL in events_raw.columns
+    counted = events_raw.groupBy(*content).agg(F.count(F.lit(1)).alias("_n"), *([F.min(ARRIVAL).alias(ARRIVAL)] if landed else []))
     res = residual_columns(events_raw)
-    keep = [c for c in events_raw.columns if c not in res]
-    order = list(order_cols) if order_cols else (["_arrival"] if "_arrival" in keep else keep)
+    keep = [c for c in content if c not in res]
+    order = list(order_cols) if order_cols else ([ARRIVAL] if landed else keep)
     ranked = counted.withColumn("_nulls", null_count(keep))
     rank = F.struct(F.col("_nulls"), F.struct(*[F.col(c) for c in order + [c for c in res if c not in order]]))
-    winners = (ranked.groupBy(F.col("event_id").alias("_k"))
-               .agg(F.count(F.lit(1)).alias("_versions"), F.min(rank).alias("_w"))
-               .where(F.col("_versions") > 1).drop("_versions"))
+    winners = rows_of_repeated(ranked, "event_id").groupBy(F.col("event_id").alias("_k")).agg(F.min(rank).alias("_w"))
     return (ranked.join(winners, ranked["event_id"].eqNullSafe(winners["_k"]), "left")
             .withColumn("_win", F.col("_w").isNull() | rank.eqNullSafe(F.col("_w")))
-            .drop("_k", "_w", "_nulls"))
+            .drop("_k", "_w", "_nulls", ARRIVAL))
 
 
 def prepared_parts(prepared: DataFrame, contract: Contract) -> dict[str, DataFrame]:
     """Typed events and the C2/C3/C4 incidents, all read from the prepared table."""
     res = residual_columns(prepared)
-    dup = prepared.where(F.col("_n") > 1).select(
-        "event_id", "order_id", F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_copy"))
-    dup_inc = dup.select(incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"),
+    dup_inc = copies(prepared.select("event_id", "order_id", "_n"), "_n").select(incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"),
                                   K.KIND_DUPLICATE_ROW, K.ACTION_REMOVED).alias("i")).select("i.*")
     conf_inc = prepared.where(~F.col("_win")).select(
         incident(SRC_EVENTS, LVL_EVENT, F.col("event_id"), F.col("order_id"), K.KIND_KEY_CONFLICT,
@@ -338,15 +370,27 @@ def order_firsts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy("order_id").agg(*[first_by(c, "event_id").alias(f"_first_{c}") for c in cols])
 
 
-def recover_and_fill(typed: DataFrame, contract: Contract) -> DataFrame:
+def recovery_values(typed: DataFrame) -> DataFrame:
+    """What C8/C9 take from each order, one row per order."""
+    return order_firsts(typed.where(F.col("order_id").isNotNull()), ORDER_CONSTANT_COLS + TRANSPORT_COLS)
+
+
+def recover_and_fill(typed: DataFrame, contract: Contract, firsts: DataFrame | None = None) -> DataFrame:
     """Overwrite order-constant columns with the order's first value (S2),
     fill carrier/tracking only in transport states, explicit null categories.
 
     Keeps ``_was_null_*`` flags for the incident pass. Orders with a NULL key get
-    no recovered value (S4): the equi-join never matches NULL.
+    no recovered value (S4).
+
+    ``firsts`` is ``recovery_values`` read back from a written table: then both
+    sides of the join are shuffled for it and AQE can split an order that holds
+    very many events, which it can't while the aggregate feeds the join directly.
+    Events without order are not joined, so they don't meet in one task.
     """
-    firsts = order_firsts(typed, ORDER_CONSTANT_COLS + TRANSPORT_COLS)
-    df = typed.join(firsts, "order_id", "left")
+    firsts = recovery_values(typed) if firsts is None else firsts
+    added = [F.lit(None).cast(t).alias(c) for c, t in firsts.dtypes if c != "order_id"]
+    df = typed.where(F.col("order_id").isNotNull()).join(firsts, "order_id", "left").unionByName(
+        typed.where(F.col("order_id").isNull()).select("*", *added))
     transport = in_list("state", contract.transport_states)
     flags = {f"_was_null_{c}": F.col(c).isNull() for c in ORDER_CONSTANT_COLS}
     flags.update({f"_was_null_{c}": transport & F.col(c).isNull() for c in TRANSPORT_COLS})
@@ -381,10 +425,10 @@ def flag_events(recovered: DataFrame, valid_sales: DataFrame, contract: Contract
     """Row rules on events: the order has no valid sale; destination out of coverage.
 
     The valid order keys are joined as a flag (semi-join shape) — never
-    collected to the driver. The join is on ``order_id``, the partitioning the
-    recovery join already produced, so it adds no exchange of the events.
+    collected to the driver. Valid sales hold an order once (C12 rejects the
+    rest), so they need no ``distinct`` and AQE can split a skewed order.
     """
-    keys = valid_sales.select(F.col("order_id").alias("_vk")).distinct().withColumn("_has_sale", F.lit(True))
+    keys = valid_sales.select(F.col("order_id").alias("_vk")).where("_vk IS NOT NULL").withColumn("_has_sale", F.lit(True))
     df = recovered.join(keys, recovered["order_id"] == keys["_vk"], "left").drop("_vk")
     df = coverage_flag(df, "dest_city", "_dest_ok", contract, coverage)
     rules = [(K.EVENT_REASONS[0], F.col("_has_sale").isNull()),
