@@ -19,9 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.llm.common import land, sized
 from orderlake.llm.hashing import hash_fraction, row_key
 
 SEED = "mix-1"
+#: A table of up to so many sources (some hundred bytes each) is broadcast.
+BROADCAST_SOURCES = 20_000
 #: Without explicit weights a source weighs its rows to this power: large sources are damped.
 TEMPERATURE = 0.5
 
@@ -61,10 +64,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_rows: i
     """The rows of ``docs``, each as often as its number of copies says, shuffled globally.
 
     Adds n_copies, copy (from 1) and shuffle_key. The table of sources is
-    joined without a hint: Spark broadcasts it if its measured size allows,
-    else a source of very many rows can be split among tasks.
+    written first: if it has few rows it is broadcast, so that the texts are
+    shuffled once; else it is joined by source, and since both sides are
+    shuffled for that join, a source of very many rows can be split.
     """
-    rates = source_rates(docs, weights, target_rows, source).select(F.col("source").alias("_source"), _poisson_steps(F.col("rate")).alias("_steps"))
+    rates = land(source_rates(docs, weights, target_rows, source).select(F.col("source").alias("_source"), _poisson_steps(F.col("rate")).alias("_steps")), "rates")
+    rates = sized(rates, BROADCAST_SOURCES)
     keyed = docs.drop("n_copies", "copy", "shuffle_key").withColumn("_key", row_key())
     joined = keyed.join(rates, F.col(source).eqNullSafe(F.col("_source")))
     fraction = hash_fraction(F.concat(F.lit(f"{seed}:"), F.col("_key")))
