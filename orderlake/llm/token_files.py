@@ -29,9 +29,11 @@ empty one. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,10 @@ LEAST_COUNT = 12
 MAGIC = b"RPG1"
 #: Distinct words whose ids a worker remembers.
 CACHE_WORDS = 1_500_000
+#: A special token of the tokenizer, and how many new words are encoded in one text with it between them.
+SEPARATOR, JOINED = "<|endoftext|>", 200
+#: Stands after each text; no UTF-8 text has this byte.
+MARK = b"\xff"
 #: Documents encoded together.
 TOGETHER = 256
 
@@ -67,89 +73,113 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self._reset()
 
     def _reset(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint16)
+        # the first place is that of the mark after each text, which stands for the end id
+        self.places: dict[bytes, int] = {MARK: 0}
+        self.ids = np.full(1 << 16, END, np.uint16)
         self.starts = np.zeros(1 << 16, np.int64)
-        self.n_ids = 0
+        self.starts[1] = self.n_ids = 1
+
+    def _ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and each word's number of ids."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if self.separator is None or any("<|" in t for t in texts):
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for ids in each for i in ids], np.int64), np.array([len(ids) for ids in each], np.int64)
+        # a special token between words keeps them apart at less cost than a call's result for each word
+        joined = [SEPARATOR.join(texts[at : at + JOINED]) + SEPARATOR for at in range(0, len(texts), JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == self.separator)
+        return ids[ids != self.separator], np.diff(ends, prepend=-1) - 1
 
     def _learn(self, words: list[bytes]) -> None:
-        at, n = len(self.places), 0
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        n = sum(map(len, encoded))
-        if self.n_ids + n > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(n, len(self.ids)), np.uint16)))
-        if at + len(words) + 1 > len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros(max(len(words) + 1, len(self.starts)), np.int64)))
-        flat = [i for ids in encoded for i in ids]
-        if flat and max(flat) >= TERMINALS:
-            raise ValueError(f"token ids must be below {TERMINALS}")
-        self.ids[self.n_ids : self.n_ids + n] = flat
-        self.starts[at + 1 : at + len(words) + 1] = self.n_ids + np.cumsum([len(ids) for ids in encoded])
-        self.n_ids += n
-        self.places.update(zip(words, range(at, at + len(words))))
+        plain = [w for w in words if b"<|" not in w]
+        for part in (plain, [w for w in words if b"<|" in w]):
+            if not part:
+                continue
+            ids, sizes = self._ids_of(part)
+            if len(ids) and ids.max() >= TERMINALS:
+                raise ValueError(f"token ids must be below {TERMINALS}")
+            at = len(self.places)
+            if self.n_ids + len(ids) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint16)))
+            if at + len(part) + 1 > len(self.starts):
+                self.starts = np.concatenate((self.starts, np.zeros(max(len(part) + 1, len(self.starts)), np.int64)))
+            self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+            self.starts[at + 1 : at + len(part) + 1] = self.n_ids + np.cumsum(sizes)
+            self.n_ids += len(ids)
+            self.places.update(zip(part, range(at, at + len(part))))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and the number of ids of each."""
-        split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
         if len(self.places) > CACHE_WORDS:
             self._reset()
-        words = [w for part in split for w in part]
-        new = [w for w in set(words) if w not in self.places]
-        if new:
-            self._learn(new)
-        places = self.places
-        at = np.array([places[w] for w in words], dtype=np.int64)
+        words = b"".join([_folded(t) + b" " + MARK + b" " for t in texts]).split()
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys([words[k] for k in unknown])))
+            at[unknown] = [self.places[words[k]] for k in unknown]
         first = self.starts[at]
         length = self.starts[at + 1] - first
-        bounds = np.concatenate(([0], np.cumsum([len(part) for part in split])))
-        so_far = np.concatenate(([0], np.cumsum(length)))
-        sizes = so_far[bounds[1:]] - so_far[bounds[:-1]] + 1
-        flat = self.ids[np.repeat(first - so_far[:-1], length) + np.arange(so_far[-1])]
-        return np.insert(flat, so_far[bounds[1:]], END), sizes
+        so_far = np.cumsum(length)
+        flat = self.ids[np.repeat(first - so_far + length, length) + np.arange(so_far[-1] if len(so_far) else 0)]
+        return flat, np.diff(so_far[at == 0], prepend=0)
+
+
+def _folded(text: str | None) -> bytes:
+    """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written."""
+    data = (text or "").encode("utf-8", "replace")
+    return data if b"<|" in data else data.lower()
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, document ends in symbols) of ids whose documents end at ``ends``."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.int64)
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        pair = symbols[:-1] << 16 | symbols[1:]
-        pair[last[:-1]] = -1
-        ordered = np.sort(pair)
+        inner = ~last[:-1]  # pairs that stay in their document
+        pair = symbols[:-1] << np.uint32(16) | symbols[1:]
+        ordered = np.sort(pair[inner])
+        if not len(ordered):
+            break
         heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(heads, len(ordered)))
-        kinds = ordered[heads]
-        good = np.flatnonzero((counts >= LEAST_COUNT) & (kinds >= 0))
+        good = np.flatnonzero(counts >= LEAST_COUNT)
         most = min(MOST_RULES // ROUNDS, MOST_RULES - len(rules))
         if len(good) > most:
             good = np.sort(good[np.argpartition(counts[good], len(good) - most)[len(good) - most :]])
         if not len(good):
             break
-        chosen = kinds[good]
-        left, right = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
-        left[chosen >> 16] = True
-        right[chosen & 0xFFFF] = True
-        maybe = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & ~last[:-1])
-        rule = np.searchsorted(chosen, pair[maybe])
-        hit = chosen[np.minimum(rule, len(chosen) - 1)] == pair[maybe]
-        at, rule = maybe[hit], rule[hit]
+        chosen = ordered[heads[good]]
+        # rule of a pair: a small table over the chosen pairs' left and right symbols
+        left, right = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        for side, values in ((left, chosen >> np.uint32(16)), (right, chosen & np.uint32(0xFFFF))):
+            kinds = np.unique(values)
+            side[kinds] = np.arange(1, len(kinds) + 1)
+        width = int(right.max()) + 1
+        table = np.full((int(left.max()) + 1) * width, -1, np.int16)
+        table[left[chosen >> np.uint32(16)] * width + right[chosen & np.uint32(0xFFFF)]] = np.arange(len(chosen))
+        rule = table[left[symbols[:-1]] * width + right[symbols[1:]]]
+        at = np.flatnonzero((rule >= 0) & inner)
         if not len(at):
             break
         # overlapping places: every second one of a run
         run = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1)))
         order = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        at, rule = at[order % 2 == 0], rule[order % 2 == 0]
-        symbols[at] = TERMINALS + len(rules) + rule
+        at = at[order % 2 == 0]
+        symbols[at] = (TERMINALS + len(rules) + rule[at].astype(np.int64)).astype(np.uint32)
         last[at] = last[at + 1]
-        rules = np.concatenate((rules, np.stack((chosen >> 16, chosen & 0xFFFF), axis=1)))
+        rules = np.concatenate((rules, np.stack((chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)), axis=1).astype(np.int64)))
         kept = np.ones(len(symbols), bool)
         kept[at + 1] = False
         symbols, last = symbols[kept], last[kept]
