@@ -34,7 +34,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: Column, probs: Sequ
 
     keys = [f"_k{i}" for i in range(len(by))]
     place = F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * BINS
-    binned = counts.join(ends, same(by, keys)).withColumn("_bin", F.coalesce(F.least(F.floor(place), F.lit(BINS - 1)), F.lit(0)).cast("int"))
+    binned = counts.join(ends, same(by, keys)).withColumn("_bin", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(BINS - 1)).cast("int"))
     hist = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_m"), F.first("_all").alias("_all"))
     before = F.sum("_m").over(Window.partitionBy(*keys).orderBy("_bin")) - F.col("_m")  # at most BINS rows of a group
     ranks = F.explode(F.array(*[

@@ -247,7 +247,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     x = F.col(col).cast("double")
     ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
     lo, width = ends["lo"], (ends["hi"] - ends["lo"])
-    b = F.coalesce(F.least(F.floor(F.try_divide(x - lo, width) * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    b = F.least(F.coalesce(F.floor(F.try_divide(x - lo, width) * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
     return (df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
             .withColumn("lower", round_half_even(lo + F.col("bin") * width / bins))
             .withColumn("upper", round_half_even(lo + (F.col("bin") + 1) * width / bins)))

@@ -51,6 +51,12 @@ def _rows(one_row: DataFrame, layer: str, specs: list[tuple[str, str, str, Colum
     return stacked.select("r.*")
 
 
+def _within(counter: str, rule_id: str, rows: Column, contract: Contract | None) -> Column:
+    """The rule holds if no more rows break it than the contract tolerates (by default none)."""
+    pct = (contract.tolerated_pct if contract else {}).get(rule_id, 0.0)
+    return F.col(counter) * F.lit(100.0) <= F.lit(pct) * F.coalesce(rows, F.lit(0))
+
+
 def _is_ts(df: DataFrame, col: str) -> bool:
     return dict(df.dtypes).get(col, "").startswith("timestamp")
 
@@ -63,6 +69,7 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
     neg = sum((F.count_if(false_if_null(F.col(a) < 0)) for a in amounts[1:]),
               F.count_if(false_if_null(F.col(amounts[0]) < 0)))
     s = sales.agg(
+        F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("sale_ts").isNull()).alias("r3"),
         F.count_if(F.col("rating").isNotNull() & ~false_if_null(
             F.col("rating").between(contract.rating_min, contract.rating_max))).alias("r4"),
@@ -71,12 +78,12 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
                        "r6": _out_of_coverage(sales, "city", contract, coverage)})
     ts_ok = _is_ts(sales, "sale_ts")
     sales_specs = [
-        ("R1", "sale_id unique", "r1", F.col("r1") == 0),
-        ("R2", "order_id unique", "r2", F.col("r2") == 0),
-        ("R3", "sale_ts is a timestamp without nulls", "r3", F.lit(ts_ok) & (F.col("r3") == 0)),
-        ("R4", "rating between 1 and 5 (or null)", "r4", F.col("r4") == 0),
-        ("R5", "amounts not negative", "r5", F.col("r5") == 0),
-        ("R6", "cities inside coverage", "r6", F.col("r6") == 0),
+        ("R1", "sale_id unique", "r1", _within("r1", "R1", F.col("_rows"), contract)),
+        ("R2", "order_id unique", "r2", _within("r2", "R2", F.col("_rows"), contract)),
+        ("R3", "sale_ts is a timestamp without nulls", "r3", F.lit(ts_ok) & _within("r3", "R3", F.col("_rows"), contract)),
+        ("R4", "rating between 1 and 5 (or null)", "r4", _within("r4", "R4", F.col("_rows"), contract)),
+        ("R5", "amounts not negative", "r5", _within("r5", "R5", F.col("_rows"), contract)),
+        ("R6", "cities inside coverage", "r6", _within("r6", "R6", F.col("_rows"), contract)),
     ]
     transport = in_list("state", contract.transport_states)
     cols = events.columns
@@ -87,6 +94,7 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
     residual = sum(1 for c in cols if c.lower().startswith("unnamed"))
     dates_ok = _is_ts(events, "event_ts") and _is_ts(events, "promised_ts")
     e = events.agg(
+        F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("center").isNull()).alias("r11"),
         F.count_if(F.col("dest_city").isNull()).alias("r12"),
         F.count_if(F.col("promised_ts").isNull()).alias("r13"),
@@ -104,19 +112,19 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
         return F.coalesce(F.try_divide(F.col(n).cast("double") * 100.0, F.col(den).cast("double")),
                           F.lit(0.0)) <= lim
     event_specs = [
-        ("R7", "event_id unique", "r7", F.col("r7") == 0),
-        ("R8", "no identical rows", "r8", F.col("r8") == 0),
-        ("R9", "no residual columns", "r9", F.col("r9") == 0),
-        ("R10", "date columns are timestamps", "r10", F.col("r10") == 0),
-        ("R11", "center without nulls", "r11", F.col("r11") == 0),
-        ("R12", "dest_city without nulls", "r12", F.col("r12") == 0),
-        ("R13", "promised_ts without nulls", "r13", F.col("r13") == 0),
-        ("R14", "carrier present in transport states", "r14", F.col("r14") == 0),
-        ("R15", "carrier absent before dispatch", "r15", F.col("r15") == 0),
-        ("R16", "tracking_no present in transport states", "r16", F.col("r16") == 0),
-        ("R17", "tracking_no absent before dispatch", "r17", F.col("r17") == 0),
-        ("R18", "destination cities inside coverage", "r18", F.col("r18") == 0),
-        ("R19", "every event order exists in sales", "r19", F.col("r19") == 0),
+        ("R7", "event_id unique", "r7", _within("r7", "R7", F.col("_rows"), contract)),
+        ("R8", "no identical rows", "r8", _within("r8", "R8", F.col("_rows"), contract)),
+        ("R9", "no residual columns", "r9", _within("r9", "R9", F.col("_rows"), contract)),
+        ("R10", "date columns are timestamps", "r10", _within("r10", "R10", F.col("_rows"), contract)),
+        ("R11", "center without nulls", "r11", _within("r11", "R11", F.col("_rows"), contract)),
+        ("R12", "dest_city without nulls", "r12", _within("r12", "R12", F.col("_rows"), contract)),
+        ("R13", "promised_ts without nulls", "r13", _within("r13", "R13", F.col("_rows"), contract)),
+        ("R14", "carrier present in transport states", "r14", _within("r14", "R14", F.col("_rows"), contract)),
+        ("R15", "carrier absent before dispatch", "r15", _within("r15", "R15", F.col("_rows"), contract)),
+        ("R16", "tracking_no present in transport states", "r16", _within("r16", "R16", F.col("_rows"), contract)),
+        ("R17", "tracking_no absent before dispatch", "r17", _within("r17", "R17", F.col("_rows"), contract)),
+        ("R18", "destination cities inside coverage", "r18", _within("r18", "R18", F.col("_rows"), contract)),
+        ("R19", "every event order exists in sales", "r19", _within("r19", "R19", F.col("_rows"), contract)),
         ("R20", "sales quarantine share within limit", "r20", share_ok("r20", "r20_den")),
         ("R21", "events quarantine share within limit", "r21", share_ok("r21", "r21_den")),
     ]
@@ -124,7 +132,7 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
 
 
 def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: DataFrame,
-               gold_orders: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
+               gold_orders: DataFrame, marts: dict[str, DataFrame], contract: Contract | None = None) -> DataFrame:
     """E2 (R22-R33): one row per sale, net reconciles, marts reconcile."""
     n_sales = silver_sales.agg(F.count(F.lit(1))).scalar()
     net_silver = silver_sales.agg(F.sum("net")).scalar()
@@ -144,25 +152,25 @@ def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: D
         "r27": F.abs(n_gold_events - n_events),
         "r28": F.lit(amounts_in_events)})
     specs = [
-        ("R22", "one row per Silver sale", "r22", F.col("r22") == 0),
-        ("R23", "order_id unique", "r23", F.col("r23") == 0),
-        ("R24", "net equals Silver net", "r24", F.col("r24") == 0),
-        ("R25", "every order has an event summary", "r25", F.col("r25") == 0),
-        ("R26", "ship_cost without nulls", "r26", F.col("r26") == 0),
-        ("R27", "one row per Silver event", "r27", F.col("r27") == 0),
-        ("R28", "no sale amounts in the event table", "r28", F.col("r28") == 0),
+        ("R22", "one row per Silver sale", "r22", _within("r22", "R22", F.col("_rows"), contract)),
+        ("R23", "order_id unique", "r23", _within("r23", "R23", F.col("_rows"), contract)),
+        ("R24", "net equals Silver net", "r24", _within("r24", "R24", F.col("_rows"), contract)),
+        ("R25", "every order has an event summary", "r25", _within("r25", "R25", F.col("_rows"), contract)),
+        ("R26", "ship_cost without nulls", "r26", _within("r26", "R26", F.col("_rows"), contract)),
+        ("R27", "one row per Silver event", "r27", _within("r27", "R27", F.col("_rows"), contract)),
+        ("R28", "no sale amounts in the event table", "r28", _within("r28", "R28", F.col("_rows"), contract)),
     ]
     ids = iter(["R29", "R30", "R31", "R32", "R33"])
     extra = {}
     for name, mart in marts.items():
         rid = next(ids)
         extra[rid] = F.abs(mart.agg(F.coalesce(F.sum("orders"), F.lit(0))).scalar() - F.col("_rows"))
-        specs.append((rid, f"{name}: orders reconcile", rid.lower(), F.col(rid.lower()) == 0))
+        specs.append((rid, f"{name}: orders reconcile", rid.lower(), _within(rid.lower(), rid, F.col("_rows"), contract)))
         if "net" in mart.columns:
             rid = next(ids)
             extra[rid] = F.when(F.abs(F.coalesce(mart.agg(F.sum("net")).scalar(), F.lit(0))
                                       - F.coalesce(F.col("_net"), F.lit(0))) >= 1, 1).otherwise(0)
-            specs.append((rid, f"{name}: net reconciles", rid.lower(), F.col(rid.lower()) == 0))
+            specs.append((rid, f"{name}: net reconciles", rid.lower(), _within(rid.lower(), rid, F.col("_rows"), contract)))
     g = g.withColumns({k.lower(): v for k, v in extra.items()})
     return _rows(g, "gold", specs)
 

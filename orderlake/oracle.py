@@ -818,15 +818,38 @@ FROM sales_raw""")
 
 
 # ------------------------------------------------------------------ A, G (landing, pipeline, ledger)
-from orderlake.sources.fixtures import duckdb_happy_ctes  # noqa: E402
-
-LOAD_HAPPY, LOAD_FULL = "20240101_000000", "20240102_000000"
+LOAD_FIRST, LOAD_STRICT = "20240101_000000", "20240102_000000"
+
+#: Published tables: layer, name, CTE here, columns.
+TABLES = [("silver", "sales", "s_clean", 17), ("silver", "events", "e_clean", 13),
+          ("silver", "sales_rejected", "s_rej", 18), ("silver", "events_rejected", "e_rej", 14),
+          ("silver", "incidents", "incidents", 7), ("gold", "orders", "g_orders", 38),
+          ("gold", "events", "g_events", 25), ("gold", "kpi_monthly", "m_month", 14),
+          ("gold", "carrier_performance", "m_carrier", 9), ("gold", "city_channel_sales", "m_cc", 8)]
+PUBLISHED = [(layer, name) for layer, name, _, _ in TABLES]
+_SALE_KEY = ["sale_id", "order_id", "sale_ts", "customer_id", "city", "channel", "store_id", "category", "product",
+             "pay_method", "quantity", "unit_price", "discount_rate", "gross", "discount", "net", "rating"]
+_EVENT_KEY = ["event_id", "order_id", "event_ts", "state", "center", "dest_city", "carrier", "tracking_no",
+              "promised_ts", "ship_cost", "incident", "note"]
+#: Columns whose text is compared after an export: all but doubles, which engines print differently.
+EXPORT_KEYS = {
+    "silver.sales": _SALE_KEY, "silver.sales_rejected": [*_SALE_KEY, "reject_reason"],
+    "silver.events": _EVENT_KEY, "silver.events_rejected": [*_EVENT_KEY, "reject_reason"],
+    "silver.incidents": ["source", "level", "key", "order_id", "kind", "action", "detail"],
+    "gold.orders": [*_SALE_KEY, "n_events", "n_states", "final_state", "center", "dest_city", "carrier",
+                    "tracking_no", "ship_cost", "n_incidents", "delivered", "late", "trace_complete", "month"],
+    "gold.events": ["order_id", "event_id"],
+    "gold.kpi_monthly": ["month", "orders", "net"],
+    "gold.carrier_performance": ["carrier", "orders"],
+    "gold.city_channel_sales": ["city", "channel", "orders", "net"],
+    "bronze.sales": _SALE_KEY,
+    "bronze.events": ["event_id", "order_id", "event_ts_txt", "state", "center", "dest_city", "carrier", "tracking_no",
+                      "promised_ts_txt", "ship_cost", "incident", "note", "unnamed_13"],
+}
 
 
-def happy(*ctes: str, select: str) -> str:
-    chain = [c.replace("sales_raw", "sales_hp").replace("events_raw", "events_hp")
-             for c in (*SILVER_CTES, *INCIDENT_CTES, *GOLD_CTES, *MART_CTES, *ctes)]
-    return "WITH " + ",\n".join([duckdb_ctes(), duckdb_happy_ctes()] + chain) + "\n" + select
+def whole(*ctes: str, select: str) -> str:
+    return "WITH " + ",\n".join([duckdb_ctes(), *SILVER_CTES, *INCIDENT_CTES, *GOLD_CTES, *MART_CTES, *ctes]) + "\n" + select
 
 
 def _sha_row(cols) -> str:
@@ -836,45 +859,47 @@ def _sha_row(cols) -> str:
 def ag_queries() -> dict[str, str]:
     q = {}
     gold_cols = "*"
-    q["pipeline_run"] = happy(select=f"SELECT {gold_cols}, '{LOAD_HAPPY}' AS load_id FROM g_orders")
-    q["lineage_stamp"] = happy(select=f"SELECT event_id, order_id, '{LOAD_HAPPY}' AS load_id FROM e_clean")
-    tables = [("silver", "sales", "s_clean", 17), ("silver", "events", "e_clean", 13),
-              ("silver", "sales_rejected", "s_rej", 18), ("silver", "events_rejected", "e_rej", 14),
-              ("silver", "incidents", "incidents", 7), ("gold", "orders", "g_orders", 38),
-              ("gold", "events", "g_events", 25), ("gold", "kpi_monthly", "m_month", 14),
-              ("gold", "carrier_performance", "m_carrier", 9), ("gold", "city_channel_sales", "m_cc", 8)]
-    q["run_ledger"] = happy(select=_union([
+    q["pipeline_run"] = whole(select=f"SELECT {gold_cols}, '{LOAD_FIRST}' AS load_id FROM g_orders")
+    q["lineage_stamp"] = whole(select=f"SELECT event_id, order_id, '{LOAD_FIRST}' AS load_id FROM e_clean")
+    q["run_ledger"] = whole(select=_union([
         f"SELECT '{layer}' AS layer, '{name}' AS table, count(*) AS rows, {ncols} AS columns FROM {cte}"
-        for layer, name, cte, ncols in tables]))
-    q["reprocess_load"] = happy(select=_union([
+        for layer, name, cte, ncols in TABLES]))
+    q["reprocess_load"] = whole(select=_union([
         f"SELECT '{layer}' AS layer, '{name}' AS table, count(*) AS rows, true AS same_content FROM {cte}"
-        for layer, name, cte, _ in tables if layer == "gold" or name in ("sales", "events")]))
-    full_silver_passed = ("(SELECT count(*) FILTER (WHERE passed) FROM (" + e_queries()["silver_rules"] + "))")
-    q["run_history"] = happy(select=f"""
-SELECT 1 AS seq, '{LOAD_HAPPY}' AS load_id, 'etl' AS origin, 'PUBLISHED' AS status, 33 AS rules_passed,
-       33 AS rules_total, false AS on_newest_load
-UNION ALL SELECT 2, '{LOAD_HAPPY}', 'reprocess', 'PUBLISHED', 33, 33, false
-UNION ALL SELECT 3, '{LOAD_FULL}', 'etl', 'FAILED', {full_silver_passed}, 21, true""")
-    q["bronze_land"] = with_fixtures(select=f"SELECT *, '{LOAD_FULL}' AS load_id FROM sales_raw")
-    q["bronze_read_load"] = with_fixtures(duckdb_happy_ctes(), select="SELECT * FROM events_hp")
-    q["bronze_list_loads"] = with_fixtures(duckdb_happy_ctes(), select=f"""
-SELECT '{LOAD_HAPPY}' AS load_id, (SELECT count(*) FROM sales_hp) AS sales_rows,
-       (SELECT count(*) FROM events_hp) AS events_rows
-UNION ALL SELECT '{LOAD_FULL}', (SELECT count(*) FROM sales_raw), (SELECT count(*) FROM events_raw)""")
-    q["bronze_retention"] = with_fixtures(duckdb_happy_ctes(), select=f"""
-SELECT '{LOAD_HAPPY}' AS load_id, (SELECT count(*) FROM sales_hp) AS sales_rows, 2 AS rank, true AS drop
-UNION ALL SELECT '{LOAD_FULL}', (SELECT count(*) FROM sales_raw), 1, false""")
-    q["write_layer_counts"] = with_fixtures(duckdb_happy_ctes(), select="""
-SELECT 'sales' AS source, (SELECT count(*) FROM sales_hp) AS rows, 17 AS columns
-UNION ALL SELECT 'events', (SELECT count(*) FROM events_hp), 14""")
+        for layer, name, cte, _ in TABLES if layer == "gold" or name in ("sales", "events")]))
+    rules = e_queries()
+    silver_passed = "(SELECT count(*) FILTER (WHERE passed) FROM (" + rules["silver_rules"] + "))"
+    n_silver = "(SELECT count(*) FROM (" + rules["silver_rules"] + "))"
+    n_all = n_silver + " + (SELECT count(*) FROM (" + rules["gold_rules"] + "))"
+    # a published run has passed every rule
+    q["run_history"] = f"""
+SELECT 1 AS seq, '{LOAD_FIRST}' AS load_id, 'etl' AS origin, 'PUBLISHED' AS status, {n_all} AS rules_passed,
+       {n_all} AS rules_total, false AS on_newest_load
+UNION ALL SELECT 2, '{LOAD_FIRST}', 'reprocess', 'PUBLISHED', {n_all}, {n_all}, false
+UNION ALL SELECT 3, '{LOAD_STRICT}', 'etl', 'FAILED', {silver_passed}, {n_silver}, true"""
+    q["bronze_land"] = with_fixtures(select=f"SELECT *, '{LOAD_STRICT}' AS load_id FROM sales_raw")
+    q["bronze_read_load"] = with_fixtures(select="SELECT * FROM events_raw")
+    per_load = _union([f"SELECT '{lid}' AS load_id, (SELECT count(*) FROM sales_raw) AS sales_rows, "
+                       "(SELECT count(*) FROM events_raw) AS events_rows" for lid in (LOAD_FIRST, LOAD_STRICT)])
+    q["bronze_list_loads"] = with_fixtures(select=per_load)
+    q["bronze_retention"] = with_fixtures(f"loads AS ({per_load})", select="""
+SELECT load_id, sales_rows, CAST(dense_rank() OVER (ORDER BY load_id DESC) AS INTEGER) AS rank,
+       dense_rank() OVER (ORDER BY load_id DESC) > 1 AS drop FROM loads""")
+    q["write_layer_counts"] = with_fixtures(select="""
+SELECT 'sales' AS source, (SELECT count(*) FROM sales_raw) AS rows, 17 AS columns
+UNION ALL SELECT 'events', (SELECT count(*) FROM events_raw), 14""")
     q["source_fingerprint"] = with_fixtures(select=f"SELECT *, {_sha_row(SALES_COLS)} AS row_sha256 FROM sales_raw")
     q["extraction_probe"] = with_fixtures(select="""
 SELECT 'sales' AS source, count(*) AS rows, 17 AS columns FROM sales_raw
 UNION ALL SELECT 'events', count(*), 14 FROM events_raw""")
     q["land_events_text"] = with_fixtures(select="SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM events_raw")
-    q["export_tables"] = happy(select=_union([
-        f"SELECT '{name}' AS table, count(*) AS rows FROM {cte}"
-        for _, name, cte, _ in tables if name in ("kpi_monthly", "carrier_performance", "city_channel_sales")]))
+    views = {f"{layer}.{name}": cte for layer, name, cte, _ in TABLES} | {"bronze.sales": "sales_raw", "bronze.events": "events_raw"}
+
+    def chars(key):
+        return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in key) + ")"
+    q["export_tables"] = whole(select=_union([
+        f"SELECT '{name}' AS table, count(*) AS rows, CAST(sum(length({chars(EXPORT_KEYS[name])})) AS BIGINT) AS chars FROM {cte}"
+        for name, cte in views.items()]))
     return q
 
 

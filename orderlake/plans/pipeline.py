@@ -2,10 +2,13 @@
 
 Every layer of a run is written under ``runs/<run_id>/`` and read back from
 Parquet before the next step (the lineage is cut at each layer, so a lost
-executor only recomputes the current stage). Nothing is visible to readers
-until the ledger gets the run's PUBLISHED row (S26): a failing gate leaves the
-previously published run in place. Only small metadata (rule table, counts)
-ever reaches the driver.
+executor only recomputes the current stage). Gold is built only after the Silver
+gate has passed. Nothing is visible to readers until the ledger gets the run's
+PUBLISHED row (S26): a failing gate leaves the previously published run in
+place. Only small metadata (rule table, counts) ever reaches the driver.
+
+A Silver table is written once, partitioned by whether its rows passed the row
+rules; the clean and the rejected table are its two partitions.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
@@ -25,7 +28,7 @@ from orderlake.operators import rules as E
 from orderlake.operators import silver as S
 from orderlake.plans import ledger as L
 from orderlake.sources import bronze as A
-from orderlake.sources.landing import path_exists
+from orderlake.sources.landing import path_exists, remove_path
 from orderlake.session import ensure_checkpoint_dir
 
 SOURCES = ("sales", "events")
@@ -75,24 +78,42 @@ def _stamp(df: DataFrame, run_id: str, load_id: str) -> DataFrame:
     return df.withColumns({"run_id": F.lit(run_id), "load_id": F.lit(load_id)})
 
 
-_T: dict[str, float] = {}
+class Timings(dict):
+    """Seconds by step of one run."""
+
+    def tick(self, name: str, t0: float) -> float:
+        now = time.time()
+        self[name] = round(self.get(name, 0.0) + now - t0, 3)
+        return now
 
 
-def _tick(name: str, t0: float) -> float:
-    now = time.time()
-    _T[name] = round(_T.get(name, 0.0) + now - t0, 3)
-    return now
+#: Where the clean and the rejected rows of a Silver table are.
+SILVER_PARTS = {"sales": ("sales_checked", "clean"), "sales_rejected": ("sales_checked", "rejected"),
+                "events": ("events_checked", "clean"), "events_rejected": ("events_checked", "rejected")}
 
 
 def _write(spark, df: DataFrame, path: str, run_id: str, load_id: str, facts: dict, key: str,
-           layer: str) -> DataFrame:
+           layer: str, times: Timings) -> DataFrame:
     t0 = time.time()
     info = A.write_counted(_stamp(df, run_id, load_id), path)
-    _tick("write:" + path.rsplit("/", 2)[-2] + "/" + path.rsplit("/", 1)[-1], t0)
+    times.tick("write:" + path.rsplit("/", 2)[-2] + "/" + path.rsplit("/", 1)[-1], t0)
     facts[key] = {"layer": layer, "rows": info["rows"], "columns": len(df.columns)}
     return spark.read.parquet(path).drop("run_id", "load_id")
 
 
+def _write_checked(spark, flagged: DataFrame, path: str, run_id: str, load_id: str, facts: dict, table: str,
+                   columns: list[str], times: Timings) -> None:
+    """Write flagged rows once, by outcome, counting both outcomes on the way."""
+    t0 = time.time()
+    rejected = F.col("reject_reason") != ""
+    obs = Observation()
+    seen = _stamp(flagged, run_id, load_id).observe(obs, F.count_if(~rejected).alias("clean"), F.count_if(rejected).alias("rejected"))
+    seen.withColumn("outcome", F.when(rejected, "rejected").otherwise("clean")).write.mode("overwrite").partitionBy("outcome").parquet(path)
+    times.tick(f"write:silver/{path.rsplit('/', 1)[-1]}", t0)
+    facts[f"silver.{table}"] = {"layer": "silver", "rows": int(obs.get["clean"]), "columns": len(columns)}
+    facts[f"silver.{table}_rejected"] = {"layer": "silver", "rows": int(obs.get["rejected"]), "columns": len(columns) + 1}
+
+
 def _parallel(*thunks):
     """Run independent Spark actions as concurrent jobs (driver threads share the
     executors; short stages of one job no longer leave the cluster idle)."""
@@ -104,92 +125,80 @@ def _parallel(*thunks):
 
 
 def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract, coverage: DataFrame | None,
-              run_id: str, raw_rows: dict[str, int] | None = None) -> RunResult:
+              run_id: str, raw_rows: dict[str, int], times: Timings | None = None) -> RunResult:
     """Silver and Gold for one landed load, gated; raises ``GateError`` on failure.
 
-    Independent writes run as concurrent jobs. The Silver rules are evaluated
-    while Gold is being built; nothing is published unless both gates pass.
+    Independent writes run as concurrent jobs.
     """
+    times = Timings() if times is None else times
     run = lake.run_dir(run_id)
     facts: dict[str, dict] = {}
-    rules_all: list[tuple] = []
     sales_raw = A.read_load(spark, lake.bronze, "sales", load_id)
     events_raw = A.read_load(spark, lake.bronze, "events", load_id)
 
     def w(df, sub, key="", layer="work", into=None):
         return lambda: _write(spark, df, f"{run}/{sub}", run_id, load_id, facts if into is None else into, key,
-                              layer)
-
-    # Silver: the row-rule frames are written once; every output is a filter of them.
-    t0 = time.time()
-    s_flag_df, prepared_df = S.flag_sales(sales_raw, contract, coverage), S.prepared_events(events_raw)
-    _tick("build:silver_work", t0)
-    s_flag, prepared = _parallel(w(s_flag_df, "work/sales_flagged", into={}),
-                                 w(prepared_df, "work/events_prepared", into={}))
-    s_clean, s_rej = S.split_quarantine(s_flag)
-    t0 = time.time()
+                              layer, times)
+
+    s_flagged = S.flag_sales(sales_raw, contract, coverage)
+    s_cols = [c for c in s_flagged.columns if c != "reject_reason"]
+    e_cols = list(S.SILVER_EVENT_COLS)
+    _, prepared = _parallel(
+        lambda: _write_checked(spark, s_flagged, f"{run}/silver/sales_checked", run_id, load_id, facts, "sales", s_cols, times),
+        w(S.prepared_events(events_raw), "work/events_prepared", into={}))
+    s_clean, s_rej = (silver_part(spark, run, t, s_cols) for t in ("sales", "sales_rejected"))
     prep = S.prepared_parts(prepared, contract)
-    e_flag_df = S.flag_events(S.recover_and_fill(prep["typed"], contract), s_clean, contract, coverage)
-    _tick("build:events_flagged", t0)
-    e_flag = w(e_flag_df, "work/events_flagged", into={})()
-    t0 = time.time()
-    cols = list(S.SILVER_EVENT_COLS)
-    e_clean = e_flag.where(F.col("reject_reason") == "").select(*cols)
-    e_rej = e_flag.where(F.col("reject_reason") != "").select(*cols, "reject_reason")
+    firsts = w(S.recovery_values(prep["typed"]), "work/order_values", into={})()
+    e_flagged = S.flag_events(S.recover_and_fill(prep["typed"], contract, firsts), s_clean, contract, coverage)
+    e_path = f"{run}/silver/events_checked"
+    _write_checked(spark, e_flagged, e_path, run_id, load_id, facts, "events", e_cols, times)
+    e_all = spark.read.parquet(e_path)
+    e_clean, e_rej = (silver_part(spark, run, t, e_cols) for t in ("events", "events_rejected"))
     incidents = (S.rejected_incidents(s_rej, S.SRC_SALES, S.LVL_SALE, "sale_id")
                  .unionByName(prep["dup_inc"]).unionByName(prep["res_inc"]).unionByName(prep["conf_inc"])
-                 .unionByName(S.event_level_incidents(e_flag))
+                 .unionByName(S.event_level_incidents(e_all))
                  .unionByName(S.rejected_incidents(e_rej, S.SRC_EVENTS, S.LVL_EVENT, "event_id"))
                  .unionByName(S.order_level_incidents(e_clean, contract)))
-    _tick("build:incidents", t0)
-    raw_rows = raw_rows or {s: A.read_load(spark, lake.bronze, s, load_id).count() for s in SOURCES}
-    n_rej = {k: v.agg(F.count(F.lit(1))).scalar() for k, v in (("sales", s_rej), ("events", e_rej))}
+    n_rej = {t: F.lit(facts[f"silver.{t}_rejected"]["rows"]) for t in SOURCES}
+    silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
+                                  F.lit(raw_rows["events"]), n_rej["events"], coverage)
 
-    def eval_silver_rules():
+    def evaluate(rules: DataFrame, name: str) -> list[tuple]:
         t0 = time.time()
-        silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
-                                      F.lit(raw_rows["events"]), n_rej["events"], coverage)
-        out = [tuple(r) for r in silver_rules.select(*E.RULE_COLS).collect()]
-        _tick("silver_rules", t0)
-        return out
+        rows = [tuple(r) for r in rules.select(*E.RULE_COLS).collect()]
+        times.tick(name, t0)
+        return rows
 
-    t0 = time.time()
-    g_orders_df, g_events_df = G.gold_orders(s_clean, e_clean, contract), G.gold_events(s_clean, e_clean)
-    _tick("build:gold", t0)
-
-    # Everything below depends only on the two flagged work tables, so the Silver
-    # tables, the Silver rules and the Gold tables are built as concurrent jobs.
-    # Publication still waits for both gates (nothing is published on failure).
-    rows, _, _, _, _, _, orders, gevents = _parallel(
-        eval_silver_rules,
-        w(s_clean, "silver/sales", "silver.sales", "silver"),
-        w(e_clean, "silver/events", "silver.events", "silver"),
-        w(s_rej, "silver/sales_rejected", "silver.sales_rejected", "silver"),
-        w(e_rej, "silver/events_rejected", "silver.events_rejected", "silver"),
-        w(incidents, "silver/incidents", "silver.incidents", "silver"),
-        w(g_orders_df, "gold/orders", "gold.orders", "gold"),
-        w(g_events_df, "gold/events", "gold.events", "gold"))
-    rules_all += rows
+    rules_all, _ = _parallel(lambda: evaluate(silver_rules, "silver_rules"),
+                             w(incidents, "silver/incidents", "silver.incidents", "silver"))
+    remove_path(spark, f"{run}/work")
     try:
-        E.gate_rows(rows)
+        E.gate_rows(rules_all)
     except E.GateError:
-        t0 = time.time()
-        _record(spark, lake, run_id, rows, {k: v for k, v in facts.items() if k.startswith("silver.")})
-        _tick("ledger", t0)
+        _record(spark, lake, run_id, rules_all, facts)
         raise
+    # Gold is only paid for when Silver is good
+    orders, gevents = _parallel(w(G.gold_orders(s_clean, e_clean, contract), "gold/orders", "gold.orders", "gold"),
+                                w(G.gold_events(s_clean, e_clean), "gold/events", "gold.events", "gold"))
     names = ("kpi_monthly", "carrier_performance", "city_channel_sales")
     fns = (G.kpi_monthly, G.carrier_performance, G.city_channel_sales)
-    marts = dict(zip(names, _parallel(*[w(fn(orders).coalesce(1), f"gold/{n}", f"gold.{n}", "gold")
+    marts = dict(zip(names, _parallel(*[w(fn(orders), f"gold/{n}", f"gold.{n}", "gold")
                                         for n, fn in zip(names, fns)])))
-    t0 = time.time()
-    grows = [tuple(r) for r in E.gold_rules(s_clean, e_clean, gevents, orders, marts)
-             .select(*E.RULE_COLS).collect()]
-    t0 = _tick("gold_rules", t0)
-    rules_all += grows
+    gold_rows = evaluate(E.gold_rules(s_clean, e_clean, gevents, orders, marts, contract), "gold_rules")
+    rules_all = rules_all + gold_rows
     _record(spark, lake, run_id, rules_all, facts)
-    _tick("ledger", t0)
-    E.gate_rows(grows)
-    return RunResult(run_id, load_id, "PUBLISHED", rules_all, facts, dict(_T))
+    E.gate_rows(gold_rows)
+    return RunResult(run_id, load_id, "PUBLISHED", rules_all, facts, dict(times))
+
+
+def silver_part(spark: SparkSession, run: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """The clean or the rejected rows of a run's Silver table."""
+    folder, outcome = SILVER_PARTS[table]
+    rows = spark.read.parquet(f"{run}/silver/{folder}").where(F.col("outcome") == outcome)
+    if columns is None:
+        internal = [c for c in rows.columns if c.startswith("_")]
+        return rows.drop("outcome", *internal, *(["reject_reason"] if outcome == "clean" else []))
+    return rows.select(*columns, *(["reject_reason"] if outcome == "rejected" else []))
 
 
 def _record(spark, lake: Lake, run_id: str, rules: list[tuple], facts: dict) -> None:
@@ -207,19 +216,20 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame],
     load_id = load_id or new_load_id()
     run_id = f"{load_id}-{uuid.uuid4().hex[:8]}"
     started = L.now()
-    _T.clear()
+    times = Timings()
     try:
         t0 = time.time()
         facts = A.land_load(spark, lake.bronze, sources, load_id, overwrite)
-        _tick("land", t0)
+        times.tick("land", t0)
         L.append(spark, lake.ledger, "run_source",
                  [(run_id, f["source"], load_id, f["rows"], f["columns"], f["fingerprint"]) for f in facts])
         result = transform(spark, lake, load_id, contract, coverage, run_id,
-                           {f["source"]: f["rows"] for f in facts})
+                           {f["source"]: f["rows"] for f in facts}, times)
     except Exception as exc:  # G7: failed run recorded, old pointer untouched, error re-raised
-        L.append(spark, lake.ledger, "run", [(run_id, load_id, "etl", started, L.now(), "FAILED", str(exc)[:2000])])
+        L.append(spark, lake.ledger, "run", [(run_id, load_id, "etl", started, L.now(), "FAILED", str(exc))])
         raise
     L.append(spark, lake.ledger, "run", [(run_id, load_id, "etl", started, L.now(), "PUBLISHED", None)])
+    retain(spark, lake, contract.max_loads)
     return result
 
 
@@ -234,19 +244,41 @@ def reprocess(spark: SparkSession, lake: Lake, contract: Contract, coverage: Dat
     run_id = f"{lid}-r{uuid.uuid4().hex[:8]}"
     started = L.now()
     try:
-        result = transform(spark, lake, lid, contract, coverage, run_id)
+        result = transform(spark, lake, lid, contract, coverage, run_id, _landed_rows(spark, lake, lid))
     except Exception as exc:
-        L.append(spark, lake.ledger, "run", [(run_id, lid, "reprocess", started, L.now(), "FAILED", str(exc)[:2000])])
+        L.append(spark, lake.ledger, "run", [(run_id, lid, "reprocess", started, L.now(), "FAILED", str(exc))])
         raise
     L.append(spark, lake.ledger, "run", [(run_id, lid, "reprocess", started, L.now(), "PUBLISHED", None)])
     return result
 
 
+def _landed_rows(spark: SparkSession, lake: Lake, load_id: str) -> dict[str, int]:
+    """Rows of a load's sources: from the ledger, or counted if it was landed without a run (a stream)."""
+    known = (L.read(spark, lake.ledger, "run_source").where(F.col("load_id") == load_id)
+             .groupBy("source").agg(F.max_by("rows", "run_id").alias("rows")).collect())
+    rows = {r["source"]: r["rows"] for r in known}
+    return {s: rows[s] if s in rows else A.read_load(spark, lake.bronze, s, load_id).count() for s in SOURCES}
+
+
+def retain(spark: SparkSession, lake: Lake, max_loads: int) -> list[str]:
+    """Drop the loads beyond the newest ``max_loads``, and the run folders of dropped loads
+    except the published one. Returns the dropped loads."""
+    gone = A.apply_retention(spark, lake.bronze, SOURCES, max_loads)
+    if gone:
+        keep = L.published_run(spark, lake.ledger)
+        for r in L.read(spark, lake.ledger, "run").where(F.col("load_id").isin(gone)).select("run_id").collect():
+            if not keep or r["run_id"] != keep[0]:
+                remove_path(spark, lake.run_dir(r["run_id"]))
+    return gone
+
+
 def published(spark: SparkSession, lake: Lake, layer: str, table: str) -> DataFrame:
     """A table of the published run (with its lineage columns)."""
     pr = L.published_run(spark, lake.ledger)
     if pr is None:
         raise LookupError("nothing published yet")
+    if layer == "silver" and table in SILVER_PARTS:
+        return silver_part(spark, lake.run_dir(pr[0]), table)
     path = f"{lake.run_dir(pr[0])}/{layer}/{table}"
     if not path_exists(spark, path):
         raise LookupError(f"{layer}/{table} not in run {pr[0]}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlake import oracle
 from orderlake.contract import FIXTURE_CONTRACT as CONTRACT
+from orderlake.contract import TOLERANT_CONTRACT
 from orderlake.operators import checks as B
 from orderlake.operators import gold as G
 from orderlake.operators import profile as P
@@ -294,38 +295,31 @@ def b_queries() -> dict[str, QueryFn]:
     }
 
 
-LOAD_HAPPY, LOAD_FULL = oracle.LOAD_HAPPY, oracle.LOAD_FULL
+LOAD_FIRST, LOAD_STRICT = oracle.LOAD_FIRST, oracle.LOAD_STRICT
 
 
 def scenario_lake(spark: SparkSession, d: str):
-    """A lake holding a fixed, deterministic history (built once per input fingerprint):
-    1) the happy-path load landed and published, 2) the same load reprocessed,
-    3) the full (dirty) fixture landed as a second load, failing the Silver gate."""
+    """A lake holding a fixed, deterministic history of the whole binding (built once per input fingerprint):
+    1) a load landed and published under the tolerant contract, 2) the same load reprocessed,
+    3) the same sources landed as a second load under the strict contract, failing the Silver gate."""
     from orderlake.plans import pipeline as PL
     from orderlake.sources.landing import fingerprint_paths, path_exists
-    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-lake-{fingerprint_paths(spark, _inputs(d))}")
+    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-lake-{fingerprint_paths(spark, _inputs(d), CONTRACT, TOLERANT_CONTRACT)}")
     done = f"{lake.root}/_SCENARIO_DONE"
-    if lake.root in _DONE_LAKES or path_exists(spark, done):
-        _DONE_LAKES.add(lake.root)
+    if path_exists(spark, done):
         return lake
-    sales, events = bronze_sales(spark, d), bronze_events(spark, d)
+    sources = {"sales": bronze_sales(spark, d), "events": bronze_events(spark, d)}
     cov = FX.coverage(spark, d)
-    hs, he = FX.happy_path(sales, events)
-    PL.run_pipeline(spark, lake, {"sales": hs, "events": he}, CONTRACT, cov, load_id=LOAD_HAPPY, overwrite=True)
-    PL.reprocess(spark, lake, CONTRACT, cov, load_id=LOAD_HAPPY)
+    PL.run_pipeline(spark, lake, sources, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST, overwrite=True)
+    PL.reprocess(spark, lake, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST)
     try:
-        PL.run_pipeline(spark, lake, {"sales": sales, "events": events}, CONTRACT, cov, load_id=LOAD_FULL,
-                        overwrite=True)
+        PL.run_pipeline(spark, lake, sources, CONTRACT, cov, load_id=LOAD_STRICT, overwrite=True)
     except E.GateError:
         pass
     spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(done)
-    _DONE_LAKES.add(lake.root)
     return lake
 
 
-_DONE_LAKES: set[str] = set()
-
-
 def _runs(spark, lake):
     from orderlake.plans import ledger as L
     return L.read(spark, lake.ledger, "run").orderBy("started_at", "run_id").collect()
@@ -361,7 +355,9 @@ def ag_queries() -> dict[str, QueryFn]:
                              ("gold", "city_channel_sales")):
             fps = []
             for rid in (r1, r2):
-                df = spark.read.parquet(f"{lake.run_dir(rid)}/{layer}/{table}").drop("run_id", "load_id")
+                run = lake.run_dir(rid)
+                df = PL.silver_part(spark, run, table) if layer == "silver" else spark.read.parquet(f"{run}/{layer}/{table}")
+                df = df.drop("run_id", "load_id")
                 fps.append(df.agg(*A.content_fingerprint_expr(df.columns)))
             a, b = fps
             one = a.select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), F.col("rows"),
@@ -376,10 +372,10 @@ def ag_queries() -> dict[str, QueryFn]:
 
     def bronze_land(spark, d):
         lake = scenario_lake(spark, d)
-        return spark.read.parquet(f"{lake.bronze}/sales").where(F.col("load_id") == LOAD_FULL)
+        return spark.read.parquet(f"{lake.bronze}/sales").where(F.col("load_id") == LOAD_STRICT)
 
     def bronze_read_load(spark, d):
-        return A.read_load(spark, scenario_lake(spark, d).bronze, "events", LOAD_HAPPY)
+        return A.read_load(spark, scenario_lake(spark, d).bronze, "events", LOAD_FIRST)
 
     def _per_load(spark, lake):
         s = spark.read.parquet(f"{lake.bronze}/sales").groupBy("load_id").agg(F.count(F.lit(1)).alias("sales_rows"))
@@ -410,16 +406,24 @@ def ag_queries() -> dict[str, QueryFn]:
         return A.read_text_table(spark, _csv_dir(spark, d), ev.schema)
 
     def export_tables(spark, d):
+        """Every published table and the landed sources as CSV; per table the rows and the sum of the
+        rows' hash numbers (over all columns as text), read back from the files."""
         lake = scenario_lake(spark, d)
         out = f"{lake.root}/export"
-        facts = A.export_csv({t: PL.published(spark, lake, "gold", t).drop("run_id", "load_id")
-                              for t in ("kpi_monthly", "carrier_performance", "city_channel_sales")}, out)
-        parts = [spark.read.option("header", True).csv(f"{out}/{f['table']}")
-                 .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f["table"]).alias("table"), "rows")
-                 for f in facts]
-        res = parts[0]
-        for p in parts[1:]:
-            res = res.unionByName(p)
+        tables = {f"{layer}.{t}": PL.published(spark, lake, layer, t).drop("run_id", "load_id")
+                  for layer, t in oracle.PUBLISHED}
+        tables |= {f"bronze.{s}": A.read_load(spark, lake.bronze, s, LOAD_FIRST) for s in ("sales", "events")}
+        texts = {n: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) for n, df in tables.items()}
+        A.export_csv(texts, out)
+        res = None
+        for n, df in texts.items():
+            back = spark.read.schema(df.schema).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+                "ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", A.CSV_NULL).csv(f"{out}/{n}")
+            key = oracle.EXPORT_KEYS[n]
+            one = back.agg(F.count(F.lit(1)).alias("rows"), *[
+                F.sum(F.length(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in key]))).alias("chars")]).select(
+                F.lit(n).alias("table"), "rows", "chars")
+            res = one if res is None else res.unionByName(one)
         return res
 
     return {

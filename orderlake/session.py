@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not fallback and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = fallback or tempfile.mkdtemp(prefix="orderlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

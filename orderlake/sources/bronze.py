@@ -135,7 +135,20 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     # the sources are independent: land them as concurrent jobs
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         futures = [pool.submit(land_one, name, df) for name, df in sources.items()]
-        return [f.result() for f in futures]
+        facts = [f.result() for f in futures]
+    commit_load(spark, bronze_root, load_id)
+    return facts
+
+
+def commit_load(spark: SparkSession, bronze_root: str, load_id: str) -> None:
+    """Make a load visible: all of its sources have landed."""
+    fs, p = _fs(spark, f"{bronze_root}/_committed/{load_id}")
+    fs.create(p, True).close()
+
+
+def committed_loads(spark: SparkSession, bronze_root: str) -> set[str]:
+    fs, p = _fs(spark, f"{bronze_root}/_committed")
+    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def conform_to_existing(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -151,19 +164,19 @@ def conform_to_existing(spark: SparkSession, df: DataFrame, path: str) -> DataFr
 
 
 def list_loads(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
-    """Loads oldest -> newest (``load_id`` sorts as time: YYYYMMDD_HHMMSS)."""
-    return (spark.read.parquet(f"{bronze_root}/{source}").select(F.col("load_id").cast("string"))
-            .distinct().orderBy("load_id"))
+    """Loads oldest -> newest (``load_id`` sorts as time: YYYYMMDD_HHMMSS), from the folder listing."""
+    return spark.createDataFrame([(x,) for x in list_load_ids(spark, bronze_root, source)], "load_id string")
 
 
 def list_load_ids(spark: SparkSession, bronze_root: str, source: str) -> list[str]:
-    """Load ids as a driver list: the partition directories (metadata, bounded by retention)."""
+    """Ids of the whole loads of a source: its partition folders that are committed
+    (metadata, bounded by retention). A load of which only some sources landed is not listed."""
     fs, p = _fs(spark, f"{bronze_root}/{source}")
     if not fs.exists(p):
         return []
-    ids = [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-           if st.isDirectory() and st.getPath().getName().startswith("load_id=")]
-    return sorted(ids)
+    ids = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
+           if st.isDirectory() and st.getPath().getName().startswith("load_id=")}
+    return sorted(ids & committed_loads(spark, bronze_root))
 
 
 def retention_plan(loads: DataFrame, max_loads: int) -> DataFrame:
@@ -182,9 +195,11 @@ def apply_retention(spark: SparkSession, bronze_root: str, sources: Sequence[str
     for s in sources:
         ids = list_load_ids(spark, bronze_root, s)
         for lid in ids[:-max_loads] if len(ids) > max_loads else []:
-            fs, p = _fs(spark, f"{bronze_root}/{s}/load_id={lid}")
-            fs.delete(p, True)
             dropped.add(lid)
+    for lid in sorted(dropped):  # first out of sight, then away
+        for folder in (f"_committed/{lid}", *(f"{s}/load_id={lid}" for s in sources)):
+            fs, p = _fs(spark, f"{bronze_root}/{folder}")
+            fs.delete(p, True)
     return sorted(dropped)
 
 
@@ -201,12 +216,17 @@ def read_load(spark: SparkSession, bronze_root: str, source: str, load_id: str |
 
 
 # ------------------------------------------------------------------ A11
+#: What stands for NULL in an exported file.
+CSV_NULL = "\\N"
+
+
 def export_csv(tables: dict[str, DataFrame], out_root: str) -> list[dict]:
     """Bulk export of every table as CSV with header (one folder per table)."""
     out = []
     for name, df in tables.items():
         obs = Observation()
         (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True)
+         .option("nullValue", CSV_NULL).option("emptyValue", "")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .csv(f"{out_root}/{name}"))
         out.append({"table": name, "rows": int(obs.get["rows"])})

@@ -3,10 +3,12 @@
 ``sales_raw`` (one row per order, with injected defects) and ``events_raw``
 (one row per milestone event of an order) are written once as SQL text. The
 same text runs in Spark and in DuckDB; only three spots differ by dialect:
-the text type, adding hours to a timestamp and half-even rounding.
+the text type, adding hours to a timestamp and integer division.
 
 Defects are injected by key arithmetic so both engines produce the very same
-rows; no row is dropped, every source row of the driver's tables flows in.
+rows. Every order is a sale, also one without lines (null amounts), and every
+line counts: a sale's quantity is the sum over its lines and its unit price
+their mean price per piece. Every line is an event.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 _DIALECT = {
-    "spark": {"text": "string", "add_hours": "timestampadd(HOUR, {h}, {ts})"},
-    "duckdb": {"text": "varchar", "add_hours": "({ts} + to_hours(CAST({h} AS BIGINT)))"},
+    "spark": {"text": "string", "add_hours": "timestampadd(HOUR, {h}, {ts})", "div": "div"},
+    "duckdb": {"text": "varchar", "add_hours": "({ts} + to_hours(CAST({h} AS BIGINT)))", "div": "//"},
 }
 
 
@@ -33,31 +35,38 @@ def _add_hours(dialect: str, ts: str, h: str) -> str:
 
 
 def sales_raw_sql(dialect: str = "spark") -> str:
-    """One sale per order: orders ⋈ customer ⋈ nation ⋈ first line ⋈ part."""
-    t = _DIALECT[dialect]["text"]
+    """One sale per order: orders ⋈ customer ⋈ nation, with the order's lines summed up.
+
+    Category and product are those of the first line."""
+    t, div = _DIALECT[dialect]["text"], _DIALECT[dialect]["div"]
     T = _tables(dialect, "lineitem", "orders", "customer", "nation", "part")
     return f"""
-WITH first_line AS (
-  SELECT l_orderkey, l_partkey, l_quantity, l_discount FROM (
-    SELECT l_orderkey, l_partkey, l_quantity, l_discount,
-           row_number() OVER (PARTITION BY l_orderkey
-                              ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
-                                       l_quantity, l_extendedprice) AS rn
-    FROM {T['lineitem']}) fl
-  WHERE rn = 1
+WITH priced_lines AS (
+  SELECT l.l_orderkey, p.p_type, p.p_name, CAST(l.l_quantity AS BIGINT) AS quantity,
+         CAST(CAST(p.p_retailprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents,
+         CAST(CAST(l.l_discount AS DECIMAL(5,2)) * 100 AS BIGINT) AS discount_pct,
+         row_number() OVER (PARTITION BY l.l_orderkey
+                            ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate,
+                                     l.l_quantity, l.l_extendedprice) AS rn
+  FROM {T['lineitem']} l JOIN {T['part']} p ON p.p_partkey = l.l_partkey
+),
+per_order AS (
+  SELECT l_orderkey, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(quantity * cents) AS BIGINT) AS cents,
+         CAST(sum(discount_pct) AS BIGINT) AS discount_pct, count(*) AS n_lines,
+         max(CASE WHEN rn = 1 THEN p_type END) AS p_type, max(CASE WHEN rn = 1 THEN p_name END) AS p_name
+  FROM priced_lines GROUP BY l_orderkey
 ),
 base AS (
   SELECT o.o_orderkey AS k, o.o_custkey, o.o_orderdate, o.o_orderpriority,
          c.c_mktsegment, replace(n.n_name, '_', ' ') AS nation_city,
-         p.p_type, p.p_name,
-         CAST(p.p_retailprice AS DECIMAL(18,2)) AS unit_price,
-         CAST(fl.l_quantity AS INT) AS quantity,
-         CAST(fl.l_discount AS DECIMAL(5,2)) AS discount_rate
+         po.p_type, po.p_name,
+         CAST(((po.cents + (po.quantity {div} 2)) {div} po.quantity) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS unit_price,
+         CAST(po.quantity AS INT) AS quantity,
+         CAST((po.discount_pct {div} po.n_lines) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(5,2)) AS discount_rate
   FROM {T['orders']} o
   JOIN {T['customer']} c ON c.c_custkey = o.o_custkey
   JOIN {T['nation']} n ON n.n_nationkey = c.c_nationkey
-  JOIN first_line fl ON fl.l_orderkey = o.o_orderkey
-  JOIN {T['part']} p ON p.p_partkey = fl.l_partkey
+  LEFT JOIN per_order po ON po.l_orderkey = o.o_orderkey
 ),
 priced AS (
   SELECT *,
@@ -172,30 +181,3 @@ def duckdb_ctes() -> str:
     return (f"sales_raw AS ({sales_raw_sql('duckdb')}),\n"
             f"events_raw AS ({events_raw_sql('duckdb')}),\n"
             f"coverage AS ({coverage_sql('duckdb')})")
-
-
-def happy_orders_sql(dialect: str = "duckdb", events: str = "events_raw") -> str:
-    """Orders whose every event row carries a centre, destination and parseable
-    promised date, whose transport rows carry carrier and tracking number, and
-    that have a transport line: the binding on which every gate rule can pass
-    (FIXTURES §3, "happy path"). Judged on every raw row, so no later step
-    (conflict resolution, recovery) can bring a missing value back."""
-    ts = "try_cast(promised_ts_txt AS TIMESTAMP)" if dialect == "duckdb" else \
-        "try_cast(promised_ts_txt AS TIMESTAMP_NTZ)"
-    return f"""SELECT order_id FROM {events} WHERE order_id IS NOT NULL GROUP BY order_id
-HAVING count(*) = count(center) AND count(*) = count(dest_city) AND count(*) = count({ts})
-   AND count(CASE WHEN state IN ('A', 'R') AND (carrier IS NULL OR tracking_no IS NULL) THEN 1 END) = 0
-   AND count(CASE WHEN state IN ('A', 'R') THEN 1 END) > 0"""
-
-
-def happy_path(sales: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Restrict both views to the happy-path orders (a semi-join on the order key)."""
-    spark = events.sparkSession
-    good = spark.sql(happy_orders_sql("spark", "{events}"), events=events)
-    return sales.join(good, "order_id", "left_semi"), events.join(good, "order_id", "left_semi")
-
-
-def duckdb_happy_ctes() -> str:
-    return (f"hp_orders AS ({happy_orders_sql('duckdb')}),\n"
-            "sales_hp AS (SELECT * FROM sales_raw WHERE order_id IN (SELECT order_id FROM hp_orders)),\n"
-            "events_hp AS (SELECT * FROM events_raw WHERE order_id IN (SELECT order_id FROM hp_orders))")

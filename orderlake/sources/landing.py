@@ -4,22 +4,24 @@ A derived table (a landed Bronze view, a Silver table) is written as Parquet
 under ``spark.checkpoint.dir`` and read back, which cuts the lineage: later
 queries scan the written files instead of recomputing the whole chain, and
 a lost executor only costs the tasks of the current stage. The folder name
-carries a fingerprint of the inputs (paths, sizes, modification times), so a
-changed source lands again instead of serving stale rows.
+carries a fingerprint of the inputs (paths, sizes, modification times), of this
+package's code and of the contract, so a changed source or rule lands again
+instead of serving stale rows. A table is written beside its place and renamed
+when it is whole.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.session import ensure_checkpoint_dir
 
-_DONE: set[str] = set()
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -31,28 +33,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def fingerprint_paths(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Cheap identity of input files: path, length and modification time."""
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+@functools.cache
+def code_version() -> str:
+    """Identity of the code that makes the tables: a hash of this package's modules."""
     h = hashlib.sha256()
+    root = Path(__file__).resolve().parents[1]
+    for path in sorted(root.rglob("*.py")):
+        if "llm" not in path.relative_to(root).parts:
+            h.update(path.read_bytes())
+    return h.hexdigest()[:8]
+
+
+def fingerprint_paths(spark: SparkSession, paths: Sequence[str], *more: object) -> str:
+    """Cheap identity of input files (path, length and modification time, in all
+    subfolders), of the code and of ``more`` (a contract, say)."""
+    h = hashlib.sha256(repr((code_version(), more)).encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
         h.update(path.encode())
         if fs.exists(p):
-            for st in fs.listStatus(p):
-                h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+            files = fs.listFiles(p, True)
+            found = []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+            h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame],
-                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``build()`` once per input fingerprint and return a scan of it."""
+                 partition_by: Sequence[str] = (), version: object = None) -> DataFrame:
+    """Write ``build()`` once per fingerprint and return a scan of it."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/orderlake-tables/{name}-{fingerprint_paths(spark, inputs)}"
-    marker = f"{path}/_SUCCESS"
-    if path not in _DONE and not path_exists(spark, marker):
-        writer = build().write.mode("overwrite")
+    path = f"{root}/orderlake-tables/{name}-{fingerprint_paths(spark, inputs, version)}"
+    if not path_exists(spark, path):
+        made = f"{path}.{uuid.uuid4().hex}"
+        writer = build().write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-    _DONE.add(path)
+        writer.parquet(made)
+        fs, p = _fs(spark, made)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(target):  # else another run has finished it meanwhile
+            fs.rename(p, target)
     return spark.read.parquet(path)

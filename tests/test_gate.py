@@ -1,20 +1,25 @@
 """Failure path: a broken rule raises, nothing is published, the old pointer stays."""
 
+import datetime as dt
+from decimal import Decimal as D
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from orderlake import registry as R
-from orderlake.contract import FIXTURE_CONTRACT
+from orderlake.contract import TOLERANT_CONTRACT, Contract
+from orderlake.operators import rules as E
 from orderlake.operators.rules import GateError, gate
 from orderlake.plans import ledger as L
-from orderlake.plans.pipeline import Lake, reprocess, run_pipeline
+from orderlake.plans.pipeline import Lake, reprocess, retain, run_pipeline
 from orderlake.sources import fixtures as FX
-from orderlake.sources.bronze import LoadExistsError, UnknownLoadError, apply_retention
+from orderlake.sources.bronze import LoadExistsError, UnknownLoadError, apply_retention, list_load_ids
+from orderlake.sources.landing import path_exists
 
 
-def _happy(spark):
-    return FX.happy_path(R.bronze_sales(spark, SF_SMALL), R.bronze_events(spark, SF_SMALL))
+def _sources(spark):
+    return R.bronze_sales(spark, SF_SMALL), R.bronze_events(spark, SF_SMALL)
 
 
 def test_gate_raises_on_failed_rule(spark):
@@ -28,19 +33,113 @@ def test_gate_raises_on_failed_rule(spark):
 def test_failed_run_keeps_previous_publication(spark, tmpdir_spark):
     lake = Lake(tmpdir_spark)
     cov = FX.coverage(spark, SF_SMALL)
-    s, e = _happy(spark)
-    first = run_pipeline(spark, lake, {"sales": s, "events": e}, FIXTURE_CONTRACT, cov, load_id="20240101_000000")
-    # break R5 (negative amount) on an otherwise clean load
+    s, e = _sources(spark)
+    first = run_pipeline(spark, lake, {"sales": s, "events": e}, TOLERANT_CONTRACT, cov, load_id="20240101_000000")
+    # every price negative: the rows go to quarantine, beyond the share that the contract admits
     bad_s = s.withColumn("unit_price", F.col("unit_price") * -1)
-    with pytest.raises(GateError):
-        run_pipeline(spark, lake, {"sales": bad_s, "events": e}, FIXTURE_CONTRACT, cov, load_id="20240102_000000")
+    with pytest.raises(GateError) as failed:
+        run_pipeline(spark, lake, {"sales": bad_s, "events": e}, TOLERANT_CONTRACT, cov, load_id="20240102_000000")
+    assert "R20" in {r[1] for r in failed.value.failed}
+    runs = L.read(spark, lake.ledger, "run").orderBy("started_at").collect()
+    assert [r["status"] for r in runs] == ["PUBLISHED", "FAILED"] and runs[1]["error"] == str(failed.value)
+    assert not path_exists(spark, f"{lake.run_dir(runs[1]['run_id'])}/gold")  # Silver failed: Gold was not built
+    assert not path_exists(spark, f"{lake.run_dir(first.run_id)}/work")
     assert L.published_run(spark, lake.ledger)[0] == first.run_id
-    statuses = [r["status"] for r in L.read(spark, lake.ledger, "run").orderBy("started_at").collect()]
-    assert statuses == ["PUBLISHED", "FAILED"]
     with pytest.raises(LoadExistsError):
-        run_pipeline(spark, lake, {"sales": s, "events": e}, FIXTURE_CONTRACT, cov, load_id="20240101_000000")
+        run_pipeline(spark, lake, {"sales": s, "events": e}, TOLERANT_CONTRACT, cov, load_id="20240101_000000")
     with pytest.raises(UnknownLoadError):
-        reprocess(spark, lake, FIXTURE_CONTRACT, cov, load_id="19990101_000000")
+        reprocess(spark, lake, TOLERANT_CONTRACT, cov, load_id="19990101_000000")
     with pytest.raises(ValueError):
         apply_retention(spark, lake.bronze, ["sales"], 0)
-    assert apply_retention(spark, lake.bronze, ["sales", "events"], 1) == ["20240101_000000"]
+    # a load of which one source is missing is not a load
+    s.withColumn("load_id", F.lit("20240103_000000")).write.mode("append").partitionBy("load_id").parquet(f"{lake.bronze}/sales")
+    assert list_load_ids(spark, lake.bronze, "sales") == ["20240101_000000", "20240102_000000"]
+    assert retain(spark, lake, 1) == ["20240101_000000"]
+    assert path_exists(spark, lake.run_dir(first.run_id))  # published: stays
+    assert list_load_ids(spark, lake.bronze, "events") == ["20240102_000000"]
+
+
+SALE = ("sale_id long, order_id long, sale_ts timestamp_ntz, city string, unit_price decimal(18,2), gross decimal(18,2), "
+        "discount decimal(18,2), net decimal(18,2), rating int")
+EVENT = ("event_id long, order_id long, event_ts timestamp_ntz, state string, center string, dest_city string, carrier string, "
+         "tracking_no string, promised_ts timestamp_ntz")
+
+
+def _clean(spark):
+    ts = dt.datetime(2024, 1, 1)
+    one = D("1.00")
+    sales = spark.createDataFrame([(k, k, ts, "Lima", one, one, one, one, 3) for k in (1, 2)], SALE)
+    events = spark.createDataFrame([(10 * k + i, k, ts, st, "DC", "Lima", c, c, ts) for k in (1, 2)
+                                    for i, (st, c) in enumerate([("N", None), ("A", "C1"), ("R", "C1")])], EVENT)
+    return sales, events
+
+
+def _silver(sales, events, raw=100, rejected=0, rejected_events=0):
+    rows = E.silver_rules(sales, events, Contract(coverage=("Lima",)), F.lit(raw), F.lit(rejected), F.lit(raw), F.lit(rejected_events))
+    return {r["rule_id"] for r in rows.collect() if not r["passed"]}
+
+
+def _set(column, value, where="event_id = 11"):
+    return lambda df: df.withColumn(column, F.when(F.expr(where), F.expr(value)).otherwise(F.col(column)))
+
+
+BREAK_SALES = {"R1": _set("sale_id", "1L", "true"), "R2": _set("order_id", "1L", "true"), "R3": _set("sale_ts", "null", "sale_id = 1"),
+               "R4": _set("rating", "9", "sale_id = 1"), "R5": _set("net", "-1", "sale_id = 1"), "R6": _set("city", "'Oz'", "sale_id = 1")}
+BREAK_EVENTS = {"R7": _set("event_id", "10L"), "R8": lambda df: df.unionByName(df.where("event_id = 10")),
+                "R9": lambda df: df.withColumn("unnamed_3", F.lit(None).cast("string")),
+                "R10": lambda df: df.withColumn("event_ts", F.col("event_ts").cast("string")),
+                "R11": _set("center", "null"), "R12": _set("dest_city", "null"), "R13": _set("promised_ts", "null"),
+                "R14": _set("carrier", "null"), "R15": _set("carrier", "'C9'", "event_id = 10"), "R16": _set("tracking_no", "null"),
+                "R17": _set("tracking_no", "'T9'", "event_id = 10"), "R18": _set("dest_city", "'Oz'"), "R19": _set("order_id", "99L")}
+
+
+def test_clean_frames_pass_every_silver_rule(spark):
+    assert _silver(*_clean(spark)) == set()
+
+
+@pytest.mark.parametrize("rule", [*BREAK_SALES, *BREAK_EVENTS])
+def test_each_silver_rule_fails_when_broken(spark, rule):
+    sales, events = _clean(spark)
+    also = {"R2": {"R19"}, "R8": {"R7"}}.get(rule, set())
+    broken = _silver(BREAK_SALES[rule](sales), events) if rule in BREAK_SALES else _silver(sales, BREAK_EVENTS[rule](events))
+    assert rule in broken and broken - {rule} <= also
+
+
+def test_quarantine_shares_fail_beyond_the_limit(spark):
+    clean = _clean(spark)
+    assert _silver(*clean, rejected=5, rejected_events=5) == set()
+    assert _silver(*clean, rejected=6) == {"R20"} and _silver(*clean, rejected_events=6) == {"R21"}
+
+
+def test_tolerated_share_is_a_limit(spark):
+    sales, events = _clean(spark)
+    bad = _set("center", "null")(events)  # 1 of 6 events
+
+    def passed(pct):
+        rules = E.silver_rules(sales, bad, Contract(coverage=("Lima",), tolerated_pct={"R11": pct}), F.lit(9), F.lit(0), F.lit(9), F.lit(0))
+        return {r["rule_id"]: r["passed"] for r in rules.collect()}["R11"]
+    assert passed(17.0) and not passed(16.0)
+
+
+def test_each_gold_rule_fails_when_broken(spark):
+    sales, events = _clean(spark)
+    one = D("1.00")
+    orders = spark.createDataFrame([(1, one, 3, 9), (2, one, 3, 9)], "order_id long, net decimal(18,2), n_events long, ship_cost int")
+    gold_ev = sales.select("order_id").join(events, "order_id")
+    marts = {"kpi_monthly": spark.createDataFrame([("2024-01", 2, D("2.00"))], "month string, orders long, net decimal(38,2)"),
+             "carrier_performance": spark.createDataFrame([("C1", 2)], "carrier string, orders long"),
+             "city_channel_sales": spark.createDataFrame([("Lima", 2, D("2.00"))], "city string, orders long, net decimal(38,2)")}
+
+    def failed(orders=orders, gold_ev=gold_ev, marts=marts):
+        return {r["rule_id"] for r in E.gold_rules(sales, events, gold_ev, orders, marts).collect() if not r["passed"]}
+    assert failed() == set()
+    assert "R22" in failed(orders=orders.limit(1))
+    assert "R23" in failed(orders=orders.withColumn("order_id", F.lit(1).cast("long")))
+    assert "R24" in failed(orders=orders.withColumn("net", F.col("net") * 5))
+    assert failed(orders=orders.withColumn("n_events", F.when(F.col("order_id") == 1, F.col("n_events")))) == {"R25"}
+    assert failed(orders=orders.withColumn("ship_cost", F.when(F.col("order_id") == 1, F.col("ship_cost")))) == {"R26"}
+    assert failed(gold_ev=gold_ev.limit(5)) == {"R27"}
+    assert failed(gold_ev=gold_ev.withColumn("net", F.lit(1))) == {"R28"}
+    for rules, name, column in (({"R29"}, "kpi_monthly", "orders"), ({"R30"}, "kpi_monthly", "net"), ({"R31"}, "carrier_performance", "orders"),
+                                ({"R32"}, "city_channel_sales", "orders"), ({"R33"}, "city_channel_sales", "net")):
+        assert failed(marts=marts | {name: marts[name].withColumn(column, (F.col(column) * 7).cast(dict(marts[name].dtypes)[column]))}) == rules

@@ -39,10 +39,14 @@ def test_gold_reconciles_with_silver(spark):
         F.col("city").isNotNull() & F.col("channel").isNotNull()).count()
 
 
-def test_happy_path_publishes_and_reconciles(spark):
+def test_whole_binding_publishes_every_valid_sale(spark):
     lake = R.scenario_lake(spark, SF_SMALL)
     from orderlake.plans import ledger as L
     hist = {r["seq"]: r for r in L.run_history(spark, lake.ledger).collect()}
     assert hist[1]["status"] == "PUBLISHED" and hist[1]["rules_passed"] == 33
     assert hist[2]["origin"] == "reprocess" and hist[2]["status"] == "PUBLISHED"
     assert hist[3]["status"] == "FAILED"
+    from orderlake.plans import pipeline as PL
+    parts = R.silver_parts(spark, SF_SMALL)
+    assert PL.published(spark, lake, "gold", "orders").count() == parts["s_clean"].count()
+    assert parts["sales_raw"].select("order_id").distinct().count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()

@@ -8,10 +8,10 @@ import pytest
 
 from conftest import SF_SMALL
 from tools.oracle_check import compare, duck_con
-from __spark_entry__ import oracle_sql, queries
+from orderlake.registry import all_oracles, all_queries
 
-QUERIES = queries()
-ORACLES = oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")

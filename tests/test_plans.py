@@ -5,7 +5,7 @@ import re
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import queries
+from orderlake.registry import all_queries as queries
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 CHECKED = ["silver_events", "incident_log", "gold_orders", "carrier_performance", "kpi_monthly",
@@ -36,7 +36,7 @@ def test_load_read_prunes_partitions(spark):
     from orderlake import registry as R
     from orderlake.sources import bronze as A
     lake = R.scenario_lake(spark, SF_SMALL)
-    df = A.read_load(spark, lake.bronze, "events", R.LOAD_HAPPY)
+    df = A.read_load(spark, lake.bronze, "events", R.LOAD_FIRST)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_id" in plan
 
@@ -48,3 +48,23 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(state), EqualTo(state,R)]" in plan
     assert "ReadSchema: struct<order_id:bigint,state:string>" in plan
+
+
+def test_repeated_rows_are_ranked_by_key_and_arrival_only(spark):
+    from orderlake.operators import silver as S
+    ev = spark.range(1000).selectExpr("id as _arrival", "id % 900 as event_id", "'x' as wide", "'y' as other")
+    plan = S.first_rows(ev, "event_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "wide" not in plan and "other" not in plan
+
+
+def test_no_action_while_rules_are_built(spark):
+    from orderlake import registry as R
+    tracker = spark.sparkContext.statusTracker()
+    parts = R.silver_parts(spark, SF_SMALL)
+    s, e, cov = parts["s_clean"], parts["e_clean"], parts["coverage"]
+    spark.sparkContext.setJobGroup("rules-build", "")
+    from orderlake.contract import FIXTURE_CONTRACT
+    from orderlake.operators import rules as E
+    one = R._count(s)
+    E.silver_rules(s, e, FIXTURE_CONTRACT, one, one, one, one, cov)
+    assert list(tracker.getJobIdsForGroup("rules-build")) == []
