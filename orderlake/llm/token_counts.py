@@ -55,7 +55,7 @@ class SpanEncoder:
 
 def owners(token_ends: np.ndarray, section_ends: np.ndarray) -> np.ndarray:
     """The section of each token: the one with most of its bytes, of equals the first."""
-    starts = np.concatenate(([0], token_ends[:-1]))
+    starts = np.concatenate(([0], token_ends))[: len(token_ends)]
     first = np.searchsorted(section_ends, starts, side="right")
     last = np.searchsorted(section_ends, token_ends, side="left")
     owner = first.copy()
@@ -88,7 +88,7 @@ def _attribute(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str, ends
             chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
             owner = owners(tokens, sections)
             starts = np.concatenate(([0], sections[:-1]))
-            token_starts = np.concatenate(([0], tokens[:-1])) if len(tokens) else tokens
+            token_starts = np.concatenate(([0], tokens))[: len(tokens)]
             crossing = (token_starts < starts[owner]) | (tokens > sections[owner])
             n = len(sections)
             docs += [doc] * n

@@ -115,7 +115,7 @@ class WordEncoder:
             self.n_ids += len(ids)
             self.places.update(zip(part, range(at, at + len(part))))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and the number of ids of each."""
         if len(self.places) > CACHE_WORDS:
             self._reset()
@@ -132,9 +132,9 @@ class WordEncoder:
         return flat, np.diff(so_far[at == 0], prepend=0)
 
 
-def _folded(text: str | None) -> bytes:
+def _folded(text: str | bytes | None) -> bytes:
     """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written."""
-    data = (text or "").encode("utf-8", "replace")
+    data = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
     return data if b"<|" in data else data.lower()
 
 
@@ -211,16 +211,22 @@ class Shard:
             raise ValueError("token shard of wrong length")
         rules, self.lengths, self.symbols, self.ends, self.sizes = parts
         self.rules = rules.reshape(-1, 2)
-        # every symbol's expansion, one after the other; a rule refers to earlier symbols only
-        size = np.concatenate((np.ones(TERMINALS, np.int64), self.lengths))
-        self.first = np.concatenate(([0], np.cumsum(size)))
-        flat = np.zeros(self.first[-1], np.uint16)
-        flat[:TERMINALS] = np.arange(TERMINALS)
-        for r, (a, b) in enumerate(self.rules.tolist()):
-            to, cut = self.first[TERMINALS + r], size[a]
-            flat[to : to + cut] = flat[self.first[a] : self.first[a] + cut]
-            flat[to + cut : to + cut + size[b]] = flat[self.first[b] : self.first[b] + size[b]]
-        self.size, self.flat = size, flat
+        # every symbol's expansion, one after the other; a rule refers to earlier symbols only,
+        # so rules are expanded by depth
+        self.size = np.concatenate((np.ones(TERMINALS, np.int64), self.lengths))
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = np.zeros(int(self.size.sum()), np.uint16)
+        self.flat[:TERMINALS] = np.arange(TERMINALS)
+        depth = np.zeros(len(self.size), np.int64)
+        while n_rules:
+            deeper = 1 + depth[self.rules].max(axis=1)
+            if (deeper == depth[TERMINALS:]).all():
+                break
+            depth[TERMINALS:] = deeper
+        for d in range(1, int(depth.max()) + 1):
+            own = np.flatnonzero(depth == d)
+            to = self.first[own] - (np.cumsum(self.size[own]) - self.size[own])
+            self.flat[np.repeat(to, self.size[own]) + np.arange(self.size[own].sum())] = self._expand(self.rules[own - TERMINALS].ravel())
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         length = self.size[symbols]
@@ -264,7 +270,7 @@ def _pack_shards(batches: Iterator[pa.RecordBatch], tokenizer: str, shard_ids: i
     for batch in batches:
         for at in range(0, batch.num_rows, TOGETHER):
             piece = batch.slice(at, TOGETHER)
-            ids, sizes = encoder.encode(piece.column(1).to_pylist())
+            ids, sizes = encoder.encode(piece.column(1).cast(pa.binary()).to_pylist())
             held.append((piece.column(0).to_pylist(), ids, sizes))
             n_held += len(ids)
             if n_held >= shard_ids:
