@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Setting of an Arrow batch's size, and its default.
+BATCH_BYTES, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -49,8 +51,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_workers(spark: SparkSession) -> SparkSession:
-    """Python workers of a local session find this package also when the driver's folder is another."""
+    """A session whose Python workers find this package, also when the driver's folder is another,
+    and get batches of bounded size (a batch of long texts is many times its bytes in Python)."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    if spark.conf.get(BATCH_BYTES, DEFAULT_BATCH) in (DEFAULT_BATCH, "64MB"):
+        spark.conf.set(BATCH_BYTES, "16m")
     return spark
 
 

@@ -30,6 +30,8 @@ from orderlake.llm.html_blocks import Block, blocks
 
 #: Pages of the table that the field is trained on, about, and generated ones.
 SAMPLE_PAGES, LAYOUT_PAGES = 200, 400
+#: Longer pages are not trained on (they are extracted like all others).
+SAMPLE_BLOCKS = 300
 ROUNDS, RATE, DECAY = 150, 0.1, 0.0005
 
 # Names by which markup tells what a part of a page is.
@@ -194,7 +196,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for html in batch.column(0).to_pylist():
             page = blocks(html)
-            labels = markup_labels(page)
+            labels = markup_labels(page) if len(page) <= SAMPLE_BLOCKS else None
             if labels:
                 rows.append((features(page), labels))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.list_(pa.string()))), pa.array([r[1] for r in rows], pa.list_(pa.bool_()))], ["features", "labels"])

@@ -161,7 +161,7 @@ def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.Re
                 continue
             n, ids, comp, own = columns["n_shingles"][rows], columns["doc_id"][rows], columns["component"][rows], regs[rows]
             block, i, j, band_no = columns["block"][rows], int(key[1, rows[0]]), int(key[2, rows[0]]), int(columns["band_no"][rows[0]])
-            pairs: list[tuple[int, int]] = []
+            partners: dict[int, np.ndarray] = {}
             near: dict[float, list[list]] = {at: [[] for _ in rows] for at in (CUT, LIKELY)}
             for k in range(len(rows) - 1):
                 rest = np.arange(k + 1, len(rows))
@@ -175,21 +175,24 @@ def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.Re
                 shared = (own[k] == own[rest]).reshape(len(rest), BANDS, ROWS).all(axis=2)
                 rest = rest[shared.argmax(axis=1) == band_no]
                 if across:
-                    pairs += [(k, int(m)) for m in rest]
+                    if len(rest):
+                        partners[k] = rest
                     continue
                 for at, edges in near.items():
                     for m in rest[likely_similar(own[k], n[k], own[rest], n[rest], at)].tolist():
                         edges[k].append(m)
                         edges[m].append(k)
             if not across:
-                pairs = sorted({(min(e), max(e)) for edges in near.values() for e in _forest(len(rows), [np.array(x, dtype=np.int64) for x in edges])})
-            partners: dict[int, list[int]] = {}
-            for k, m in pairs:
-                partners.setdefault(k, []).append(int(ids[m]))
-                partners.setdefault(m, [])
-            out += [(int(key[0, rows[0]]), i, j, int(ids[k]), p) for k, p in partners.items()]
+                pairs = {(min(e), max(e)) for edges in near.values() for e in _forest(len(rows), [np.array(x, dtype=np.int64) for x in edges])}
+                for k in {k for k, _ in pairs}:
+                    partners[k] = np.array(sorted(m for i_, m in pairs if i_ == k), dtype=np.int64)
+            involved = sorted(partners.keys() | {int(m) for rest in partners.values() for m in rest})
+            out += [(int(key[0, rows[0]]), i, j, int(ids[k]), ids[partners[k]] if k in partners else ids[:0]) for k in involved]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())))], ["band", "i", "j", "doc_id", "partners"])
+            band, i_, j_, doc, lists = zip(*out)
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            columns = [pa.array(band, pa.int64()), pa.array(i_, pa.int32()), pa.array(j_, pa.int32()), pa.array(doc, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, np.concatenate(lists))], ["band", "i", "j", "doc_id", "partners"])
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -203,26 +206,29 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Confirmed links of each group. A pair that the group's links connect already needs no check."""
     for table in runs(batches, ["band", "i", "j"], most_rows=256):
         sets = [s for part, _ in shingles.shingle_sets(table.column("text").combine_chunks()) for s in part]
-        rows = zip(table.column("band").to_pylist(), table.column("i").to_pylist(), table.column("j").to_pylist(), table.column("doc_id").to_pylist(), table.column("partners").to_pylist(), sets)
-        groups: dict[tuple, dict[int, list]] = {}
-        wanted: dict[tuple, dict[tuple[int, int], None]] = {}
-        for band, i, j, doc, partners, own in rows:
-            groups.setdefault((band, i, j), {}).setdefault(doc, []).append(own)
-            wanted.setdefault((band, i, j), {}).update(dict.fromkeys((doc, p) for p in partners))
+        docs = table.column("doc_id").to_numpy()
+        key = np.stack([table.column(c).to_numpy() for c in ("band", "i", "j")])
+        lists = table.column("partners").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         found = []
-        for group, pairs in wanted.items():
-            members, parent = groups[group], {}
+        for rows in np.split(np.arange(table.num_rows), np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1):
+            members: dict[int, list[np.ndarray]] = {}
+            for r in rows.tolist():
+                members.setdefault(int(docs[r]), []).append(sets[r])
+            parent = {doc: doc for doc in members}
 
             def root(x: int) -> int:
-                while parent.setdefault(x, x) != x:
+                while parent[x] != x:
                     parent[x] = parent[parent[x]]
                     x = parent[x]
                 return x
 
-            for a, b in pairs:
-                if root(a) != root(b) and any(linked(x, y) for x in members.get(a, ()) for y in members.get(b, ())):
-                    parent[root(a)] = root(b)
-                    found.append((a, b))
+            for r in rows.tolist():
+                a = int(docs[r])
+                for b in flat[ends[r] : ends[r + 1]].tolist():
+                    if b in parent and root(a) != root(b) and any(linked(x, y) for x in members[a] for y in members[b]):
+                        parent[root(a)] = root(b)
+                        found.append((a, b))
         yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
 
 
