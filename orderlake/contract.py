@@ -64,6 +64,7 @@ class Contract:
 
     coverage: tuple[str, ...] | None = None
     transport_states: tuple[str, ...] = ("A", "R")
+    first_state: str = "N"
     delivered_state: str = "R"
     physical_channel: str = "BUILDING"
     max_reject_pct: float = 5.0

@@ -148,9 +148,12 @@ def city_channel_sales(orders: DataFrame) -> DataFrame:
             .orderBy(F.desc("net"), "city", "channel"))
 
 
-def delivery_kpis(orders: DataFrame) -> DataFrame:
-    """Delivery indicators of the report in one aggregate."""
+def delivery_kpis(orders: DataFrame, events: DataFrame, contract: Contract) -> DataFrame:
+    """Delivery indicators of the report in one aggregate, plus the orders that never
+    had the first state (an anti join on the orders that had it)."""
     late = false_if_null(F.col("late"))
+    began = events.where(F.col("state") == contract.first_state).select("order_id").distinct()
+    without_first = orders.join(began, "order_id", "left_anti").agg(F.count(F.lit(1))).scalar()
     return orders.agg(
         F.count(F.lit(1)).alias("orders"),
         F.count("late").alias("dated_deliveries"),
@@ -164,7 +167,8 @@ def delivery_kpis(orders: DataFrame) -> DataFrame:
         round_half_even(F.percentile("cycle_days", 0.5)).alias("median_cycle_days"),
         round_half_even(F.percentile("promised_days", 0.5)).alias("median_promised_days"),
         F.count_if(~false_if_null(F.col("trace_complete"))).alias("incomplete_traces"),
-        F.count_if(F.col("n_events").isNull()).alias("orders_without_events"))
+        F.count_if(F.col("n_events").isNull()).alias("orders_without_events")).withColumn(
+        "orders_without_first_state", without_first)
 
 
 def late_rate_by_month(orders: DataFrame) -> DataFrame:

@@ -265,15 +265,45 @@ def boxplot(df: DataFrame, col: str) -> DataFrame:
         round_half_even(lo).alias("lower_fence"), round_half_even(hi).alias("upper_fence"), "outliers", "count")
 
 
-def null_before_after(bronze: DataFrame, silver: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
-    """Nulls per column in Bronze vs Silver, joined on the (Silver) column name."""
+# What cleaning does about the nulls of a column.
+NULL_STRATEGY = {
+    **dict.fromkeys(("incident", "note"), "explicit category"),
+    **dict.fromkeys(("carrier", "tracking_no"), "value of the order, in transport states only"),
+    **dict.fromkeys(("center", "dest_city", "promised_ts"), "value of the order"),
+    **dict.fromkeys(("stage_hours", "event_ts", "store_id", "rating"), "kept null"),
+}
+# What the nulls of a column say.
+NULL_VERDICT = {
+    **dict.fromkeys(("store_id", "rating", "stage_hours", "incident", "note"), "normal"),
+    **dict.fromkeys(("carrier", "tracking_no"), "normal before dispatch, a problem in transport"),
+    **dict.fromkeys(("center", "dest_city", "promised_ts_txt", "event_ts_txt"), "problem"),
+}
+
+
+def _lookup(words: dict[str, str], column: str = "column") -> Column:
+    return F.create_map(*[F.lit(x) for pair in words.items() for x in pair])[F.col(column)]
+
+
+def null_findings(df: DataFrame, table: str) -> DataFrame:
+    """Every column with nulls, their number, and what they say; nulls of a residual
+    column say that it does not belong to the model."""
+    found = structure(df, table).where("nulls > 0 OR role = 'residual'")
+    verdict = F.when(F.col("role") == RESIDUAL, F.lit("problem (residual column)")).otherwise(
+        F.coalesce(_lookup(NULL_VERDICT), F.lit("unexplained")))
+    return found.select("tbl", "column", (F.col("non_null") + F.col("nulls")).alias("rows"), "nulls", verdict.alias("verdict"))
+
+
+def null_before_after(bronze: DataFrame, silver: DataFrame, table: str, rename: dict[str, str] | None = None) -> DataFrame:
+    """Nulls per column in Bronze vs Silver, joined on the (Silver) column name, and what
+    was done about them."""
     rename = rename or {}
     b = structure(bronze, "bronze").select(
-        F.coalesce(F.create_map(*[x for k, v in rename.items() for x in (F.lit(k), F.lit(v))])[F.col("column")]
-                   if rename else F.lit(None), F.col("column")).alias("column"),
+        F.coalesce(_lookup(rename) if rename else F.lit(None), F.col("column")).alias("column"),
         F.col("nulls").alias("nulls_bronze"))
     s = structure(silver, "silver").select("column", F.col("nulls").alias("nulls_silver"))
-    return b.join(s, "column", "full")
+    return b.join(s, "column", "full").select(
+        F.lit(table).alias("tbl"), "column", "nulls_bronze", "nulls_silver",
+        F.when(F.col("nulls_silver").isNull(), F.lit("column dropped")).otherwise(_lookup(NULL_STRATEGY)).alias("strategy"))
 
 
 def conditional_presence(sales: DataFrame, physical_channel: str) -> DataFrame:

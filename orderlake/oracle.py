@@ -420,7 +420,9 @@ SELECT count(*) AS orders, count(late) AS dated_deliveries, count(*) FILTER (WHE
   {r2('quantile_cont(cycle_days, 0.5)')} AS median_cycle_days,
   {r2('quantile_cont(promised_days, 0.5)')} AS median_promised_days,
   count(*) FILTER (WHERE NOT coalesce(trace_complete, false)) AS incomplete_traces,
-  count(*) FILTER (WHERE n_events IS NULL) AS orders_without_events
+  count(*) FILTER (WHERE n_events IS NULL) AS orders_without_events,
+  (SELECT count(*) FROM g_orders o WHERE NOT EXISTS
+    (SELECT 1 FROM e_clean e WHERE e.order_id = o.order_id AND e.state = 'N')) AS orders_without_first_state
 FROM g_orders""")
     q["late_rate_by_month"] = gold(select=f"""
 SELECT month, count(late) AS dated_deliveries, {_pct('late')} AS pct_late
@@ -802,9 +804,29 @@ FROM events_raw, qq""")
                            for c, _ in RAW_TYPES["events"]])
     silver_nulls = _union([f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls_silver FROM e_clean"
                            for c in EV_COLS])
-    q["null_before_after"] = silver(f"nb AS ({bronze_nulls})", f"ns AS ({silver_nulls})", select="""
-SELECT coalesce(nb.column, ns.column) AS column, nb.nulls_bronze, ns.nulls_silver
-FROM nb FULL OUTER JOIN ns ON ns.column = nb.column""")
+    before_sales = _union([f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls_bronze FROM sales_raw" for c in SALES_COLS])
+    after_sales = _union([f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls_silver FROM s_clean" for c in SALES_COLS])
+    strategy = """CASE WHEN {n}.column IS NULL THEN 'column dropped'
+  WHEN {b}.column IN ('incident', 'note') THEN 'explicit category'
+  WHEN {b}.column IN ('carrier', 'tracking_no') THEN 'value of the order, in transport states only'
+  WHEN {b}.column IN ('center', 'dest_city', 'promised_ts') THEN 'value of the order'
+  WHEN {b}.column IN ('stage_hours', 'event_ts', 'store_id', 'rating') THEN 'kept null' END AS strategy"""
+    q["null_before_after"] = silver(
+        f"nb AS ({bronze_nulls})", f"ns AS ({silver_nulls})", f"sb AS ({before_sales})", f"ss AS ({after_sales})", select=f"""
+SELECT 'events' AS tbl, coalesce(nb.column, ns.column) AS column, nb.nulls_bronze, ns.nulls_silver, {strategy.format(b='nb', n='ns')}
+FROM nb FULL OUTER JOIN ns ON ns.column = nb.column
+UNION ALL
+SELECT 'sales', coalesce(sb.column, ss.column), sb.nulls_bronze, ss.nulls_silver, {strategy.format(b='sb', n='ss')}
+FROM sb FULL OUTER JOIN ss ON ss.column = sb.column""")
+    verdicts = {"store_id": "normal", "rating": "normal", "stage_hours": "normal", "incident": "normal", "note": "normal",
+                "carrier": "normal before dispatch, a problem in transport",
+                "tracking_no": "normal before dispatch, a problem in transport", "center": "problem", "dest_city": "problem",
+                "promised_ts_txt": "problem", "event_ts_txt": "problem", "unnamed_13": "problem (residual column)"}
+    q["profile_null_findings"] = with_fixtures(select=_union([
+        f"SELECT '{tbl}' AS tbl, '{c}' AS column, count(*) AS rows, count(*) - count({c}) AS nulls, "
+        f"'{verdicts.get(c, 'unexplained')}' AS verdict FROM {view}"
+        + ("" if c == "unnamed_13" else f" HAVING count(*) > count({c})")
+        for tbl, view in RAW_VIEW.items() for c, _ in RAW_TYPES[tbl]]))
     q["check_conditional_presence"] = with_fixtures(select="""
 SELECT coalesce(bool_and(store_id IS NULL) FILTER (WHERE NOT coalesce(channel = 'BUILDING', false)), true)
          AS null_outside,

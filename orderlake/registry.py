@@ -204,7 +204,7 @@ def d_queries() -> dict[str, QueryFn]:
         "kpi_monthly": _gd(lambda p: G.kpi_monthly(p["g_orders"])),
         "carrier_performance": _gd(lambda p: G.carrier_performance(p["g_orders"])),
         "city_channel_sales": _gd(lambda p: G.city_channel_sales(p["g_orders"])),
-        "delivery_kpis": _gd(lambda p: G.delivery_kpis(p["g_orders"])),
+        "delivery_kpis": _gd(lambda p: G.delivery_kpis(p["g_orders"], p["e_clean"], CONTRACT)),
         "late_rate_by_month": _gd(lambda p: G.late_rate_by_month(p["g_orders"])),
         "delay_distribution": _gd(lambda p: G.delay_distribution(p["g_orders"])),
     }
@@ -288,7 +288,9 @@ def b_queries() -> dict[str, QueryFn]:
         "freq_rating": _sales(lambda s: P.frequency(s, "rating")),
         "boxplot_stage_hours": _events(lambda e: P.boxplot(e, "stage_hours")),
         "null_before_after": _sv(lambda p: P.null_before_after(
-            p["events_raw"], p["e_clean"], {"event_ts_txt": "event_ts", "promised_ts_txt": "promised_ts"})),
+            p["events_raw"], p["e_clean"], "events", {"event_ts_txt": "event_ts", "promised_ts_txt": "promised_ts"}).unionByName(
+            P.null_before_after(p["sales_raw"], p["s_clean"], "sales"))),
+        "profile_null_findings": both(P.null_findings),
         "check_conditional_presence": _sales(lambda s: P.conditional_presence(s, CONTRACT.physical_channel)),
         "profile_duplicates": _both(P.duplicates),
         "profile_type_check": both(P.type_check),

@@ -16,3 +16,31 @@ def test_stream_equals_batch_and_is_incremental(spark):
     landed = spark.read.parquet(f"{root}/bronze").drop("load_id")
     assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, src.collect()))
     assert land_new_files(spark, f"{root}/in", src.schema, f"{root}/bronze", f"{root}/ck") == []
+
+
+def test_each_new_file_is_run_gated_and_recorded(spark, tmpdir_spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from orderlake import registry as R
+    from orderlake.contract import TOLERANT_CONTRACT
+    from orderlake.plans import ledger as L
+    from orderlake.plans.pipeline import Lake
+    from orderlake.sources import fixtures as FX
+    from orderlake.streaming.incremental import publish_new_files
+
+    lake, drop = Lake(f"{tmpdir_spark}/lake"), f"{tmpdir_spark}/drop"
+    events = R.bronze_events(spark, SF_SMALL)
+
+    def run():
+        return publish_new_files(spark, lake, drop, events.schema, lambda: R.bronze_sales(spark, SF_SMALL), TOLERANT_CONTRACT,
+                                 FX.coverage(spark, SF_SMALL), f"{tmpdir_spark}/checkpoint")
+    events.coalesce(1).write.mode("append").parquet(drop)
+    assert run() == [("s00000000", "PUBLISHED")]
+    first = L.published_run(spark, lake.ledger)
+    # every destination out of coverage: all events go to quarantine, beyond the admitted share
+    events.withColumn("dest_city", F.lit("Atlantis")).coalesce(1).write.mode("append").parquet(drop)
+    assert run() == [("s00000001", "FAILED")]
+    assert run() == []  # nothing new
+    assert L.published_run(spark, lake.ledger) == first
+    assert [r["status"] for r in L.read(spark, lake.ledger, "run").orderBy("started_at").collect()] == ["PUBLISHED", "FAILED"]
