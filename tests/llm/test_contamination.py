@@ -16,16 +16,21 @@ def plain_words(text):
 
 
 def brute_force(docs, items):
+    """Each document's places of every window, looked up in the list of its own word runs."""
+    split = [(item, plain_words(of)) for item, of in items]
+    wanted = [(item, {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))}) for item, w in split if w]
+    lengths = {len(window) for _, windows in wanted for window in windows}
     out = []
     for doc, text in docs:
-        words, hit, named = plain_words(text), set(), set()
-        for item, of in items:
-            w = plain_words(of)
-            for window in {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else ():
-                for i in range(len(words) - len(window) + 1):
-                    if tuple(words[i : i + len(window)]) == window:
-                        hit.update(range(i, i + len(window)))
-                        named.add(item)
+        words, hit, named, places = plain_words(text), set(), set(), {}
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                places.setdefault(tuple(words[i : i + n]), []).append(i)
+        for item, windows in wanted:
+            for window in windows & places.keys():
+                for i in places[window]:
+                    hit.update(range(i, i + len(window)))
+                named.add(item)
         ids = sorted(str(i) for i in named if i is not None)
         out.append((doc, len(words), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
     return sorted(map(repr, out))
