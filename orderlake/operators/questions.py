@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderlake.functions.quantiles import quantiles
-from orderlake.functions.semantics import (first_by, money_sum, round_half_even)
+from orderlake.functions.semantics import (false_if_null, first_by, money_sum, round_half_even)
 
 
 def order_first_values(events: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def discount_share(sales: DataFrame) -> DataFrame:
     return sales.agg(
         round_half_even(F.try_divide(F.sum("discount").cast("double"), F.sum("gross").cast("double")) * 100.0)
         .alias("discount_pct_of_gross"),
-        round_half_even(F.avg((F.col("discount_rate") > 0).cast("double")) * 100.0)
+        round_half_even(F.avg(false_if_null(F.col("discount_rate") > 0).cast("double")) * 100.0)
         .alias("pct_sales_with_discount"))
 
 
@@ -227,7 +227,7 @@ def net_skew(sales: DataFrame) -> DataFrame:
     net = F.col("net").cast("double")
     median = quantiles(sales, net, [0.5]).scalar()
     return sales.agg(
-        round_half_even(F.avg((F.col("quantity") == 1).cast("double")) * 100.0).alias("single_unit_pct"),
+        round_half_even(F.avg(false_if_null(F.col("quantity") == 1).cast("double")) * 100.0).alias("single_unit_pct"),
         round_half_even(F.avg("net")).alias("mean_net"),
         round_half_even(F.skewness(net), 4).alias("skewness_net")).select(
         "single_unit_pct", "mean_net", round_half_even(median).alias("median_net"), "skewness_net")
