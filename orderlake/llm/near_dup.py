@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import shingles
 from orderlake.llm.common import arrow, land, runs, sized
-from orderlake.llm.components import connected_components
+from orderlake.llm.components import connected_components, provisional_components
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -51,6 +51,8 @@ PERCENT = 75
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 2_000_000
 #: Tables of ids of up to so many rows (some tens of MB) are broadcast, so that texts and registers stay where they are.
 BROADCAST_ROWS = 1_000_000
+#: Rounds of joining before the second comparison; what they leave apart is compared once more than needed.
+PROVISIONAL_ROUNDS = 2
 #: Sets whose registers are computed together.
 TOGETHER = 64
 
@@ -143,6 +145,15 @@ def _forest(n: int, near: list[np.ndarray]) -> list[tuple[int, int]]:
     return edges
 
 
+def _band_keys(regs: np.ndarray) -> np.ndarray:
+    """One number per row and band, equal where the band's registers are."""
+    r = regs.reshape(len(regs), BANDS, ROWS).astype(np.uint64)
+    out = shingles.mix(r[:, :, 0] | r[:, :, 1] << np.uint64(16) | r[:, :, 2] << np.uint64(32) | r[:, :, 3] << np.uint64(48))
+    for k in range(4, ROWS):
+        out = shingles.mix(out + r[:, :, k] + np.uint64(1))
+    return out
+
+
 def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.RecordBatch]:
     """For each group, its members that are in a kept pair, and each one's partners to verify.
 
@@ -153,13 +164,14 @@ def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.Re
     for table in runs(batches, ["band", "i", "j"]):
         columns = {c: table.column(c).to_numpy() for c in ("band", "i", "j", "band_no", "block", "doc_id", "n_shingles", "component")}
         regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        bands = _band_keys(regs)
         key = np.stack([columns[c] for c in ("band", "i", "j")])
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
         out: list[tuple] = []
         for rows in np.split(np.arange(table.num_rows), cuts):
             if len(rows) < 2:
                 continue
-            n, ids, comp, own = columns["n_shingles"][rows], columns["doc_id"][rows], columns["component"][rows], regs[rows]
+            n, ids, comp, own, keys = columns["n_shingles"][rows], columns["doc_id"][rows], columns["component"][rows], regs[rows], bands[rows]
             block, i, j, band_no = columns["block"][rows], int(key[1, rows[0]]), int(key[2, rows[0]]), int(columns["band_no"][rows[0]])
             partners: dict[int, np.ndarray] = {}
             near: dict[float, list[list]] = {at: [[] for _ in rows] for at in (CUT, LIKELY)}
@@ -169,11 +181,11 @@ def _estimate(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.Re
                 if across:
                     may &= (comp[rest] != comp[k]) & ((block[rest] != block[k]) | (i == j))
                 rest = rest[may]
+                # a pair is looked at in the first band it shares
+                rest = rest[(keys[k] == keys[rest]).argmax(axis=1) == band_no]
                 rest = rest[likely_similar(own[k], n[k], own[rest], n[rest], CUT)] if len(rest) else rest
                 if not len(rest):
                     continue
-                shared = (own[k] == own[rest]).reshape(len(rest), BANDS, ROWS).all(axis=2)
-                rest = rest[shared.argmax(axis=1) == band_no]
                 if across:
                     if len(rest):
                         partners[k] = rest
@@ -262,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     within = members.join(reps, "doc_id").select("*", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).cast("long").alias("component"))
     first = _round(docs, within, False, "within")
-    found = land(connected_components(first), "components")
+    found = land(provisional_components(first, PROVISIONAL_ROUNDS), "components")
 
     joined = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     joined = land(joined, "member_components")
