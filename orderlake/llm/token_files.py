@@ -33,7 +33,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,10 @@ LEAST_COUNT = 12
 MAGIC = b"RPG1"
 #: Distinct words whose ids a worker remembers.
 CACHE_WORDS = 1_500_000
+#: ... and keeps when they have become more.
+KEPT_WORDS = 500_000
+#: Marks that are pieces of their own at a word's end.
+ENDINGS = (b",", b".")
 #: A special token of the tokenizer, and how many new words are encoded in one text with it between them.
 SEPARATOR, JOINED = "<|endoftext|>", 200
 #: Stands after each text; no UTF-8 text has this byte.
@@ -98,27 +102,45 @@ class WordEncoder:
         return ids[ids != self.separator], np.diff(ends, prepend=-1) - 1
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for part in (plain, [w for w in words if b"<|" in w]):
-            if not part:
-                continue
-            ids, sizes = self._ids_of(part)
-            if len(ids) and ids.max() >= TERMINALS:
-                raise ValueError(f"token ids must be below {TERMINALS}")
-            at = len(self.places)
-            if self.n_ids + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint16)))
-            if at + len(part) + 1 > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros(max(len(part) + 1, len(self.starts)), np.int64)))
-            self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-            self.starts[at + 1 : at + len(part) + 1] = self.n_ids + np.cumsum(sizes)
-            self.n_ids += len(ids)
-            self.places.update(zip(part, range(at, at + len(part))))
+        # a comma or full stop after a letter or digit is a piece of its own: such words are put together from two
+        ending = [w for w in words if w[-1:] in ENDINGS and len(w) > 1 and b"<|" not in w and w[-2:-1].isalnum()]
+        apart = set(ending)
+        rest = dict.fromkeys([w for w in words if w not in apart])
+        rest.update(dict.fromkeys([part for w in ending for part in (w[:-1], w[-1:]) if part not in self.places]))
+        rest = {w: None for w in rest if w not in self.places}
+        for part in ([w for w in rest if b"<|" not in w], [w for w in rest if b"<|" in w]):
+            if part:
+                self._add(part, *self._ids_of(part))
+        ending = [w for w in ending if w not in self.places]
+        if ending:
+            pieces = np.array([self.places[x] for w in ending for x in (w[:-1], w[-1:])], dtype=np.int64)
+            first = self.starts[pieces]
+            length = self.starts[pieces + 1] - first
+            so_far = np.cumsum(length)
+            self._add(ending, self.ids[np.repeat(first - so_far + length, length) + np.arange(so_far[-1])], length.reshape(-1, 2).sum(axis=1))
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        if len(ids) and ids.max() >= TERMINALS:
+            raise ValueError(f"token ids must be below {TERMINALS}")
+        at = len(self.places)
+        if self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint16)))
+        if at + len(words) + 1 > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros(max(len(words) + 1, len(self.starts)), np.int64)))
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.starts[at + 1 : at + len(words) + 1] = self.n_ids + np.cumsum(sizes)
+        self.n_ids += len(ids)
+        self.places.update(zip(words, range(at, at + len(words))))
+
+    def _forget(self) -> None:
+        """Keep the words met first, which are the frequent ones."""
+        self.places = dict(islice(self.places.items(), KEPT_WORDS))
+        self.n_ids = int(self.starts[len(self.places)])
 
     def encode(self, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and the number of ids of each."""
         if len(self.places) > CACHE_WORDS:
-            self._reset()
+            self._forget()
         words = b"".join([_folded(t) + b" " + MARK + b" " for t in texts]).split()
         at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(at < 0).tolist()
