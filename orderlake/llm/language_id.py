@@ -5,17 +5,26 @@ posterior(l) ~ text likelihood * P(declared markup language | l)
 
 * Text: a multinomial over hashed byte trigrams of the whole text, lower-cased
   in A-Z, non-letters as blanks, trained on a bounded sample of labelled rows
-  (``TRAIN_ROWS``). Trigrams overlap, so the logarithm is divided by 3.
+  (``TRAIN_ROWS``), mixed with a uniform share (``UNSEEN``), so that a trigram
+  that no labelled row holds is as likely in each language. Trigrams overlap, so
+  the logarithm is divided by 3.
 * Everything else is estimated over all rows, by grouped sums of the rows' text
   posteriors: the two likelihoods with add-one smoothing, and the priors along
   corpus -> domain -> host, each level shrunk towards the one above with the
   weight of ``KAPPA`` rows and without the row's own part.
 
-A row is accepted if the best language's posterior is ``LEAST`` or more and its
-text has letters.
+Besides the languages there is the unknown text, whose trigrams are uniform over
+all buckets. A text fits if it is no more likely to be unknown than to be in its
+likeliest language, that is if the mean logarithm of its trigrams there is
+``UNKNOWN`` = -10.4 or more. The shares are among the languages only, so they
+can't tell this. Texts that don't fit are no evidence for other rows.
 
-Defined cases: null or empty texts, and texts without letters, have no language
-and are not accepted. A null host, suffix or declaration is a missing value: no
+A row is accepted if its text fits and the best language's posterior is
+``LEAST`` or more.
+
+Defined cases: null or empty texts, texts without letters, and texts that don't
+fit have no language and are not accepted; ``text_language`` is then the nearest
+language, if there are letters. A null host, suffix or declaration is a missing value: no
 evidence, and no prior but the corpus's. Ties go to the language listed first.
 Repeated rows count each. An empty table gives none. ``carry`` columns are
 returned unchanged; those named like an added column are replaced.
@@ -41,6 +50,10 @@ BUCKETS = 1 << 15
 OVERLAP = 3
 KAPPA = 20.0
 LEAST = 0.5
+#: Share of each language's trigrams that is dealt evenly over all buckets.
+UNSEEN = 0.01
+#: Logarithm of a trigram's probability in an unknown text.
+UNKNOWN = -float(np.log(BUCKETS))
 #: Bytes of text that are scored together.
 SEGMENT_BYTES = 1 << 20
 
@@ -93,32 +106,44 @@ def train(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, train_rows:
     n = max(1, rows.count())
     sample = rows.filter(hash_fraction(F.concat(F.lit("train:"), row_key())) < min(1.0, train_rows / n))
     counted = arrow(_count, sample.select(F.col("label").cast("string"), F.col("text").cast("string")), "label string, bucket long, n long")
-    counts = np.full((BUCKETS, len(languages)), 0.1)
+    counts = np.zeros((BUCKETS, len(languages)))
     for row in counted.groupBy("label", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[row["bucket"], languages.index(row["label"])] += row["n"]
-    return np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    return np.log((1 - UNSEEN) * counts / np.maximum(counts.sum(axis=0), 1) + UNSEEN / BUCKETS).astype(np.float32)
 
 
-def text_scores(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's posterior by its text alone, and its number of trigrams."""
+def text_logs(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logarithm of each text's likelihood by language, and its number of trigrams."""
     logs, n = np.zeros((len(texts), model.shape[1])), np.zeros(len(texts), np.int64)
     for buckets, bounds, rows in _segments(texts):
         n[rows] = np.diff(bounds)
         full = np.flatnonzero(n[rows])
         if len(full):
             logs[rows[full]] = np.add.reduceat(model[buckets], bounds[full], axis=0, dtype=np.float64)
+    return logs, n
+
+
+def shares(logs: np.ndarray) -> np.ndarray:
+    """Posteriors of likelihoods, without other evidence."""
     logs = logs / OVERLAP
-    logs -= logs.max(axis=1, keepdims=True, initial=-np.inf) if len(texts) else 0
+    logs -= logs.max(axis=1, keepdims=True, initial=-np.inf) if len(logs) else 0
     share = np.exp(logs)
-    return share / share.sum(axis=1, keepdims=True), n
+    return share / share.sum(axis=1, keepdims=True)
+
+
+def text_scores(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's posterior by its text alone, and its number of trigrams."""
+    logs, n = text_logs(texts, model)
+    return shares(logs), n
 
 
 def _score(batches: Iterator[pa.RecordBatch], sent, text: str, carried: list[str]) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for batch in batches:
-        share, n = text_scores(batch.column(text), model)
+        logs, n = text_logs(batch.column(text), model)
+        share, fits = shares(logs), (n > 0) & (logs.max(axis=1, initial=-np.inf) >= n * UNKNOWN)
         names = [f"_t{k}" for k in range(model.shape[1])]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(n), *[pa.array(share[:, k]) for k in range(len(names))]], [*carried, "n_grams", *names])
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(n), pa.array(fits), *[pa.array(share[:, k]) for k in range(len(names))]], [*carried, "n_grams", "_fits", *names])
 
 
 def domain(host: Column) -> Column:
@@ -143,12 +168,12 @@ def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, addres
         fields = [*keep, "_host", "_suffix", "_declared"]
         rows = docs.select(*[F.col(c) for c in keep], *known_of, *([] if text in keep else [text]))
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*[F.col(f"`{c}`") for c in fields]).schema)
-        return arrow(partial(_score, sent=sent, text=text, carried=fields), rows, f"{kinds}, n_grams long, " + ", ".join(f"_t{k} double" for k in size))
+        return arrow(partial(_score, sent=sent, text=text, carried=fields), rows, f"{kinds}, n_grams long, _fits boolean, " + ", ".join(f"_t{k} double" for k in size))
 
     sums = [F.sum(f"_t{k}").alias(f"s{k}") for k in size]
     again = [F.sum(f"s{k}").alias(f"s{k}") for k in size]
-    # sums over all rows with text, by all that is known of a row besides it
-    known = land(scored([]).filter("n_grams > 0").groupBy("_host", "_suffix", "_declared").agg(F.count("*").alias("n"), *sums), "evidence")
+    # sums over all rows whose text fits, by all that is known of a row besides it
+    known = land(scored([]).filter("_fits").groupBy("_host", "_suffix", "_declared").agg(F.count("*").alias("n"), *sums), "evidence")
     total = known.agg(F.sum("n").alias("n"), *again).first()
     corpus = [((total[f"s{k}"] or 0.0) + 1.0) / ((total["n"] or 0) + len(languages)) for k in size]
 
@@ -165,12 +190,12 @@ def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, addres
         return F.greatest(F.coalesce(F.col(f"{name}_sums.{field}"), F.lit(0.0)) - own, F.lit(0.0))
 
     logs = []
-    has_text = (F.col("n_grams") > 0).cast("double")
+    counted = F.col("_fits").cast("double")
     for k in size:
-        own = F.col(f"_t{k}") * has_text
+        own = F.col(f"_t{k}") * counted
         prior: Column = F.lit(corpus[k])
         for name in ("_domain", "_host"):
-            prior = (without_own(name, f"s{k}", own) + KAPPA * prior) / (without_own(name, "n", has_text) + KAPPA)
+            prior = (without_own(name, f"s{k}", own) + KAPPA * prior) / (without_own(name, "n", counted) + KAPPA)
         log = F.ln(F.greatest(F.col(f"_t{k}"), F.lit(1e-300))) + F.ln(prior)
         for name, n_values in values.items():
             all_ = F.lit(float(total[f"s{k}"] or 0.0)) - own
@@ -183,11 +208,11 @@ def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, addres
     with_text = F.col("n_grams") > 0
     return rows.select(
         *carried,
-        F.when(with_text, names[F.col("_at")]).alias("language"),
-        F.when(with_text, F.col("posterior")).alias("posterior"),
+        F.when(F.col("_fits"), names[F.col("_at")]).alias("language"),
+        F.when(F.col("_fits"), F.col("posterior")).alias("posterior"),
         F.when(with_text, names[(F.array_position(texts, F.array_max(texts)) - 1).cast("int")]).alias("text_language"),
         "n_grams",
-        (with_text & (F.col("posterior") >= LEAST)).alias("accepted"),
+        (F.col("_fits") & (F.col("posterior") >= LEAST)).alias("accepted"),
     )
 
 

@@ -119,3 +119,44 @@ def test_pages_by_markup_and_address(spark, table):
     got = {r.page_id: r for r in li.page_languages(pages, labelled, ["page_id", "url"]).collect()}
     assert len(got) == 82 and got[-1].language is None and got[-2].language is None
     assert sum(f"/{r.language}/" in (r.url or "") for r in got.values()) > 70
+
+
+UNKNOWN = {
+    "Russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "Polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Italian": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza.",
+    "random letters": "qzvk wxjb pfgh ykqd zzrw mbxv jqpt fkgz vwhx cqdk xjyb zkqv wpfj gxhq bvzk dqwx",
+    "base64": "VGhpcyBpc0EgdGVzdCBvZiBhIGxvbmcgc3RyaW5n/kJ8Zq0xYw9TbUvRfHdLqPzX7cNgM2eA5iOoKtWyBhVxQj3sDl6G==",
+    "code": "def f(self, x):\n    for i in range(len(x)):\n        if x[i] is None: return self.buf[i + 1]\n    raise ValueError('bad index')\n",
+}
+
+
+def test_unknown_texts_have_no_language(spark, table):
+    clean = table("documents", "doc_id", "text", "lang", "source")
+    foreign = [(-k, text * times, "en", "src0") for k, (text, times) in enumerate(((t, n) for t in UNKNOWN.values() for n in (1, 30)), 1)]
+    schema = "doc_id long, text string, label string, lang string, source string"
+    docs = spark.createDataFrame([(d, t, lang, lang, s) for d, t, lang, s in clean + foreign], schema)
+    model = li.train(docs.filter("doc_id >= 0").select("doc_id", "text", "label"))
+    by = {}
+    for r in li.identify(docs, model, "text", F.col("source"), F.lit(None), F.lit(None), ["doc_id"]).collect():
+        by.setdefault(r.doc_id, r)
+    assert all(by[d].accepted for d, *_ in clean)
+    assert [(name, by[-2 * k - j]) for k, name in enumerate(UNKNOWN) for j in (1, 2) if by[-2 * k - j].accepted or by[-2 * k - j].language] == []
+    assert all(by[d].text_language in LANGS and by[d].posterior is None for d, *_ in foreign)
+
+
+def test_texts_that_do_not_fit_are_no_evidence(spark, table):
+    model = model_of(spark, table)
+    french = [t for t, lang in table("documents", "text", "lang") if lang == "fr"][:8]
+    rows = [(k, t, "x.example", "fr", "fr") for k, t in enumerate(french)]
+    alone = {r.id: r for r in identified(spark, rows, model).collect()}
+    mixed = {r.id: r for r in identified(spark, rows + [(100 + k, UNKNOWN["Russian"], "x.example", "ru", "de") for k in range(40)], model).collect()}
+    for k in alone:
+        assert mixed[k].language == "fr" and math.isclose(mixed[k].posterior, alone[k].posterior, rel_tol=1e-6)
+
+
+def test_unseen_trigrams_favour_no_language(spark, table):
+    rows = [(k, t, lang) for k, (t, lang) in enumerate(table("documents", "text", "lang")) if lang != "es" or k % 20 == 0]
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, label string"))
+    assert np.allclose(model.min(axis=0), model.min())
