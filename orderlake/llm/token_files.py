@@ -30,6 +30,7 @@ empty one. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -62,6 +63,9 @@ ENDINGS = (b",", b".")
 SEPARATOR, JOINED = "<|endoftext|>", 200
 #: Stands after each text; no UTF-8 text has this byte.
 MARK = b"\xff"
+#: First bytes of U+0300 to U+036F; only these marks compose with A-Z.
+MARK_LEADS = (b"\xcc", b"\xcd")
+CAPITAL_BEFORE_MARK = re.compile(rb"[A-Z][\x80-\xff]")
 #: Documents encoded together.
 TOGETHER = 256
 
@@ -71,7 +75,8 @@ class WordEncoder:
 
     Such a tokenizer encodes a text as its words one after the other, so a
     worker keeps the ids of the words it has met. Only A-Z may be folded
-    beforehand, for a tokenizer that lower-cases.
+    beforehand, for a tokenizer that lower-cases, and not before a combining
+    mark: the tokenizer composes first, and J with a caron has no composed form.
     """
 
     def __init__(self, path: str) -> None:
@@ -155,9 +160,16 @@ class WordEncoder:
 
 
 def _folded(text: str | bytes | None) -> bytes:
-    """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written."""
+    """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written.
+
+    Words with a capital before a byte of 0x80 or more stay as they are if the text has combining marks.
+    """
     data = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
-    return data if b"<|" in data else data.lower()
+    if b"<|" in data:
+        return data
+    if any(lead in data for lead in MARK_LEADS):
+        return b" ".join([w if CAPITAL_BEFORE_MARK.search(w) else w.lower() for w in data.split()])
+    return data.lower()
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

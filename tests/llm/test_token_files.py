@@ -91,3 +91,14 @@ def test_edge_cases(spark, tokenizer):
     repeated = digests(spark, [(5, "same"), (5, "same"), (5, "other words")])
     assert [r[0] for r in repeated] == [5, 5, 5] and sorted(r[2] for r in repeated) == sorted(len(whole(tokenizer, t)) for t in ("same", "same", "other words"))
     assert digests(spark, []) == []
+
+
+def test_capitals_before_marks_are_encoded_as_they_are(spark, tokenizer):
+    # only the small letter has a composed form; U+05B0 does not keep a mark after it from composing
+    pairs = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+    assert all(whole(tokenizer, p) != whole(tokenizer, p.lower()) for p in pairs)
+    texts = [*pairs, *[f"Some words, aX{p.lower()} {p}A x{p}. {p}," for p in pairs], " ".join(pairs), "T\u05b0\u0308 E\u0301 JOHN \u00c9T\u00c9 e\u0301", "JOHN john"]
+    ids, sizes = token_files.WordEncoder(PATH).encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(tokenizer, t) for t in texts]
+    rows = list(enumerate(texts))
+    assert digests(spark, rows) == expected(tokenizer, rows)
