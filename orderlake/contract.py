@@ -81,5 +81,6 @@ class Contract:
 FIXTURE_CONTRACT = Contract()
 # The test binding has gaps that no recovery can fill (orders none of whose events has the value, orders without
 # lines). This contract says which share of rows may have them, so that the whole binding can be published.
+# The rules that reconcile Gold and the marts (R22-R24, R27-R33) admit none.
 TOLERANT_CONTRACT = Contract(max_reject_pct=15.0, tolerated_pct={
-    "R11": 10.0, "R12": 10.0, "R13": 10.0, "R14": 10.0, "R16": 10.0, "R25": 10.0, "R26": 10.0, "R27": 10.0, "R29": 100.0, "R31": 100.0, "R33": 100.0})
+    "R11": 10.0, "R12": 10.0, "R13": 10.0, "R14": 10.0, "R16": 10.0, "R25": 10.0, "R26": 10.0})

@@ -143,3 +143,25 @@ def test_each_gold_rule_fails_when_broken(spark):
     for rules, name, column in (({"R29"}, "kpi_monthly", "orders"), ({"R30"}, "kpi_monthly", "net"), ({"R31"}, "carrier_performance", "orders"),
                                 ({"R32"}, "city_channel_sales", "orders"), ({"R33"}, "city_channel_sales", "net")):
         assert failed(marts=marts | {name: marts[name].withColumn(column, (F.col(column) * 7).cast(dict(marts[name].dtypes)[column]))}) == rules
+
+
+def test_lost_rows_fail_under_the_tolerant_contract(spark):
+    sales = spark.createDataFrame([(k, k, dt.datetime(2024, 1, 1), "Lima", *[D("1.00")] * 4, 3) for k in range(1, 41)], SALE)
+    events = _clean(spark)[1].where("order_id = 1")  # orders 2 to 40 have no events
+    orders = sales.select("order_id", "net", F.lit(3).alias("n_events"), F.lit(9).alias("ship_cost"),
+                          F.when(F.col("order_id") > 1, "2024-01").alias("month"), F.when(F.col("order_id") > 2, "C1").alias("carrier"),
+                          F.when(F.col("order_id") > 3, "Lima").alias("city"), F.lit("WEB").alias("channel"))
+    gold_ev = sales.select("order_id").join(events, "order_id", "left")
+    keys = {"kpi_monthly": ["month"], "carrier_performance": ["carrier"], "city_channel_sales": ["city", "channel"]}
+
+    def marts(rows):
+        made = {n: rows.dropna(subset=k).groupBy(*k).agg(F.count("order_id").alias("orders"), F.sum("net").alias("net")) for n, k in keys.items()}
+        return made | {"carrier_performance": made["carrier_performance"].drop("net")}
+
+    def failed(gold_ev=gold_ev, rows=orders):
+        rules = E.gold_rules(sales, events, gold_ev, orders, marts(rows), TOLERANT_CONTRACT)
+        return {r["rule_id"] for r in rules.collect() if not r["passed"]}
+    assert failed() == set()
+    assert failed(gold_ev=gold_ev.where("order_id <> 40")) == {"R27"}
+    for lost in ("order_id <> 40", "false"):  # one order of each mart, and empty marts
+        assert failed(rows=orders.where(lost)) == {"R29", "R30", "R31", "R32", "R33"}
