@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import contamination, language_id, licenses, main_text, mixing, sharding, token_counts, token_files
+from orderlake.llm import contamination, exact_search, language_id, licenses, main_text, mixing, prefix_trie, sharding, token_counts, token_files, vector_codes
 from orderlake.llm.common import read_table, scratch_dir
 from orderlake.llm.near_dup import near_duplicates
 from orderlake.llm.vector_dup import vector_duplicates
@@ -61,6 +61,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("spans")
 
 
+def op11_segment_statistics_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_grid_cell_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +87,9 @@ QUERIES = {
         op8_small_world_near_dedup,
         op9_html_main_text,
         op10_decontamination,
+        op11_segment_statistics_search,
+        op12_conversation_prefix_trie,
+        op13_grid_cell_vector_codes,
     )
 }
 
@@ -83,4 +98,7 @@ ORACLES: dict[str, str] = {
     "op5_lookup_table_sharding": sharding.ORACLE,
     "op7_license_diagonals": licenses.ORACLE,
     "op10_decontamination": contamination.ORACLE,
+    "op11_segment_statistics_search": exact_search.ORACLE,
+    "op12_conversation_prefix_trie": prefix_trie.ORACLE,
+    "op13_grid_cell_vector_codes": vector_codes.ORACLE,
 }
