@@ -9,12 +9,14 @@ that 33-row table ever reaches the driver (the gate, E3).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
 from orderlake.functions.semantics import false_if_null, in_list
-from orderlake.operators.silver import rows_of_repeated
+from orderlake.operators.silver import repeated_keys, rows_of_repeated
 
 RULE_COLS = ("layer", "rule_id", "rule", "violations", "passed")
 
@@ -25,7 +27,7 @@ class GateError(Exception):
     def __init__(self, failed: list[tuple]):
         self.failed = failed
         super().__init__(f"{len(failed)} quality rule(s) failed: "
-                         + "; ".join(f"{r[0]}: {r[1]} {r[2]}" for r in failed))
+                         + "; ".join(f"{r[0]}: {r[1]} {r[2]}" + (f" ({r[3]})" if len(r) > 3 else "") for r in failed))
 
 
 def _repeats(df: DataFrame, *keys: str) -> Column:
@@ -131,17 +133,18 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
     return _rows(s, "silver_sales", sales_specs).unionByName(_rows(e, "silver_events", event_specs))
 
 
-#: What a mart groups orders by; orders without it are not in the mart.
-MART_KEYS = {"kpi_monthly": ("month",), "carrier_performance": ("carrier",), "city_channel_sales": ("city", "channel")}
+#: Gaps that a contract may expect, and the rule whose comparison allows for them.
+GAPS = {"sales_without_events": "R27", "orders_without_carrier": "R31"}
 
 
-def _mart_totals(name: str, orders: DataFrame) -> list[Column]:
-    """Number and net of the orders that a mart must hold."""
-    there = F.lit(True)
-    for key in MART_KEYS.get(name, ()):
-        if key in orders.columns:
-            there = there & F.col(key).isNotNull()
-    return [F.count_if(there).alias(f"_rows_{name}"), F.sum(F.when(there, F.col("net"))).alias(f"_net_{name}")]
+def gap_sizes(silver_sales: DataFrame, silver_events: DataFrame, contract: Contract | None) -> dict[str, Column]:
+    """Rows that each expected gap accounts for, by rule, counted from Silver (never from the table that is checked)."""
+    there = {"sales_without_events": F.lit(True), "orders_without_carrier": F.col("carrier").isNotNull()}
+    sizes = {}
+    for gap in sorted(contract.expected_gaps if contract else ()):
+        orders = silver_events.where(there[gap]).select("order_id").distinct()
+        sizes[GAPS[gap]] = silver_sales.join(orders, "order_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return sizes
 
 
 def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: DataFrame,
@@ -150,15 +153,12 @@ def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: D
     n_sales = silver_sales.agg(F.count(F.lit(1))).scalar()
     net_silver = silver_sales.agg(F.sum("net")).scalar()
     n_events = silver_events.agg(F.count(F.lit(1))).scalar()
-    # Gold holds a sale without events as one row
-    n_alone = (silver_sales.join(silver_events.select("order_id").distinct(), "order_id", "left_anti")
-               .agg(F.count(F.lit(1))).scalar())
+    gaps = gap_sizes(silver_sales, silver_events, contract)
     n_gold_events = gold_events.agg(F.count(F.lit(1))).scalar()
     amounts_in_events = sum(1 for c in ("unit_price", "gross", "discount", "net") if c in gold_events.columns)
     g = gold_orders.agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum("net").alias("_net"),
-        *[total for name in marts for total in _mart_totals(name, gold_orders)],
         F.count_if(F.col("n_events").isNull()).alias("r25"),
         F.count_if(F.col("ship_cost").isNull()).alias("r26"))
     g = g.withColumns({
@@ -166,7 +166,7 @@ def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: D
         "r23": _repeats(gold_orders, "order_id"),
         "r24": F.when(F.abs(F.coalesce(F.col("_net"), F.lit(0)) - F.coalesce(net_silver, F.lit(0))) >= 1, 1)
                 .otherwise(0),
-        "r27": F.abs(n_gold_events - n_events - n_alone),
+        "r27": F.abs(n_gold_events - n_events - gaps.get("R27", F.lit(0))),
         "r28": F.lit(amounts_in_events)})
     specs = [
         ("R22", "one row per Silver sale", "r22", _within("r22", "R22", F.col("_rows"), contract)),
@@ -181,17 +181,106 @@ def gold_rules(silver_sales: DataFrame, silver_events: DataFrame, gold_events: D
     extra = {}
     for name, mart in marts.items():
         rid = next(ids)
-        extra[rid] = F.abs(mart.agg(F.coalesce(F.sum("orders"), F.lit(0))).scalar() - F.col(f"_rows_{name}"))
+        extra[rid] = F.abs(mart.agg(F.coalesce(F.sum("orders"), F.lit(0))).scalar() - F.col("_rows") + gaps.get(rid, F.lit(0)))
         specs.append((rid, f"{name}: orders reconcile", rid.lower(), _within(rid.lower(), rid, F.col("_rows"), contract)))
         if "net" in mart.columns:
             rid = next(ids)
             extra[rid] = F.when(F.abs(F.coalesce(mart.agg(F.sum("net")).scalar(), F.lit(0))
-                                      - F.coalesce(F.col(f"_net_{name}"), F.lit(0))) >= 1, 1).otherwise(0)
+                                      - F.coalesce(F.col("_net"), F.lit(0))) >= 1, 1).otherwise(0)
             specs.append((rid, f"{name}: net reconciles", rid.lower(), _within(rid.lower(), rid, F.col("_rows"), contract)))
     g = g.withColumns({k.lower(): v for k, v in extra.items()})
     return _rows(g, "gold", specs)
 
 
+#: How many of the values that break a rule its detail names, and what the count of violations counts.
+EXAMPLES = 5
+WHAT = {
+    "R1": "repeated", "R2": "repeated", "R3": "null", "R4": "out of range", "R5": "negative", "R6": "outside coverage",
+    "R7": "repeated", "R8": "repeated", "R9": "residual", "R10": "not a timestamp", "R11": "null", "R12": "null", "R13": "null",
+    "R14": "null", "R15": "filled", "R16": "null", "R17": "filled", "R18": "outside coverage", "R19": "orphan events",
+    "R20": "rejected", "R21": "rejected", "R22": "difference", "R23": "repeated", "R24": "difference", "R25": "without events",
+    "R26": "null", "R27": "difference", "R28": "amounts", "R29": "difference", "R30": "difference", "R31": "difference",
+    "R32": "difference", "R33": "difference"}
+
+
+def k_smallest_distinct(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
+    """(group, smallest: the k smallest distinct values in order, n_distinct), with memory independent of the rows.
+
+    Equal values collapse by a partial aggregate; a window limit then keeps k rows of a group in each task
+    before the shuffle and merges these, so no list holds more than k values.
+    """
+    distinct = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = distinct.groupBy(group).agg(F.count(F.lit(1)).alias("n_distinct"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(value))
+    few = distinct.select(group, value, place.alias("_at")).where(F.col("_at") <= k)
+    lists = few.groupBy(group).agg(F.array_sort(F.collect_list(value)).alias("smallest"))
+    return lists.join(counted, group)
+
+
+def _offending(df: DataFrame, key: str, broken: dict[str, Column]) -> DataFrame:
+    """(rule_id, value): the key of each row that breaks a rule, from one pass."""
+    hits = F.array_compact(F.array(*[F.when(false_if_null(cond), F.lit(rule)) for rule, cond in broken.items()]))
+    return df.select(F.explode(hits).alias("rule_id"), F.col(key).cast("string").alias("value"))
+
+
+def _of_rule(df: DataFrame, rule: str, column: str) -> DataFrame:
+    return df.select(F.lit(rule).alias("rule_id"), F.col(column).cast("string").alias("value"))
+
+
+def _uncovered(df: DataFrame, rule: str, col: str, contract: Contract, coverage: DataFrame | None) -> DataFrame:
+    if coverage is None:
+        out = df.where(F.col(col).isNotNull() & ~in_list(col, contract.coverage or ()))
+    else:
+        out = df.join(coverage.select(F.col("city").alias(col)).distinct(), col, "left_anti").where(F.col(col).isNotNull())
+    return _of_rule(out, rule, col)
+
+
+def silver_offenders(sales: DataFrame, events: DataFrame, contract: Contract, coverage: DataFrame | None = None) -> DataFrame:
+    """(rule_id, value): what breaks R1-R19: keys, cities outside coverage, names of columns."""
+    negative = [false_if_null(F.col(a) < 0) for a in ("unit_price", "gross", "discount", "net")]
+    transport = in_list("state", contract.transport_states)
+    of_sales = {"R3": F.col("sale_ts").isNull(), "R5": negative[0] | negative[1] | negative[2] | negative[3],
+                "R4": F.col("rating").isNotNull() & ~false_if_null(F.col("rating").between(contract.rating_min, contract.rating_max))}
+    of_events = {"R11": F.col("center").isNull(), "R12": F.col("dest_city").isNull(), "R13": F.col("promised_ts").isNull(),
+                 "R14": transport & F.col("carrier").isNull(), "R15": ~transport & F.col("carrier").isNotNull(),
+                 "R16": transport & F.col("tracking_no").isNull(), "R17": ~transport & F.col("tracking_no").isNotNull()}
+    same = rows_of_repeated(events, "event_id").groupBy(*events.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    parts = [_offending(sales, "sale_id", of_sales), _offending(events, "event_id", of_events),
+             _of_rule(repeated_keys(sales, "sale_id"), "R1", "_k"), _of_rule(repeated_keys(sales, "order_id"), "R2", "_k"),
+             _of_rule(repeated_keys(events, "event_id"), "R7", "_k"), _of_rule(same, "R8", "event_id"),
+             _uncovered(sales, "R6", "city", contract, coverage), _uncovered(events, "R18", "dest_city", contract, coverage),
+             _of_rule(events.join(sales.select("order_id").distinct(), "order_id", "left_anti"), "R19", "order_id")]
+    columns = [("R9", c) for c in events.columns if c.lower().startswith("unnamed")]
+    columns += [("R10", c) for c in ("event_ts", "promised_ts") if not _is_ts(events, c)]
+    if columns:
+        parts.append(sales.sparkSession.createDataFrame(columns, "rule_id string, value string"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def gold_offenders(gold_events: DataFrame, gold_orders: DataFrame) -> DataFrame:
+    """(rule_id, value): what breaks R23, R25, R26 and R28."""
+    broken = {"R25": F.col("n_events").isNull(), "R26": F.col("ship_cost").isNull()}
+    out = _offending(gold_orders, "order_id", broken).unionByName(_of_rule(repeated_keys(gold_orders, "order_id"), "R23", "_k"))
+    columns = [("R28", c) for c in ("unit_price", "gross", "discount", "net") if c in gold_events.columns]
+    return out.unionByName(gold_orders.sparkSession.createDataFrame(columns, "rule_id string, value string")) if columns else out
+
+
+def rule_details(rules: DataFrame, offenders: DataFrame) -> DataFrame:
+    """The rules with ``detail``: how many of what broke each, the first EXAMPLES values in text order, and how many more."""
+    what = F.create_map(*[F.lit(x) for pair in WHAT.items() for x in pair])
+    found = k_smallest_distinct(offenders, "rule_id", "value", EXAMPLES)  # a row per rule
+    named = F.concat(F.lit(": "), F.array_join("smallest", ", "),
+                     F.when(F.col("n_distinct") > EXAMPLES, F.concat(F.lit(" and "), (F.col("n_distinct") - EXAMPLES).cast("string"), F.lit(" more"))).otherwise(""))
+    text = F.concat(F.col("violations").cast("string"), F.lit(" "), F.element_at(what, F.col("rule_id")),
+                    F.when(F.col("n_distinct") > 0, named).otherwise(""))
+    return rules.join(F.broadcast(found), "rule_id", "left").select(*RULE_COLS, text.alias("detail"))
+
+
+def plain_detail(rule: tuple) -> str:
+    """The detail of a rule that nothing broke, or of which no value is to be named."""
+    return f"{rule[3]} {WHAT[rule[1]]}"
+
+
 def quarantine_share(raw_sales_rows, rejected_sales_rows, raw_event_rows, rejected_event_rows,
                      one_row: DataFrame, contract: Contract) -> DataFrame:
     """Rejected / raw rows (raw = before any dedup, S28) against the limit."""
@@ -207,8 +296,8 @@ def quarantine_share(raw_sales_rows, rejected_sales_rows, raw_event_rows, reject
 
 
 def gate_rows(rows: list[tuple]) -> list[tuple]:
-    """E3 on already collected rule rows (layer, rule_id, rule, violations, passed)."""
-    failed = [(r[0], r[1], r[2]) for r in rows if not r[4]]
+    """E3 on already collected rule rows (layer, rule_id, rule, violations, passed[, detail])."""
+    failed = [(r[0], r[1], r[2], *r[5:6]) for r in rows if not r[4]]
     if failed:
         raise GateError(failed)
     return rows

@@ -536,6 +536,45 @@ def e_queries() -> dict[str, str]:
     ]
     q["gold_rules"] = gold(*MART_CTES, select="\nUNION ALL\n".join(gl + marts))
     q["reconcile_marts"] = gold(*MART_CTES, select="\nUNION ALL\n".join(marts))
+    no_events = "(SELECT count(*) FROM s_clean v WHERE NOT EXISTS (SELECT 1 FROM e_clean e WHERE e.order_id = v.order_id))"
+    no_carrier = ("(SELECT count(*) FROM s_clean v WHERE NOT EXISTS (SELECT 1 FROM e_clean e WHERE e.order_id = v.order_id "
+                  "AND e.carrier IS NOT NULL))")
+    tolerated = ("R25", "R26")
+    expected = {"R27": f"abs((SELECT count(*) FROM g_events) - (SELECT count(*) FROM e_clean) - {no_events})",
+                "R31": f"abs((SELECT coalesce(sum(orders), 0) FROM m_carrier) - {n_g} + {no_carrier})"}
+    rows = [f"SELECT layer, rule_id, rule, CASE rule_id " + " ".join(f"WHEN '{r}' THEN CAST({x} AS BIGINT)" for r, x in expected.items())
+            + f" ELSE violations END AS violations, CASE rule_id " + " ".join(f"WHEN '{r}' THEN {x} = 0" for r, x in expected.items())
+            + " " + " ".join(f"WHEN '{r}' THEN violations * 100.0 <= 10.0 * {n_g}" for r in tolerated)
+            + " ELSE passed END AS passed FROM (" + "\nUNION ALL\n".join(gl + marts) + ")"]
+    q["gold_rules_expected_gaps"] = gold(*MART_CTES, select=rows[0])
+    outside = "SELECT '{r}' AS rule_id, {c} AS value FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT city FROM coverage)"
+    offenders = [
+        *[f"SELECT '{r}' AS rule_id, CAST({k} AS VARCHAR) AS value FROM {t} GROUP BY {k} HAVING count(*) > 1"
+          for r, k, t in (("R1", "sale_id", "s_clean"), ("R2", "order_id", "s_clean"), ("R7", "event_id", "e_clean"), ("R23", "order_id", "g_orders"))],
+        f"SELECT 'R8', CAST(event_id AS VARCHAR) FROM e_clean GROUP BY {', '.join(EV_COLS)} HAVING count(*) > 1",
+        *[f"SELECT '{r}', CAST(sale_id AS VARCHAR) FROM s_clean WHERE {w}" for r, w in (
+            ("R3", "sale_ts IS NULL"), ("R4", "rating NOT BETWEEN 1 AND 5"), ("R5", "unit_price < 0 OR gross < 0 OR discount < 0 OR net < 0"))],
+        *[f"SELECT '{r}', CAST(event_id AS VARCHAR) FROM e_clean WHERE {w}" for r, w in (
+            ("R11", "center IS NULL"), ("R12", "dest_city IS NULL"), ("R13", "promised_ts IS NULL"),
+            ("R14", f"{tr} AND carrier IS NULL"), ("R15", f"NOT {tr} AND carrier IS NOT NULL"),
+            ("R16", f"{tr} AND tracking_no IS NULL"), ("R17", f"NOT {tr} AND tracking_no IS NOT NULL"))],
+        outside.format(r="R6", c="city", t="s_clean"), outside.format(r="R18", c="dest_city", t="e_clean"),
+        "SELECT 'R19', CAST(order_id AS VARCHAR) FROM e_clean e WHERE NOT EXISTS (SELECT 1 FROM s_clean s WHERE s.order_id = e.order_id)",
+        *[f"SELECT '{r}', CAST(order_id AS VARCHAR) FROM g_orders WHERE {c} IS NULL" for r, c in (("R25", "n_events"), ("R26", "ship_cost"))]]
+    what = ("R1 repeated, R2 repeated, R3 null, R4 out of range, R5 negative, R6 outside coverage, R7 repeated, R8 repeated, R9 residual, "
+            "R10 not a timestamp, R11 null, R12 null, R13 null, R14 null, R15 filled, R16 null, R17 filled, R18 outside coverage, "
+            "R19 orphan events, R20 rejected, R21 rejected, R22 difference, R23 repeated, R24 difference, R25 without events, R26 null, "
+            "R27 difference, R28 amounts, R29 difference, R30 difference, R31 difference, R32 difference, R33 difference")
+    words = ", ".join("('{}', '{}')".format(*w.split(" ", 1)) for w in what.split(", "))
+    q["rule_details"] = gold(*MART_CTES, "all_rules AS (" + "\nUNION ALL\n".join(sil + gl + marts) + ")",
+                             "offenders AS (SELECT DISTINCT * FROM (" + "\nUNION ALL\n".join(offenders) + ") WHERE value IS NOT NULL)",
+                             """named AS (
+  SELECT rule_id, string_agg(value, ', ' ORDER BY value) FILTER (WHERE place <= 5) AS few, count(*) AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY value) AS place FROM offenders) GROUP BY rule_id)""",
+                             f"words(rule_id, word) AS (VALUES {words})", select="""
+SELECT layer, r.rule_id, rule, violations, passed, violations || ' ' || word
+  || coalesce(': ' || few || CASE WHEN n > 5 THEN ' and ' || (n - 5) || ' more' ELSE '' END, '') AS detail
+FROM all_rules r JOIN words USING (rule_id) LEFT JOIN named USING (rule_id)""")
     q["quarantine_share"] = gold(select=f"""
 SELECT 'ventas' AS source, (SELECT count(*) FROM s_rej) AS rejected, (SELECT count(*) FROM sales_raw) AS raw_rows,
        {r2(share_s)} AS pct, {share_s} <= 5.0 AS passed

@@ -3,8 +3,8 @@
 Every layer of a run is written under ``runs/<run_id>/`` and read back from
 Parquet before the next step (the lineage is cut at each layer, so a lost
 executor only recomputes the current stage). Gold is built only after the Silver
-gate has passed. Nothing is visible to readers until the ledger gets the run's
-PUBLISHED row (S26): a failing gate leaves the previously published run in
+gate has passed. Nothing is visible to readers until the ledger's publication pointer
+names the run (S26): a failing gate, or a killed run, leaves the previously published run in
 place. Only small metadata (rule table, counts) ever reaches the driver.
 
 A Silver table is written once, partitioned by whether its rows passed the row
@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -163,13 +164,13 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
     silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
                                   F.lit(raw_rows["events"]), n_rej["events"], coverage)
 
-    def evaluate(rules: DataFrame, name: str) -> list[tuple]:
+    def evaluate(rules: DataFrame, name: str, offenders: Callable[[], DataFrame]) -> list[tuple]:
         t0 = time.time()
-        rows = [tuple(r) for r in rules.select(*E.RULE_COLS).collect()]
+        rows = rules_with_details(spark, rules, offenders)
         times.tick(name, t0)
         return rows
 
-    rules_all, _ = _parallel(lambda: evaluate(silver_rules, "silver_rules"),
+    rules_all, _ = _parallel(lambda: evaluate(silver_rules, "silver_rules", lambda: E.silver_offenders(s_clean, e_clean, contract, coverage)),
                              w(incidents, "silver/incidents", "silver.incidents", "silver"))
     remove_path(spark, f"{run}/work")
     try:
@@ -184,13 +185,25 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
     fns = (G.kpi_monthly, G.carrier_performance, G.city_channel_sales)
     marts = dict(zip(names, _parallel(*[w(fn(orders), f"gold/{n}", f"gold.{n}", "gold")
                                         for n, fn in zip(names, fns)])))
-    gold_rows = evaluate(E.gold_rules(s_clean, e_clean, gevents, orders, marts, contract), "gold_rules")
+    gold_rows = evaluate(E.gold_rules(s_clean, e_clean, gevents, orders, marts, contract), "gold_rules", lambda: E.gold_offenders(gevents, orders))
     rules_all = rules_all + gold_rows
     _record(spark, lake, run_id, rules_all, facts)
     E.gate_rows(gold_rows)
     return RunResult(run_id, load_id, "PUBLISHED", rules_all, facts, dict(times))
 
 
+def rules_with_details(spark: SparkSession, rules: DataFrame, offenders: Callable[[], DataFrame]) -> list[tuple]:
+    """The rule rows with their details. What breaks rules is only looked for if any is broken, tolerated or not."""
+    rows = [tuple(r) for r in rules.select(*E.RULE_COLS).collect()]
+    if not any(r[3] for r in rows):
+        return [(*r, E.plain_detail(r)) for r in rows]
+    table = spark.createDataFrame(rows, "layer string, rule_id string, rule string, violations bigint, passed boolean")
+    broken = [r[1] for r in rows if r[3]]
+    found = E.rule_details(table, offenders().where(F.col("rule_id").isin(broken)))
+    details = {r["rule_id"]: r["detail"] for r in found.collect()}
+    return [(*r, details[r[1]]) for r in rows]
+
+
 def silver_part(spark: SparkSession, run: str, table: str, columns: list[str] | None = None) -> DataFrame:
     """The clean or the rejected rows of a run's Silver table."""
     folder, outcome = SILVER_PARTS[table]
@@ -203,7 +216,7 @@ def silver_part(spark: SparkSession, run: str, table: str, columns: list[str] |
 
 def _record(spark, lake: Lake, run_id: str, rules: list[tuple], facts: dict) -> None:
     _parallel(
-        lambda: L.append(spark, lake.ledger, "run_rule", [(run_id, r[0], r[1], r[2], r[3], r[4]) for r in rules]),
+        lambda: L.append(spark, lake.ledger, "run_rule", [(run_id, *r) for r in rules]),
         lambda: L.append(spark, lake.ledger, "run_table",
                          [(run_id, v["layer"], k.split(".", 1)[1], v["rows"], v["columns"])
                           for k, v in facts.items()]))
@@ -212,27 +225,53 @@ def _record(spark, lake: Lake, run_id: str, rules: list[tuple], facts: dict) ->
 def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame], contract: Contract,
                  coverage: DataFrame | None = None, load_id: str | None = None,
                  overwrite: bool = False) -> RunResult:
-    """G1: land the sources as a new load, then transform and publish it."""
+    """G1: land the sources as a new load, then transform and publish it. The result's status is
+    SUPERSEDED if a newer load was published meanwhile: the run is recorded, the publication stays."""
     load_id = load_id or new_load_id()
     run_id = f"{load_id}-{uuid.uuid4().hex[:8]}"
-    started = L.now()
     times = Timings()
-    try:
+
+    def work() -> RunResult:
         t0 = time.time()
         facts = A.land_load(spark, lake.bronze, sources, load_id, overwrite)
         times.tick("land", t0)
         L.append(spark, lake.ledger, "run_source",
                  [(run_id, f["source"], load_id, f["rows"], f["columns"], f["fingerprint"]) for f in facts])
-        result = transform(spark, lake, load_id, contract, coverage, run_id,
-                           {f["source"]: f["rows"] for f in facts}, times)
-    except Exception as exc:  # G7: failed run recorded, old pointer untouched, error re-raised
-        L.append(spark, lake.ledger, "run", [(run_id, load_id, "etl", started, L.now(), "FAILED", str(exc))])
-        raise
-    L.append(spark, lake.ledger, "run", [(run_id, load_id, "etl", started, L.now(), "PUBLISHED", None)])
+        return transform(spark, lake, load_id, contract, coverage, run_id, {f["source"]: f["rows"] for f in facts}, times)
+    result = tracked(spark, lake, run_id, load_id, "etl", work)
     retain(spark, lake, contract.max_loads)
     return result
 
 
+def tracked(spark: SparkSession, lake: Lake, run_id: str, load_id: str, origin: str, work: Callable[[], RunResult],
+            base: str | None = None) -> RunResult:
+    """Run ``work`` as a run of the ledger: noted when it begins, published when it is good, recorded when it ends.
+    A failed run is recorded, the publication stays and the error is raised again (G7)."""
+    started = L.begin(spark, lake.ledger, run_id, load_id, origin)
+    try:
+        result = work()
+        result.status = "PUBLISHED" if L.publish(spark, lake.ledger, run_id, load_id, origin, base) else "SUPERSEDED"
+    except Exception as exc:
+        L.end(spark, lake.ledger, run_id, load_id, origin, started, "FAILED", str(exc))
+        raise
+    L.end(spark, lake.ledger, run_id, load_id, origin, started, result.status)
+    return result
+
+
+def recover(spark: SparkSession, lake: Lake, before: dt.datetime | None = None) -> list[tuple[str, str]]:
+    """Close the runs that were killed: begun before a time (a day ago) and never ended. One that had become the
+    published run is recorded as PUBLISHED, any other as FAILED and its folder deleted. Returns (run_id, status)."""
+    before = before or L.now() - dt.timedelta(days=1)
+    out = []
+    for run_id, load_id, origin, started in L.unfinished(spark, lake.ledger, before):
+        status = "PUBLISHED" if run_id in L.publication_runs(spark, lake.ledger) else "FAILED"
+        if status == "FAILED":
+            remove_path(spark, lake.run_dir(run_id))
+        L.end(spark, lake.ledger, run_id, load_id, origin, started, status, None if status == "PUBLISHED" else "did not finish")
+        out.append((run_id, status))
+    return out
+
+
 def reprocess(spark: SparkSession, lake: Lake, contract: Contract, coverage: DataFrame | None = None,
               load_id: str | None = None) -> RunResult:
     """Rebuild Silver/Gold from a landed load (default: newest); sources are
@@ -242,14 +281,8 @@ def reprocess(spark: SparkSession, lake: Lake, contract: Contract, coverage: Dat
     if lid is None or lid not in ids:
         raise A.UnknownLoadError(f"unknown load {lid}; available: {', '.join(ids)}")
     run_id = f"{lid}-r{uuid.uuid4().hex[:8]}"
-    started = L.now()
-    try:
-        result = transform(spark, lake, lid, contract, coverage, run_id, _landed_rows(spark, lake, lid))
-    except Exception as exc:
-        L.append(spark, lake.ledger, "run", [(run_id, lid, "reprocess", started, L.now(), "FAILED", str(exc))])
-        raise
-    L.append(spark, lake.ledger, "run", [(run_id, lid, "reprocess", started, L.now(), "PUBLISHED", None)])
-    return result
+    return tracked(spark, lake, run_id, lid, "reprocess",
+                   lambda: transform(spark, lake, lid, contract, coverage, run_id, _landed_rows(spark, lake, lid)))
 
 
 def _landed_rows(spark: SparkSession, lake: Lake, load_id: str) -> dict[str, int]:

@@ -225,9 +225,14 @@ def e_queries() -> dict[str, QueryFn]:
         return E.silver_rules(p["s_clean"], p["e_clean"], CONTRACT, _count(p["sales_raw"]), _count(p["s_rej"]),
                               _count(p["events_raw"]), _count(p["e_rej"]), p["coverage"])
 
-    def gold_rules(p):
+    def gold_rules(p, contract=None):
         return E.gold_rules(p["s_clean"], p["e_clean"], G.gold_events(p["s_clean"], p["e_clean"]),
-                            p["g_orders"], _marts(p))
+                            p["g_orders"], _marts(p), contract)
+
+    def details(p):
+        offenders = E.silver_offenders(p["s_clean"], p["e_clean"], CONTRACT, p["coverage"]).unionByName(
+            E.gold_offenders(G.gold_events(p["s_clean"], p["e_clean"]), p["g_orders"]))
+        return E.rule_details(silver_rules(p).unionByName(gold_rules(p)), offenders)
 
     def share(p):
         return E.quarantine_share(_count(p["sales_raw"]), _count(p["s_rej"]), _count(p["events_raw"]),
@@ -236,6 +241,8 @@ def e_queries() -> dict[str, QueryFn]:
         "silver_rules": _sv(silver_rules),
         "gold_rules": _gd(gold_rules),
         "reconcile_marts": _gd(lambda p: gold_rules(p).where(F.col("rule").contains("reconcile"))),
+        "gold_rules_expected_gaps": _gd(lambda p: gold_rules(p, TOLERANT_CONTRACT)),
+        "rule_details": _gd(details),
         "quarantine_share": _sv(share),
     }
 
@@ -301,24 +308,24 @@ LOAD_FIRST, LOAD_STRICT = oracle.LOAD_FIRST, oracle.LOAD_STRICT
 
 
 def scenario_lake(spark: SparkSession, d: str):
-    """A lake holding a fixed, deterministic history of the whole binding (built once per input fingerprint):
+    """A lake holding a fixed, deterministic history of the whole binding (built once per input fingerprint, beside
+    its place, and renamed when whole):
     1) a load landed and published under the tolerant contract, 2) the same load reprocessed,
     3) the same sources landed as a second load under the strict contract, failing the Silver gate."""
     from orderlake.plans import pipeline as PL
-    from orderlake.sources.landing import fingerprint_paths, path_exists
-    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-lake-{fingerprint_paths(spark, _inputs(d), CONTRACT, TOLERANT_CONTRACT)}")
-    done = f"{lake.root}/_SCENARIO_DONE"
-    if path_exists(spark, done):
-        return lake
+    from orderlake.sources.landing import built_once, fingerprint_paths
     sources = {"sales": bronze_sales(spark, d), "events": bronze_events(spark, d)}
-    cov = FX.coverage(spark, d)
-    PL.run_pipeline(spark, lake, sources, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST, overwrite=True)
-    PL.reprocess(spark, lake, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST)
-    try:
-        PL.run_pipeline(spark, lake, sources, CONTRACT, cov, load_id=LOAD_STRICT, overwrite=True)
-    except E.GateError:
-        pass
-    spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(done)
+
+    def build(root: str) -> None:
+        lake, cov = PL.Lake(root), FX.coverage(spark, d)
+        PL.run_pipeline(spark, lake, sources, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST)
+        PL.reprocess(spark, lake, TOLERANT_CONTRACT, cov, load_id=LOAD_FIRST)
+        try:
+            PL.run_pipeline(spark, lake, sources, CONTRACT, cov, load_id=LOAD_STRICT)
+        except E.GateError:
+            pass
+    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-lake-{fingerprint_paths(spark, _inputs(d), CONTRACT, TOLERANT_CONTRACT)}")
+    built_once(spark, lake.root, build)
     return lake
 
 
@@ -331,7 +338,6 @@ def ag_queries() -> dict[str, QueryFn]:
     from orderlake.plans import ledger as L
     from orderlake.plans import pipeline as PL
     from orderlake.sources import bronze as A
-    from orderlake.sources.landing import materialized as mat
 
     def pipeline_run(spark, d):
         lake = scenario_lake(spark, d)
@@ -374,15 +380,14 @@ def ag_queries() -> dict[str, QueryFn]:
 
     def bronze_land(spark, d):
         lake = scenario_lake(spark, d)
-        return spark.read.parquet(f"{lake.bronze}/sales").where(F.col("load_id") == LOAD_STRICT)
+        return A.read_loads(spark, lake.bronze, "sales", [LOAD_STRICT])
 
     def bronze_read_load(spark, d):
         return A.read_load(spark, scenario_lake(spark, d).bronze, "events", LOAD_FIRST)
 
     def _per_load(spark, lake):
-        s = spark.read.parquet(f"{lake.bronze}/sales").groupBy("load_id").agg(F.count(F.lit(1)).alias("sales_rows"))
-        e = spark.read.parquet(f"{lake.bronze}/events").groupBy("load_id").agg(
-            F.count(F.lit(1)).alias("events_rows"))
+        s = A.read_loads(spark, lake.bronze, "sales").groupBy("load_id").agg(F.count(F.lit(1)).alias("sales_rows"))
+        e = A.read_loads(spark, lake.bronze, "events").groupBy("load_id").agg(F.count(F.lit(1)).alias("events_rows"))
         return s.join(e, "load_id", "full")
 
     def bronze_list_loads(spark, d):
@@ -403,9 +408,7 @@ def ag_queries() -> dict[str, QueryFn]:
 
     def land_events_text(spark, d):
         ev = bronze_events(spark, d)
-        csv_path = mat(spark, "bronze_events_csv_marker", _inputs(d), lambda: _write_csv_once(spark, ev, d))
-        del csv_path
-        return A.read_text_table(spark, _csv_dir(spark, d), ev.schema)
+        return A.read_text_table(spark, _events_csv(spark, ev, d), ev.schema)
 
     def export_tables(spark, d):
         """Every published table and the landed sources as CSV; per table the rows and the sum of the
@@ -440,16 +443,13 @@ def ag_queries() -> dict[str, QueryFn]:
     }
 
 
-def _csv_dir(spark, d):
+def _events_csv(spark, ev, d):
+    """The events as a CSV folder, written once per input fingerprint."""
     from orderlake.session import ensure_checkpoint_dir
-    from orderlake.sources.landing import fingerprint_paths
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake-csv-{fingerprint_paths(spark, _inputs(d))}"
-
-
-def _write_csv_once(spark, ev, d):
     from orderlake.sources import bronze as A
-    A.write_text_table(ev, _csv_dir(spark, d))
-    return spark.createDataFrame([(1,)], "done int")
+    from orderlake.sources.landing import built_once, fingerprint_paths
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake-csv-{fingerprint_paths(spark, _inputs(d))}"
+    return built_once(spark, path, lambda made: A.write_text_table(ev, made))
 
 
 def g6_queries() -> dict[str, QueryFn]:

@@ -1,14 +1,17 @@
 """Sources, sinks and load management.
 
-Bronze is ONE Parquet dataset per source, partitioned by ``load_id``; a load
-is written with dynamic partition overwrite (only its own partition is
-touched) and read back with a ``load_id`` predicate, which Spark turns into
-partition pruning. Row/column counts come from ``DataFrame.observe`` during
-the write, so landing never scans a table twice.
+A load of a source is a folder ``<source>/load_id=<id>/generation=<new id>``; what readers
+see is decided by small manifest files ``_committed/<load id>.<number>``, each naming a
+generation. Landing a load anew writes another generation and commits it by creating
+the next manifest: a reader gets the old or the new generation, never none or half of one. Row and
+column counts come from ``DataFrame.observe`` during the write, so landing never scans
+a table twice.
 """
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from orderlake.sources.landing import _fs, path_exists
+from orderlake.sources.landing import create_whole, names_in, path_exists, read_small, remove_path
 
 
 class LoadExistsError(Exception):
@@ -115,20 +118,18 @@ def file_sha256(spark: SparkSession, path_glob: str) -> DataFrame:
 # ------------------------------------------------------------------ A5-A8
 def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFrame], load_id: str,
               overwrite: bool = False) -> list[dict]:
-    """A5 (+A4, A9, A10): land every source under ``load_id``.
+    """A5 (+A4, A9, A10): land every source under ``load_id``, as a new generation that is committed as a whole.
 
-    Dynamic partition overwrite rewrites only this load's partition. Row
-    count and content fingerprint are observed during the write.
+    Row count and content fingerprint are observed during the write.
     """
+    if not overwrite and load_id in committed_loads(spark, bronze_root):
+        raise LoadExistsError(f"load {load_id} already exists")
+    generation = uuid.uuid4().hex
+
     def land_one(name: str, df: DataFrame) -> dict:
-        path = f"{bronze_root}/{name}"
-        if not overwrite and path_exists(spark, f"{path}/load_id={load_id}"):
-            raise LoadExistsError(f"load {load_id} already exists for {name}")
-        df = conform_to_existing(spark, df, path)
+        df = conform_to_existing(spark, df, bronze_root, name)
         obs = Observation()
-        observed = df.observe(obs, *content_fingerprint_expr(df.columns))
-        (observed.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path))
+        df.observe(obs, *content_fingerprint_expr(df.columns)).write.parquet(_folder(bronze_root, name, load_id, generation))
         return {"source": name, "load_id": load_id, "rows": int(obs.get["rows"]),
                 "columns": len(df.columns), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"}
 
@@ -136,29 +137,66 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         futures = [pool.submit(land_one, name, df) for name, df in sources.items()]
         facts = [f.result() for f in futures]
-    commit_load(spark, bronze_root, load_id)
+    commit_load(spark, bronze_root, load_id, generation, overwrite)
     return facts
 
 
-def commit_load(spark: SparkSession, bronze_root: str, load_id: str) -> None:
-    """Make a load visible: all of its sources have landed."""
-    fs, p = _fs(spark, f"{bronze_root}/_committed/{load_id}")
-    fs.create(p, True).close()
+def _folder(bronze_root: str, source: str, load_id: str, generation: str) -> str:
+    return f"{bronze_root}/{source}/load_id={load_id}/generation={generation}"
+
+
+def _manifests(spark: SparkSession, bronze_root: str) -> dict[str, list[int]]:
+    """Numbers of the manifests of each load, ascending."""
+    out: dict[str, list[int]] = {}
+    for name in names_in(spark, f"{bronze_root}/_committed"):
+        load_id, _, number = name.rpartition(".")
+        if load_id and number.isdigit():
+            out.setdefault(load_id, []).append(int(number))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def _manifest(bronze_root: str, load_id: str, number: int) -> str:
+    return f"{bronze_root}/_committed/{load_id}.{number:06d}"
+
+
+def commit_load(spark: SparkSession, bronze_root: str, load_id: str, generation: str, overwrite: bool = False) -> None:
+    """Make a generation of a load visible: all of its sources have landed. Of the earlier generations
+    the last stays for readers that have begun, older ones are deleted."""
+    while True:
+        numbers = _manifests(spark, bronze_root).get(load_id, [])
+        if numbers and not overwrite:
+            raise LoadExistsError(f"load {load_id} already exists")
+        if create_whole(spark, _manifest(bronze_root, load_id, (numbers or [0])[-1] + 1), generation):
+            break
+    for number in numbers[:-1]:
+        old = read_small(spark, _manifest(bronze_root, load_id, number))
+        for source in names_in(spark, bronze_root):
+            remove_path(spark, _folder(bronze_root, source, load_id, old))
+        remove_path(spark, _manifest(bronze_root, load_id, number))
 
 
 def committed_loads(spark: SparkSession, bronze_root: str) -> set[str]:
-    fs, p = _fs(spark, f"{bronze_root}/_committed")
-    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
+    return set(_manifests(spark, bronze_root))
+
 
+def load_folder(spark: SparkSession, bronze_root: str, source: str, load_id: str) -> str | None:
+    """Folder of the committed generation of a load, or None."""
+    numbers = _manifests(spark, bronze_root).get(load_id)
+    if not numbers:
+        return None
+    folder = _folder(bronze_root, source, load_id, read_small(spark, _manifest(bronze_root, load_id, numbers[-1])))
+    return folder if path_exists(spark, folder) else None
 
-def conform_to_existing(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Cast a new load to the schema already landed at ``path`` (one dataset,
-    one physical type per column); a missing or extra column is an error."""
-    if not path_exists(spark, path):
+
+def conform_to_existing(spark: SparkSession, df: DataFrame, bronze_root: str, source: str) -> DataFrame:
+    """Cast a new load to the schema of the newest landed one (one source, one physical type per
+    column); a missing or extra column is an error."""
+    ids = list_load_ids(spark, bronze_root, source)
+    if not ids:
         return df
-    target = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields if f.name != "load_id"}
+    target = {f.name: f.dataType for f in spark.read.parquet(load_folder(spark, bronze_root, source, ids[-1])).schema.fields}
     if set(target) != set(df.columns):
-        raise ValueError(f"schema drift at {path}: expected {sorted(target)}, got {sorted(df.columns)}")
+        raise ValueError(f"schema drift at {source}: expected {sorted(target)}, got {sorted(df.columns)}")
     return df.select(*[F.col(c).cast(target[c]).alias(c) if df.schema[c].dataType != target[c] else F.col(c)
                        for c in df.columns])
 
@@ -169,13 +207,9 @@ def list_loads(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
 
 
 def list_load_ids(spark: SparkSession, bronze_root: str, source: str) -> list[str]:
-    """Ids of the whole loads of a source: its partition folders that are committed
+    """Ids of the whole loads of a source: its folders that are committed
     (metadata, bounded by retention). A load of which only some sources landed is not listed."""
-    fs, p = _fs(spark, f"{bronze_root}/{source}")
-    if not fs.exists(p):
-        return []
-    ids = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-           if st.isDirectory() and st.getPath().getName().startswith("load_id=")}
+    ids = {n.split("=", 1)[1] for n in names_in(spark, f"{bronze_root}/{source}") if n.startswith("load_id=")}
     return sorted(ids & committed_loads(spark, bronze_root))
 
 
@@ -196,23 +230,31 @@ def apply_retention(spark: SparkSession, bronze_root: str, sources: Sequence[str
         ids = list_load_ids(spark, bronze_root, s)
         for lid in ids[:-max_loads] if len(ids) > max_loads else []:
             dropped.add(lid)
+    manifests = _manifests(spark, bronze_root)
     for lid in sorted(dropped):  # first out of sight, then away
-        for folder in (f"_committed/{lid}", *(f"{s}/load_id={lid}" for s in sources)):
-            fs, p = _fs(spark, f"{bronze_root}/{folder}")
-            fs.delete(p, True)
+        for path in [*[_manifest(bronze_root, lid, n) for n in manifests[lid]], *[f"{bronze_root}/{s}/load_id={lid}" for s in sources]]:
+            remove_path(spark, path)
     return sorted(dropped)
 
 
 def read_load(spark: SparkSession, bronze_root: str, source: str, load_id: str | None = None) -> DataFrame:
-    """One load of a source (partition pruned); default = newest; unknown raises."""
+    """One load of a source (its folder alone is read); default = newest; unknown raises."""
     ids = list_load_ids(spark, bronze_root, source)
     if not ids:
         raise UnknownLoadError(f"no loads for {source}")
     lid = load_id or ids[-1]
     if lid not in ids:
         raise UnknownLoadError(f"unknown load {lid}; available: {', '.join(ids)}")
-    return (spark.read.parquet(f"{bronze_root}/{source}").where(F.col("load_id") == F.lit(lid))
-            .drop("load_id"))
+    return spark.read.parquet(load_folder(spark, bronze_root, source, lid))
+
+
+def read_loads(spark: SparkSession, bronze_root: str, source: str, load_ids: Sequence[str] | None = None) -> DataFrame:
+    """Several loads of a source (default: all; retention bounds them) with their ``load_id``."""
+    ids = list_load_ids(spark, bronze_root, source) if load_ids is None else load_ids
+    if not ids:
+        raise UnknownLoadError(f"no loads for {source}")
+    parts = [read_load(spark, bronze_root, source, lid).withColumn("load_id", F.lit(lid)) for lid in ids]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------------ A11

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import uuid
 from collections.abc import Callable, Sequence
 from pathlib import Path
@@ -39,6 +40,69 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds, sorted; none if there is no folder."""
+    fs, p = _fs(spark, folder)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def create_whole(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step; False if it is there already.
+
+    The content is written beside and put in place by an operation that fails where the name is taken: a hard
+    link on a local disk, a rename elsewhere (atomic on HDFS; an object store needs a client that offers it).
+    Of several writers exactly one gets True, and no reader sees half a file.
+    """
+    fs, p = _fs(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.link(aside.toUri().getPath(), p.toUri().getPath())
+            made = True
+        except FileExistsError:
+            made = False
+    else:
+        made = not fs.exists(p) and bool(fs.rename(aside, p))
+    if fs.exists(aside):
+        fs.delete(aside, False)
+    return made
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """Content of a small file of this package (a pointer, a manifest)."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def built_once(spark: SparkSession, path: str, build: Callable[[str], None]) -> str:
+    """``path``, after ``build(folder)`` has filled it: built beside and renamed when whole, so that a build
+    that is killed leaves nothing under the name."""
+    if not path_exists(spark, path):
+        made = f"{path}.{uuid.uuid4().hex}"
+        build(made)
+        fs, p = _fs(spark, made)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(target):  # else another build has finished it meanwhile
+            fs.rename(p, target)
+    return path
+
+
+def write_aside(spark: SparkSession, aside: str, folder: str, write: Callable[[str], None]) -> None:
+    """Add a subfolder to ``folder`` that ``write`` has filled, by one rename from ``aside``."""
+    name = uuid.uuid4().hex
+    write(f"{aside}/{name}")
+    fs, p = _fs(spark, f"{aside}/{name}")
+    fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
+    fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
 @functools.cache
 def code_version() -> str:
     """Identity of the code that makes the tables: a hash of this package's modules."""
@@ -72,14 +136,10 @@ def materialized(spark: SparkSession, name: str, inputs: Sequence[str], build: C
     """Write ``build()`` once per fingerprint and return a scan of it."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/orderlake-tables/{name}-{fingerprint_paths(spark, inputs, version)}"
-    if not path_exists(spark, path):
-        made = f"{path}.{uuid.uuid4().hex}"
+
+    def write(made: str) -> None:
         writer = build().write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(made)
-        fs, p = _fs(spark, made)
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not fs.exists(target):  # else another run has finished it meanwhile
-            fs.rename(p, target)
-    return spark.read.parquet(path)
+    return spark.read.parquet(built_once(spark, path, write))

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from orderlake import registry as R
 from orderlake.contract import TOLERANT_CONTRACT, Contract
 from orderlake.operators import rules as E
@@ -27,7 +27,7 @@ def test_gate_raises_on_failed_rule(spark):
                                   "layer string, rule_id string, rule string, violations bigint, passed boolean")
     with pytest.raises(GateError) as e:
         gate(rules)
-    assert e.value.failed == [("gold", "R2", "y")]
+    assert e.value.failed == [("gold", "R2", "y")] and str(e.value) == "1 quality rule(s) failed: gold: R2 y"
 
 
 def test_failed_run_keeps_previous_publication(spark, tmpdir_spark):
@@ -40,6 +40,9 @@ def test_failed_run_keeps_previous_publication(spark, tmpdir_spark):
     with pytest.raises(GateError) as failed:
         run_pipeline(spark, lake, {"sales": bad_s, "events": e}, TOLERANT_CONTRACT, cov, load_id="20240102_000000")
     assert "R20" in {r[1] for r in failed.value.failed}
+    details = {r["rule_id"]: r["detail"] for r in L.read(spark, lake.ledger, "run_rule").where(F.col("run_id").startswith("20240102")).collect()}
+    rejected = L.read(spark, lake.ledger, "run_table").where("table = 'sales_rejected'").where(F.col("run_id").startswith("20240102")).first()["rows"]
+    assert details["R20"] == f"{rejected} rejected" and f"({rejected} rejected)" in str(failed.value) and details["R1"] == "0 repeated"
     runs = L.read(spark, lake.ledger, "run").orderBy("started_at").collect()
     assert [r["status"] for r in runs] == ["PUBLISHED", "FAILED"] and runs[1]["error"] == str(failed.value)
     assert not path_exists(spark, f"{lake.run_dir(runs[1]['run_id'])}/gold")  # Silver failed: Gold was not built
@@ -52,7 +55,7 @@ def test_failed_run_keeps_previous_publication(spark, tmpdir_spark):
     with pytest.raises(ValueError):
         apply_retention(spark, lake.bronze, ["sales"], 0)
     # a load of which one source is missing is not a load
-    s.withColumn("load_id", F.lit("20240103_000000")).write.mode("append").partitionBy("load_id").parquet(f"{lake.bronze}/sales")
+    s.write.parquet(f"{lake.bronze}/sales/load_id=20240103_000000/generation=0")
     assert list_load_ids(spark, lake.bronze, "sales") == ["20240101_000000", "20240102_000000"]
     assert retain(spark, lake, 1) == ["20240101_000000"]
     assert path_exists(spark, lake.run_dir(first.run_id))  # published: stays
@@ -145,23 +148,69 @@ def test_each_gold_rule_fails_when_broken(spark):
         assert failed(marts=marts | {name: marts[name].withColumn(column, (F.col(column) * 7).cast(dict(marts[name].dtypes)[column]))}) == rules
 
 
-def test_lost_rows_fail_under_the_tolerant_contract(spark):
+MART_KEYS = {"kpi_monthly": ["month"], "carrier_performance": ["carrier"], "city_channel_sales": ["city", "channel"]}
+
+
+def _forty_orders(spark):
+    """40 sales, of which order 1 has events with a carrier, order 2 events without one, the others none."""
     sales = spark.createDataFrame([(k, k, dt.datetime(2024, 1, 1), "Lima", *[D("1.00")] * 4, 3) for k in range(1, 41)], SALE)
-    events = _clean(spark)[1].where("order_id = 1")  # orders 2 to 40 have no events
-    orders = sales.select("order_id", "net", F.lit(3).alias("n_events"), F.lit(9).alias("ship_cost"),
-                          F.when(F.col("order_id") > 1, "2024-01").alias("month"), F.when(F.col("order_id") > 2, "C1").alias("carrier"),
-                          F.when(F.col("order_id") > 3, "Lima").alias("city"), F.lit("WEB").alias("channel"))
-    gold_ev = sales.select("order_id").join(events, "order_id", "left")
-    keys = {"kpi_monthly": ["month"], "carrier_performance": ["carrier"], "city_channel_sales": ["city", "channel"]}
+    events = _clean(spark)[1].withColumn("carrier", F.when(F.col("order_id") == 1, F.col("carrier")))
+    orders = sales.select("order_id", "net", F.lit(3).alias("n_events"), F.lit(9).alias("ship_cost"), F.lit("2024-01").alias("month"),
+                          F.when(F.col("order_id") == 1, "C1").alias("carrier"), F.lit("Lima").alias("city"), F.lit("WEB").alias("channel"))
+    return sales, events, orders
+
+
+def _marts(rows):
+    made = {n: rows.dropna(subset=k).groupBy(*k).agg(F.count("order_id").alias("orders"), F.sum("net").alias("net")) for n, k in MART_KEYS.items()}
+    return made | {"carrier_performance": made["carrier_performance"].drop("net")}
+
 
-    def marts(rows):
-        made = {n: rows.dropna(subset=k).groupBy(*k).agg(F.count("order_id").alias("orders"), F.sum("net").alias("net")) for n, k in keys.items()}
-        return made | {"carrier_performance": made["carrier_performance"].drop("net")}
+@pytest.mark.parametrize("contract", [None, Contract(), TOLERANT_CONTRACT], ids=["none", "strict", "expected gaps"])
+def test_keys_and_rows_lost_in_gold_fail_under_every_contract(spark, contract):
+    sales, events, orders = _forty_orders(spark)
+    gold_ev = sales.select("order_id").join(events, "order_id", "left")
 
-    def failed(gold_ev=gold_ev, rows=orders):
-        rules = E.gold_rules(sales, events, gold_ev, orders, marts(rows), TOLERANT_CONTRACT)
+    def failed(gold_ev=gold_ev, rows=orders, orders=None):
+        rules = E.gold_rules(sales, events, gold_ev, rows if orders is None else orders, _marts(rows), contract)
         return {r["rule_id"] for r in rules.collect() if not r["passed"]}
-    assert failed() == set()
-    assert failed(gold_ev=gold_ev.where("order_id <> 40")) == {"R27"}
-    for lost in ("order_id <> 40", "false"):  # one order of each mart, and empty marts
-        assert failed(rows=orders.where(lost)) == {"R29", "R30", "R31", "R32", "R33"}
+    # 38 sales without events and 39 orders without a carrier are the sources' gaps, if the contract expects them
+    assert failed() == (set() if contract is TOLERANT_CONTRACT else {"R27", "R31"})
+    assert "R27" in failed(gold_ev=gold_ev.where("order_id <> 40"))
+    for column, broken in (("month", {"R29", "R30"}), ("carrier", {"R31"}), ("city", {"R32", "R33"}), ("channel", {"R32", "R33"})):
+        assert broken <= failed(rows=orders.withColumn(column, F.lit(None).cast("string")))
+        assert broken <= failed(rows=orders.withColumn(column, F.when(F.col("order_id") > 1, F.col(column)))) or column == "carrier"
+    assert {"R22", "R24", "R29", "R30", "R31", "R32", "R33"} <= failed(orders=orders, rows=orders.where("false")) | {"R22", "R24"}
+    assert {"R22", "R24"} <= failed(rows=orders.where("order_id <> 40")) | failed(rows=orders.where("order_id < 30"))
+
+
+def test_each_expected_gap_is_counted_from_silver(spark):
+    sales, events, orders = _forty_orders(spark)
+    gold_ev = sales.select("order_id").join(events, "order_id", "left")
+    for gaps, left in ((set(), {"R27", "R31"}), ({"sales_without_events"}, {"R31"}), ({"orders_without_carrier"}, {"R27"})):
+        rules = E.gold_rules(sales, events, gold_ev, orders, _marts(orders), Contract(expected_gaps=frozenset(gaps)))
+        assert {r["rule_id"] for r in rules.collect() if not r["passed"]} == left
+
+
+def test_details_name_a_bounded_number_of_values(spark):
+    sales, events = _clean(spark)
+    many = events.crossJoin(spark.range(100).select(F.col("id").alias("_i"))).withColumn("event_id", F.col("event_id") * 1000 + F.col("_i")).drop("_i")
+    bad = _set("center", "null", "event_id % 2 = 0")(_set("dest_city", "concat('Oz', event_id % 3)", "true")(many))
+    args = (sales, bad, Contract(coverage=("Lima",)))
+    rules = E.rule_details(E.silver_rules(*args, F.lit(100), F.lit(7), F.lit(100), F.lit(0)), E.silver_offenders(*args))
+    detail = {r["rule_id"]: r["detail"] for r in rules.collect()}
+    assert detail["R11"] == "300 null: 10000, 10002, 10004, 10006, 10008 and 295 more"
+    assert detail["R18"] == "3 outside coverage: Oz0, Oz1, Oz2"
+    assert detail["R20"] == "7 rejected" and detail["R1"] == "0 repeated"
+    assert len(detail) == 21
+
+
+def test_smallest_values_are_limited_before_the_shuffle(spark):
+    """No task and no list holds the rows that break a rule: a window limit of k per rule on both sides of the shuffle."""
+    df = spark.range(100_000).select((F.col("id") % 3).cast("string").alias("g"), (F.col("id") % 20_000).cast("string").alias("v"))
+    found = E.k_smallest_distinct(df, "g", "v", 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")
+    rows = {r["g"]: r for r in found.collect()}
+    for g in "012":
+        values = sorted({str(i % 20_000) for i in range(int(g), 100_000, 3)})
+        assert rows[g]["smallest"] == values[:5] and rows[g]["n_distinct"] == len(values)

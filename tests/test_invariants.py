@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from orderlake import registry as R
 
 

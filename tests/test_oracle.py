@@ -6,7 +6,7 @@ runs it locally at any scale factor.
 
 import pytest
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from tools.oracle_check import compare, duck_con
 from orderlake.registry import all_oracles, all_queries
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from orderlake.registry import all_queries as queries
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")

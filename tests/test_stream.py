@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from orderlake.sources.fixtures import read_table
 from orderlake.streaming.incremental import land_new_files
 
@@ -21,7 +21,7 @@ def test_stream_equals_batch_and_is_incremental(spark):
 def test_each_new_file_is_run_gated_and_recorded(spark, tmpdir_spark):
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
+    from given_tables import SF_SMALL
     from orderlake import registry as R
     from orderlake.contract import TOLERANT_CONTRACT
     from orderlake.plans import ledger as L
