@@ -78,9 +78,19 @@ def order_flags(summary: DataFrame, events: DataFrame) -> DataFrame:
             .drop("_is_shared"))
 
 
+def refreshed_flags(orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Order rows with the flags of D3 set anew, as these depend on all of Silver; orders without events have none."""
+    seen = order_flags(orders.where(F.col("n_events").isNotNull()).drop("trace_complete", "tracking_shared"), events)
+    return seen.select(*orders.columns).unionByName(orders.where(F.col("n_events").isNull()))
+
+
 def gold_orders(sales: DataFrame, events: DataFrame, contract: Contract) -> DataFrame:
     """The 38-column order table."""
-    summary = order_flags(order_summary(events, contract), events)
+    return order_rows(sales, order_flags(order_summary(events, contract), events))
+
+
+def order_rows(sales: DataFrame, summary: DataFrame) -> DataFrame:
+    """D4, D6-D9 from the sales and the summary of their events."""
     df = sales.join(summary, "order_id", "left")
     delay = round_half_even(days_between("promised_ts", "delivery_ts"))
     return (df.withColumn("delay_days", delay)

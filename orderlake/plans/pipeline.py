@@ -75,8 +75,8 @@ def new_load_id() -> str:
 
 
 def _stamp(df: DataFrame, run_id: str, load_id: str) -> DataFrame:
-    """Lineage columns on every published row."""
-    return df.withColumns({"run_id": F.lit(run_id), "load_id": F.lit(load_id)})
+    """Lineage columns on every published row. A row that comes from an earlier publication keeps its load."""
+    return df.withColumns({"run_id": F.lit(run_id)} | ({} if "load_id" in df.columns else {"load_id": F.lit(load_id)}))
 
 
 class Timings(dict):

@@ -467,7 +467,68 @@ def g6_queries() -> dict[str, QueryFn]:
         land_new_files(spark, f"{root}/incoming", src_tbl.schema, f"{root}/bronze", f"{root}/_checkpoint",
                        max_files_per_batch=1)
         return spark.read.parquet(f"{root}/bronze").drop("load_id")
-    return {"stream_landing": stream_landing}
+
+    def merged(layer, table):
+        """A table of the publication that three increments were merged into."""
+        from orderlake.plans import pipeline as PL
+        return lambda spark, d: PL.published(spark, increments_lake(spark, d), layer, table).drop("run_id", "load_id")
+    return {"stream_landing": stream_landing, "stream_publish": merged("gold", "orders"),
+            "stream_publish_events": merged("silver", "events"), "stream_publish_incidents": merged("silver", "incidents"),
+            "stream_publish_city_channel": merged("gold", "city_channel_sales")}
+
+
+def increments_lake(spark: SparkSession, d: str):
+    """A lake into which the events of the whole binding came as a stream of three files, each merged into the publication."""
+    from orderlake.contract import INCREMENT_CONTRACT
+    from orderlake.plans import pipeline as PL
+    from orderlake.sources.landing import built_once, fingerprint_paths
+    from orderlake.streaming.incremental import publish_new_files
+    events = bronze_events(spark, d)
+
+    def build(root: str) -> None:
+        for at in (1, 2, 3):
+            came = events.where(F.expr(oracle.INCREMENT) == at).repartitionByRange(4, "event_id").sortWithinPartitions("event_id", *events.columns)
+            came.write.parquet(f"{root}/incoming/increment={at}")
+            done = publish_new_files(spark, PL.Lake(root), f"{root}/incoming/*", events.schema, lambda: bronze_sales(spark, d),
+                                     INCREMENT_CONTRACT, FX.coverage(spark, d), f"{root}/stream")
+            if [status for _, status in done] != ["PUBLISHED"]:
+                raise RuntimeError(f"increment {at}: {done}")
+    lake = PL.Lake.in_checkpoint_dir(spark, f"orderlake-increments-{fingerprint_paths(spark, _inputs(d), INCREMENT_CONTRACT)}")
+    built_once(spark, lake.root, build)
+    return lake
+
+
+def arrival_queries() -> dict[str, QueryFn]:
+    """First by arrival (C1, C4, C12), where it decides otherwise than the order of all columns would."""
+    from orderlake.sources import bronze as A
+    from orderlake.sources.landing import built_once, fingerprint_paths
+    from orderlake.session import ensure_checkpoint_dir
+
+    def delivered(spark, d, name, deliveries, key):
+        """Deliveries written one after the other, each sorted by key and then by all columns backwards, landed with their arrival."""
+        def build(root):
+            for at, df in enumerate(deliveries):
+                down = [F.col(c).desc_nulls_last() for c in df.columns]
+                df.repartitionByRange(4, key).sortWithinPartitions(key, *down).write.parquet(f"{root}/delivery={at}")
+            files = [f"{root}/delivery={at}" for at in range(len(deliveries))]
+            A.land_load(spark, f"{root}/bronze", {name: A.with_arrival(spark.read.schema(deliveries[0].schema).parquet(*files))}, LOAD_FIRST)
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake-arrival-{name}-{fingerprint_paths(spark, _inputs(d))}"
+        return A.read_load(spark, f"{built_once(spark, path, build)}/bronze", name, LOAD_FIRST)
+
+    def arrival_events(spark, d):
+        """Every third event came first with another note, then as it is."""
+        events = bronze_events(spark, d)
+        early = events.where("event_id % 3 = 0").withColumn("note", F.lit("zz early"))
+        rows = S.prepared_events(delivered(spark, d, "events", [early.distinct(), events], "event_id"))
+        return rows.select("event_id", "order_id", "note", F.col("_n").alias("copies"), F.col("_win").alias("kept"))
+
+    def arrival_sales(spark, d):
+        """The repeated sales came before the others."""
+        sales = bronze_sales(spark, d)
+        again = F.coalesce(F.col("pay_method") == "ZZ-DUP", F.lit(False))
+        landed = delivered(spark, d, "sales", [sales.where(again), sales.where(~again)], "sale_id")
+        return S.flag_sales(landed, CONTRACT, FX.coverage(spark, d)).select("sale_id", "pay_method", "net", "reject_reason")
+    return {"arrival_events": arrival_events, "arrival_sales": arrival_sales}
 
 
 def all_queries() -> dict[str, QueryFn]:
@@ -479,6 +540,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(b_queries())
     out.update(ag_queries())
     out.update(g6_queries())
+    out.update(arrival_queries())
     return out
 
 
@@ -491,5 +553,6 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.b_queries())
     out.update(oracle.b_extra_queries())
     out.update(oracle.ag_queries())
-    out["stream_landing"] = "SELECT * FROM events"
+    out.update(oracle.stream_queries())
+    out.update(oracle.arrival_queries())
     return out

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from orderlake.operators.silver import ARRIVAL, content_columns
 from orderlake.sources.landing import create_whole, names_in, path_exists, read_small, remove_path
 
 
@@ -69,6 +70,19 @@ def write_text_table(df: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
+def with_arrival(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """The rows of files with ``_arrival``: where and when each arrived, as (time of the file, file, start of the
+    block, row). Landed with the rows, it decides which of several copies, versions or sales with one key is the first.
+
+    From Spark's hidden file columns. Parquet tells a row's place in its file; text files don't, there the rows of a
+    block are numbered in the order in which its task reads them.
+    """
+    row = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    return df.select("*", F.struct(F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("file"),
+                                   F.col("_metadata.file_block_start").alias("block") if fmt != "parquet" else F.lit(0).cast("long").alias("block"),
+                                   row.alias("row")).alias(ARRIVAL))
+
+
 # ------------------------------------------------------------------ A3
 def extraction_probe(df: DataFrame, source: str) -> DataFrame:
     """A3: rows and columns of an extracted source."""
@@ -129,9 +143,10 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     def land_one(name: str, df: DataFrame) -> dict:
         df = conform_to_existing(spark, df, bronze_root, name)
         obs = Observation()
-        df.observe(obs, *content_fingerprint_expr(df.columns)).write.parquet(_folder(bronze_root, name, load_id, generation))
+        content = content_columns(df)
+        df.observe(obs, *content_fingerprint_expr(content)).write.parquet(_folder(bronze_root, name, load_id, generation))
         return {"source": name, "load_id": load_id, "rows": int(obs.get["rows"]),
-                "columns": len(df.columns), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"}
+                "columns": len(content), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"}
 
     # the sources are independent: land them as concurrent jobs
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
@@ -195,8 +210,9 @@ def conform_to_existing(spark: SparkSession, df: DataFrame, bronze_root: str, so
     if not ids:
         return df
     target = {f.name: f.dataType for f in spark.read.parquet(load_folder(spark, bronze_root, source, ids[-1])).schema.fields}
-    if set(target) != set(df.columns):
+    if set(target) - {ARRIVAL} != set(content_columns(df)):
         raise ValueError(f"schema drift at {source}: expected {sorted(target)}, got {sorted(df.columns)}")
+    target = {c: target.get(c, df.schema[c].dataType) for c in df.columns}
     return df.select(*[F.col(c).cast(target[c]).alias(c) if df.schema[c].dataType != target[c] else F.col(c)
                        for c in df.columns])
 
@@ -254,7 +270,7 @@ def read_loads(spark: SparkSession, bronze_root: str, source: str, load_ids: Seq
     if not ids:
         raise UnknownLoadError(f"no loads for {source}")
     parts = [read_load(spark, bronze_root, source, lid).withColumn("load_id", F.lit(lid)) for lid in ids]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 # ------------------------------------------------------------------ A11
