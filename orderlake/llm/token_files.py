@@ -2,9 +2,9 @@
 
 ``write_token_files`` sorts the documents by doc_id, encodes each whole text,
 appends an end id, and packs runs of documents into shards. A shard's ids are
-compressed by Re-Pair: frequent pairs of adjacent symbols get nonterminals, all
-pairs chosen in a round at once, round after round. No pair reaches across a
-document's end, so each document is a run of symbols of its own and can be
+compressed by Re-Pair: frequent pairs of adjacent symbols get nonterminals, the most frequent
+first, many in a round, round after round until no pair occurs LEAST_COUNT times or
+the 16 bits of a symbol are used up. No pair reaches across a document's end, so each document is a run of symbols of its own and can be
 decoded without its neighbours (``Shard.document``, ``Shard.tokens``).
 
 A shard is a row of a Parquet table: part and shard number (their order is the
@@ -49,9 +49,11 @@ END = 2
 TERMINALS = 49408
 #: A shard is closed when it has so many ids.
 SHARD_IDS = 1 << 20
-ROUNDS, MOST_RULES = 4, (1 << 16) - TERMINALS
-#: A pair must be so frequent to be worth a rule.
-LEAST_COUNT = 12
+MOST_RULES = (1 << 16) - TERMINALS
+#: A rule takes 8 bytes and each of its places saves 2: rarer pairs would make the file larger.
+LEAST_COUNT = 4
+#: A round takes this share of the rules that are left (later rounds pair the new symbols), and this many at least.
+ROUND_SHARE, ROUND_LEAST = 4, 1024
 MAGIC = b"RPG1"
 #: Distinct words whose ids a worker remembers.
 CACHE_WORDS = 1_500_000
@@ -178,9 +180,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(rules) < MOST_RULES and len(symbols) > 1:
         inner = ~last[:-1]  # pairs that stay in their document
         pair = symbols[:-1] << np.uint32(16) | symbols[1:]
         ordered = np.sort(pair[inner])
@@ -189,7 +189,8 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(heads, len(ordered)))
         good = np.flatnonzero(counts >= LEAST_COUNT)
-        most = min(MOST_RULES // ROUNDS, MOST_RULES - len(rules))
+        left_over = MOST_RULES - len(rules)
+        most = min(left_over, max(left_over // ROUND_SHARE, ROUND_LEAST))
         if len(good) > most:
             good = np.sort(good[np.argpartition(counts[good], len(good) - most)[len(good) - most :]])
         if not len(good):

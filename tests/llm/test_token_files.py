@@ -102,3 +102,19 @@ def test_capitals_before_marks_are_encoded_as_they_are(spark, tokenizer):
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(tokenizer, t) for t in texts]
     rows = list(enumerate(texts))
     assert digests(spark, rows) == expected(tokenizer, rows)
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    """A passage of 4,000 ids that repeats 50 times becomes a few symbols, and no frequent pair is left."""
+    random = np.random.default_rng(1)
+    passage = random.integers(3, 49_000, 4000)
+    ids = np.concatenate([np.r_[passage, token_files.END] for _ in range(50)])
+    sizes = np.full(50, 4001)
+    rules, symbols, ends = token_files.compress(ids, np.cumsum(sizes))
+    pairs = np.stack([symbols[:-1], symbols[1:]], axis=1)[~np.isin(np.arange(1, len(symbols)), ends)]
+    counts = np.unique(pairs, axis=0, return_counts=True)[1] if len(pairs) else np.zeros(0)
+    assert not len(counts) or counts.max() < token_files.LEAST_COUNT or len(rules) == token_files.MOST_RULES
+    payload = token_files.pack(ids, sizes)
+    shard = token_files.Shard(payload)
+    assert (shard.all() == ids).all() and shard.lengths.max() > 1000 and len(symbols) <= 500
+    assert (shard.document(7) == ids[7 * 4001 : 8 * 4001]).all() and (shard.tokens(4100, 12_345) == ids[4100:12_345]).all()
