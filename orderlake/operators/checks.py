@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlake.functions.ranking import numbered
 from orderlake.functions.semantics import false_if_null, first_by, parse_ts, round_half_even
 from orderlake.operators.profile import is_numeric
 from orderlake.operators.silver import residual_columns as residual_columns_of
 from orderlake.operators.silver import shared_tracking_numbers
+from orderlake.sources.landing import scratch
 
 
 def amount_identities(sales: DataFrame, tolerance: float = 1.0) -> DataFrame:
@@ -139,18 +141,31 @@ def promise_before_sale(sales: DataFrame, events: DataFrame) -> DataFrame:
 def out_of_order(events: DataFrame, block: int = 4096) -> DataFrame:
     """Orders whose dated events go back in time in event-id order.
 
-    An order's events are cut into blocks of event ids. A step back lies within a
-    block (compared there), or between blocks: then an earlier block's latest
-    time is after a later block's earliest. So no task needs a whole order.
+    An order of at most ``block`` events is compared as it is. The events of a larger one are numbered
+    (``functions.ranking``, no task needs them all, however sparse their ids are) and cut into blocks of that many.
+    A step back lies within a block, or between blocks: then an earlier block's latest time is after a later
+    block's earliest.
     """
     ev = (events.select("order_id", "event_id", parse_ts("event_ts_txt").alias("ts"))
-          .where(F.col("ts").isNotNull()).withColumn("_block", F.floor(F.col("event_id") / block)))
+          .where(F.col("ts").isNotNull() & F.col("order_id").isNotNull()))
+    large = scratch(ev.groupBy("order_id").count().where(F.col("count") > block).select("order_id"))
+    if large.isEmpty():
+        cut = ev.withColumn("_block", F.lit(0).cast("long"))
+    else:
+        hot = numbered(ev.join(large, "order_id", "left_semi"), ["order_id"], [F.col("event_id"), F.col("ts")], scratch, "_at")
+        cut = (ev.join(large, "order_id", "left_anti").withColumn("_block", F.lit(0).cast("long"))
+               .unionByName(hot.withColumn("_block", F.floor((F.col("_at") - 1) / block).cast("long")).drop("_at")))
+    return blocks_out_of_order(cut).agg(F.count_distinct("order_id").alias("orders_out_of_order"))
+
+
+def blocks_out_of_order(cut: DataFrame) -> DataFrame:
+    """(order_id, _block) that go back in time, within themselves or against an earlier block."""
     inside = Window.partitionBy("order_id", "_block").orderBy("event_id", "ts")
-    per = (ev.withColumn("_back", F.col("ts") < F.lag("ts").over(inside))
+    per = (cut.withColumn("_back", F.col("ts") < F.lag("ts").over(inside))
            .groupBy("order_id", "_block").agg(F.max("_back").alias("_back"), F.min("ts").alias("_lo"), F.max("ts").alias("_hi")))
     earlier = Window.partitionBy("order_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     steps = per.withColumn("_back", F.coalesce("_back", F.lit(False)) | F.coalesce(F.col("_lo") < F.max("_hi").over(earlier), F.lit(False)))
-    return steps.where("_back").agg(F.count_distinct("order_id").alias("orders_out_of_order"))
+    return steps.where("_back").select("order_id", "_block")
 
 
 def first_state_distribution(events: DataFrame) -> DataFrame:

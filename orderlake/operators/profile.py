@@ -217,14 +217,23 @@ def nulls_by_state(events: DataFrame, col: str = "stage_hours") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("nulls")))
 
 
-def standardize_impact(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
+def standardize_impact(df: DataFrame, table: str, cols: Sequence[str], fold_accents: bool = False) -> DataFrame:
     """Cells changed by whitespace cleaning; columns whose lower-cased clean
-    values collapse (spelling variants)."""
+    values collapse (spelling variants). With ``fold_accents`` values that differ in accents alone
+    collapse too, by Spark's Unicode collation (S32).
+
+    Cells are counted by value, values by clean form, and these by column: three partial
+    aggregates, no ``Expand`` for the two distinct counts.
+    """
     long = _long_strings(df, cols).where(F.col("value").isNotNull())
-    return (long.groupBy("column").agg(
-        F.count_if(clean_text(F.col("value")) != F.col("value")).alias("changed_cells"),
-        F.count_distinct("value").alias("distinct_raw"),
-        F.count_distinct(F.lower(clean_text(F.col("value")))).alias("distinct_clean_lower"))
+    values = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_cells"))
+    clean = F.lower(clean_text(F.col("value")))
+    form = F.collate(clean, "UNICODE_CI_AI") if fold_accents else clean
+    changed = F.when(clean_text(F.col("value")) != F.col("value"), F.col("_cells")).otherwise(0)
+    forms = (values.select("column", form.alias("_form"), changed.alias("_changed"))
+             .groupBy("column", "_form").agg(F.sum("_changed").alias("_changed"), F.count(F.lit(1)).alias("_raw")))
+    return (forms.groupBy("column").agg(
+        F.sum("_changed").alias("changed_cells"), F.sum("_raw").alias("distinct_raw"), F.count(F.lit(1)).alias("distinct_clean_lower"))
         .withColumn("has_variants", F.col("distinct_clean_lower") < F.col("distinct_raw"))
         .select(F.lit(table).alias("tbl"), "*"))
 

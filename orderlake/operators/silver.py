@@ -420,6 +420,15 @@ def event_level_incidents(recovered: DataFrame) -> DataFrame:
     return explode_incidents(recovered, items)
 
 
+def recovery_outcomes(recovered: DataFrame) -> DataFrame:
+    """C8, C9 by outcome (S3): how many incidents of each kind were resolved, and how many found no value
+    in their order; the log itself names both alike."""
+    kinds = ([(c, c + K.KIND_NULL_SUFFIX) for c in ORDER_CONSTANT_COLS] + [(c, c + K.KIND_NULL_IN_TRANSPORT_SUFFIX) for c in TRANSPORT_COLS])
+    one = [F.when(F.col(f"_was_null_{c}"), F.struct(F.lit(kind).alias("kind"), F.col(c).isNotNull().alias("resolved"))) for c, kind in kinds]
+    return (recovered.select(F.explode(F.array_compact(F.array(*one))).alias("i")).groupBy("i.kind", "i.resolved")
+            .agg(F.count(F.lit(1)).alias("incidents")))
+
+
 def flag_events(recovered: DataFrame, valid_sales: DataFrame, contract: Contract,
                 coverage: DataFrame | None = None) -> DataFrame:
     """Row rules on events: the order has no valid sale; destination out of coverage.

@@ -317,6 +317,10 @@ SELECT 'logistica' AS source, reject_reason, count(*) AS rows FROM e_rej GROUP B
     q["silver_events"] = silver(select="SELECT * FROM e_clean")
     q["quarantine_events"] = silver(select="SELECT * FROM e_rej")
     q["incident_log"] = silver(select="SELECT * FROM incidents")
+    q["recovery_outcomes"] = silver(select=_union([
+        f"SELECT '{c}{kind}' AS kind, {c} IS NOT NULL AS resolved, count(*) AS incidents FROM e_rec WHERE {flag} GROUP BY ALL"
+        for c, flag, kind in (("center", "nul_center", " nulo"), ("dest_city", "nul_dest", " nulo"), ("promised_ts", "nul_promised", " nulo"),
+                              ("carrier", "nul_carrier", " nulo en estado de transporte"), ("tracking_no", "nul_tracking", " nulo en estado de transporte"))]))
     q["missing_states"] = silver(select="SELECT * FROM inc_missing")
     q["delivered_without_date"] = silver(select="SELECT * FROM inc_undated")
     q["shared_tracking_orders"] = silver(select="SELECT tracking_no, order_id FROM shared_pairs")
@@ -813,6 +817,12 @@ SELECT first_state, count(*) AS orders FROM fs WHERE first_state IS NOT NULL GRO
                          f"count(DISTINCT lower({_clean(c)})) < count(DISTINCT {c}) AS has_variants "
                          f"FROM {view} WHERE {c} IS NOT NULL")
     q["standardize_impact"] = with_fixtures(select=_union(parts))
+    accented = ("accented AS (SELECT CASE WHEN sale_id % 5 = 0 THEN translate(city, 'AEIOU', 'ÁÉÍÓÚ') WHEN sale_id % 7 = 0 THEN lower(city) "
+                "ELSE city END AS city, channel FROM sales_raw)")
+    q["standardize_impact_accents"] = with_fixtures(accented, select=_union([
+        f"SELECT 'sales' AS tbl, '{c}' AS column, CAST(count(*) FILTER (WHERE {_clean(c)} <> {c}) AS BIGINT) AS changed_cells, count(DISTINCT {c}) AS distinct_raw, "
+        f"count(DISTINCT strip_accents(lower({_clean(c)}))) AS distinct_clean_lower, "
+        f"count(DISTINCT strip_accents(lower({_clean(c)}))) < count(DISTINCT {c}) AS has_variants FROM accented WHERE {c} IS NOT NULL" for c in ("city", "channel")]))
     diff_cols = [c for c, _ in RAW_TYPES["events"] if c != "event_id"]
     q["conflict_diff_columns"] = with_fixtures(
         "d AS (SELECT DISTINCT * FROM events_raw)",
@@ -953,6 +963,12 @@ UNION ALL SELECT 'events', (SELECT count(*) FROM events_raw), 14""")
     q["extraction_probe"] = with_fixtures(select="""
 SELECT 'sales' AS source, count(*) AS rows, 17 AS columns FROM sales_raw
 UNION ALL SELECT 'events', count(*), 14 FROM events_raw""")
+    q["extraction_columns"] = with_fixtures(select=_union([f"SELECT '{t}' AS source, {at} AS position, '{c}' AS column, count({c}) AS filled FROM {t}_raw" for t, cols in (
+        ("sales", SALES_COLS), ("events", [c for c, _ in RAW_TYPES["events"]])) for at, c in enumerate(cols, 1)]))
+    ev_cols = [c for c, _ in RAW_TYPES["events"]]
+    q["extraction_head"] = with_fixtures(select=f"SELECT * FROM sales_raw ORDER BY sale_id NULLS FIRST, {_all_nulls_first(SALES_COLS)} LIMIT 5")
+    for name, view, key, cols in (("extraction_sample", "sales_raw", "sale_id", SALES_COLS), ("extraction_sample_events", "events_raw", "event_id", ev_cols)):
+        q[name] = with_fixtures(select=f"SELECT * FROM {view} ORDER BY md5(coalesce(CAST({key} AS VARCHAR), '\\N') || '|42'), {_all_nulls_first(cols)} LIMIT 5")
     q["land_events_text"] = with_fixtures(select="SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM events_raw")
     views = {f"{layer}.{name}": cte for layer, name, cte, _ in TABLES} | {"bronze.sales": "sales_raw", "bronze.events": "events_raw"}
 

@@ -154,6 +154,7 @@ def c_queries() -> dict[str, QueryFn]:
         return S.prepare_events(bronze_events(spark, d), CONTRACT)
 
     return {
+        "recovery_outcomes": _sv(lambda p: S.recovery_outcomes(p["e_rec"])),
         "dedup_exact": _events(S.dedup_exact),
         "incidents_duplicates": _events(S.duplicate_row_incidents),
         "drop_residual": lambda spark, d: S.drop_residual(S.dedup_exact(bronze_events(spark, d)))[1],
@@ -254,6 +255,11 @@ def b_queries() -> dict[str, QueryFn]:
     def first_ship_cost(e):
         return P.once_per_order(e, "ship_cost")
 
+    def accented(s):
+        """Every fifth city written with accents, every seventh in small letters."""
+        return s.withColumn("city", F.when(F.col("sale_id") % 5 == 0, F.translate("city", "AEIOU", "ÁÉÍÓÚ"))
+                            .when(F.col("sale_id") % 7 == 0, F.lower("city")).otherwise(F.col("city")))
+
     std_cols = {"sales": ("city", "channel", "category", "product", "pay_method"),
                 "events": ("state", "center", "dest_city", "carrier", "incident", "note")}
     return {
@@ -289,6 +295,7 @@ def b_queries() -> dict[str, QueryFn]:
         "standardize_impact": lambda spark, d: P.standardize_impact(bronze_sales(spark, d), "sales",
                                                                     std_cols["sales"]).unionByName(
             P.standardize_impact(bronze_events(spark, d), "events", std_cols["events"])),
+        "standardize_impact_accents": _sales(lambda s: P.standardize_impact(accented(s), "sales", ("city", "channel"), fold_accents=True)),
         "conflict_diff_columns": _events(P.conflict_diff_columns),
         "histogram_net": _sales(lambda s: P.histogram(s, "net", 20)),
         "histogram_unit_price": _sales(lambda s: P.histogram(s, "unit_price", 20)),
@@ -439,6 +446,10 @@ def ag_queries() -> dict[str, QueryFn]:
         "source_fingerprint": _sales(lambda s: A.row_sha256(s)),
         "extraction_probe": _both(lambda s, e: A.extraction_probe(s, "sales").unionByName(
             A.extraction_probe(e, "events"))),
+        "extraction_columns": _both(lambda s, e: A.extraction_columns(s, "sales").unionByName(A.extraction_columns(e, "events"))),
+        "extraction_head": _sales(lambda s: A.extraction_head(s, ["sale_id"])),
+        "extraction_sample": _sales(lambda s: A.repeatable_sample(s, ["sale_id"])),
+        "extraction_sample_events": _events(lambda e: A.repeatable_sample(e, ["event_id"])),
         "land_events_text": land_events_text, "export_tables": export_tables,
     }
 

@@ -90,10 +90,23 @@ def extraction_probe(df: DataFrame, source: str) -> DataFrame:
         F.lit(source).alias("source"), "rows", F.lit(len(df.columns)).alias("columns"))
 
 
+def extraction_columns(df: DataFrame, source: str) -> DataFrame:
+    """A3: the names of an extracted source's columns, in order, with the number of filled cells."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    named = [F.struct(F.lit(at).alias("position"), F.lit(c).alias("column"), F.col(f"`{c}`").alias("filled")) for at, c in enumerate(df.columns, 1)]
+    return counts.select(F.lit(source).alias("source"), F.inline(F.array(*named)))
+
+
+def extraction_head(df: DataFrame, key_cols: Sequence[str], k: int = 5) -> DataFrame:
+    """A3: the first ``k`` rows by key (a top-k, planned as TakeOrdered; ``k`` is the feature)."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in [*key_cols, *df.columns]]).limit(k)
+
+
 def repeatable_sample(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
-    """A3: a seeded sample of ``k`` rows that does not depend on partitioning:
-    the k smallest ``xxhash64(key, seed)`` (a top-k, planned as TakeOrdered)."""
-    return df.orderBy(F.xxhash64(*key_cols, F.lit(seed)), *key_cols).limit(k)
+    """A3: a seeded sample of ``k`` rows that does not depend on partitioning: the k smallest
+    md5 of key and seed, of rows with one key the first by all columns (a top-k, planned as TakeOrdered)."""
+    drawn = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in key_cols], F.lit(str(seed))).cast("binary"))
+    return df.orderBy(drawn, *[F.col(c).asc_nulls_first() for c in df.columns]).limit(k)
 
 
 # ------------------------------------------------------------------ A4

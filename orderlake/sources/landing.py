@@ -131,6 +131,13 @@ def fingerprint_paths(spark: SparkSession, paths: Sequence[str], *more: object)
     return h.hexdigest()[:16]
 
 
+def scratch(df: DataFrame) -> DataFrame:
+    """Write a frame to a new folder of the cluster's shared folder and read it back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/orderlake-scratch/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialized(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame],
                  partition_by: Sequence[str] = (), version: object = None) -> DataFrame:
     """Write ``build()`` once per fingerprint and return a scan of it."""

@@ -127,6 +127,30 @@ def test_out_of_order_across_blocks_equals_brute_force(spark):
     assert [B.out_of_order(ev, block).first()[0] for block in (1, 7, 4096)] == [bad] * 3
 
 
+def test_one_order_of_sparse_ids_is_cut_into_blocks(spark, monkeypatch):
+    """30,000 events of one order with ids far apart: no block of the comparison holds more than its size."""
+    n, block = 30_000, 500
+    rows = spark.range(n).selectExpr("1L as order_id", "id * 1000003 as event_id", "cast(timestamp'2024-01-01' + make_interval(0,0,0,0,0,id) as string) as event_ts_txt")
+    one_back = rows.withColumn("event_ts_txt", F.when(F.col("event_id") == 1000003 * 20_000, "2023-12-31 00:00:00").otherwise(F.col("event_ts_txt")))
+    sizes, compare = [], B.blocks_out_of_order
+
+    def watched(cut):
+        sizes.append(cut.groupBy("order_id", "_block").count().agg(F.max("count"), F.count("*")).first())
+        return compare(cut)
+    monkeypatch.setattr(B, "blocks_out_of_order", watched)
+    assert [B.out_of_order(df, block).first()[0] for df in (rows, one_back)] == [0, 1]
+    assert sizes == [(block, n // block)] * 2
+
+
+def test_spelling_variants_fold_accents_if_asked(spark):
+    df = spark.createDataFrame([("Bogotá",), ("bogota",), ("BOGOTÁ ",), ("Lima",), (None,)], "city string")
+    plain = P.standardize_impact(df, "t", ["city"]).first()
+    folded = P.standardize_impact(df, "t", ["city"], fold_accents=True)
+    assert (plain["changed_cells"], plain["distinct_raw"], plain["distinct_clean_lower"], plain["has_variants"]) == (1, 4, 3, True)
+    assert folded.first()["distinct_clean_lower"] == 2
+    assert "Expand" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
 def _hot(spark, path):
     """Events of which one order has a third, and their order values, both read back from files."""
     ev = spark.range(60_000).selectExpr(
