@@ -963,6 +963,12 @@ UNION ALL SELECT 'events', (SELECT count(*) FROM events_raw), 14""")
     q["extraction_probe"] = with_fixtures(select="""
 SELECT 'sales' AS source, count(*) AS rows, 17 AS columns FROM sales_raw
 UNION ALL SELECT 'events', count(*), 14 FROM events_raw""")
+    numbers = {"sales": ("sale_id", "order_id", "customer_id", "quantity", "unit_price", "discount_rate", "gross", "discount", "net", "rating"),
+               "events": ("event_id", "order_id", "stage_hours", "ship_cost")}
+    for t, cols in (("sales", SALES_COLS), ("events", [c for c, _ in RAW_TYPES["events"]])):  # two loads of the same rows, all errors held
+        q[f"profile_loads_{t}"] = with_fixtures(select=_union([
+            f"SELECT '{c}' AS column, 2 * count(*) AS rows, 2 * (count(*) - count({c})) AS nulls, true AS distinct_ok, "
+            f"{'true' if c in numbers[t] else 'CAST(NULL AS BOOLEAN)'} AS quantiles_ok FROM {t}_raw" for c in cols]))
     q["extraction_columns"] = with_fixtures(select=_union([f"SELECT '{t}' AS source, {at} AS position, '{c}' AS column, count({c}) AS filled FROM {t}_raw" for t, cols in (
         ("sales", SALES_COLS), ("events", [c for c, _ in RAW_TYPES["events"]])) for at, c in enumerate(cols, 1)]))
     ev_cols = [c for c, _ in RAW_TYPES["events"]]

@@ -438,7 +438,16 @@ def ag_queries() -> dict[str, QueryFn]:
             res = one if res is None else res.unionByName(one)
         return res
 
+    def profile_loads(source):
+        """The profile of all loads from their stored sketches, held against the loads themselves."""
+        def query(spark, d):
+            from orderlake.operators import sketches as K
+            lake = scenario_lake(spark, d)
+            return K.within_errors(A.read_loads(spark, lake.bronze, source).drop("load_id"), K.profile_loads(spark, lake.bronze, source))
+        return query
+
     return {
+        "profile_loads_sales": profile_loads("sales"), "profile_loads_events": profile_loads("events"),
         "pipeline_run": pipeline_run, "lineage_stamp": lineage, "run_ledger": run_ledger,
         "reprocess_load": reprocess_load, "run_history": run_history, "bronze_land": bronze_land,
         "bronze_read_load": bronze_read_load, "bronze_list_loads": bronze_list_loads,
