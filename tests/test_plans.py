@@ -32,13 +32,14 @@ def test_order_summary_is_one_exchange_on_order(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) <= 2  # distinct-state count adds one
 
 
-def test_load_read_prunes_partitions(spark):
+def test_load_read_opens_the_committed_generation_alone(spark):
     from orderlake import registry as R
     from orderlake.sources import bronze as A
     lake = R.scenario_lake(spark, SF_SMALL)
     df = A.read_load(spark, lake.bronze, "events", R.LOAD_FIRST)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load_id" in plan
+    folder = A.load_folder(spark, lake.bronze, "events", R.LOAD_FIRST)
+    assert f"load_id={R.LOAD_FIRST}/generation=" in folder
+    assert df.inputFiles() and all(folder in f for f in df.inputFiles())
 
 
 def test_filters_and_columns_reach_the_scan(spark):
