@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import shingles
@@ -257,6 +257,25 @@ def _round(docs: DataFrame, members: DataFrame, across: bool, name: str) -> Data
     return land(arrow(_verify, _grouped(kept.join(texts, "doc_id")), "a long, b long"), f"links_{name}")
 
 
+def _blocks(n_rows: Column, n_shingles: Column) -> Column:
+    return F.greatest(F.ceil(n_rows / BLOCK_ROWS), F.ceil(n_shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _opposed(members: DataFrame) -> DataFrame:
+    """Members of bands that hold several components, once for each group (band, i, j) of two blocks in which they
+    meet other components: members outside a band's largest component have blocks of their own and meet
+    all blocks; a member of the largest component meets the blocks of the others alone."""
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    bands = sizes.groupBy("band").agg(F.max(F.struct("n", "s", "component")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    n, s, top_n, top_s = F.col("n"), F.col("s"), F.col("top.n"), F.col("top.s")
+    mixed = bands.filter(top_n < n).select("band", F.col("top.component").alias("largest"), _blocks(top_n, top_s).alias("n_own"), _blocks(n - top_n, s - top_s).alias("n_others"))
+    own, others, inside = F.col("n_own"), F.col("n_others"), F.col("component") == F.col("largest")
+    place = F.pmod(F.xxhash64("band", "doc_id"), F.when(inside, own).otherwise(others)).cast("int")
+    last = F.when(inside, others).otherwise(others + own) - 1
+    placed = members.join(land(mixed, "mixed"), "band").select("band", "band_no", "doc_id", "component", F.when(inside, others + place).otherwise(place).alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    return placed.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of docs(doc_id, text, ...)."""
     sig = land(signatures(docs), "signatures")
@@ -267,21 +286,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("registers", k * (2 * ROWS) + 1, F.lit(2 * ROWS))))
     banded = reps.select("doc_id", "n_shingles", F.posexplode(bands).alias("band_no", "band"))
-    blocks = F.greatest(F.ceil(F.col("n_rows") / BLOCK_ROWS), F.ceil(F.col("n_all") / BLOCK_SHINGLES)).cast("int")
+    blocks = _blocks(F.col("n_rows"), F.col("n_all"))
     shared = land(banded.groupBy("band").agg(F.count("*").alias("n_rows"), F.sum("n_shingles").alias("n_all")).filter("n_rows > 1").select("band", blocks.alias("blocks")), "bands")
     block = F.pmod(F.xxhash64("band", "doc_id"), F.col("blocks")).cast("int")
-    members = land(banded.join(shared, "band").select("band", "band_no", "doc_id", "blocks", block.alias("block")), "members")
+    members = land(banded.join(shared, "band").select("band", "band_no", "doc_id", "n_shingles", block.alias("block")), "members")
 
-    within = members.join(reps, "doc_id").select("*", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).cast("long").alias("component"))
+    within = members.drop("n_shingles").join(reps, "doc_id").select("*", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).cast("long").alias("component"))
     first = _round(docs, within, False, "within")
     found = land(provisional_components(first, PROVISIONAL_ROUNDS), "components")
 
     joined = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     joined = land(joined, "member_components")
-    mixed = land(joined.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band"), "mixed")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    between = joined.join(mixed, "band").withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    second = _round(docs, between.join(reps, "doc_id"), True, "across")
+    second = _round(docs, _opposed(joined).join(reps, "doc_id"), True, "across")
 
     repeated = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id")
     same = rows.join(repeated, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -115,3 +115,27 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(30)} | {300: 300, 301: 300}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_stray_in_a_large_band_meets_each_member_once(spark):
+    """Members of a band's largest component aren't set against each other again."""
+    n = 20_000
+    rows = spark.range(n + 1).selectExpr("7L band", "3 band_no", "id doc_id", "100L n_shingles", f"if(id = {n}, {n}L, 0L) component")
+    met = near_dup._opposed(rows)
+    blocks = -(-n // near_dup.BLOCK_ROWS)
+    assert met.count() == n + 1 + blocks
+    assert met.groupBy("i", "j").count().agg({"count": "max"}).first()[0] < 2 * near_dup.BLOCK_ROWS
+    sides = met.selectExpr("i", "j", "doc_id", f"doc_id = {n} stray")
+    together = sides.filter("stray").alias("s").join(sides.filter("not stray").alias("o"), ["i", "j"]).selectExpr("o.doc_id")
+    assert together.count() == together.distinct().count() == n
+
+
+def test_all_pairs_of_different_components_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 4)
+    rows = [(band, 0, d, 50, c) for band, parts in ((1, [9, 5, 5, 1]), (2, [3]), (3, [1, 1, 1, 1, 1, 1]), (4, [30, 1])) for d, c in enumerate([c for c, k in enumerate(parts) for _ in range(k)])]
+    met = defaultdict(list)
+    for r in near_dup._opposed(spark.createDataFrame(rows, "band long, band_no int, doc_id long, n_shingles long, component long")).collect():
+        met[r.band, r.i, r.j].append((r.doc_id, r.component, r.block))
+    pairs = [(band, *sorted((a[0], b[0]))) for (band, i, j), of in met.items() for k, a in enumerate(of) for b in of[:k] if a[1] != b[1] and (a[2] != b[2] or i == j)]
+    want = {(x[0], *sorted((x[2], y[2]))) for x in rows for y in rows if x[0] == y[0] and x[4] != y[4]}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
