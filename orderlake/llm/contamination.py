@@ -6,14 +6,17 @@ or all its words if it has fewer. The automaton's alphabet are the items' words,
 so a document is scanned once, word by word, and a hit is a range of words,
 which is mapped back to characters of the original text.
 
-The items are sent to the tasks in parts of bounded size, one automaton each;
-usually there is one part. With more, the parts follow one another over the same
-rows, and hits add up.
+The items' words, each item once and long ones in overlapping pieces, are sent
+to the tasks in parts of bounded size, one automaton each; usually there is one
+part. With more, the parts follow one another over the same rows, and hits add
+up; after some parts the rows are written and their broadcasts freed, so the
+driver and a worker hold a bounded number of parts however many items there are.
 
 Defined cases: null or empty texts have no words; items without words have no
 windows; an item_id that repeats is one item, a null one is a hit without an
 item; a window that several items share counts for each. Every row of docs gives
-one row, repeated ones as well; an empty table gives none.
+one row, repeated ones as well; an empty table gives none. Columns of docs keep
+their names and values, also those named _hit or _items.
 """
 
 from __future__ import annotations
@@ -29,11 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import arrow
+from orderlake.llm.common import arrow, land, lower_ascii
 
 WINDOW = 10
 #: Characters of items per automaton, and so per broadcast.
 PART_CHARS = 1_000_000
+#: Automata that one pass over the rows holds; what they found is written before the next pass.
+PARTS_AT_ONCE = 4
+#: Words of a piece of a long item.
+PIECE_WORDS = 10_000
 
 _NORMAL = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" or c >= 0x80 else ord(chr(c).lower()) if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else 0x20 for c in range(256))
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -92,26 +99,37 @@ def _scanner(sent, width: int) -> Scanner:
     return _scanners[name, width]
 
 
-def _parts(benchmark: DataFrame, part_chars: int) -> list:
-    """The items, as broadcasts of about part_chars characters each."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+def _cut(benchmark: DataFrame, width: int) -> DataFrame:
+    """(item_id, text): the distinct items as words with blanks between. Long items are cut into pieces
+    that overlap so far that each window stands whole in one of them."""
+    words = F.regexp_extract_all(lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
+    items = benchmark.select(F.col("item_id").cast("long"), words.alias("words")).filter(F.size("words") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - width + 1), F.lit(PIECE_WORDS))
+    pieces = items.select("item_id", "words", F.explode(starts).alias("at"))
+    return pieces.select("item_id", F.array_join(F.slice("words", F.col("at"), F.lit(PIECE_WORDS + width - 1)), " ").alias("text")).distinct()
+
+
+def _parts(benchmark: DataFrame, width: int, part_chars: int) -> tuple[DataFrame, int]:
+    """The items with their part, of about part_chars characters each, and the number of parts."""
+    items = land(_cut(benchmark, width), "items")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     n_parts = max(1, -(-size // part_chars))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts))
-    sent = []
-    for k in range(n_parts):
-        rows = [(r["item_id"], r["text"]) for r in items.filter(part == k).collect()]
-        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        sent.append(spark.sparkContext.broadcast((hashlib.md5(repr(rows).encode("utf-8", "surrogatepass")).hexdigest(), rows)))
-    return sent
+    return land(items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)).cast("int")), "parts"), n_parts
+
 
+def _sent(items: DataFrame, part: int):
+    """One part as a broadcast."""
+    rows = [(r["item_id"], r["text"]) for r in items.filter(F.col("part") == part).collect()]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    name = hashlib.md5(repr(rows).encode("utf-8", "surrogatepass")).hexdigest()
+    return items.sparkSession.sparkContext.broadcast((name, rows))
 
-def _scan(batches: Iterator[pa.RecordBatch], sent, width: int) -> Iterator[pa.RecordBatch]:
-    """Add one part's hits to rows of (text, ..., _hit, _items)."""
+
+def _scan(batches: Iterator[pa.RecordBatch], sent, width: int, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+    """Add one part's hits to the two last columns, named names: packed hits and items."""
     scanner = _scanner(sent, width)
     for batch in batches:
-        hits, item_lists = batch.column("_hit").to_pylist(), batch.column("_items").to_pylist()
+        hits, item_lists = (batch.column(c).to_pylist() for c in names)
         for i, text in enumerate(batch.column("text")):
             words = words_of(text.as_py())
             hit, items = scanner.scan(words)
@@ -120,16 +138,35 @@ def _scan(batches: Iterator[pa.RecordBatch], sent, width: int) -> Iterator[pa.Re
                     hit |= np.unpackbits(np.frombuffer(hits[i], np.uint8), count=len(words)).astype(bool)
                 hits[i] = np.packbits(hit).tobytes()
                 item_lists[i] = sorted(set(item_lists[i]) | items, key=lambda x: (x is None, x or 0))
-        kept = [c for c in batch.schema.names if c not in ("_hit", "_items")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(hits, pa.binary()), pa.array(item_lists, pa.list_(pa.int64()))], [*kept, "_hit", "_items"])
+        kept = [c for c in batch.schema.names if c not in names]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(hits, pa.binary()), pa.array(item_lists, pa.list_(pa.int64()))], [*kept, *names])
+
+
+def _free_names(docs: DataFrame) -> tuple[str, str]:
+    """Names of two columns that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    mark = "_"
+    while {f"{mark}hit", f"{mark}items"} & taken:
+        mark += "_"
+    return f"{mark}hit", f"{mark}items"
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, part_chars: int) -> DataFrame:
-    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("_hit", F.lit(None).cast("binary")).withColumn("_items", F.array().cast("array<bigint>"))
+def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, part_chars: int) -> tuple[DataFrame, tuple[str, str]]:
+    """docs with its hits and items, and the names of these two columns."""
+    names = _free_names(docs)
+    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn(names[0], F.lit(None).cast("binary")).withColumn(names[1], F.array().cast("array<bigint>"))
     schema = rows.schema
-    for sent in _parts(benchmark, part_chars):
-        rows = arrow(partial(_scan, sent=sent, width=width), rows, schema)
-    return rows
+    items, n_parts = _parts(benchmark, width, part_chars)
+    held: list = []
+    for part in range(n_parts):
+        if len(held) == PARTS_AT_ONCE:
+            rows = land(rows, "scanned")
+            for sent in held:
+                sent.destroy()
+            held = []
+        held.append(_sent(items, part))
+        rows = arrow(partial(_scan, sent=held[-1], width=width, names=names), rows, schema)
+    return rows, names
 
 
 def hit_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
@@ -154,14 +191,14 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, part_chars: int = PART_CHARS) -> DataFrame:
     """Per row of docs(doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated and the hit character spans."""
-    rows = _scanned(docs.select(F.col("doc_id").cast("long"), "text"), benchmark, width, part_chars)
+    rows, _ = _scanned(docs.select(F.col("doc_id").cast("long"), "text"), benchmark, width, part_chars)
     return arrow(_report, rows, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start: long, end: long>>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, part_chars: int = PART_CHARS) -> DataFrame:
     """The rows of docs without a hit, with all their columns."""
-    rows = _scanned(docs, benchmark, width, part_chars)
-    return rows.filter("_hit is null").select(*docs.columns)
+    rows, (hit, _) = _scanned(docs, benchmark, width, part_chars)
+    return rows.filter(F.col(hit).isNull()).select(*docs.columns)
 
 
 ORACLE = f"""

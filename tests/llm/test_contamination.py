@@ -89,3 +89,33 @@ def test_empty_tables(spark):
     docs, items = frames(spark)
     assert contamination.contamination(docs.limit(0), items).collect() == []
     assert not any(r.contaminated for r in contamination.contamination(docs, items.limit(0)).collect())
+
+
+def test_clashing_names_keep_their_values(spark):
+    docs = spark.createDataFrame([(d, t, 7, "q", 8) for d, t in DOCS], "doc_id long, text string, _hit int, _ITEMS string, __hit int")
+    kept = contamination.decontaminate(docs, frames(spark)[1])
+    assert kept.columns == docs.columns
+    assert {(r["_hit"], r["_ITEMS"], r["__hit"]) for r in kept.collect()} == {(7, "q", 8)} and kept.count() == 5
+
+
+def test_long_items_are_cut_without_losing_a_window(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "PIECE_WORDS", 7)
+    long_item = " ".join(f"w{k}" for k in range(100))
+    items = [(1, long_item), (1, long_item.upper()), (2, "w1 w2"), (3, " ".join(f"w{k}" for k in range(12)))]
+    docs = [(k, " ".join(f"w{j}" for j in range(k, k + 10))) for k in range(91)] + [(99, " ".join(f"w{k}" for k in range(5, 14))), (100, long_item + " end")]
+    cut = contamination._cut(frames(spark, docs, items)[1], 10)
+    assert cut.filter("item_id = 1").count() == 13  # the repeated item once
+    assert max(len(r.text.split()) for r in cut.collect()) == 16
+    got = contamination.contamination(*frames(spark, docs, items), part_chars=60).drop("spans").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute_force(docs, items)
+
+
+def test_broadcasts_of_earlier_passes_are_freed(spark, monkeypatch):
+    made = []
+    plain = contamination._sent
+    monkeypatch.setattr(contamination, "_sent", lambda items, part: made.append(plain(items, part)) or made[-1])
+    docs, items = frames(spark)
+    rows, _ = contamination._scanned(docs, items, 10, 20)
+    freed = [not s._jbroadcast.isValid() for s in made]
+    assert len(made) > contamination.PARTS_AT_ONCE and sum(freed) >= len(made) - contamination.PARTS_AT_ONCE
+    assert rows.count() == len(DOCS)
