@@ -43,6 +43,7 @@ BEAM, AUDITED = 48, 64
 ROWS_AT_ONCE = 512
 
 _KEYS = ["label", "dim", "shard"]
+_PAIR = ["label", "dim", "shard_a", "shard_b"]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -63,10 +64,10 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Shard:
-    def __init__(self, row: dict, side: str) -> None:
-        self.ids, self.weights = (np.frombuffer(row[f"{c}_{side}"], np.int64) for c in ("ids", "weights"))
-        self.unit = np.frombuffer(row[f"vectors_{side}"], np.float64).reshape(len(self.ids), -1)
-        self.graph = Graph.load(self.unit, *pickle.loads(row[f"graph_{side}"]))
+    def __init__(self, row: dict) -> None:
+        self.ids, self.weights = (np.frombuffer(row[c], np.int64) for c in ("ids", "weights"))
+        self.unit = np.frombuffer(row["vectors"], np.float64).reshape(len(self.ids), -1)
+        self.graph = Graph.load(self.unit, *pickle.loads(row["graph"]))
 
 
 def _exact(queries: np.ndarray, shard: _Shard) -> np.ndarray:
@@ -115,23 +116,33 @@ def _spanning(found: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> set[t
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
-            same = row["shard_a"] == row["shard_b"]
-            a = _Shard(row, "a")
-            b = a if same else _Shard(row, "b")
-            found = _links(a.unit, b, same)
-            found |= found.T.copy() if same else _links(b.unit, a, False).T
-            found &= a.ids[:, None] != b.ids[None, :]
-            counts = [(i, n) for i, n in zip(a.ids.tolist(), (found @ b.weights).tolist()) if n]
-            if not same:
-                counts += [(i, n) for i, n in zip(b.ids.tolist(), (a.weights @ found).tolist()) if n]
-            edges = sorted(_spanning(found, a.ids, b.ids))
-            a_ids = [i for i, _ in counts] + [i for i, _ in edges]
-            b_ids = [None] * len(counts) + [j for _, j in edges]
-            n_links = [n for _, n in counts] + [0] * len(edges)
-            yield pa.RecordBatch.from_arrays([pa.array(a_ids, pa.int64()), pa.array(b_ids, pa.int64()), pa.array(n_links, pa.int64()), pa.array([row["label"]] * len(a_ids), pa.string())], ["a", "b", "n_links", "label"])
+    for table in runs(batches, _PAIR, most_rows=1):
+        rows = table.to_pylist()
+        same = rows[0]["shard_a"] == rows[0]["shard_b"]
+        if not same and len(rows) < 2:  # the other shard got no vector
+            continue
+        a, label = _Shard(rows[0]), rows[0]["label"]
+        b = a if same else _Shard(rows[1])
+        found = _links(a.unit, b, same)
+        found |= found.T.copy() if same else _links(b.unit, a, False).T
+        found &= a.ids[:, None] != b.ids[None, :]
+        counts = [(i, n) for i, n in zip(a.ids.tolist(), (found @ b.weights).tolist()) if n]
+        if not same:
+            counts += [(i, n) for i, n in zip(b.ids.tolist(), (a.weights @ found).tolist()) if n]
+        edges = sorted(_spanning(found, a.ids, b.ids))
+        a_ids = [i for i, _ in counts] + [i for i, _ in edges]
+        b_ids = [None] * len(counts) + [j for _, j in edges]
+        n_links = [n for _, n in counts] + [0] * len(edges)
+        yield pa.RecordBatch.from_arrays([pa.array(a_ids, pa.int64()), pa.array(b_ids, pa.int64()), pa.array(n_links, pa.int64()), pa.array([label] * len(a_ids), pa.string())], ["a", "b", "n_links", "label"])
+
+
+def _paired(shards: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Each shard once for every shard of its label: the two rows of a pair meet by the pair's key, so
+    a label's shards are spread over as many tasks as it has pairs. A shard meets itself in one row."""
+    other = F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)).alias("other")
+    met = shards.join(sizes, ["label", "dim"]).select(*shards.columns, other)
+    met = met.withColumn("shard_a", F.least("shard", "other")).withColumn("shard_b", F.greatest("shard", "other")).drop("other")
+    return met.repartition(*_PAIR).sortWithinPartitions(*_PAIR, "shard")
 
 
 def vector_duplicates(vectors: DataFrame) -> DataFrame:
@@ -153,11 +164,7 @@ def vector_duplicates(vectors: DataFrame) -> DataFrame:
     dealt = dealt.select(*_KEYS, "rep", "weight", "embedding").repartition(*_KEYS).sortWithinPartitions(*_KEYS, "rep")
     shards = land(arrow(_build, dealt, "label string, dim int, shard int, ids binary, weights binary, vectors binary, graph binary"), "graphs")
 
-    parts = ["shard", "ids", "weights", "vectors", "graph"]
-    left = shards.select("label", "dim", *[F.col(c).alias(f"{c}_a") for c in parts])
-    right = shards.select("label", "dim", *[F.col(c).alias(f"{c}_b") for c in parts])
-    pairs = left.join(right, ["label", "dim"]).filter("shard_a <= shard_b").repartition("label", "dim", "shard_a", "shard_b")
-    found = land(arrow(_search, pairs, "a long, b long, n_links long, label string"), "found")
+    found = land(arrow(_search, _paired(shards, sizes), "a long, b long, n_links long, label string"), "found")
 
     counts = land(found.filter("b is null").groupBy(F.col("label").alias("l"), F.col("a").alias("r")).agg(F.sum("n_links").alias("n")), "counts")
     by_class = good.join(classes, ["label", "dim", "embedding"]).select("vec_id", "label", "rep", "weight")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlake.llm import vector_dup
 from orderlake.llm.small_world import Graph
@@ -94,3 +95,23 @@ def test_edge_cases(spark):
 def test_clashing_columns(spark):
     frame = spark.createDataFrame([(1, [1.0], 1, 5, 6), (2, [2.0], 1, 5, 6)], SCHEMA + ", rep int, n_links int")
     assert sorted(map(tuple, vector_dup.vector_duplicates(frame).collect())) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
+def test_shards_of_one_label_are_spread_by_pair(spark):
+    """A label that holds all vectors is no hot key: its 40 shards meet in 820 pairs, each of one or two rows."""
+    shards = spark.range(40).selectExpr("'x' label", "8 dim", "int(id) shard", "binary('v') vectors")
+    pairs = vector_dup._paired(shards, spark.createDataFrame([("x", 8, 40), ("y", 8, 3)], "label string, dim int, n_shards int"))
+    by_pair = {(r.shard_a, r.shard_b): r["count"] for r in pairs.groupBy("label", "dim", "shard_a", "shard_b").count().collect()}
+    assert by_pair == {(a, b): 1 if a == b else 2 for a in range(40) for b in range(a, 40)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # small tables are put into one task otherwise
+    try:
+        tasks = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(tasks) == 1600 and max(tasks) < 800
+
+
+def test_shards_that_got_no_vector(spark, monkeypatch):
+    monkeypatch.setattr(vector_dup, "SHARD_ROWS", 1)  # some of the shard numbers stay without a vector
+    rows = clusters(40)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found(spark, rows)} == brute_force(rows)
