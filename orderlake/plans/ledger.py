@@ -1,7 +1,7 @@
 """Run ledger: append-only Parquet tables describing every run.
 
 ``run`` (one row per run, written when the run ends), ``run_source`` (landed
-sources with rows, columns and content fingerprint), ``run_table`` (every
+sources with rows, columns, content fingerprint, kind and origin), ``run_table`` (every
 written table with rows x columns), ``run_rule`` (every gate rule with its
 detail) and ``run_input`` (the loads that an incremental run publishes). Rows of a
 run that has not ended are not visible.
@@ -27,7 +27,7 @@ from orderlake.sources.landing import create_whole, names_in, path_exists, read_
 SCHEMAS = {
     "run": "run_id string, load_id string, origin string, started_at timestamp, finished_at timestamp, "
            "status string, error string",
-    "run_source": "run_id string, source string, load_id string, rows bigint, columns int, fingerprint string",
+    "run_source": "run_id string, source string, load_id string, rows bigint, columns int, fingerprint string, kind string, origin string",
     "run_table": "run_id string, layer string, table string, rows bigint, columns int",
     "run_rule": "run_id string, layer string, rule_id string, rule string, violations bigint, passed boolean, detail string",
     "run_input": "run_id string, source string, load_id string",

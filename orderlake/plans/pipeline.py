@@ -236,7 +236,7 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame],
         facts = A.land_load(spark, lake.bronze, sources, load_id, overwrite)
         times.tick("land", t0)
         L.append(spark, lake.ledger, "run_source",
-                 [(run_id, f["source"], load_id, f["rows"], f["columns"], f["fingerprint"]) for f in facts])
+                 [(run_id, f["source"], load_id, f["rows"], f["columns"], f["fingerprint"], f["kind"], f["origin"]) for f in facts])
         return transform(spark, lake, load_id, contract, coverage, run_id, {f["source"]: f["rows"] for f in facts}, times)
     result = tracked(spark, lake, run_id, load_id, "etl", work)
     retain(spark, lake, contract.max_loads)
@@ -275,14 +275,19 @@ def recover(spark: SparkSession, lake: Lake, before: dt.datetime | None = None)
 def reprocess(spark: SparkSession, lake: Lake, contract: Contract, coverage: DataFrame | None = None,
               load_id: str | None = None) -> RunResult:
     """Rebuild Silver/Gold from a landed load (default: newest); sources are
-    not contacted. Unknown loads raise listing the available ones."""
+    not contacted. Unknown loads raise listing the available ones. A load whose files were changed since its landing
+    is refused (``ChangedLoadError``), recorded as FAILED, and the publication stays; one that a
+    stream landed has no recorded fingerprint and is taken as it is."""
     ids = A.list_load_ids(spark, lake.bronze, "sales")
     lid = load_id or (ids[-1] if ids else None)
     if lid is None or lid not in ids:
         raise A.UnknownLoadError(f"unknown load {lid}; available: {', '.join(ids)}")
     run_id = f"{lid}-r{uuid.uuid4().hex[:8]}"
-    return tracked(spark, lake, run_id, lid, "reprocess",
-                   lambda: transform(spark, lake, lid, contract, coverage, run_id, _landed_rows(spark, lake, lid)))
+
+    def work() -> RunResult:
+        A.verify_load(spark, lake.bronze, lid)
+        return transform(spark, lake, lid, contract, coverage, run_id, _landed_rows(spark, lake, lid))
+    return tracked(spark, lake, run_id, lid, "reprocess", work)
 
 
 def _landed_rows(spark: SparkSession, lake: Lake, load_id: str) -> dict[str, int]:

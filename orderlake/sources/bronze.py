@@ -11,6 +11,8 @@ a table twice.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -154,18 +156,19 @@ def land_load(spark: SparkSession, bronze_root: str, sources: dict[str, DataFram
     generation = uuid.uuid4().hex
 
     def land_one(name: str, df: DataFrame) -> dict:
+        kind, origin = origin_of(df)
         df = conform_to_existing(spark, df, bronze_root, name)
         obs = Observation()
         content = content_columns(df)
         df.observe(obs, *content_fingerprint_expr(content)).write.parquet(_folder(bronze_root, name, load_id, generation))
         return {"source": name, "load_id": load_id, "rows": int(obs.get["rows"]),
-                "columns": len(content), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}"}
+                "columns": len(content), "fingerprint": f"{obs.get['rows']}:{obs.get['hash_sum']}", "kind": kind, "origin": origin}
 
     # the sources are independent: land them as concurrent jobs
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         futures = [pool.submit(land_one, name, df) for name, df in sources.items()]
         facts = [f.result() for f in futures]
-    commit_load(spark, bronze_root, load_id, generation, overwrite)
+    commit_load(spark, bronze_root, load_id, generation, overwrite, {f["source"]: f["fingerprint"] for f in facts})
     return facts
 
 
@@ -187,17 +190,24 @@ def _manifest(bronze_root: str, load_id: str, number: int) -> str:
     return f"{bronze_root}/_committed/{load_id}.{number:06d}"
 
 
-def commit_load(spark: SparkSession, bronze_root: str, load_id: str, generation: str, overwrite: bool = False) -> None:
-    """Make a generation of a load visible: all of its sources have landed. Of the earlier generations
+def _committed(spark: SparkSession, bronze_root: str, load_id: str, number: int) -> tuple[str, dict[str, str]]:
+    """Generation and fingerprints that a manifest names."""
+    generation, fingerprints = json.loads(read_small(spark, _manifest(bronze_root, load_id, number)))
+    return generation, fingerprints
+
+
+def commit_load(spark: SparkSession, bronze_root: str, load_id: str, generation: str, overwrite: bool = False,
+                fingerprints: dict[str, str] | None = None) -> None:
+    """Make a generation of a load visible, with the fingerprints of its sources: all of them have landed. Of the earlier generations
     the last stays for readers that have begun, older ones are deleted."""
     while True:
         numbers = _manifests(spark, bronze_root).get(load_id, [])
         if numbers and not overwrite:
             raise LoadExistsError(f"load {load_id} already exists")
-        if create_whole(spark, _manifest(bronze_root, load_id, (numbers or [0])[-1] + 1), generation):
+        if create_whole(spark, _manifest(bronze_root, load_id, (numbers or [0])[-1] + 1), json.dumps([generation, fingerprints or {}])):
             break
     for number in numbers[:-1]:
-        old = read_small(spark, _manifest(bronze_root, load_id, number))
+        old = _committed(spark, bronze_root, load_id, number)[0]
         for source in names_in(spark, bronze_root):
             remove_path(spark, _folder(bronze_root, source, load_id, old))
         remove_path(spark, _manifest(bronze_root, load_id, number))
@@ -212,7 +222,7 @@ def load_folder(spark: SparkSession, bronze_root: str, source: str, load_id: str
     numbers = _manifests(spark, bronze_root).get(load_id)
     if not numbers:
         return None
-    folder = _folder(bronze_root, source, load_id, read_small(spark, _manifest(bronze_root, load_id, numbers[-1])))
+    folder = _folder(bronze_root, source, load_id, _committed(spark, bronze_root, load_id, numbers[-1])[0])
     return folder if path_exists(spark, folder) else None
 
 
@@ -230,6 +240,37 @@ def conform_to_existing(spark: SparkSession, df: DataFrame, bronze_root: str, so
                        for c in df.columns])
 
 
+class ChangedLoadError(ValueError):
+    """The landed files no longer hold what was landed."""
+
+
+def origin_of(df: DataFrame) -> tuple[str, str]:
+    """A10: kind and origin of a source: ``files`` and the folder that holds them (of several folders the deepest
+    that holds all), or ``query`` and no origin for rows that are not read from files. Reads the plan alone."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    if not folders:
+        return "query", ""
+    first, last = (f.split("/") for f in (min(folders), max(folders)))
+    same = [a for a, b in itertools.takewhile(lambda pair: pair[0] == pair[1], zip(first, last))]
+    return "files", "/".join(same)
+
+
+def verify_load(spark: SparkSession, bronze_root: str, load_id: str) -> list[str]:
+    """Read a landed load again and compare each source with the fingerprint of its landing, which the load's
+    manifest holds: one aggregate a source. Raises ``ChangedLoadError`` where rows were added, lost or changed since.
+    Returns the sources compared (a load that a stream landed has no fingerprints)."""
+    numbers = _manifests(spark, bronze_root).get(load_id)
+    if not numbers:
+        raise UnknownLoadError(f"unknown load {load_id}")
+    fingerprints = _committed(spark, bronze_root, load_id, numbers[-1])[1]
+    for source, landed in sorted(fingerprints.items()):
+        load = read_load(spark, bronze_root, source, load_id)
+        found = load.agg(*content_fingerprint_expr(content_columns(load))).first()
+        if f"{found['rows']}:{found['hash_sum']}" != landed:
+            raise ChangedLoadError(f"{source} of load {load_id} holds {found['rows']}:{found['hash_sum']}, landed was {landed}")
+    return sorted(fingerprints)
+
+
 def list_loads(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
     """Loads oldest -> newest (``load_id`` sorts as time: YYYYMMDD_HHMMSS), from the folder listing."""
     return spark.createDataFrame([(x,) for x in list_load_ids(spark, bronze_root, source)], "load_id string")

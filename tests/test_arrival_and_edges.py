@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
+from orderlake.functions import quantiles as exact
 from orderlake.functions.quantiles import group_quantiles, quantiles
 from orderlake.operators import checks as B
 from orderlake.operators import gold as G
@@ -78,6 +79,19 @@ def test_quantiles_are_exact(spark, values):
     assert np.allclose(got, np.quantile([v for v in values if v is not None], probs), rtol=1e-12)
 
 
+def test_only_values_near_the_ranks_are_ordered(spark, monkeypatch):
+    """Also with far outliers, which would put all other values into one bin of equal width."""
+    for name, to in (("ACCURACY", 500), ("MARGIN", 3 / 500), ("SMALL_GROUP", 2000)):
+        monkeypatch.setattr(exact, name, to)
+    values = [*np.random.default_rng(2).normal(size=20_000).round(3).tolist(), 1e300, -1e300, *[0.5] * 3000]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", float(k)) for k in range(7)], "g string, x double").repartition(7)
+    probs = [0.0, 0.25, 0.5, 0.6, 0.99, 1.0]
+    got = {r["g"]: tuple(r)[1:] for r in group_quantiles(df, ["g"], F.col("x"), probs).collect()}
+    assert np.allclose(got["a"], np.quantile(values, probs), rtol=1e-12) and np.allclose(got["b"], np.quantile(range(7), probs), rtol=1e-12)
+    near, _ = exact._bracketed(df.where("g = 'a'").selectExpr("g _k0", "x _x"), ["_k0"], probs)
+    assert max(r["count"] for r in near.groupBy("_i").count().collect()) < 0.1 * len(set(values))
+
+
 def test_group_quantiles_keep_null_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 7.0), ("b", None)], "g string, x double")
     assert {r["g"]: r["q0"] for r in group_quantiles(df, ["g"], F.col("x"), [0.5]).collect()} == {"a": 1.5, None: 7.0}

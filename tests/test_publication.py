@@ -125,6 +125,50 @@ def test_a_reader_sees_the_old_or_the_new_load_while_it_is_landed_anew(spark, tm
     assert A.list_load_ids(spark, root, "sales") == [OLD]
 
 
+def _changed(spark, root, how):
+    """Write the landed files of OLD's sales anew with other rows."""
+    folder = A.load_folder(spark, root, "sales", OLD)
+    rows = spark.read.parquet(folder)
+    held = spark.createDataFrame(how(rows).collect(), rows.schema)
+    held.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def test_changed_files_of_a_load_are_told(spark, tmpdir_spark):
+    root = f"{tmpdir_spark}/bronze"
+    A.land_load(spark, root, {**_table(spark, 10), "empty": spark.range(0)}, OLD)
+    assert A.verify_load(spark, root, OLD) == ["empty", "events", "sales"]
+    with pytest.raises(A.UnknownLoadError):
+        A.verify_load(spark, root, NEW)
+    changes = [lambda d: d.limit(9), lambda d: d.unionByName(d.limit(1)), lambda d: d.withColumn(d.columns[0], F.lit(None).cast(d.schema[0].dataType))]
+    for how in changes:
+        A.land_load(spark, root, {**_table(spark, 10), "empty": spark.range(0)}, OLD, overwrite=True)
+        assert A.verify_load(spark, root, OLD) == ["empty", "events", "sales"]
+        _changed(spark, root, how)
+        with pytest.raises(A.ChangedLoadError, match="sales of load"):
+            A.verify_load(spark, root, OLD)
+
+
+def test_a_changed_load_is_not_reprocessed(spark, tmpdir_spark):
+    lake, cov = Lake(f"{tmpdir_spark}/lake"), FX.coverage(spark, SF_SMALL)
+    first = run_pipeline(spark, lake, _sources(spark), TOLERANT_CONTRACT, cov, load_id=OLD)
+    facts = {r["source"]: (r["kind"], r["origin"]) for r in L.read(spark, lake.ledger, "run_source").collect()}
+    assert set(facts) == {"sales", "events"} and all(kind in ("files", "query") and bool(origin) == (kind == "files") for kind, origin in facts.values())
+    _changed(spark, lake.bronze, lambda d: d.where(F.col(d.columns[0]) > d.agg(F.min(d.columns[0])).first()[0]))
+    with pytest.raises(A.ChangedLoadError):
+        reprocess(spark, lake, TOLERANT_CONTRACT, cov, load_id=OLD)
+    assert L.published_run(spark, lake.ledger)[0] == first.run_id
+    assert [r["status"] for r in L.read(spark, lake.ledger, "run").orderBy("started_at").collect()] == ["PUBLISHED", "FAILED"]
+
+
+def test_origin_is_the_folder_of_the_files(spark, tmpdir_spark):
+    for part in ("a", "b"):
+        spark.range(3).write.parquet(f"{tmpdir_spark}/x/{part}")
+    one, both = spark.read.parquet(f"{tmpdir_spark}/x/a"), spark.read.parquet(f"{tmpdir_spark}/x/a", f"{tmpdir_spark}/x/b")
+    assert A.origin_of(one.where("id > 1")) == ("files", f"file://{tmpdir_spark}/x/a")
+    assert A.origin_of(both) == ("files", f"file://{tmpdir_spark}/x")
+    assert A.origin_of(spark.range(3)) == ("query", "")
+
+
 def test_a_killed_build_is_built_again_whole(spark, tmpdir_spark):
     calls = []
 
