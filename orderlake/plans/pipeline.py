@@ -276,8 +276,7 @@ def reprocess(spark: SparkSession, lake: Lake, contract: Contract, coverage: Dat
               load_id: str | None = None) -> RunResult:
     """Rebuild Silver/Gold from a landed load (default: newest); sources are
     not contacted. Unknown loads raise listing the available ones. A load whose files were changed since its landing
-    is refused (``ChangedLoadError``), recorded as FAILED, and the publication stays; one that a
-    stream landed has no recorded fingerprint and is taken as it is."""
+    is refused (``ChangedLoadError``), recorded as FAILED, and the publication stays."""
     ids = A.list_load_ids(spark, lake.bronze, "sales")
     lid = load_id or (ids[-1] if ids else None)
     if lid is None or lid not in ids:

@@ -258,7 +258,7 @@ def origin_of(df: DataFrame) -> tuple[str, str]:
 def verify_load(spark: SparkSession, bronze_root: str, load_id: str) -> list[str]:
     """Read a landed load again and compare each source with the fingerprint of its landing, which the load's
     manifest holds: one aggregate a source. Raises ``ChangedLoadError`` where rows were added, lost or changed since.
-    Returns the sources compared (a load that a stream landed has no fingerprints)."""
+    Returns the sources compared."""
     numbers = _manifests(spark, bronze_root).get(load_id)
     if not numbers:
         raise UnknownLoadError(f"unknown load {load_id}")
