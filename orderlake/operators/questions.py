@@ -1,6 +1,6 @@
 """Business questions on the raw (uncleaned) sales and events.
 
-Every function is a lazy ``DataFrame`` transformation. Grand totals are
+Functions are lazy ``DataFrame`` transformations; those that rank write the ranges they number. Grand totals are
 scalar subqueries (``DataFrame.scalar()``): computed once, never joined and
 never funnelled through a single-partition window.
 """
@@ -11,10 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from orderlake.functions.quantiles import quantiles
+from orderlake.functions.ranking import numbered
 from orderlake.functions.semantics import (false_if_null, first_by, money_sum, round_half_even)
+from orderlake.sources.landing import scratch
 
 
 def order_first_values(events: DataFrame) -> DataFrame:
@@ -42,11 +43,17 @@ def city_category(sales: DataFrame, city: str) -> DataFrame:
     agg = (sales.where(F.col("city") == F.lit(city))
            .groupBy("category")
            .agg(F.sum("quantity").cast("bigint").alias("units"), money_sum("net").alias("net")))
-    w_u = Window.orderBy(F.desc("units"), "category")
-    w_n = Window.orderBy(F.desc("net"), "category")
-    # The groups are the category values of one city: a handful of rows.
-    return (agg.withColumn("units_rank", F.row_number().over(w_u))
-            .withColumn("net_rank", F.row_number().over(w_n)))
+    return ranked(agg, {"units_rank": "units", "net_rank": "net"}, "category")
+
+
+def ranked(groups: DataFrame, ranks: dict[str, str], name: str) -> DataFrame:
+    """``groups`` with, for each of ``ranks``, the rank by a column, the largest first and ties by ``name``.
+
+    Numbered in ranges (``functions.ranking``), so that no task needs all groups.
+    """
+    for rank, by in ranks.items():
+        groups = numbered(groups, [], [F.desc(by), F.col(name)], scratch, rank)
+    return groups
 
 
 def purchases_per_customer(sales: DataFrame) -> DataFrame:
@@ -217,9 +224,7 @@ def category_value_vs_transactions(sales: DataFrame) -> DataFrame:
     """category rank by net vs by number of transactions."""
     per = sales.groupBy("category").agg(money_sum("net").alias("net"),
                                         F.count(F.lit(1)).alias("transactions"))
-    return (per.withColumn("net_rank", F.row_number().over(Window.orderBy(F.desc("net"), "category")))
-            .withColumn("transactions_rank",
-                        F.row_number().over(Window.orderBy(F.desc("transactions"), "category"))))
+    return ranked(per, {"net_rank": "net", "transactions_rank": "transactions"}, "category")
 
 
 def net_skew(sales: DataFrame) -> DataFrame:

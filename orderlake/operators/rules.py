@@ -1,7 +1,7 @@
 """Quality gate: 21 Silver rules and 12 Gold rules.
 
-Each table is scanned by ONE aggregate holding all its ``count_if``-style
-violation counters; counters that need another table (coverage, orphans,
+The ``count_if``-style violation counters of a Silver table are observed while a
+run writes it, else it is scanned by ONE aggregate holding all of them; counters that need another table (coverage, orphans,
 reconciliation totals) are scalar subqueries, never cross joins. The one-row
 result is unpivoted to ``(layer, rule_id, rule, violations, passed)``. Only
 that 33-row table ever reaches the driver (the gate, E3).
@@ -63,20 +63,41 @@ def _is_ts(df: DataFrame, col: str) -> bool:
     return dict(df.dtypes).get(col, "").startswith("timestamp")
 
 
+def row_counters(table: str, contract: Contract, rows: Column | None = None) -> list[Column]:
+    """The counters of the rules that a Silver row breaks by itself (R3-R5, R11-R17) and ``_rows``.
+
+    Over the rows for which ``rows`` holds, all by default. They are plain partial aggregates, so they can be observed
+    while the table is written; ``silver_rules`` then need not scan it for them.
+    """
+    which = F.lit(True) if rows is None else rows
+
+    def count(*broken: Column) -> Column:
+        return functools.reduce(Column.__add__, [F.count_if(which & false_if_null(b)) for b in broken])
+    if table == "sales":
+        counted = {"r3": [F.col("sale_ts").isNull()],
+                   "r4": [F.col("rating").isNotNull() & ~false_if_null(F.col("rating").between(contract.rating_min, contract.rating_max))],
+                   "r5": [F.col(a) < 0 for a in ("unit_price", "gross", "discount", "net")]}
+    else:
+        transport = in_list("state", contract.transport_states)
+        counted = {"r11": [F.col("center").isNull()], "r12": [F.col("dest_city").isNull()], "r13": [F.col("promised_ts").isNull()],
+                   "r14": [transport & F.col("carrier").isNull()], "r15": [~transport & F.col("carrier").isNotNull()],
+                   "r16": [transport & F.col("tracking_no").isNull()], "r17": [~transport & F.col("tracking_no").isNotNull()]}
+    return [F.count_if(which).alias("_rows"), *[count(*broken).alias(rule) for rule, broken in counted.items()]]
+
+
 def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sales_rows: Column,
                  rejected_sales_rows: Column, raw_event_rows: Column, rejected_event_rows: Column,
-                 coverage: DataFrame | None = None) -> DataFrame:
-    """E1 + E4 (R1-R21) on the Silver tables."""
-    amounts = ("unit_price", "gross", "discount", "net")
-    neg = sum((F.count_if(false_if_null(F.col(a) < 0)) for a in amounts[1:]),
-              F.count_if(false_if_null(F.col(amounts[0]) < 0)))
-    s = sales.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(F.col("sale_ts").isNull()).alias("r3"),
-        F.count_if(F.col("rating").isNotNull() & ~false_if_null(
-            F.col("rating").between(contract.rating_min, contract.rating_max))).alias("r4"),
-        neg.alias("r5"))
-    s = s.withColumns({"r1": _repeats(sales, "sale_id"), "r2": _repeats(sales, "order_id"),
+                 coverage: DataFrame | None = None, seen: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """E1 + E4 (R1-R21) on the Silver tables.
+
+    ``seen`` has by table the values of ``row_counters`` that were observed while it was written; a table that
+    it lacks is scanned for them.
+    """
+    def counters(df: DataFrame, table: str) -> DataFrame:
+        if seen and table in seen:
+            return df.sparkSession.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in seen[table].items()])
+        return df.agg(*row_counters(table, contract))
+    s = counters(sales, "sales").withColumns({"r1": _repeats(sales, "sale_id"), "r2": _repeats(sales, "order_id"),
                        "r6": _out_of_coverage(sales, "city", contract, coverage)})
     ts_ok = _is_ts(sales, "sale_ts")
     sales_specs = [
@@ -87,7 +108,6 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
         ("R5", "amounts not negative", "r5", _within("r5", "R5", F.col("_rows"), contract)),
         ("R6", "cities inside coverage", "r6", _within("r6", "R6", F.col("_rows"), contract)),
     ]
-    transport = in_list("state", contract.transport_states)
     cols = events.columns
     # identical rows have the same event_id, so only rows of repeated ids are compared as a whole
     ident = _repeats(rows_of_repeated(events, "event_id"), *cols)
@@ -95,16 +115,7 @@ def silver_rules(sales: DataFrame, events: DataFrame, contract: Contract, raw_sa
                .agg(F.count(F.lit(1))).scalar())
     residual = sum(1 for c in cols if c.lower().startswith("unnamed"))
     dates_ok = _is_ts(events, "event_ts") and _is_ts(events, "promised_ts")
-    e = events.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(F.col("center").isNull()).alias("r11"),
-        F.count_if(F.col("dest_city").isNull()).alias("r12"),
-        F.count_if(F.col("promised_ts").isNull()).alias("r13"),
-        F.count_if(transport & F.col("carrier").isNull()).alias("r14"),
-        F.count_if(~transport & F.col("carrier").isNotNull()).alias("r15"),
-        F.count_if(transport & F.col("tracking_no").isNull()).alias("r16"),
-        F.count_if(~transport & F.col("tracking_no").isNotNull()).alias("r17"))
-    e = e.withColumns({"r7": _repeats(events, "event_id"), "r8": ident, "r9": F.lit(residual), "r10": F.lit(0 if dates_ok else 1),
+    e = counters(events, "events").withColumns({"r7": _repeats(events, "event_id"), "r8": ident, "r9": F.lit(residual), "r10": F.lit(0 if dates_ok else 1),
                        "r18": _out_of_coverage(events, "dest_city", contract, coverage), "r19": orphans,
                        "r20": rejected_sales_rows, "r20_den": raw_sales_rows,
                        "r21": rejected_event_rows, "r21_den": raw_event_rows})

@@ -103,16 +103,18 @@ def _write(spark, df: DataFrame, path: str, run_id: str, load_id: str, facts: di
 
 
 def _write_checked(spark, flagged: DataFrame, path: str, run_id: str, load_id: str, facts: dict, table: str,
-                   columns: list[str], times: Timings) -> None:
-    """Write flagged rows once, by outcome, counting both outcomes on the way."""
+                   columns: list[str], times: Timings, contract: Contract) -> dict[str, int]:
+    """Write flagged rows once, by outcome. On the way the rejected rows are counted, and the clean ones with the rules
+    that they break by themselves (``rules.row_counters``), which are returned."""
     t0 = time.time()
     rejected = F.col("reject_reason") != ""
     obs = Observation()
-    seen = _stamp(flagged, run_id, load_id).observe(obs, F.count_if(~rejected).alias("clean"), F.count_if(rejected).alias("rejected"))
-    seen.withColumn("outcome", F.when(rejected, "rejected").otherwise("clean")).write.mode("overwrite").partitionBy("outcome").parquet(path)
+    observed = _stamp(flagged, run_id, load_id).observe(obs, *E.row_counters(table, contract, ~rejected), F.count_if(rejected).alias("rejected"))
+    observed.withColumn("outcome", F.when(rejected, "rejected").otherwise("clean")).write.mode("overwrite").partitionBy("outcome").parquet(path)
     times.tick(f"write:silver/{path.rsplit('/', 1)[-1]}", t0)
-    facts[f"silver.{table}"] = {"layer": "silver", "rows": int(obs.get["clean"]), "columns": len(columns)}
+    facts[f"silver.{table}"] = {"layer": "silver", "rows": int(obs.get["_rows"]), "columns": len(columns)}
     facts[f"silver.{table}_rejected"] = {"layer": "silver", "rows": int(obs.get["rejected"]), "columns": len(columns) + 1}
+    return {rule: int(n) for rule, n in obs.get.items() if rule != "rejected"}
 
 
 def _parallel(*thunks):
@@ -144,15 +146,16 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
     s_flagged = S.flag_sales(sales_raw, contract, coverage)
     s_cols = [c for c in s_flagged.columns if c != "reject_reason"]
     e_cols = list(S.SILVER_EVENT_COLS)
-    _, prepared = _parallel(
-        lambda: _write_checked(spark, s_flagged, f"{run}/silver/sales_checked", run_id, load_id, facts, "sales", s_cols, times),
+    seen: dict[str, dict[str, int]] = {}
+    seen["sales"], prepared = _parallel(
+        lambda: _write_checked(spark, s_flagged, f"{run}/silver/sales_checked", run_id, load_id, facts, "sales", s_cols, times, contract),
         w(S.prepared_events(events_raw), "work/events_prepared", into={}))
     s_clean, s_rej = (silver_part(spark, run, t, s_cols) for t in ("sales", "sales_rejected"))
     prep = S.prepared_parts(prepared, contract)
     firsts = w(S.recovery_values(prep["typed"]), "work/order_values", into={})()
     e_flagged = S.flag_events(S.recover_and_fill(prep["typed"], contract, firsts), s_clean, contract, coverage)
     e_path = f"{run}/silver/events_checked"
-    _write_checked(spark, e_flagged, e_path, run_id, load_id, facts, "events", e_cols, times)
+    seen["events"] = _write_checked(spark, e_flagged, e_path, run_id, load_id, facts, "events", e_cols, times, contract)
     e_all = spark.read.parquet(e_path)
     e_clean, e_rej = (silver_part(spark, run, t, e_cols) for t in ("events", "events_rejected"))
     incidents = (S.rejected_incidents(s_rej, S.SRC_SALES, S.LVL_SALE, "sale_id")
@@ -162,7 +165,7 @@ def transform(spark: SparkSession, lake: Lake, load_id: str, contract: Contract,
                  .unionByName(S.order_level_incidents(e_clean, contract)))
     n_rej = {t: F.lit(facts[f"silver.{t}_rejected"]["rows"]) for t in SOURCES}
     silver_rules = E.silver_rules(s_clean, e_clean, contract, F.lit(raw_rows["sales"]), n_rej["sales"],
-                                  F.lit(raw_rows["events"]), n_rej["events"], coverage)
+                                  F.lit(raw_rows["events"]), n_rej["events"], coverage, seen)
 
     def evaluate(rules: DataFrame, name: str, offenders: Callable[[], DataFrame]) -> list[tuple]:
         t0 = time.time()

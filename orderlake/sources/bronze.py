@@ -25,6 +25,9 @@ from pyspark.sql.window import Window
 from orderlake.operators.silver import ARRIVAL, content_columns
 from orderlake.sources.landing import create_whole, names_in, path_exists, read_small, remove_path
 
+#: A file of up to so many bytes is hashed as one cell; larger ones are read by so many bytes at a time.
+CELL_BYTES, BUFFER_BYTES = 256 << 20, 8 << 20
+
 
 class LoadExistsError(Exception):
     """A load with this id was already landed (S31); pass overwrite=True to replace it."""
@@ -138,10 +141,45 @@ def row_sha256(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.select(*cols, F.sha2(text, 256).alias("row_sha256"))
 
 
-def file_sha256(spark: SparkSession, path_glob: str) -> DataFrame:
-    """A9 for files: SHA-256 of each file's bytes (``binaryFile`` source)."""
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select("path", "length", F.sha2(F.col("content"), 256).alias("sha256")))
+def file_sha256(spark: SparkSession, path_glob: str, cell_bytes: int = CELL_BYTES, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+    """A9 for files: path, length and SHA-256 of each file's bytes.
+
+    A file of up to ``cell_bytes`` is one cell of the ``binaryFile`` source. A larger one, of any size, is read by its task
+    as a stream of ``buffer_bytes`` at a time through Arrow's file systems (local, HDFS, S3, ...); the filter on the length
+    keeps its content out of the cells. A file that changes its length between listing and reading is an error.
+    Spark's sources don't list empty files, so these have no row.
+    """
+    files = spark.read.format("binaryFile").load(path_glob)
+
+    def streamed(batches):  # nested, so that a worker needs no import of this package
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def digest(path: str, length: int) -> str:
+            scheme, _, rest = path.partition(":")
+            authority, _, inner = rest[2:].partition("/") if rest.startswith("//") else ("", "", rest.lstrip("/"))
+            if scheme == "file":
+                system, base = fs.LocalFileSystem(), ""
+            else:
+                system, base = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority}/")
+            hashed, done = hashlib.sha256(), 0
+            with system.open_input_stream(f"{base.rstrip('/')}/{inner}") as stream:
+                while chunk := stream.read(buffer_bytes):
+                    hashed.update(chunk)
+                    done += len(chunk)
+            if done != length:
+                raise OSError(f"{path} has {done} bytes, {length} were listed")
+            return hashed.hexdigest()
+
+        for batch in batches:
+            found = [digest(*row.values()) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["path", "length", "sha256"])
+
+    cells = files.where(F.col("length") <= cell_bytes).select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    large = files.where(F.col("length") > cell_bytes).select("path", "length")
+    return cells.unionByName(large.mapInArrow(streamed, "path string, length long, sha256 string"))
 
 
 # ------------------------------------------------------------------ A5-A8

@@ -12,6 +12,7 @@ from orderlake.contract import TOLERANT_CONTRACT, Contract
 from orderlake.operators import rules as E
 from orderlake.operators.rules import GateError, gate
 from orderlake.plans import ledger as L
+from orderlake.plans import pipeline
 from orderlake.plans.pipeline import Lake, reprocess, retain, run_pipeline
 from orderlake.sources import fixtures as FX
 from orderlake.sources.bronze import LoadExistsError, UnknownLoadError, apply_retention, list_load_ids
@@ -214,3 +215,44 @@ def test_smallest_values_are_limited_before_the_shuffle(spark):
     for g in "012":
         values = sorted({str(i % 20_000) for i in range(int(g), 100_000, 3)})
         assert rows[g]["smallest"] == values[:5] and rows[g]["n_distinct"] == len(values)
+
+
+def test_observed_counters_equal_scanned_ones(spark, tmpdir_spark):
+    """What the write of a Silver table counts is what a scan of its clean rows counts, broken rules and rejected rows included."""
+    sales, events = _clean(spark)
+    for rule in ("R3", "R4", "R5"):
+        sales = BREAK_SALES[rule](sales)
+    for rule in ("R11", "R12", "R13", "R14", "R15", "R16"):
+        events = BREAK_EVENTS[rule](events)
+    contract, facts = Contract(coverage=("Lima",)), {}
+    for df, table, key in ((sales, "sales", "sale_id"), (events, "events", "event_id")):
+        bad = df.withColumn(key, F.col(key) + 1000)  # rejected rows break the same rules and must not count
+        flagged = df.withColumn("reject_reason", F.lit("")).unionByName(bad.withColumn("reject_reason", F.lit("why")))
+        path = f"{tmpdir_spark}/{table}"
+        seen = pipeline._write_checked(spark, flagged, path, "run", "load", facts, table, df.columns, pipeline.Timings(), contract)
+        scanned = spark.read.parquet(path).where("outcome = 'clean'").agg(*E.row_counters(table, contract)).first().asDict()
+        assert seen == scanned and sum(seen.values()) > seen["_rows"]
+        assert facts[f"silver.{table}"]["rows"] == facts[f"silver.{table}_rejected"]["rows"] == df.count()
+    for table, df in (("sales", sales), ("events", events)):
+        empty = df.where("false").withColumn("reject_reason", F.lit(""))
+        seen = pipeline._write_checked(spark, empty, f"{tmpdir_spark}/no_{table}", "run", "load", {}, table, df.columns, pipeline.Timings(), contract)
+        assert set(seen.values()) == {0}
+
+
+def test_rules_with_observed_counters_scan_for_keys_only(spark, tmpdir_spark):
+    """Rules of single rows come from the observed counters: no scan reads the columns that only they need."""
+    sales, events = _clean(spark)
+    sales.write.parquet(f"{tmpdir_spark}/s")
+    events.write.parquet(f"{tmpdir_spark}/e")
+    sales, events = spark.read.parquet(f"{tmpdir_spark}/s"), spark.read.parquet(f"{tmpdir_spark}/e")
+    contract, one = Contract(coverage=("Lima",)), F.lit(9)
+    seen = {t: df.agg(*E.row_counters(t, contract)).first().asDict() for t, df in (("sales", sales), ("events", events))}
+    args = (sales, events, contract, one, F.lit(0), one, F.lit(0), None)
+    with_seen, scanning = E.silver_rules(*args, seen), E.silver_rules(*args)
+    assert sorted(with_seen.collect()) == sorted(scanning.collect())
+
+    def scans(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan, plan.count("Relation")
+    plan, n = scans(with_seen)
+    assert n < scans(scanning)[1]

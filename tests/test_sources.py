@@ -36,3 +36,30 @@ def test_file_hashes(spark, tmpdir_spark):
     with open(f"{tmpdir_spark}/x.bin", "wb") as f:
         f.write(b"abc")
     assert [r["sha256"] for r in A.file_sha256(spark, f"{tmpdir_spark}/*.bin").collect()] == [hashlib.sha256(b"abc").hexdigest()]
+
+
+def test_large_files_are_hashed_as_streams(spark, tmpdir_spark):
+    """Files beyond a cell: any number of buffers, whole and part; names that a URI would need to escape."""
+    import hashlib
+    files = {"empty": b"", "cell": b"x" * 1000, "over": b"y" * 1001, "buffers": bytes(range(256)) * 64, "odd name #1 %20?": b"z" * 5003}
+    for name, content in files.items():
+        with open(f"{tmpdir_spark}/{name}", "wb") as f:
+            f.write(content)
+    for cell, buffer in ((1000, 64), (0, 4096), (1 << 20, 64)):
+        rows = A.file_sha256(spark, tmpdir_spark, cell, buffer).collect()
+        got = {r["path"].rsplit("/", 1)[-1]: (r["length"], r["sha256"]) for r in rows}
+        assert got == {name: (len(content), hashlib.sha256(content).hexdigest()) for name, content in files.items() if content}
+
+
+def test_content_of_large_files_is_not_read_into_cells(spark, tmpdir_spark):
+    """A sparse file beyond what a cell can hold (2 GB) is hashed without reading it whole."""
+    import hashlib
+    size = (1 << 31) + 5
+    with open(f"{tmpdir_spark}/large", "wb") as f:
+        f.truncate(size)
+    want = hashlib.sha256()
+    for _ in range(size // (1 << 20)):
+        want.update(bytes(1 << 20))
+    want.update(bytes(size % (1 << 20)))
+    row = A.file_sha256(spark, tmpdir_spark).collect()[0]
+    assert (row["length"], row["sha256"]) == (size, want.hexdigest())
