@@ -27,13 +27,15 @@ fit have no language and are not accepted; ``text_language`` is then the nearest
 language, if there are letters. A null host, suffix or declaration is a missing value: no
 evidence, and no prior but the corpus's. Ties go to the language listed first.
 Repeated rows count each. An empty table gives none. ``carry`` columns are
-returned unchanged; those named like an added column are replaced.
+returned unchanged, whatever their names; those named like an added column are
+replaced. In pages, character references are decoded after the markup is taken out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import partial
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -137,10 +139,16 @@ def text_scores(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndar
     return shares(logs), n
 
 
-def _score(batches: Iterator[pa.RecordBatch], sent, text: str, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def _decoded(texts: pa.Array) -> pa.Array:
+    """Texts with their character references decoded."""
+    return pa.array([unescape(t) if t and "&" in t else t for t in texts.to_pylist()], pa.large_string())
+
+
+def _score(batches: Iterator[pa.RecordBatch], sent, text: str, carried: list[str], references: bool) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for batch in batches:
-        logs, n = text_logs(batch.column(text), model)
+        texts = batch.column(text)
+        logs, n = text_logs(_decoded(texts) if references else texts, model)
         share, fits = shares(logs), (n > 0) & (logs.max(axis=1, initial=-np.inf) >= n * UNKNOWN)
         names = [f"_t{k}" for k in range(model.shape[1])]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(n), pa.array(fits), *[pa.array(share[:, k]) for k in range(len(names))]], [*carried, "n_grams", "_fits", *names])
@@ -156,19 +164,28 @@ def suffix(host: Column) -> Column:
     return F.when(F.instr(host, ".") > 0, F.substring_index(host, ".", -1))
 
 
-def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, address_suffix: Column, declared: Column, carry: Sequence[str], languages: Sequence[str] = LANGUAGES) -> DataFrame:
-    """The carried columns of docs with language, posterior, text_language, n_grams and accepted."""
+def identify(
+    docs: DataFrame, model: np.ndarray, text: Column | str, host: Column, address_suffix: Column, declared: Column, carry: Sequence[str], languages: Sequence[str] = LANGUAGES, references: bool = False
+) -> DataFrame:
+    """The carried columns of docs with language, posterior, text_language, n_grams and accepted.
+
+    With ``references``, character references of the texts are decoded. The carried columns travel under numbers, so that
+    none clashes with a column used here. A text given by its column's name is sent once, also if it is carried.
+    """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
     size = range(len(languages))
     carried = [c for c in carry if c not in ("language", "posterior", "text_language", "n_grams", "accepted")]
+    numbers = [f"_c{k}" for k in range(len(carried))]
 
     def scored(keep: list[str]) -> DataFrame:
         known_of = [host.cast("string").alias("_host"), address_suffix.cast("string").alias("_suffix"), declared.cast("string").alias("_declared")]
         fields = [*keep, "_host", "_suffix", "_declared"]
-        rows = docs.select(*[F.col(c) for c in keep], *known_of, *([] if text in keep else [text]))
+        sent_as = keep[carried.index(text)] if keep and isinstance(text, str) and text in carried else "_text"
+        own = [] if sent_as in keep else [(F.col(text) if isinstance(text, str) else text).cast("string").alias("_text")]
+        rows = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(keep, carried)], *known_of, *own)
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*[F.col(f"`{c}`") for c in fields]).schema)
-        return arrow(partial(_score, sent=sent, text=text, carried=fields), rows, f"{kinds}, n_grams long, _fits boolean, " + ", ".join(f"_t{k} double" for k in size))
+        return arrow(partial(_score, sent=sent, text=sent_as, carried=fields, references=references), rows, f"{kinds}, n_grams long, _fits boolean, " + ", ".join(f"_t{k} double" for k in size))
 
     sums = [F.sum(f"_t{k}").alias(f"s{k}") for k in size]
     again = [F.sum(f"s{k}").alias(f"s{k}") for k in size]
@@ -181,7 +198,7 @@ def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, addres
         grouped = known.filter(key.isNotNull()).groupBy(key.alias(name)).agg(F.sum("n").alias("n"), *again)
         return land(grouped.select(name, F.struct("n", *[f"s{k}" for k in size]).alias(f"{name}_sums")), name)
 
-    rows = scored(carried).withColumn("_domain", domain(F.col("_host")))
+    rows = scored(numbers).withColumn("_domain", domain(F.col("_host")))
     for name, key in (("_host", F.col("_host")), ("_domain", domain(F.col("_host"))), ("_suffix", F.col("_suffix")), ("_declared", F.col("_declared"))):
         rows = rows.join(level(name, key), name, "left")
     values = {name: known.filter(F.col(name).isNotNull()).select(name).distinct().count() for name in ("_suffix", "_declared")}
@@ -207,7 +224,7 @@ def identify(docs: DataFrame, model: np.ndarray, text: str, host: Column, addres
     names, texts = F.array(*[F.lit(x) for x in languages]), F.array(*[F.col(f"_t{k}") for k in size])
     with_text = F.col("n_grams") > 0
     return rows.select(
-        *carried,
+        *[F.col(k).alias(c) for k, c in zip(numbers, carried)],
         F.when(F.col("_fits"), names[F.col("_at")]).alias("language"),
         F.when(F.col("_fits"), F.col("posterior")).alias("posterior"),
         F.when(with_text, names[(F.array_position(texts, F.array_max(texts)) - 1).cast("int")]).alias("text_language"),
@@ -227,5 +244,5 @@ def page_languages(pages: DataFrame, labelled: DataFrame, carry: Sequence[str])
     model = train(labelled)
     host = F.lower(F.nullif(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1), F.lit("")))
     declared = F.lower(F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit("")))
-    text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?(</\1\s*>|$)|<!--.*?-->|<[^>]*>|&[#A-Za-z0-9]+;?", " ")
-    return identify(pages.withColumn("_shown", text), model, "_shown", host, suffix(host), declared, carry)
+    text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?(</\1\s*>|$)|<!--.*?-->|<[^>]*>", " ")
+    return identify(pages, model, text, host, suffix(host), declared, carry, references=True)

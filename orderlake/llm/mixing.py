@@ -68,15 +68,19 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_rows: i
     shuffled once; else it is joined by source, and since both sides are
     shuffled for that join, a source of very many rows can be split.
     """
-    rates = land(source_rates(docs, weights, target_rows, source).select(F.col("source").alias("_source"), _poisson_steps(F.col("rate")).alias("_steps")), "rates")
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark += "_"  # so that no column of docs is named like one used here
+    key, of_source, steps, fraction = (f"{mark}{name}" for name in ("key", "source", "steps", "fraction"))
+    rates = land(source_rates(docs, weights, target_rows, source).select(F.col("source").alias(of_source), _poisson_steps(F.col("rate")).alias(steps)), "rates")
     rates = sized(rates, BROADCAST_SOURCES)
-    keyed = docs.drop("n_copies", "copy", "shuffle_key").withColumn("_key", row_key())
-    joined = keyed.join(rates, F.col(source).eqNullSafe(F.col("_source")))
-    fraction = hash_fraction(F.concat(F.lit(f"{seed}:"), F.col("_key")))
-    counted = joined.withColumn("_fraction", fraction).withColumn("n_copies", F.size(F.filter("_steps", lambda s: s <= F.col("_fraction"))).cast("long"))
+    keyed = docs.drop("n_copies", "copy", "shuffle_key").withColumn(key, row_key())
+    joined = keyed.join(rates, F.col(source).eqNullSafe(F.col(of_source)))
+    drawn = hash_fraction(F.concat(F.lit(f"{seed}:"), F.col(key)))
+    counted = joined.withColumn(fraction, drawn).withColumn("n_copies", F.size(F.filter(steps, lambda s: s <= F.col(fraction))).cast("long"))
     copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat(F.lit(f"{seed}:"), F.col("_key"), F.lit(":"), F.col("copy").cast("string")).cast("binary")))
-    return keyed.drop("_key", "_source", "_steps", "_fraction").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key), F.lit(":"), F.col("copy").cast("string")).cast("binary")))
+    return keyed.drop(key, of_source, steps, fraction).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 ORACLE = f"""

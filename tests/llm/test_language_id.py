@@ -113,6 +113,33 @@ def test_empty_table_and_clashing_columns(spark):
     assert row.language == "en" and row.text.startswith("the only") and row.n_grams > 9
 
 
+def test_carried_columns_keep_their_values_whatever_their_names(spark):
+    names = ["_host", "_suffix", "_declared", "_t0", "_fits", "_text", "_c0", "_domain", "a.b"]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in names)
+    docs = spark.createDataFrame([(1, "the only text there is", "en", "s", *[f"own {c}" for c in names])], schema)
+    got = li.document_languages(docs, ["doc_id", *names])
+    assert got.columns == ["doc_id", *names, "language", "posterior", "text_language", "n_grams", "accepted"]
+    row = got.collect()[0]
+    assert [row[c] for c in names] == [f"own {c}" for c in names] and row.language == "en"
+
+
+def test_a_very_long_text(spark, table):
+    model = model_of(spark, table)
+    text = " ".join(t for t, lang in table("documents", "text", "lang") if lang == "de")
+    long = text * (4_000_000 // len(text) + 1)  # several segments
+    short, whole = (r for r in sorted(identified(spark, [(1, text, None, None, None), (2, long, None, None, None)], model).collect(), key=lambda r: r.id))
+    assert whole.language == short.language == "de" and whole.accepted and whole.n_grams > 4 * li.SEGMENT_BYTES // 2
+
+
+def test_character_references_of_pages_are_decoded(spark, table):
+    labelled = spark.createDataFrame(table("documents", "doc_id", "text", "lang"), "doc_id long, text string, label string")
+    plain = "<p>Où est la forêt ? Été à l'école &lt;b&gt; é</p>"
+    coded = "<p>O&ugrave; est la for&#234;t ? &Eacute;t&#xE9; &agrave; l&#39;&eacute;cole &lt;b&gt; &eacute</p>"
+    pages = spark.createDataFrame([(1, None, plain), (2, None, coded), (3, None, "&nbsp;&amp;"), (4, None, "&#0;&#xD800; &#99999999;")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in li.page_languages(pages, labelled, ["page_id"]).collect()}
+    assert (got[2].text_language, got[2].n_grams) == (got[1].text_language, got[1].n_grams) and len(got) == 4
+
+
 def test_pages_by_markup_and_address(spark, table):
     pages = spark.createDataFrame(table("pages", "page_id", "url", "html")[:80] + [(-1, None, None), (-2, "nonsense", "<html lang=fr>")], "page_id long, url string, html string")
     labelled = spark.createDataFrame(table("documents", "doc_id", "text", "lang"), "doc_id long, text string, label string")

@@ -112,3 +112,13 @@ def test_bad_parameters_and_written_shards(spark, tmp_path):
     placed = sharding.place(frame(spark))
     sharding.write_shards(placed, str(tmp_path / "shards"))
     assert rows(spark.read.parquet(str(tmp_path / "shards")), placed.columns) == rows(placed, placed.columns)
+
+
+def test_columns_named_like_those_used_inside_are_carried(spark):
+    names = ["_key", "_source", "_steps", "_fraction", "__key", "_SOURCE2"]
+    plain = frame(spark)
+    extra = plain.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    mixed = mixing.mix(extra)
+    assert mixed.columns == [*plain.columns, *names, "n_copies", "copy", "shuffle_key"]
+    assert rows(mixed, mixing.mix(plain).columns) == rows(mixing.mix(plain), mixing.mix(plain).columns)
+    assert [tuple(r) for r in mixed.select(*names).distinct().collect()] == [tuple(f"own {c}" for c in names)]
