@@ -110,3 +110,60 @@ def test_hot_order_in_sales_flags_every_later_copy(spark):
     assert sorted(bad) == list(range(1, n // 3))
     assert set(bad.values()) == {"pedido_id repetido"}
     assert not re.search(r"\bWindow\b", _plan(flagged))
+
+
+def test_events_are_shuffled_once_by_their_id(spark):
+    """Copies and versions share their id: one exchange of whole rows, and equal results where ids are hot, null or repeated."""
+    import orderlake.operators.silver as silver
+    n = 600
+    rows = [(None if i % 50 == 0 else 7 if i % 3 == 0 else i // 2, i % 5, "2024-01-01 00:00:00", "R", None if i % 4 else "DC", "X", None, None, None, 1.0, 1, None, None)
+            for i in range(n)]
+    schema = ("event_id long, order_id long, event_ts_txt string, state string, center string, dest_city string, carrier string, tracking_no string, "
+              "promised_ts_txt string, stage_hours double, ship_cost int, incident string, note string")
+    ev = spark.createDataFrame(rows, schema).repartition(8)
+    plain = S.prepared_events(ev)
+    whole = re.findall(r"Exchange hashpartitioning\(event_id[^)]*\), REPARTITION_BY_COL", _plan(plain))
+    assert whole
+    before, silver.HOT_ROWS = silver.HOT_ROWS, 20
+    try:
+        hot = sorted(map(str, S.prepared_events(ev).collect()))
+    finally:
+        silver.HOT_ROWS = before
+    assert hot == sorted(map(str, plain.collect()))
+    assert sum(r["_n"] for r in plain.collect()) == n
+    keyed = {}
+    for r in plain.collect():
+        keyed.setdefault(r["event_id"], []).append(r)
+    assert set(keyed) == {r[0] for r in rows}
+    assert all(sum(r["_win"] for r in same) == 1 for same in keyed.values())
+
+
+def test_sales_whose_keys_occur_once_are_not_shuffled(spark):
+    """Only sales with a repeated key are deduplicated and ranked; too many repeated keys go the whole way with equal results."""
+    from decimal import Decimal as D
+
+    import orderlake.operators.silver as silver
+    from orderlake.contract import Contract
+    rows = [(i // 2 if i % 10 == 0 else None if i % 33 == 0 else i, i if i % 7 else None, "2024-01-02", 1, " Lima", "BUILDING", None, "c", "p", f"m{i % 2}", 1,
+             D("10.00"), D("0.00"), D("10.00"), D("0.00"), D("10.00"), 3) for i in [*range(200), *range(0, 200, 20)]]
+    schema = ("sale_id long, order_id long, sale_ts string, customer_id long, city string, channel string, store_id string, category string, product string, "
+              "pay_method string, quantity int, unit_price decimal(18,2), discount_rate decimal(5,2), gross decimal(18,2), discount decimal(18,2), net decimal(18,2), rating int")
+    sales = spark.createDataFrame(rows, schema).repartition(8)
+    few = S.flag_sales(sales, Contract(coverage=("Lima",)))
+    assert "BroadcastHashJoin" in _plan(few)
+    before, silver.KEYS_AT_ONCE = silver.KEYS_AT_ONCE, 0
+    try:
+        whole = sorted(map(str, S.flag_sales(sales, Contract(coverage=("Lima",))).collect()))
+    finally:
+        silver.KEYS_AT_ONCE = before
+    assert sorted(map(str, few.collect())) == whole and len(whole) == len(set(rows))
+
+
+def test_monthly_customers_are_counted_apart(spark):
+    orders = spark.createDataFrame([("2024-01", 1, None), ("2024-01", 1, 2.0), ("2024-01", None, 3.0), ("2024-02", None, None), (None, 5, 1.0)],
+                                   "month string, customer_id long, cycle_days double")
+    rest = {"order_id": F.lit(1), "quantity": F.lit(1), **{c: F.lit(1).cast("decimal(18,2)") for c in ("gross", "discount", "net")}, "ship_cost": F.lit(1), "late": F.lit(True),
+            "delay_days": F.lit(1.0), "n_incidents": F.lit(0), "rating": F.lit(1)}
+    kpi = G.kpi_monthly(orders.withColumns(rest))
+    assert {r["month"]: (r["orders"], r["customers"], r["median_cycle_days"]) for r in kpi.collect()} == {"2024-01": (3, 1, 2.5), "2024-02": (1, 0, None)}
+    assert not re.search(r"customer_id[^\n]*percentile|percentile[^\n]*keys=\[[^\]]*customer_id", _plan(kpi))
