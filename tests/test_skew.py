@@ -167,3 +167,21 @@ def test_monthly_customers_are_counted_apart(spark):
     kpi = G.kpi_monthly(orders.withColumns(rest))
     assert {r["month"]: (r["orders"], r["customers"], r["median_cycle_days"]) for r in kpi.collect()} == {"2024-01": (3, 1, 2.5), "2024-02": (1, 0, None)}
     assert not re.search(r"customer_id[^\n]*percentile|percentile[^\n]*keys=\[[^\]]*customer_id", _plan(kpi))
+
+
+def test_events_are_gathered_once_by_order(spark):
+    """Recovery and the look-up of the sale take one exchange of whole events; hot orders and events without order have equal results."""
+    import orderlake.operators.silver as silver
+    typed = S.prepare_events(_events(spark, 900), C)["typed"].withColumn("order_id", F.when(F.col("event_id") % 40 != 3, F.col("order_id")))
+    sales = spark.range(0, 400, 2).select(F.col("id").alias("order_id"))
+    want = sorted(map(str, S.flag_events(S.recover_and_fill(typed, C), sales, C).select("event_id", "order_id", "center", "carrier", "tracking_no", "promised_ts",
+                                                                                     "_was_null_center", "reject_reason").collect()))
+    for most in (10_000, 50):
+        before, silver.HOT_ORDER = silver.HOT_ORDER, most
+        try:
+            once = S.flag_events(S.recover_and_fill(typed, C, valid_sales=sales), sales, C)
+            got = sorted(map(str, once.select("event_id", "order_id", "center", "carrier", "tracking_no", "promised_ts", "_was_null_center", "reject_reason").collect()))
+            assert got == want and len(got) == 900
+        finally:
+            silver.HOT_ORDER = before
+    assert len(re.findall(r"REPARTITION_BY_COL", _plan(once))) >= 1
