@@ -63,3 +63,29 @@ def test_content_of_large_files_is_not_read_into_cells(spark, tmpdir_spark):
     want.update(bytes(size % (1 << 20)))
     row = A.file_sha256(spark, tmpdir_spark).collect()[0]
     assert (row["length"], row["sha256"]) == (size, want.hexdigest())
+
+
+def test_writes_free_their_shuffle_files(spark, tmpdir_spark):
+    """A derived table's write, a run and a scratch table leave no shuffle files behind, also nested and from several threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.sql import functions as F
+
+    from orderlake.session import FREED_SHUFFLES, freed_shuffles
+    from orderlake.sources.landing import built_once, scratch
+
+    def left() -> int:
+        kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return sum("shuffle_" in kept.apply(i).name() for i in range(kept.size()))
+
+    def shuffled(n: int):
+        return spark.range(2000).withColumn("k", F.col("id") % n).groupBy("k").count()
+    before = left()
+    path = built_once(spark, f"{tmpdir_spark}/t", lambda made: shuffled(7).write.parquet(made))
+    assert len(spark.read.parquet(path).collect()) == 7 and len(scratch(shuffled(11)).collect()) == 11
+    spark.conf.set(FREED_SHUFFLES, "false")
+    with freed_shuffles(spark), ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: built_once(spark, f"{tmpdir_spark}/u{n}", lambda made: shuffled(n).write.parquet(made)), range(3, 9)))
+        assert spark.conf.get(FREED_SHUFFLES) == "true"
+    assert spark.conf.get(FREED_SHUFFLES) == "false"
+    assert left() <= before
