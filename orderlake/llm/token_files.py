@@ -55,12 +55,14 @@ LEAST_COUNT = 4
 #: A round takes this share of the rules that are left (later rounds pair the new symbols), and this many at least.
 ROUND_SHARE, ROUND_LEAST = 4, 1024
 MAGIC = b"RPG1"
-#: Distinct words whose ids a worker remembers.
-CACHE_WORDS = 1_500_000
+#: Distinct words whose ids a worker remembers (some 200 bytes each, and an executor has a worker for each core).
+CACHE_WORDS = 400_000
 #: ... and keeps when they have become more.
-KEPT_WORDS = 500_000
-#: Marks that are pieces of their own at a word's end.
-ENDINGS = (b",", b".")
+KEPT_WORDS = 200_000
+#: A run of these marks at a word's end is a piece of its own after a letter or digit.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: Second bytes of the signs among the letters of U+00C0 to U+00FF.
+LATIN_LEAD, LATIN_SIGNS = 0xC3, (0x97, 0xB7)
 #: A special token of the tokenizer, and how many new words are encoded in one text with it between them.
 SEPARATOR, JOINED = "<|endoftext|>", 200
 #: Stands after each text; no UTF-8 text has this byte.
@@ -82,11 +84,18 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        # the same model without the steps before it, which leave words of a-z as they are; the last id of such a word has the suffix
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Split(" ", "removed")
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        vocabulary = self.model.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self._reset()
 
     def _reset(self) -> None:
@@ -98,6 +107,10 @@ class WordEncoder:
 
     def _ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and each word's number of ids."""
+        if self.last.any() and all(map(_plain, words)):
+            texts = [b" ".join(words[at : at + JOINED]).decode() for at in range(0, len(words), JOINED)]
+            ids = np.concatenate([np.array(e.ids, np.int64) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+            return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
         texts = [w.decode("utf-8", "replace") for w in words]
         if self.separator is None or any("<|" in t for t in texts):
             each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -109,18 +122,20 @@ class WordEncoder:
         return ids[ids != self.separator], np.diff(ends, prepend=-1) - 1
 
     def _learn(self, words: list[bytes]) -> None:
-        # a comma or full stop after a letter or digit is a piece of its own: such words are put together from two
-        ending = [w for w in words if w[-1:] in ENDINGS and len(w) > 1 and b"<|" not in w and w[-2:-1].isalnum()]
-        apart = set(ending)
-        rest = dict.fromkeys([w for w in words if w not in apart])
-        rest.update(dict.fromkeys([part for w in ending for part in (w[:-1], w[-1:]) if part not in self.places]))
-        rest = {w: None for w in rest if w not in self.places}
-        for part in ([w for w in rest if b"<|" not in w], [w for w in rest if b"<|" in w]):
+        # marks after a letter or digit are a piece of their own: such words are put together from two
+        parts = {w: (stem, w[len(stem) :]) for w in words if (stem := w.rstrip(MARKS)) != w and _ends_whole(stem) and b"<|" not in w}
+        rest = dict.fromkeys([w for w in words if w not in parts])
+        rest.update(dict.fromkeys([part for pair in parts.values() for part in pair]))
+        plain, special, other = [], [], []
+        for w in rest:
+            if w not in self.places:
+                (plain if _plain(w) else special if b"<|" in w else other).append(w)
+        for part in (plain, other, special):
             if part:
                 self._add(part, *self._ids_of(part))
-        ending = [w for w in ending if w not in self.places]
+        ending = [w for w in parts if w not in self.places]
         if ending:
-            pieces = np.array([self.places[x] for w in ending for x in (w[:-1], w[-1:])], dtype=np.int64)
+            pieces = np.array([self.places[x] for w in ending for x in parts[w]], dtype=np.int64)
             first = self.starts[pieces]
             length = self.starts[pieces + 1] - first
             so_far = np.cumsum(length)
@@ -161,6 +176,16 @@ class WordEncoder:
         return flat, np.diff(so_far[at == 0], prepend=0)
 
 
+def _plain(word: bytes) -> bool:
+    """Whether a word is of a-z alone."""
+    return word.isalpha() and word.islower()
+
+
+def _ends_whole(stem: bytes) -> bool:
+    """Whether the last character is a letter or digit that nothing behind it can change: of ASCII or U+00C0 to U+00FF."""
+    return stem[-1:].isalnum() or (len(stem) > 1 and stem[-2] == LATIN_LEAD and stem[-1] not in LATIN_SIGNS)
+
+
 def _folded(text: str | bytes | None) -> bytes:
     """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written.
 

@@ -118,3 +118,25 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     shard = token_files.Shard(payload)
     assert (shard.all() == ids).all() and shard.lengths.max() > 1000 and len(symbols) <= 500
     assert (shard.document(7) == ids[7 * 4001 : 8 * 4001]).all() and (shard.tokens(4100, 12_345) == ids[4100:12_345]).all()
+
+
+def test_words_with_marks_at_the_end_are_put_together(tokenizer):
+    """Stems are learned once, runs of marks behind them as well; words of a-z take the model alone."""
+    stems = ["word", "naïve", "caffè", "É", "ß", "x9", "it's", "3", "×", "÷", "Ā", "日本", "á", "a.b", "-", "ẞ", "don't"]
+    ends = ["", ",", ".", "&&&", ",***", "'", "''", "'.", "…", ".×", "|>", "<", "<|", "≠", "%%%", "_", "´"]
+    texts = [a + b for a in stems for b in ends] + [" ".join(a + b for a in stems) for b in ends]
+    for encoder, part in ((token_files.WordEncoder(PATH), texts), (token_files.WordEncoder(PATH), texts[::-1])):
+        ids, sizes = encoder.encode(part)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(tokenizer, t) for t in part]
+
+
+def test_a_worker_remembers_a_bounded_number_of_words(tokenizer):
+    """A million distinct words; before, a worker kept 1.5 million of them, some 250 MB."""
+    encoder, letters = token_files.WordEncoder(PATH), "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d + e for a in letters[:14] for b in letters[:16] for c in letters[:16] for d in letters[:16] for e in letters[:16]]
+    most = 0
+    for at in range(0, len(words), 1 << 16):
+        encoder.encode([" ".join(words[at : at + (1 << 16)])])
+        most = max(most, len(encoder.places))
+    assert most <= 500_000 and len(encoder.ids) <= 1 << 22
+    assert encoder.encode([words[0], words[-1]])[0].tolist() == whole(tokenizer, words[0]) + whole(tokenizer, words[-1])
