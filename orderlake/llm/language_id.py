@@ -57,7 +57,7 @@ UNSEEN = 0.01
 #: Logarithm of a trigram's probability in an unknown text.
 UNKNOWN = -float(np.log(BUCKETS))
 #: Bytes of text that are scored together.
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
 
 _LETTERS = np.array([c if 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256)], dtype=np.uint8)
 

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5
-#: Texts are hashed together up to about this many bytes; a longer text alone.
-SEGMENT_BYTES = 1 << 20
+#: Texts are hashed together up to about this many bytes (there are some ten arrays of eight times the size); a longer text alone.
+SEGMENT_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

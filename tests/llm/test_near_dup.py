@@ -139,3 +139,21 @@ def test_all_pairs_of_different_components_meet_once(spark, monkeypatch):
     pairs = [(band, *sorted((a[0], b[0]))) for (band, i, j), of in met.items() for k, a in enumerate(of) for b in of[:k] if a[1] != b[1] and (a[2] != b[2] or i == j)]
     want = {(x[0], *sorted((x[2], y[2]))) for x in rows for y in rows if x[0] == y[0] and x[4] != y[4]}
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_shingles_of_many_texts_take_bounded_memory():
+    """Eight MB of texts are hashed by segments: the arrays of one are small, however many texts there are."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from orderlake.llm import shingles
+
+    texts = pa.array([f"text {k} of some words that go on " * 60 for k in range(4000)])
+    list(shingles.shingle_sets(texts.slice(0, 10)))
+    tracemalloc.start()
+    for sets, _ in shingles.shingle_sets(texts):
+        del sets
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6
