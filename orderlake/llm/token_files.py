@@ -61,8 +61,8 @@ CACHE_WORDS = 400_000
 KEPT_WORDS = 200_000
 #: A run of these marks at a word's end is a piece of its own after a letter or digit.
 MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
-#: Second bytes of the signs among the letters of U+00C0 to U+00FF.
-LATIN_LEAD, LATIN_SIGNS = 0xC3, (0x97, 0xB7)
+#: ... that nothing behind it can change: of ASCII or U+00C0 to U+00FF, whose second bytes these are without the two signs'.
+LATIN_LEAD, LATIN_SECOND = 0xC3, bytes(c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7))
 #: A special token of the tokenizer, and how many new words are encoded in one text with it between them.
 SEPARATOR, JOINED = "<|endoftext|>", 200
 #: Stands after each text; no UTF-8 text has this byte.
@@ -74,6 +74,17 @@ CAPITAL_BEFORE_MARK = re.compile(rb"[A-Z][\x80-\xff]")
 TOGETHER = 256
 
 
+def _among(values: bytes) -> np.ndarray:
+    """Whether a byte is one of the values, by byte."""
+    table = np.zeros(256, bool)
+    table[list(values)] = True
+    return table
+
+
+IS_MARK, IS_SPACE, IS_LATIN = _among(MARKS), _among(b" \t\n\r\x0b\x0c"), _among(LATIN_SECOND)
+IS_ALNUM = _among(bytes(c for c in range(128) if chr(c).isalnum()))
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that treats white space as a word break and drops it.
 
@@ -84,18 +95,13 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        # the same model without the steps before it, which leave words of a-z as they are; the last id of such a word has the suffix
-        self.model = Tokenizer.from_file(path)
-        self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Split(" ", "removed")
-        suffix = getattr(self.model.model, "end_of_word_suffix", None)
-        vocabulary = self.model.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        # a model that marks a word's end by a suffix splits a word of a-z by itself: the steps before it leave such words as they are
+        self.model = self.tokenizer.model if getattr(self.tokenizer.model, "end_of_word_suffix", None) else None
         self._reset()
 
     def _reset(self) -> None:
@@ -107,10 +113,10 @@ class WordEncoder:
 
     def _ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and each word's number of ids."""
-        if self.last.any() and all(map(_plain, words)):
-            texts = [b" ".join(words[at : at + JOINED]).decode() for at in range(0, len(words), JOINED)]
-            ids = np.concatenate([np.array(e.ids, np.int64) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
-            return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if self.model and all(map(_plain, words)):
+            # without a pass over joined words, and without offsets
+            each = [[token.id for token in self.model.tokenize(w.decode())] for w in words]
+            return np.array([i for ids in each for i in ids], np.int64), np.array([len(ids) for ids in each], np.int64)
         texts = [w.decode("utf-8", "replace") for w in words]
         if self.separator is None or any("<|" in t for t in texts):
             each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -122,24 +128,12 @@ class WordEncoder:
         return ids[ids != self.separator], np.diff(ends, prepend=-1) - 1
 
     def _learn(self, words: list[bytes]) -> None:
-        # marks after a letter or digit are a piece of their own: such words are put together from two
-        parts = {w: (stem, w[len(stem) :]) for w in words if (stem := w.rstrip(MARKS)) != w and _ends_whole(stem) and b"<|" not in w}
-        rest = dict.fromkeys([w for w in words if w not in parts])
-        rest.update(dict.fromkeys([part for pair in parts.values() for part in pair]))
         plain, special, other = [], [], []
-        for w in rest:
-            if w not in self.places:
-                (plain if _plain(w) else special if b"<|" in w else other).append(w)
+        for w in words:
+            (plain if _plain(w) else special if b"<|" in w else other).append(w)
         for part in (plain, other, special):
             if part:
                 self._add(part, *self._ids_of(part))
-        ending = [w for w in parts if w not in self.places]
-        if ending:
-            pieces = np.array([self.places[x] for w in ending for x in parts[w]], dtype=np.int64)
-            first = self.starts[pieces]
-            length = self.starts[pieces + 1] - first
-            so_far = np.cumsum(length)
-            self._add(ending, self.ids[np.repeat(first - so_far + length, length) + np.arange(so_far[-1])], length.reshape(-1, 2).sum(axis=1))
 
     def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         if len(ids) and ids.max() >= TERMINALS:
@@ -163,7 +157,10 @@ class WordEncoder:
         """All ids with an end id after each text, and the number of ids of each."""
         if len(self.places) > CACHE_WORDS:
             self._forget()
-        words = b"".join([_folded(t) + b" " + MARK + b" " for t in texts]).split()
+        folded = [_folded(t) + b" " + MARK + b" " for t in texts]
+        data = b"".join(folded)
+        # a special token ends with marks
+        words = (b"".join([t if b"<|" in t else _parted(t) for t in folded]) if b"<|" in data else _parted(data)).split()
         at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(at < 0).tolist()
         if unknown:
@@ -181,11 +178,6 @@ def _plain(word: bytes) -> bool:
     return word.isalpha() and word.islower()
 
 
-def _ends_whole(stem: bytes) -> bool:
-    """Whether the last character is a letter or digit that nothing behind it can change: of ASCII or U+00C0 to U+00FF."""
-    return stem[-1:].isalnum() or (len(stem) > 1 and stem[-2] == LATIN_LEAD and stem[-1] not in LATIN_SIGNS)
-
-
 def _folded(text: str | bytes | None) -> bytes:
     """A text's bytes with A-Z lowered, unless it may hold a special token, which is found as it is written.
 
@@ -199,6 +191,17 @@ def _folded(text: str | bytes | None) -> bytes:
     return data.lower()
 
 
+def _parted(data: bytes) -> bytes:
+    """Marks at a word's end as a word of their own, so that a word is learned and looked up once, whatever marks follow it."""
+    raw = np.frombuffer(b"  " + data + b" ", np.uint8)
+    mark = IS_MARK[raw]
+    edges = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+    first, behind = edges[::2], edges[1::2]
+    before = raw[first - 1]
+    whole = IS_ALNUM[before] | IS_LATIN[before] & (raw[first - 2] == LATIN_LEAD)
+    return np.insert(raw, first[whole & IS_SPACE[raw[behind]]], ord(" ")).tobytes()
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, document ends in symbols) of ids whose documents end at ``ends``."""
     symbols = ids.astype(np.uint32)

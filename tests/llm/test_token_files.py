@@ -130,6 +130,16 @@ def test_words_with_marks_at_the_end_are_put_together(tokenizer):
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(tokenizer, t) for t in part]
 
 
+def test_marks_at_the_end_take_no_word_of_their_own(tokenizer):
+    """Before, a word was remembered once for each run of marks behind it. Long runs that end no word take linear time."""
+    stems, ends = [f"w{a}x{b}" for a in range(20) for b in range(20)], [",", ".", "!!", "&&&", "'.", ")"]
+    encoder = token_files.WordEncoder(PATH)
+    texts = [" ".join(s + e for s in stems) for e in ends] + ["a" + "!" * 200_000 + "b", "café" + "?." * 100_000]
+    ids, sizes = encoder.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(tokenizer, t) for t in texts]
+    assert len(encoder.places) <= len(stems) + len(ends) + 4
+
+
 def test_a_worker_remembers_a_bounded_number_of_words(tokenizer):
     """A million distinct words; before, a worker kept 1.5 million of them, some 250 MB."""
     encoder, letters = token_files.WordEncoder(PATH), "abcdefghijklmnopqrstuvwxyz"
